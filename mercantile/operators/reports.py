@@ -113,3 +113,12 @@ def sales_report_item_price(stores: DataFrame, orders: DataFrame, order_items: D
                            "store_id", "inner")
             .groupBy("store_name").agg(F.sum("_value").alias("monthly_revenue"))
             .orderBy(F.desc("monthly_revenue"), F.asc("store_name")))
+
+
+def inactive_customers(customers: DataFrame, orders: DataFrame, as_of, years: int = 2) -> DataFrame:
+    """Q12: customers with no order in the ``years`` up to ``as_of``, with the
+    NULL rules of ``NOT IN`` (see :func:`mercantile.operators.joins.not_in`)."""
+    from ..functions.scalar import years_before
+    from .joins import not_in
+    recent = orders.where(F.col("order_date") >= years_before(as_of, years)).select("customer_id")
+    return not_in(customers, "customer_id", recent)
