@@ -1,7 +1,7 @@
 """Named query plans over the fixture tables (for the driver, bench and tests)."""
 
 from . import catalog
-from . import joining, reporting  # noqa: F401  (register queries)
+from . import changing, joining, reporting  # noqa: F401  (register queries)
 
 QUERIES = catalog.QUERIES
 ORACLES = catalog.ORACLES

@@ -79,16 +79,18 @@ ORDER = ("stores", "employees", "customers", "suppliers", "products", "shop_orde
          "order_items", "payments", "shipments", "monthly_sales")
 
 
-def with_fixtures(body: str, *names: str, recursive: str = "") -> str:
+def with_fixtures(body: str, *names: str, recursive: str = "", extra: str = "") -> str:
     """Prefix ``body`` with the fixture CTEs it names (plus dependencies).
 
-    ``recursive`` is an extra CTE list placed after the fixtures (for
-    ``WITH RECURSIVE``)."""
+    ``recursive`` is a recursive CTE placed after the fixtures (the clause
+    becomes ``WITH RECURSIVE``); ``extra`` holds further plain CTEs."""
     need: set[str] = set()
     for n in names:
         need.add(n)
         need.update(DEPENDS.get(n, ()))
     parts = [f"{n} AS ({FIXTURE_SQL[n]})" for n in ORDER if n in need]
+    if extra:
+        parts.append(extra)
     if recursive:
         parts.append(recursive)
     head = "WITH RECURSIVE " if recursive else "WITH "
