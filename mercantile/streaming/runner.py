@@ -1,0 +1,24 @@
+"""Feeding file streams in a fixed order (tests and the named stream queries).
+
+Each slice is written as its own Parquet folder under the stream's input
+folder and the query is driven until it has consumed it, so micro-batches
+follow the slice order exactly."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter
+
+
+def run_slices(spark: SparkSession, slices: Sequence[DataFrame], input_dir: str,
+               start: Callable[[DataFrame], DataStreamWriter], checkpoint: str) -> None:
+    schema = slices[0].schema
+    for i, part in enumerate(slices):
+        part.write.mode("overwrite").parquet(f"{input_dir}/s{i:05d}")
+        if i == 0:
+            stream = spark.readStream.schema(schema).parquet(f"{input_dir}/s*")
+            query = start(stream).option("checkpointLocation", checkpoint).start()
+        query.processAllAvailable()
+    query.stop()
