@@ -22,8 +22,18 @@ MONTHLY_SALES_YEAR = 1996
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+_RAW: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's Parquet table.  The DataFrame (file listing and schema) is
+    made once per session and path; every query still plans its own scan."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _RAW.get((id(spark), path))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _RAW[(id(spark), path)] = hit
+    return hit[1]
 
 
 def stores(spark, sf_dir) -> DataFrame:

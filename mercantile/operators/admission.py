@@ -77,7 +77,7 @@ def _new_stock(products: DataFrame, accepted: DataFrame, key: str, qty: str) ->
 
 def admit(items: DataFrame, products: DataFrame, mode: str = "greedy",
           order: tuple[str, ...] = ARRIVAL_ORDER, key: str = "product_id", qty: str = "quantity",
-          max_rounds: int = 64, fold_below: int = 100_000) -> Admission:
+          max_rounds: int = 64, fold_below: int = 1_000_000) -> Admission:
     """Admit order lines against product stock (see module doc)."""
     good, bad = _screen(items, products, key, qty)
     demand = good.groupBy(key).agg(F.sum(qty).cast("bigint").alias("demand"))
@@ -103,15 +103,14 @@ def admit(items: DataFrame, products: DataFrame, mode: str = "greedy",
     fits = F.col("_stock").isNull() | (F.col("demand") <= F.col("_stock"))
     fast = with_demand.where(fits).select(*cols)
     slow = with_demand.where(~fits)
-    state = slow.select(key, F.col("_stock").alias("_r")).distinct().checkpoint(eager=True)
-    cand = slow.select(*cols).checkpoint(eager=True)
+    # Each candidate line carries its product's remaining stock ``_r``.
+    cand = slow.select(*cols, F.col("_stock").cast("long").alias("_r")).checkpoint(eager=True)
     within = [c for c in order if c != key]
     accepted_parts, refused_parts = [fast], [bad]
     rounds, left = 0, cand.count()
     while left > fold_below and rounds < max_rounds:
         rounds += 1
-        rt = (running_total(cand, [key], within, qty, "_cum")
-              .join(state, key, "inner").checkpoint(eager=True))
+        rt = running_total(cand, [key], within, qty, "_cum").checkpoint(eager=True)
         accepted_parts.append(rt.where(F.col("_cum") <= F.col("_r")).select(*cols))
         over = rt.where(F.col("_cum") > F.col("_r"))
         pos = F.struct(*[F.col(c) for c in within])
@@ -123,11 +122,11 @@ def admit(items: DataFrame, products: DataFrame, mode: str = "greedy",
         after = F.col("_pos") > F.col("_first")
         refused_parts.append(tagged.where(is_first | (after & (F.col(qty) > F.col("_s"))))
                              .select(*cols, F.lit(SHORT).alias("reason")))
-        state = first.select(key, F.col("_s").alias("_r")).checkpoint(eager=True)
-        cand = tagged.where(after & (F.col(qty) <= F.col("_s"))).select(*cols).checkpoint(eager=True)
+        cand = (tagged.where(after & (F.col(qty) <= F.col("_s")))
+                .select(*cols, F.col("_s").alias("_r")).checkpoint(eager=True))
         left = cand.count()
     if left:
-        folded = _fold(cand, state, key, qty, within).checkpoint(eager=True)
+        folded = _fold(cand, key, qty, within).checkpoint(eager=True)
         accepted_parts.append(folded.where(F.col("_ok")).select(*cols))
         refused_parts.append(folded.where(~F.col("_ok")).select(*cols, F.lit(SHORT).alias("reason")))
     accepted = reduce(DataFrame.unionByName, accepted_parts)
@@ -135,11 +134,10 @@ def admit(items: DataFrame, products: DataFrame, mode: str = "greedy",
     return Admission(accepted, refused, _new_stock(products, accepted, key, qty), shortages)
 
 
-def _fold(cand: DataFrame, state: DataFrame, key: str, qty: str, within: list[str]) -> DataFrame:
+def _fold(cand: DataFrame, key: str, qty: str, within: list[str]) -> DataFrame:
     """Sequential fold per product over sorted partitions, streaming batch by
     batch (the state is one number carried across batches)."""
-    x = (cand.join(state, key, "inner")
-         .repartition(key).sortWithinPartitions(key, *within))
+    x = cand.repartition(key).sortWithinPartitions(key, *within)
     schema = T.StructType(list(x.schema.fields) + [T.StructField("_ok", T.BooleanType())])
 
     def run(batches):

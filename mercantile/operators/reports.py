@@ -82,16 +82,17 @@ def sales_report_list_price(stores: DataFrame, orders: DataFrame, order_items: D
     """Q14: store_name, monthly_sales = sum(quantity x current product price)
     for orders of that month.  The month filter makes the store-order join
     inner, so stores without orders that month are absent; a store with orders
-    but no priced lines shows 0.  Grouped by name, so equal names merge."""
+    but no priced lines shows 0.  Grouped by name, so equal names merge.
+
+    The month filter reaches the orders scan as a date range; the month's
+    orders then meet their lines (one join), the lines their list price, and
+    the sum is taken per store before the store names are attached."""
     m = month if isinstance(month, int) else month_number(month)
-    month_orders = orders.where(in_month("order_date", year, m)).select("order_id", "store_id")
-    lines = (order_items.join(month_orders.select("order_id"), "order_id", "left_semi")
-             .join(products.select("product_id", F.col("price").alias("_list")),
-                   "product_id", "left")
-             .groupBy("order_id")
-             .agg(F.sum(F.col("quantity") * F.col("_list")).alias("_value")))
-    per_store = (month_orders.join(lines, "order_id", "left")
-                 .groupBy("store_id").agg(F.sum("_value").alias("_value")))
+    month_orders = orders.where(in_month("order_date", year, m) & F.col("store_id").isNotNull()) \
+        .select("order_id", "store_id")
+    lines = month_orders.join(order_items.select("order_id", "product_id", "quantity"), "order_id", "left")
+    priced = lines.join(products.select("product_id", F.col("price").alias("_list")), "product_id", "left")
+    per_store = priced.groupBy("store_id").agg(F.sum(F.col("quantity") * F.col("_list")).alias("_value"))
     return (per_store.join(stores.select("store_id", F.col("name").alias("store_name")),
                            "store_id", "inner")
             .groupBy("store_name")
@@ -102,13 +103,12 @@ def sales_report_list_price(stores: DataFrame, orders: DataFrame, order_items: D
 def sales_report_item_price(stores: DataFrame, orders: DataFrame, order_items: DataFrame,
                             year: int, month: int) -> DataFrame:
     """Q15: store_name, monthly_revenue = sum(item price x quantity), inner
-    joins, revenue descending."""
-    month_orders = orders.where(in_month("order_date", year, month)).select("order_id", "store_id")
-    per_order = (order_items.join(month_orders.select("order_id"), "order_id", "left_semi")
-                 .groupBy("order_id")
-                 .agg(F.sum(F.col("price") * F.col("quantity")).alias("_value")))
-    per_store = (month_orders.join(per_order, "order_id", "inner")
-                 .groupBy("store_id").agg(F.sum("_value").alias("_value")))
+    joins, revenue descending (one join of the month's orders with their
+    lines, summed per store, then named)."""
+    month_orders = orders.where(in_month("order_date", year, month) & F.col("store_id").isNotNull()) \
+        .select("order_id", "store_id")
+    per_store = (month_orders.join(order_items.select("order_id", "quantity", "price"), "order_id", "inner")
+                 .groupBy("store_id").agg(F.sum(F.col("price") * F.col("quantity")).alias("_value")))
     return (per_store.join(stores.select("store_id", F.col("name").alias("store_name")),
                            "store_id", "inner")
             .groupBy("store_name").agg(F.sum("_value").alias("monthly_revenue"))
