@@ -190,7 +190,8 @@ def cast_text(c: str, dtype: T.DataType):
     col = F.col(c)
     if isinstance(dtype, T.DateType):
         serial = F.expr(f"try_cast({c} AS double)")
-        return F.coalesce(F.to_date(col), F.date_add(F.lit(EXCEL_EPOCH), serial.cast("int")))
+        return F.coalesce(F.expr(f"try_cast({c} AS date)"),
+                          F.date_add(F.lit(EXCEL_EPOCH), serial.cast("int")))
     return F.expr(f"try_cast({c} AS {dtype.simpleString()})")
 
 
