@@ -121,3 +121,30 @@ GROUP BY s.store_id, s.name, year(o.order_date), month(o.order_date)""", "stores
 def q17(spark, sf):
     t = tables(spark, sf, "stores", "orders")
     return doubles(reports.monthly_store_revenue(t["stores"], t["orders"]), "monthly_revenue")
+
+
+@register("P2_orders", with_fixtures("""
+SELECT order_id, customer_id, store_id, strftime(order_date, '%Y-%m-%d') AS order_date,
+       CAST(total_amount AS DOUBLE) AS total_amount, order_status
+FROM shop_orders WHERE customer_id = 42""", "shop_orders"))
+def p2_orders(spark, sf):
+    """sp_GetCustomerOrders as a SQL table function."""
+    from ..operators.procedures import register_sql
+    register_sql(spark, tables(spark, sf, "orders", "stores", "order_items"))
+    out = spark.sql("SELECT * FROM mercantile_customer_orders(42)")
+    return iso_dates(doubles(out, "total_amount"), "order_date")
+
+
+@register("P2_report", with_fixtures(f"""
+SELECT s.name AS store_name, CAST(SUM(oi.price * oi.quantity) AS DOUBLE) AS monthly_revenue
+FROM stores s
+JOIN shop_orders o ON s.store_id = o.store_id
+JOIN order_items oi ON o.order_id = oi.order_id
+WHERE year(o.order_date) = {Q15_YEAR} AND month(o.order_date) = {Q15_MONTH}
+GROUP BY s.name""", "stores", "shop_orders", "order_items"))
+def p2_report(spark, sf):
+    """sp_GenerateSalesReport(p_year, p_month) as a SQL table function."""
+    from ..operators.procedures import register_sql
+    register_sql(spark, tables(spark, sf, "orders", "stores", "order_items"))
+    out = spark.sql(f"SELECT * FROM mercantile_sales_report({Q15_YEAR}, {Q15_MONTH})")
+    return doubles(out, "monthly_revenue")
