@@ -29,16 +29,24 @@ class Hierarchy(NamedTuple):
 
 def hierarchy(employees: DataFrame, id: str = "employee_id", parent: str = "manager_id",
               columns: tuple[str, ...] = ("name", "role"), max_depth: int | None = None,
-              ordered: bool = True) -> Hierarchy:
+              ordered: bool = True, method: str = "auto", switch_after: int = 32) -> Hierarchy:
     """Q3: (id, *columns, parent, level); roots have a NULL parent and level 0.
 
+    ``method``: ``"levels"`` walks level by level (work proportional to the
+    rows, one job per level); ``"doubling"`` jumps ancestor pointers
+    (O(log depth) rounds over all rows); ``"auto"`` walks levels and switches
+    to doubling once the tree is deeper than ``switch_after`` levels.
     Assumes unique ids (rule V1); ``max_depth`` optionally stops early."""
+    if method == "doubling":
+        return _doubling(employees, id, parent, columns, max_depth, ordered)
     ensure_checkpoint_dir(employees.sparkSession)
     nodes = employees.select(id, *columns, parent)
     frontier = nodes.where(F.col(parent).isNull()).withColumn("level", F.lit(0)).checkpoint(eager=True)
     parts = [frontier]
     depth = 0
     while max_depth is None or depth < max_depth:
+        if method == "auto" and depth >= switch_after:
+            return _doubling(employees, id, parent, columns, max_depth, ordered)
         # Rename the frontier key: a self join on the same lineage could
         # otherwise inherit filters inferred from the root rows.
         keys = frontier.select(F.col(id).alias("_parent_key"))
@@ -56,6 +64,44 @@ def hierarchy(employees: DataFrame, id: str = "employee_id", parent: str = "mana
     return Hierarchy(levels, unreachable)
 
 
+def _doubling(employees: DataFrame, id: str, parent: str, columns: tuple[str, ...],
+              max_depth: int | None, ordered: bool) -> Hierarchy:
+    """Pointer jumping: every row keeps (ancestor, hops).  Each round replaces
+    the ancestor by the ancestor's ancestor and adds its hops, so a chain of
+    depth d resolves in ceil(log2 d) rounds.  A row whose ancestor becomes
+    NULL has reached its root; rows still pointing somewhere after
+    ceil(log2 n) + 1 rounds sit on or below a cycle (or under a missing
+    manager) and are unreachable.  The join key is the ancestor, so a hot
+    manager is the skewed side of a join AQE can split."""
+    spark = employees.sparkSession
+    ensure_checkpoint_dir(spark)
+    nodes = employees.select(id, *columns, parent)
+    state = nodes.select(F.col(id).alias("_id"), F.col(parent).alias("_anc"),
+                         F.when(F.col(parent).isNull(), F.lit(0)).otherwise(F.lit(1)).alias("_hops"))
+    state = state.checkpoint(eager=True)
+    n = state.count()
+    limit = max(1, n).bit_length() + 1
+    for _ in range(limit):
+        if state.where(F.col("_anc").isNotNull()).isEmpty():
+            break
+        jump = state.select(F.col("_id").alias("_j"), F.col("_anc").alias("_janc"), F.col("_hops").alias("_jhops"))
+        nxt = state.join(jump, state["_anc"] == jump["_j"], "left")
+        moved = F.col("_j").isNotNull()
+        state = nxt.select(
+            "_id",
+            F.when(moved, F.col("_janc")).otherwise(F.col("_anc")).alias("_anc"),
+            F.when(moved, F.col("_hops") + F.col("_jhops")).otherwise(F.col("_hops")).alias("_hops"),
+        ).checkpoint(eager=True)
+    done = state.where(F.col("_anc").isNull()).select(F.col("_id").alias(id), F.col("_hops").alias("level"))
+    if max_depth is not None:
+        done = done.where(F.col("level") <= max_depth)
+    levels = nodes.join(done, id, "inner").select(id, *columns, parent, "level")
+    unreachable = nodes.join(state.where(F.col("_anc").isNotNull()).select(F.col("_id").alias(id)), id, "left_semi")
+    if ordered:
+        levels = levels.orderBy("level", id)
+    return Hierarchy(levels, unreachable)
+
+
 def indent_lines(levels: DataFrame, id: str = "employee_id") -> DataFrame:
     """The printed line, two spaces per level."""
     line = F.concat(

@@ -54,3 +54,30 @@ def test_union_and_union_all(spark):
                               "order_id bigint, order_date date")
     got = rows(setops.order_status_list(o, dt.date(2001, 8, 1)), "order_id", "order_status")
     assert got == [(1, "Active"), (1, "Inactive"), (2, "Active"), (3, "Active")]
+
+
+def test_doubling_equals_levels_with_cycles_and_dangling(spark):
+    import random
+    rnd = random.Random(3)
+    data = []
+    for i in range(1, 600):
+        if i < 4:
+            mgr = None
+        elif i < 550:
+            mgr = rnd.randint(1, i - 1)          # forest, depth grows
+        elif i < 560:
+            mgr = i + 1 if i < 559 else 550       # a ten-node cycle
+        elif i < 580:
+            mgr = rnd.randint(550, i - 1)         # hanging below the cycle
+        else:
+            mgr = 10_000 + i                      # manager missing
+        data.append((i, f"e{i}", "r", mgr))
+    chain = [(1000 + k, f"c{k}", "r", None if k == 0 else 1000 + k - 1) for k in range(70)]  # deep chain
+    emp = spark.createDataFrame(data + chain, "employee_id bigint, name string, role string, manager_id bigint")
+    lv = hierarchy.hierarchy(emp, method="levels")
+    db = hierarchy.hierarchy(emp, method="doubling")
+    auto = hierarchy.hierarchy(emp, method="auto", switch_after=8)
+    assert rows(lv.levels) == rows(db.levels) == rows(auto.levels)
+    assert rows(lv.unreachable) == rows(db.unreachable) == rows(auto.unreachable)
+    assert len(rows(db.unreachable)) == 50   # 10 on the cycle, 20 below it, 20 under missing managers
+    assert max(r.level for r in db.levels.collect()) == 69
