@@ -161,17 +161,39 @@ def apply_defaults(df: DataFrame, table: str, as_of: dt.date | dt.datetime) -> D
 
 def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     """table_name, rule, column_name, violations: one count per declared rule
-    and table (zero counts included)."""
+    and table (zero counts included).
+
+    All row-local rules of a table are counted in ONE aggregation pass and
+    unpivoted; each key / UNIQUE rule is one partial aggregation and each
+    foreign key one anti join against the distinct parent keys."""
     frames = []
     for t, df in tables.items():
         if t not in RULES:
             continue
-        v = violations(df, t, tables)
-        counts = v.groupBy("table_name", "rule", "column_name").agg(
-            F.count(F.lit(1)).alias("violations"))
-        frames.append(_declared(df, t, tables).join(counts, ["table_name", "rule", "column_name"], "left")
-                      .select("table_name", "rule", "column_name",
-                              F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations")))
+        checks = row_checks(t, df.columns)
+        if checks:
+            sums = df.agg(*[F.sum(F.when(bad, 1).otherwise(0)).alias(f"_c{i}")
+                            for i, (_, _, bad) in enumerate(checks)])
+            cells = [F.struct(F.lit(t).alias("table_name"), F.lit(rule).alias("rule"),
+                              F.lit(col).alias("column_name"),
+                              F.coalesce(F.col(f"_c{i}"), F.lit(0)).cast("bigint").alias("violations"))
+                     for i, (rule, col, _) in enumerate(checks)]
+            frames.append(sums.select(F.explode(F.array(*cells)).alias("_r")).select("_r.*"))
+        r = RULES[t]
+        keyed = ([("primary_key_unique", list(r.primary_key))] if r.primary_key else []) + \
+                [("unique", [c]) for c in r.unique if c in df.columns]
+        for rule, cols in keyed:
+            frames.append(_duplicates(df, t, cols, rule).agg(F.count(F.lit(1)).alias("violations"))
+                          .select(F.lit(t).alias("table_name"), F.lit(rule).alias("rule"),
+                                  F.lit(",".join(cols)).alias("column_name"), "violations"))
+        for fk in foreign_keys_of(t):
+            if fk.parent in tables and fk.column in df.columns:
+                pkeys = tables[fk.parent].select(F.col(fk.parent_column).alias("_pk")).distinct()
+                orphans = df.where(F.col(fk.column).isNotNull()).join(
+                    pkeys, df[fk.column] == pkeys["_pk"], "left_anti")
+                frames.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
+                    F.lit(t).alias("table_name"), F.lit(f"foreign_key:{fk.parent}").alias("rule"),
+                    F.lit(fk.column).alias("column_name"), "violations"))
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -184,9 +206,3 @@ def declared_rules(table: str, columns: list[str], parents: set[str]) -> list[tu
     out += [(f"foreign_key:{fk.parent}", fk.column) for fk in foreign_keys_of(table)
             if fk.parent in parents and fk.column in columns]
     return out
-
-
-def _declared(df: DataFrame, table: str, tables: dict[str, DataFrame]) -> DataFrame:
-    rows = declared_rules(table, df.columns, set(tables))
-    return df.sparkSession.createDataFrame(
-        [(table, rule, col) for rule, col in rows], "table_name string, rule string, column_name string")
