@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,41 +42,41 @@ def admission_stream(lines: DataFrame, products: DataFrame, key: str = "product_
     sort_cols = [c for c in order if c in names and c != key]
 
     def fold(keys, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(sort_cols, kind="stable")
+        parts = list(batches)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        if len(pdf) > 1:
+            pdf = pdf.sort_values(sort_cols, kind="stable", ignore_index=True)
         if state.exists:
             (remaining,) = state.get
         else:
             first = pdf["_opening"].iloc[0]
             remaining = None if pd.isna(first) else int(first)
-        accepted, reasons = [], []
-        for kind, q, known in zip(pdf["kind"], pdf[qty], pdf["_known"]):
-            if kind == "topup":
-                if remaining is not None and not pd.isna(q):
+        kinds = pdf["kind"].to_numpy()
+        qs = pdf[qty].to_numpy(dtype="float64", na_value=np.nan)
+        known = pdf["_known"].notna().to_numpy()
+        accepted = np.zeros(len(pdf), dtype=bool)
+        reasons = np.full(len(pdf), None, dtype=object)
+        for i in range(len(pdf)):
+            q = qs[i]
+            if kinds[i] == "topup":
+                if remaining is not None and not np.isnan(q):
                     remaining += int(q)
-                accepted.append(True)
-                reasons.append(None)
-            elif pd.isna(known):
-                accepted.append(False)
-                reasons.append("unknown product")
-            elif pd.isna(q):
-                accepted.append(False)
-                reasons.append("quantity is null")
+                accepted[i] = True
+            elif not known[i]:
+                reasons[i] = "unknown product"
+            elif np.isnan(q):
+                reasons[i] = "quantity is null"
             elif q <= 0:
-                accepted.append(False)
-                reasons.append("quantity must be positive")
+                reasons[i] = "quantity must be positive"
             elif remaining is None or q <= remaining:
                 if remaining is not None:
                     remaining -= int(q)
-                accepted.append(True)
-                reasons.append(None)
+                accepted[i] = True
             else:
-                accepted.append(False)
-                reasons.append(SHORT)
+                reasons[i] = SHORT
         state.update((remaining,))
-        out = pdf[names].copy()
-        out["accepted"] = accepted
-        out["reason"] = reasons
-        yield out
+        out = pdf[names]
+        yield out.assign(accepted=accepted, reason=reasons)
 
     return joined.groupBy(key).applyInPandasWithState(
         fold, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)

@@ -53,3 +53,22 @@ def test_live_revenue_equals_batch(spark):
                .outputMode("complete"), f"{base}/ck")
     out = r3.with_dimension(spark.read.parquet(f"{base}/snap"), stores)
     assert rows(out) == [(1, "a", Decimal("5.00")), (2, "b", Decimal("1.00")), (3, "c", Decimal("0.00"))]
+
+
+def test_stream_topups_raise_remaining_stock(spark):
+    schema = "order_id bigint, line_no int, product_id bigint, arrival date, quantity int, kind string"
+    d = dt.date(2000, 1, 1)
+    first = spark.createDataFrame([(1, 1, 1, d, 8, "line"), (2, 1, 1, d + dt.timedelta(1), 5, "line"),
+                                   (3, 1, 7, d, 1, "line")], schema)
+    second = spark.createDataFrame([(4, 1, 1, d + dt.timedelta(2), 6, "topup"), (5, 1, 1, d + dt.timedelta(3), 5, "line"),
+                                    (6, 1, 1, d + dt.timedelta(4), None, "line"), (7, 1, 1, d + dt.timedelta(5), 0, "line")],
+                                   schema)
+    products = spark.createDataFrame([(1, 10)], "product_id bigint, stock int")
+    base = scratch_path(spark, "r1-topup")
+    run_slices(spark, [first, second], f"{base}/in",
+               lambda s: r1.admission_stream(s, products).writeStream.format("parquet")
+               .option("path", f"{base}/out").outputMode("append"), f"{base}/ck")
+    got = {r.order_id: (r.accepted, r.reason) for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == {1: (True, None), 2: (False, "not enough stock"), 3: (False, "unknown product"),
+                   4: (True, None), 5: (True, None), 6: (False, "quantity is null"),
+                   7: (False, "quantity must be positive")}
