@@ -344,3 +344,17 @@ def quality_report(spark, sf):
     """One violation count per declared rule (V1-V6) over every fixture table."""
     t = tables(spark, sf, *QUALITY_TABLES)
     return quality.quality_report(t)
+
+
+@register("M10", with_fixtures(f"""
+SELECT 'employee_audit' AS table_name,
+       (SELECT COUNT(*) FROM employees WHERE store_id = {AUDIT_STORE}) AS rows_before,
+       CAST(0 AS BIGINT) AS rows_after,
+       (SELECT COUNT(*) FROM employees WHERE store_id = {AUDIT_STORE}) AS rows_deleted,
+       CAST(0 AS BIGINT) AS rows_nulled""", "employees"))
+def m10(spark, sf):
+    """TRUNCATE of the audit table filled by M17: counts before and after."""
+    t = tables(spark, sf, "employees", "employee_audit")
+    ids = t["employees"].where(F.col("store_id") == AUDIT_STORE).select("employee_id")
+    audit = changes.delete_employees(t, ids, DELETED_AT).tables["employee_audit"]
+    return changes.change_counts({"employee_audit": audit}, {"employee_audit": changes.truncate(audit)})

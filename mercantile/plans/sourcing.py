@@ -119,3 +119,17 @@ def s10(spark, sf):
     t = tables(spark, sf, "products")
     path = table_ops.write_clustered(t["products"], scratch_path(spark, "products-by-name"), ["name"])
     return doubles(spark.read.parquet(path).where(F.col("name") == "small ring"), "price")
+
+
+@register("S5", with_fixtures("""
+SELECT s.supplier_id AS customer_id, CAST(2 AS BIGINT) AS rows
+FROM suppliers s JOIN customers c ON c.customer_id = s.supplier_id""", "suppliers", "customers"))
+def s5(spark, sf):
+    """Plain INSERT of supplier contacts keyed by supplier id: every key that
+    already exists is a duplicate, so the batch is refused; the report lists
+    the duplicate keys."""
+    t = tables(spark, sf, "customers", "suppliers")
+    batch = t["suppliers"].select(
+        F.col("supplier_id").alias("customer_id"), "name",
+        F.concat(F.lower("name"), F.lit("@supplier.example")).alias("email"), "phone", "city")
+    return table_ops.append(t["customers"], batch, "customer_id").duplicates

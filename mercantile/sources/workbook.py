@@ -244,6 +244,7 @@ class WorkbookWriter(DataSourceWriter):
         self.sheet = options.get("sheet", "Sheet1")
         self.header = schema.fieldNames()
         self.limit = int(options.get("max_rows", SHEET_ROW_LIMIT - 1))
+        self.write_id = options.get("write_id") or uuid.uuid4().hex[:12]
 
     def write(self, iterator) -> WriterCommitMessage:
         """Rows stream from the task's iterator into the open sheet; after
@@ -251,7 +252,9 @@ class WorkbookWriter(DataSourceWriter):
         from pyspark import TaskContext
         os.makedirs(self.folder, exist_ok=True)
         ctx = TaskContext.get()
-        tag = f"{ctx.partitionId() if ctx else 0:05d}-{uuid.uuid4().hex[:8]}"
+        # Deterministic per write call and partition: a retried or
+        # speculative attempt replaces the same files instead of adding more.
+        tag = f"{self.write_id}-{ctx.partitionId() if ctx else 0:05d}"
         files, part = [], 0
         rows = iter(iterator)
         while (first := next(rows, None)) is not None:
@@ -284,7 +287,8 @@ def register(spark: SparkSession) -> None:
 def write_workbooks(df: DataFrame, folder: str, sheet: str, max_rows: int | None = None) -> str:
     """One workbook per task (``df`` partitioning decides the files)."""
     register(df.sparkSession)
-    w = df.write.format("workbook").mode("append").option("sheet", sheet)
+    w = (df.write.format("workbook").mode("append").option("sheet", sheet)
+         .option("write_id", uuid.uuid4().hex[:12]))
     if max_rows:
         w = w.option("max_rows", str(max_rows))
     w.save(folder)

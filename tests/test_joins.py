@@ -68,3 +68,31 @@ def test_same_manager_peers_counts_pairs(spark):
     ours = joins.same_manager_peers(emp).select("employee_id", "peer_count")
     assert rows(ours) == rows(brute) == [(2, 2), (3, 2), (4, 2)]
     assert rows(joins.manager_pair_counts(emp)) == [(1, 3, 6)]
+
+
+def test_hot_customer_is_split_by_aqe(spark):
+    """One customer owns most orders: the right join keeps orders as the
+    streamed side, so AQE's skew split applies."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        customers = spark.range(0, 200).selectExpr("id AS customer_id", "concat('c', id) AS name")
+        orders = spark.range(0, 20000).selectExpr(
+            "id AS order_id", "CASE WHEN id % 10 < 8 THEN 7 ELSE id % 200 END AS customer_id",
+            "current_date() AS order_date", "CAST(1 AS DECIMAL(12,2)) AS total_amount")
+        out = joins.customer_orders_join(customers, orders, "right", ordered=False)
+        assert len(out.collect()) == 20000
+        final = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in final, final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
