@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import dense_keys
 from ..functions.scalar import scale
 from ..schemas import RULES, SCHEMAS, TABLE_ORDER, foreign_keys_of
+from ..session import ensure_checkpoint_dir
 
 # ---------------------------------------------------------------- updates
 
@@ -131,7 +132,10 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
     ``tables`` take part.  Key sets are distinct, so a hot parent key is one
     row on the build side."""
     pk = RULES[root].primary_key[0]
-    deleted: dict[str, DataFrame] = {root: _key_frame(keys)}
+    ensure_checkpoint_dir(keys.sparkSession)
+    # Every deleted-key set feeds several joins (children, SET NULL, NO
+    # ACTION, counts): materialise each once in the checkpoint folder.
+    deleted: dict[str, DataFrame] = {root: _key_frame(keys).checkpoint(eager=True)}
     new = dict(tables)
     for t in TABLE_ORDER:
         if t not in tables:
@@ -151,7 +155,7 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
         if t == root:
             df = df.join(deleted[root], df[pk] == deleted[root]["_dk"], "left_anti")
         if parts and t != root:
-            deleted[t] = reduce(DataFrame.union, parts).distinct()
+            deleted[t] = reduce(DataFrame.union, parts).distinct().checkpoint(eager=True)
         new[t] = df
     nulled: dict[str, DataFrame] = {}
     violations = []

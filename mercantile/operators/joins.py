@@ -107,12 +107,14 @@ def not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str | None = None)
     or broadcast by statistics), and the two special cases come from one
     scalar subquery (one row) instead of a cross join."""
     sub_key = sub_key or key
-    keys = sub.select(F.col(sub_key).alias("_nk"))
+    # One distinct pass over the subquery feeds both the flags and the anti
+    # join (the same exchange is reused, so the subquery is read once).
+    keys = sub.select(F.col(sub_key).alias("_nk")).distinct()
     flags = keys.select(F.struct(
         (F.count(F.lit(1)) > 0).alias("any_row"),
         F.coalesce(F.max(F.col("_nk").isNull()), F.lit(False)).alias("any_null"),
     ).alias("_f")).scalar()
-    distinct_keys = keys.where(F.col("_nk").isNotNull()).distinct()
+    distinct_keys = keys.where(F.col("_nk").isNotNull())
     kept = df.join(distinct_keys, df[key] == distinct_keys["_nk"], "left_anti")
     any_row, any_null = flags.getField("any_row"), flags.getField("any_null")
     return kept.where(~any_row | (~any_null & F.col(key).isNotNull()))
