@@ -2,7 +2,13 @@
 
 Each slice is written as its own Parquet folder under the stream's input
 folder and the query is driven until it has consumed it, so micro-batches
-follow the slice order exactly."""
+follow the slice order exactly.
+
+The number of state partitions of a stateful stream is fixed when its
+checkpoint is created.  It is taken from the cluster's default parallelism
+(one state partition per core) rather than from ``spark.sql.shuffle.partitions``,
+which is sized for batch shuffles; the session setting is restored right
+after the start (a running stream keeps its own copy of the conf)."""
 
 from __future__ import annotations
 
@@ -11,14 +17,24 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
+SHUFFLE = "spark.sql.shuffle.partitions"
+
 
 def run_slices(spark: SparkSession, slices: Sequence[DataFrame], input_dir: str,
-               start: Callable[[DataFrame], DataStreamWriter], checkpoint: str) -> None:
+               start: Callable[[DataFrame], DataStreamWriter], checkpoint: str,
+               state_partitions: int | None = None) -> None:
     schema = slices[0].schema
+    query = None
     for i, part in enumerate(slices):
         part.write.mode("overwrite").parquet(f"{input_dir}/s{i:05d}")
-        if i == 0:
+        if query is None:
             stream = spark.readStream.schema(schema).parquet(f"{input_dir}/s*")
-            query = start(stream).option("checkpointLocation", checkpoint).start()
+            writer = start(stream).option("checkpointLocation", checkpoint)
+            before = spark.conf.get(SHUFFLE)
+            spark.conf.set(SHUFFLE, str(state_partitions or spark.sparkContext.defaultParallelism))
+            try:
+                query = writer.start()
+            finally:
+                spark.conf.set(SHUFFLE, before)
         query.processAllAvailable()
     query.stop()
