@@ -89,14 +89,21 @@ class Upsert(NamedTuple):
     rejected: DataFrame
 
 
-def update_by_key(df: DataFrame, patch: DataFrame, key: str) -> Upsert:
+def update_by_key(df: DataFrame, patch: DataFrame, key: str, table: str | None = None) -> Upsert:
     """Full overwrite of the patch's columns for matching keys; unknown
     keys change nothing; a NULL in the patch is a value.  Patch rows whose
-    key occurs more than once are rejected (which one would win is unknown)."""
+    key occurs more than once are rejected (which one would win is unknown),
+    and with ``table`` so are rows whose new values break that table's
+    row rules (NOT NULL, CHECK, lengths)."""
+    from .quality import row_checks
     cols = [c for c in patch.columns if c != key]
     counted = patch.join(patch.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "inner")
-    rejected = counted.where(F.col("_n") > 1).drop("_n")
-    good = counted.where(F.col("_n") == 1).drop("_n")
+    bad = F.col("_n") > 1
+    if table is not None:
+        for _, _, failing in row_checks(table, cols):
+            bad = bad | failing
+    rejected = counted.where(bad).drop("_n")
+    good = counted.where(~bad).drop("_n")
     p = good.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_p_{c}") for c in cols])
     j = df.join(p, key, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))

@@ -28,7 +28,7 @@ def update_customer(customers: DataFrame, customer_id: int, name: str, email: st
     """sp_UpdateCustomer: full overwrite of one customer; unknown id is a no-op."""
     spark = customers.sparkSession
     patch = spark.createDataFrame([(customer_id, name, email, phone, city)], SCHEMAS["customers"])
-    return changes.update_by_key(customers, patch, "customer_id")
+    return changes.update_by_key(customers, patch, "customer_id", table="customers")
 
 
 def delete_customer(tables: dict[str, DataFrame], customer_id: int) -> changes.Refusal:

@@ -107,7 +107,7 @@ def s4(spark, sf):
     batch = (sup.withColumn("seq", F.lit(1))
              .unionByName(sup.withColumn("name", F.concat("name", F.lit(" (again)"))).withColumn("seq", F.lit(2)))
              .unionByName(t["customers"].where(F.col("city") == "NATION_5").withColumn("seq", F.lit(0))))
-    res = table_ops.append_new(t["customers"], batch, "customer_id", ["seq"])
+    res = table_ops.append_new(t["customers"], batch, "customer_id", ["seq"], unique=("email", "phone"))
     return res.added
 
 

@@ -16,22 +16,43 @@ from ..session import shuffle_partitions
 class Appended(NamedTuple):
     table: DataFrame
     added: DataFrame
+    conflicts: DataFrame | None = None
 
 
 def append_new(existing: DataFrame, batch: DataFrame, key: Sequence[str] | str,
-               order: Sequence[str]) -> Appended:
+               order: Sequence[str], unique: Sequence[str] = ()) -> Appended:
     """``INSERT ... ON CONFLICT (key) DO NOTHING``.
 
     An existing key wins; within the batch the first row in ``order`` wins.
     The in-batch choice is a partial aggregation (``min_by``), so a key
-    repeated in a third of the batch is reduced map-side, not in one task."""
+    repeated in a third of the batch is reduced map-side, not in one task.
+
+    Only the named key is tolerated: a clash on another ``unique`` column
+    (with the table or inside the rows to add) is an error that refuses the
+    whole statement; ``conflicts`` lists the clashing values."""
     key = [key] if isinstance(key, str) else list(key)
     cols = batch.columns
     first = (batch.groupBy(*key)
              .agg(F.min_by(F.struct(*cols), F.struct(*[F.col(c) for c in order])).alias("_row"))
              .select("_row.*"))
     added = first.join(existing.select(*key), key, "left_anti").select(*existing.columns)
-    return Appended(existing.unionByName(added), added)
+    if not unique:
+        return Appended(existing.unionByName(added), added)
+    spark = existing.sparkSession
+    clashes = []
+    for c in unique:
+        both = (added.select(F.col(c).alias("_v"), F.lit(1).alias("_new"))
+                .unionByName(existing.select(F.col(c).alias("_v"), F.lit(0).alias("_new"))))
+        clashes.append(both.where(F.col("_v").isNotNull()).groupBy("_v")
+                       .agg(F.count(F.lit(1)).alias("rows"), F.sum("_new").alias("_new"))
+                       .where((F.col("rows") > 1) & (F.col("_new") > 0))
+                       .select(F.lit(c).alias("column_name"), F.col("_v").cast("string").alias("value"), "rows"))
+    conflicts = clashes[0]
+    for extra in clashes[1:]:
+        conflicts = conflicts.unionByName(extra)
+    ok = conflicts.select(F.count(F.lit(1)) == 0).scalar()
+    kept = added.where(ok)
+    return Appended(existing.unionByName(kept), kept, conflicts)
 
 
 class Checked(NamedTuple):

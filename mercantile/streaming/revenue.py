@@ -34,3 +34,10 @@ def with_dimension(totals: DataFrame, stores: DataFrame) -> DataFrame:
             .join(totals, "store_id", "left")
             .select("store_id", "store_name",
                     F.coalesce(F.col("revenue"), F.lit(0).cast("decimal(22,2)")).alias("total_revenue")))
+
+
+def top_products(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """Q1's shape from the live totals (sold products only, best first)."""
+    return (totals.join(products.select("product_id", F.col("name").alias("product_name")), "product_id", "inner")
+            .select("product_id", "product_name", F.col("sold").alias("total_quantity_sold"))
+            .orderBy(F.desc("total_quantity_sold"), F.asc("product_id")))

@@ -149,3 +149,11 @@ def test_change_report(spark):
     b = spark.createDataFrame([(1, Decimal("1.00")), (2, None), (3, Decimal("3.00"))], "k int, price decimal(10,2)")
     a = spark.createDataFrame([(1, Decimal("1.10")), (2, None), (3, Decimal("3.00"))], "k int, price decimal(10,2)")
     assert rows(changes.change_report(b, a, "k", ["price"])) == [(1, Decimal("1.00"), Decimal("1.10"))]
+
+
+def test_update_by_key_rejects_rule_breaks(spark):
+    c = spark.createDataFrame([(1, "a", "a@x", "1", "x")], "customer_id bigint, name string, email string, "
+                                                             "phone string, city string")
+    patch = spark.createDataFrame([(1, None)], "customer_id bigint, name string")
+    res = changes.update_by_key(c, patch, "customer_id", table="customers")
+    assert rows(res.table) == rows(c) and res.rejected.count() == 1

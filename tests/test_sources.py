@@ -109,3 +109,15 @@ def test_snapshots(spark):
     assert snap.create_if_absent("stores", SCHEMAS["stores"]).count() == 1   # kept as is
     snap.view("stores", "live_stores")
     assert spark.sql("SELECT count(*) FROM live_stores").first()[0] == 1
+
+
+def test_append_new_other_unique_clash_refuses(spark):
+    existing = spark.createDataFrame([(1, "a@x")], "k bigint, email string")
+    ok = tables.append_new(existing, spark.createDataFrame([(2, "b@x", 0)], "k bigint, email string, seq int"),
+                           "k", ["seq"], unique=["email"])
+    assert rows(ok.table) == [(1, "a@x"), (2, "b@x")] and ok.conflicts.isEmpty()
+    bad = tables.append_new(existing, spark.createDataFrame([(2, "a@x", 0), (3, "c@x", 1)],
+                                                            "k bigint, email string, seq int"),
+                            "k", ["seq"], unique=["email"])
+    assert rows(bad.table) == [(1, "a@x")]
+    assert rows(bad.conflicts) == [("email", "a@x", 2)]
