@@ -19,11 +19,14 @@ def as_date(value: dt.date | str) -> dt.date:
     return value if isinstance(value, dt.date) else dt.date.fromisoformat(value)
 
 
-def years_before(as_of: dt.date | str, years: int) -> Column:
-    """``as_of - INTERVAL 'n years'`` as a foldable date literal (Feb 29 -> Feb 28).
-
-    Kept literal so the comparison reaches the Parquet scan as a pushed filter."""
-    return F.add_months(F.lit(as_date(as_of)), -12 * years)
+def years_before(as_of: dt.date | str | None, years: int) -> Column:
+    """``as_of - INTERVAL 'n years'`` as a foldable date (Feb 29 -> Feb 28).
+
+    ``as_of`` defaults to the query's current date (``CURRENT_DATE``); pass it
+    for repeatable results.  Either way it folds to a literal, so the
+    comparison reaches the Parquet scan as a pushed filter."""
+    base = F.current_date() if as_of is None else F.lit(as_date(as_of))
+    return F.add_months(base, -12 * years)
 
 
 def month_range(year: int, month: int) -> tuple[dt.date, dt.date]:

@@ -32,10 +32,12 @@ def hierarchy(employees: DataFrame, id: str = "employee_id", parent: str = "mana
               ordered: bool = True, method: str = "auto", switch_after: int = 32) -> Hierarchy:
     """Q3: (id, *columns, parent, level); roots have a NULL parent and level 0.
 
-    ``method``: ``"levels"`` walks level by level (work proportional to the
-    rows, one job per level); ``"doubling"`` jumps ancestor pointers
-    (O(log depth) rounds over all rows); ``"auto"`` walks levels and switches
-    to doubling once the tree is deeper than ``switch_after`` levels.
+    ``method``: ``"levels"`` walks level by level (one join of the node table
+    with the previous level's keys per level, so depth x one scan of the
+    nodes); ``"doubling"`` jumps ancestor pointers (ceil(log2 depth) rounds
+    over all rows); ``"auto"`` walks levels and switches to doubling once the
+    tree is deeper than ``switch_after`` levels, which bounds the scans at
+    ``switch_after + log2(n)``.
     Assumes unique ids (rule V1); ``max_depth`` optionally stops early."""
     if method == "doubling":
         return _doubling(employees, id, parent, columns, max_depth, ordered)

@@ -115,7 +115,7 @@ def sales_report_item_price(stores: DataFrame, orders: DataFrame, order_items: D
             .orderBy(F.desc("monthly_revenue"), F.asc("store_name")))
 
 
-def inactive_customers(customers: DataFrame, orders: DataFrame, as_of, years: int = 2) -> DataFrame:
+def inactive_customers(customers: DataFrame, orders: DataFrame, as_of=None, years: int = 2) -> DataFrame:
     """Q12: customers with no order in the ``years`` up to ``as_of``, with the
     NULL rules of ``NOT IN`` (see :func:`mercantile.operators.joins.not_in`)."""
     from ..functions.scalar import years_before

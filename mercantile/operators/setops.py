@@ -19,7 +19,7 @@ def people_list(customers: DataFrame, employees: DataFrame) -> DataFrame:
             .distinct())
 
 
-def order_status_list(orders: DataFrame, as_of: dt.date | str, years: int = 1) -> DataFrame:
+def order_status_list(orders: DataFrame, as_of: dt.date | str | None = None, years: int = 1) -> DataFrame:
     """Q11: every order as 'Active', and orders placed before ``as_of - years``
     once more as 'Inactive' (UNION ALL, so old orders occur twice).
 

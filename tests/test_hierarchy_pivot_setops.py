@@ -81,3 +81,13 @@ def test_doubling_equals_levels_with_cycles_and_dangling(spark):
     assert rows(lv.unreachable) == rows(db.unreachable) == rows(auto.unreachable)
     assert len(rows(db.unreachable)) == 50   # 10 on the cycle, 20 below it, 20 under missing managers
     assert max(r.level for r in db.levels.collect()) == 69
+
+
+def test_years_before_leap_day_and_default(spark):
+    from pyspark.sql import functions as F
+    from mercantile.functions.scalar import month_number, years_before
+    r = spark.range(1).select(years_before(dt.date(2004, 2, 29), 1).alias("a"),
+                              years_before(None, 1).alias("b"),
+                              F.add_months(F.current_date(), -12).alias("c")).first()
+    assert r.a == dt.date(2003, 2, 28) and r.b == r.c
+    assert month_number("jan") == 1 and month_number("DEC") == 12
