@@ -46,6 +46,25 @@ def stream_admission(spark, sf):
                      "arrival")
 
 
+@register("R1_batch", with_fixtures("""
+SELECT r.order_id, r.line_no, r.product_id, r.quantity,
+       strftime(r.arrival, '%Y-%m-%d') AS arrival, f.accepted
+FROM ranked r JOIN fold f ON r.product_id = f.product_id AND r.rn = f.rn""",
+                                    "order_items", "products", extra=RANKED_CTE, recursive=GREEDY_CTE))
+def stream_admission_batches(spark, sf):
+    """R1 with the distributed batch operator per micro-batch (foreachBatch),
+    stock carried between micro-batches as a snapshot."""
+    t = tables(spark, sf, "order_items", "products")
+    base = scratch_path(spark, "r1b")
+    out, state = f"{base}/out", f"{base}/stock"
+    run_slices(spark, _by_year(t["order_items"], "arrival"), f"{base}/in",
+               lambda s: s.writeStream.foreachBatch(r1.admission_sink(t["products"], state, out)),
+               f"{base}/checkpoint")
+    back = spark.read.parquet(out)
+    return iso_dates(back.select("order_id", "line_no", "product_id", "quantity", "arrival", "accepted"),
+                     "arrival")
+
+
 @register("R2", with_fixtures(f"""
 SELECT ROW_NUMBER() OVER (ORDER BY CASE WHEN role IN {R2_FIRST_ROLES} THEN 1 ELSE 2 END, employee_id)
          AS audit_id,

@@ -72,3 +72,23 @@ def test_stream_topups_raise_remaining_stock(spark):
     assert got == {1: (True, None), 2: (False, "not enough stock"), 3: (False, "unknown product"),
                    4: (True, None), 5: (True, None), 6: (False, "quantity is null"),
                    7: (False, "quantity must be positive")}
+
+
+def test_foreach_batch_admission_with_hot_product(spark):
+    from test_keys_admission import _items
+    _, _, items, products = _items(spark, n=1500, seed=11)
+    valid = items.where("quantity IS NOT NULL")
+    slices = [valid.where(F.col("arrival") < d) if i == 0 else
+              valid.where((F.col("arrival") >= prev) & (F.col("arrival") < d))
+              for i, (prev, d) in enumerate([(None, dt.date(2000, 6, 1)), (dt.date(2000, 6, 1), dt.date(2000, 12, 1)),
+                                             (dt.date(2000, 12, 1), dt.date(2002, 1, 1))])]
+    base = scratch_path(spark, "r1b-test")
+    run_slices(spark, slices, f"{base}/in",
+               lambda s: s.writeStream.foreachBatch(
+                   r1.admission_sink(products, f"{base}/stock", f"{base}/out", fold_below=0)),
+               f"{base}/ck")
+    got = {(r.order_id, r.line_no): r.accepted for r in spark.read.parquet(f"{base}/out").collect()}
+    batch = admission.admit(valid, products, mode="greedy")
+    want = {(r.order_id, r.line_no): True for r in batch.accepted.collect()}
+    want.update({(r.order_id, r.line_no): False for r in batch.refused.collect()})
+    assert got == want
