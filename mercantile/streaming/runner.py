@@ -1,8 +1,12 @@
 """Feeding file streams in a fixed order (tests and the named stream queries).
 
-Each slice is written as its own Parquet folder under the stream's input
-folder and the query is driven until it has consumed it, so micro-batches
-follow the slice order exactly.
+Each slice is written completely as its own Parquet folder under the
+stream's input folder, and only then is the query run with an
+``availableNow`` trigger on the same checkpoint: it consumes everything that
+is there and stops.  No micro-batch can see a half-committed slice (a Parquet
+commit moves files into place one by one, and a continuously polling stream
+could pick up part of a slice), so micro-batches follow the slice order
+exactly.  State and offsets carry over between runs through the checkpoint.
 
 The number of state partitions of a stateful stream is fixed when its
 checkpoint is created.  It is taken from the cluster's default parallelism
@@ -24,17 +28,14 @@ def run_slices(spark: SparkSession, slices: Sequence[DataFrame], input_dir: str,
                start: Callable[[DataFrame], DataStreamWriter], checkpoint: str,
                state_partitions: int | None = None) -> None:
     schema = slices[0].schema
-    query = None
     for i, part in enumerate(slices):
         part.write.mode("overwrite").parquet(f"{input_dir}/s{i:05d}")
-        if query is None:
-            stream = spark.readStream.schema(schema).parquet(f"{input_dir}/s*")
-            writer = start(stream).option("checkpointLocation", checkpoint)
-            before = spark.conf.get(SHUFFLE)
-            spark.conf.set(SHUFFLE, str(state_partitions or spark.sparkContext.defaultParallelism))
-            try:
-                query = writer.start()
-            finally:
-                spark.conf.set(SHUFFLE, before)
-        query.processAllAvailable()
-    query.stop()
+        stream = spark.readStream.schema(schema).parquet(f"{input_dir}/s*")
+        writer = start(stream).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        before = spark.conf.get(SHUFFLE)
+        spark.conf.set(SHUFFLE, str(state_partitions or spark.sparkContext.defaultParallelism))
+        try:
+            query = writer.start()
+        finally:
+            spark.conf.set(SHUFFLE, before)
+        query.awaitTermination()
