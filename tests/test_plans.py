@@ -61,3 +61,10 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(sdf.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
+
+
+def test_cli_list(capsys):
+    from mercantile.__main__ import main
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out
+    assert "Q17" in out and "M16_greedy" in out
