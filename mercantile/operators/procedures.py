@@ -9,7 +9,6 @@ table functions so SQL users can call them; Spark cannot parse
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..schemas import SCHEMAS
 from . import admission, changes, reports

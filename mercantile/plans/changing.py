@@ -322,8 +322,6 @@ def _rule_sql(table: str, rule: str, col: str) -> str:
 
 
 def _quality_sql() -> str:
-    from .. import fixtures
-    from ..schemas import SCHEMAS
     rows = []
     for t in QUALITY_TABLES:
         cols = fixtures_columns(t)

@@ -11,7 +11,6 @@ from ..session import scratch_path
 from ..sources import export, ingest, tables as table_ops, workbook
 from .catalog import doubles, iso_dates, register, tables
 from .oracle import with_fixtures
-from .reporting import q2 as _q2_plan  # noqa: F401  (same SQL twins below)
 
 ORDER_COLS = ["order_id", "customer_id", "store_id", "order_date", "total_amount", "order_status"]
 ORDERS_SQL = with_fixtures("""
