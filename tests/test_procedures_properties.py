@@ -61,3 +61,37 @@ def test_greedy_properties(spark, lines, stock):
     assert new_stock == left and min(new_stock.values()) >= 0
     if admission.admit(items, products, mode="atomic").refused.isEmpty():
         assert all(want.values())
+
+
+keys = st.lists(st.one_of(st.none(), st.integers(0, 6)), max_size=8)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(left=keys, right=keys)
+def test_not_in_matches_sql(spark, left, right):
+    from mercantile.operators.joins import not_in
+    l_df = spark.createDataFrame([(k,) for k in left], "k int")
+    r_df = spark.createDataFrame([(k,) for k in right], "k int")
+    l_df.createOrReplaceTempView("prop_l")
+    r_df.createOrReplaceTempView("prop_r")
+    ref = spark.sql("SELECT k FROM prop_l WHERE k NOT IN (SELECT k FROM prop_r)")
+    assert rows(not_in(l_df, "k", r_df)) == rows(ref)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(orders=st.lists(st.tuples(st.integers(0, 5), st.one_of(st.none(), st.integers(0, 5))), max_size=12),
+       items=st.lists(st.one_of(st.none(), st.integers(0, 12)), max_size=15),
+       gone=st.lists(st.integers(0, 5), max_size=4))
+def test_cascade_leaves_no_orphans_property(spark, orders, items, gone):
+    from mercantile.operators.changes import delete_rows
+    customers = spark.createDataFrame([(i, f"c{i}") for i in range(6)], "customer_id bigint, name string")
+    o = spark.createDataFrame([(i, c) for i, (_, c) in enumerate(orders)], "order_id bigint, customer_id bigint")
+    it = spark.createDataFrame([(j, k) for j, k in enumerate(items)], "line bigint, order_id bigint")
+    res = delete_rows({"customers": customers, "orders": o, "order_items": it}, "customers",
+                      spark.createDataFrame([(g,) for g in gone], "customer_id bigint"))
+    out = res.tables
+    gone_set = set(gone)
+    kept_orders = {i for i, (_, c) in enumerate(orders) if c is None or c not in gone_set}
+    assert {r.order_id for r in out["orders"].collect()} == kept_orders
+    assert sorted((r.line for r in out["order_items"].collect())) == sorted(
+        j for j, k in enumerate(items) if k is None or k >= len(orders) or k in kept_orders)
