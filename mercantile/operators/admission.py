@@ -155,3 +155,112 @@ def _fold(cand: DataFrame, key: str, qty: str, within: list[str]) -> DataFrame:
                     left -= qs[i]
             yield pdf.assign(_ok=pd.Series(ok, index=pdf.index))
     return x.mapInPandas(run, schema).drop("_r")
+
+
+class LoadAdmission(NamedTuple):
+    loads: DataFrame        # load id, accepted flag, reason
+    accepted: DataFrame     # lines of accepted loads
+    refused: DataFrame      # lines of refused loads, with the load's reason
+    products: DataFrame     # stock after the accepted loads
+
+
+def admit_loads(items: DataFrame, products: DataFrame, load: str, load_order: tuple[str, ...] | None = None,
+                key: str = "product_id", qty: str = "quantity", max_rounds: int = 64,
+                fold_below: int = 1_000_000) -> LoadAdmission:
+    """M16 on the ingest path: every load (one workbook or file) is one
+    transaction, applied in ``load_order`` (default: the load id).  A load is
+    accepted only if none of its lines is bad and, for every product, its
+    total quantity fits the stock left by the loads accepted before it.
+
+    Loads couple products, so the rounds work on (load, product, demand)
+    rows: the running demand per product over loads in order
+    (:func:`running_total`, range-partitioned) finds the first load that
+    overflows any product; every load before it is accepted, it is refused,
+    and later loads with a product demand above the stock now left can never
+    fit and are refused too.  When at most ``fold_below`` demand rows remain
+    (or after ``max_rounds``), a sequential fold over the remaining loads in
+    order finishes exactly (one task, state = the products of those rows)."""
+    ensure_checkpoint_dir(items.sparkSession)
+    spark = items.sparkSession
+    order_cols = list(load_order or (load,))
+    # One position per load (its smallest order key, then the load id).
+    position = items.groupBy(load).agg(
+        F.min(F.struct(*[F.col(c) for c in order_cols], F.col(load))).alias("_lo"))
+    good, bad = _screen(items, products, key, qty)
+    bad_loads = bad.groupBy(load).agg(F.min("reason").alias("reason"))
+    demand = (good.join(bad_loads.select(load), load, "left_anti")
+              .groupBy(load, key).agg(F.sum(qty).cast("bigint").alias("_d"))
+              .join(position, load, "inner"))
+    stock = products.select(key, F.col("stock").cast("long").alias("_r"))
+    cand = demand.join(stock, key, "inner").checkpoint(eager=True)
+    ok_parts: list[DataFrame] = []
+    no_parts = [bad_loads.select(load, F.lit(False).alias("accepted"), "reason")]
+    rounds, left = 0, cand.count()
+    while left > fold_below and rounds < max_rounds:
+        rounds += 1
+        rt = running_total(cand, [key], ["_lo"], "_d", "_cum").checkpoint(eager=True)
+        over = rt.where(F.col("_r").isNotNull() & (F.col("_cum") > F.col("_r")))
+        if over.isEmpty():
+            ok_parts.append(rt.select(load).distinct())
+            left = 0
+            break
+        first = over.agg(F.min("_lo")).scalar()
+        before = rt.where(F.col("_lo") < first)
+        ok_parts.append(before.select(load).distinct())
+        no_parts.append(rt.where(F.col("_lo") == first).select(load).distinct()
+                        .select(load, F.lit(False).alias("accepted"), F.lit(SHORT).alias("reason")))
+        used = before.groupBy(key).agg(F.sum("_d").alias("_used"))
+        rest = (rt.where(F.col("_lo") > first).drop("_cum").join(used, key, "left")
+                .withColumn("_r", F.col("_r") - F.coalesce(F.col("_used"), F.lit(0))).drop("_used"))
+        # Stock never rises: a later load needing more than what is left now is refused.
+        doomed = rest.where(F.col("_r").isNotNull() & (F.col("_d") > F.col("_r"))).select(load).distinct()
+        no_parts.append(doomed.select(load, F.lit(False).alias("accepted"), F.lit(SHORT).alias("reason")))
+        cand = rest.join(doomed, load, "left_anti").checkpoint(eager=True)
+        left = cand.count()
+    if left:
+        folded = _fold_loads(cand, load, key).checkpoint(eager=True)
+        ok_parts.append(folded.where(F.col("accepted")).select(load))
+        no_parts.append(folded.where(~F.col("accepted")).select(load, "accepted", F.lit(SHORT).alias("reason")))
+    ok = (reduce(DataFrame.unionByName, ok_parts) if ok_parts
+          else spark.createDataFrame([], T.StructType([items.schema[load]])))
+    verdict = (ok.select(load, F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("reason"))
+               .unionByName(reduce(DataFrame.unionByName, no_parts)))
+    accepted = items.join(ok, load, "left_semi")
+    refused = (items.join(verdict.where(~F.col("accepted")).select(load, "reason"), load, "inner")
+               .select(*items.columns, "reason"))
+    return LoadAdmission(verdict, accepted, refused, _new_stock(products, accepted, key, qty))
+
+
+def _fold_loads(cand: DataFrame, load: str, key: str) -> DataFrame:
+    """Sequential pass over the remaining loads in order (one task; the
+    caller bounds the rows).  State: remaining stock of the products seen."""
+    x = cand.repartition(1).sortWithinPartitions("_lo", key)
+    schema = T.StructType([x.schema[load], T.StructField("accepted", T.BooleanType())])
+
+    def run(batches):
+        left: dict = {}
+        current, rows = None, []
+        out_ids, out_ok = [], []
+
+        def settle(rows):
+            fits = all(r is None or d <= left.get(p, r) for p, d, r in rows)
+            if fits:
+                for p, d, r in rows:
+                    if r is not None:
+                        left[p] = left.get(p, r) - d
+            return fits
+
+        for pdf in batches:
+            for lid, p, d, r in zip(pdf[load], pdf[key], pdf["_d"], pdf["_r"]):
+                r = None if pd.isna(r) else int(r)
+                if current is not None and lid != current:
+                    out_ids.append(current)
+                    out_ok.append(settle(rows))
+                    rows = []
+                current = lid
+                rows.append((p, int(d), r))
+        if current is not None:
+            out_ids.append(current)
+            out_ok.append(settle(rows))
+        yield pd.DataFrame({load: out_ids, "accepted": out_ok})
+    return x.mapInPandas(run, schema)

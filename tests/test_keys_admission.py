@@ -83,3 +83,47 @@ def test_atomic_all_or_nothing(spark):
     # atomic acceptance implies greedy accepts every line
     g = admission.admit(small, products.withColumn("stock", F.lit(10**6)), mode="greedy")
     assert g.refused.isEmpty()
+
+
+def _brute_loads(lines, stock):
+    """Loads in order; a load passes only if all lines are valid and every
+    product's load total fits what is left."""
+    left = dict(stock)
+    verdict = {}
+    for lid in sorted({ln[0] for ln in lines}):
+        rows = [ln for ln in lines if ln[0] == lid]
+        if any(q is None or q <= 0 or p not in left for _, p, q in rows):
+            verdict[lid] = False
+            continue
+        need = {}
+        for _, p, q in rows:
+            need[p] = need.get(p, 0) + q
+        if all(left[p] is None or d <= left[p] for p, d in need.items()):
+            for p, d in need.items():
+                if left[p] is not None:
+                    left[p] -= d
+            verdict[lid] = True
+        else:
+            verdict[lid] = False
+    return verdict, left
+
+
+def test_admit_loads_matches_bruteforce(spark):
+    rnd = random.Random(5)
+    lines = []
+    for lid in range(60):
+        for _ in range(rnd.randint(1, 6)):
+            pid = 1 if rnd.random() < 0.5 else rnd.randint(2, 8)       # product 1 is hot
+            lines.append((lid, pid, rnd.choice([1, 2, 3, 5, 8])))
+    lines += [(60, 2, None), (61, 99, 1), (62, 3, 0)]
+    stock = {1: 60, 2: 20, 3: 15, 4: 9, 5: 0, 6: 30, 7: None, 8: 12}
+    items = spark.createDataFrame([(lid, i, p, q) for i, (lid, p, q) in enumerate(lines)],
+                                  "load bigint, line bigint, product_id bigint, quantity int")
+    products = spark.createDataFrame(list(stock.items()), "product_id bigint, stock int")
+    want, left = _brute_loads(lines, stock)
+    for kwargs in ({"fold_below": 0}, {"fold_below": 0, "max_rounds": 2}, {}):
+        res = admission.admit_loads(items, products, "load", **kwargs)
+        got = {r.load: r.accepted for r in res.loads.collect()}
+        assert got == want, kwargs
+        assert dict(rows(res.products)) == left
+        assert res.accepted.count() + res.refused.count() == len(lines)

@@ -20,10 +20,13 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+ROWS_ONLY = {"M16_loads"}      # checked against a brute-force fold in test_keys_admission
+
+
 def test_every_query_has_a_callable_and_most_an_oracle():
     qs, sql = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(sql) <= set(qs)
-    assert len(qs) >= 63 and len(sql) == len(qs)
+    assert len(qs) >= 64 and set(qs) - set(sql) == ROWS_ONLY
 
 
 @pytest.mark.parametrize("name", SQL_ONLY)
