@@ -46,9 +46,11 @@ class Ingested(NamedTuple):
 
 
 def ingest(spark: SparkSession, path: str, table: str, fmt: str = "csv",
-           parents: dict[str, DataFrame] | None = None, existing: DataFrame | None = None) -> Ingested:
+           parents: dict[str, DataFrame] | None = None, existing: DataFrame | None = None,
+           keep_source: bool = False) -> Ingested:
     """Read a folder of CSV files or workbooks into ``table``'s schema,
-    check its rules, and keep only files without a single bad row."""
+    check its rules, and keep only files without a single bad row
+    (``keep_source`` keeps the ``_file`` column on the accepted rows)."""
     schema = SCHEMAS[table]
     fmt = fmt.lower()
     if fmt == "csv":
@@ -68,4 +70,17 @@ def ingest(spark: SparkSession, path: str, table: str, fmt: str = "csv",
     held = checked.good.join(bad_files.select("_file"), "_file", "left_semi").withColumn(
         "reason", F.lit("file has bad rows"))
     quarantine = bad_rows.unionByName(held.select(*bad_rows.columns))
-    return Ingested(accepted.select(*schema.fieldNames()), quarantine, bad_files)
+    keep = [*schema.fieldNames(), "_file"] if keep_source else schema.fieldNames()
+    return Ingested(accepted.select(*keep), quarantine, bad_files)
+
+
+def load_order_lines(spark: SparkSession, path: str, products: DataFrame, fmt: str = "xlsx",
+                     parents: dict[str, DataFrame] | None = None):
+    """The ingest-with-trigger path (E2): every file of order lines is one
+    transaction.  Files with a bad row are quarantined by :func:`ingest`; the
+    rest are admitted file by file in path order against product stock
+    (:func:`mercantile.operators.admission.admit_loads`).  Returns
+    (ingested, admission)."""
+    from ..operators.admission import admit_loads
+    got = ingest(spark, path, "order_items", fmt, parents, keep_source=True)
+    return got, admit_loads(got.accepted, products, "_file")
