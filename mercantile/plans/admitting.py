@@ -91,7 +91,7 @@ def m16_greedy_stock(spark, sf):
     return _greedy(spark, sf).products.select("product_id", "stock")
 
 
-LOADS_CTE = """lines AS (SELECT strftime(arrival, '%Y-%m') AS load, product_id, quantity FROM order_items),
+LOADS_CTE = """lines AS (SELECT strftime(arrival, '%Y-%m-%d') AS load, product_id, quantity FROM order_items),
 loads AS (SELECT load, ROW_NUMBER() OVER (ORDER BY load) AS rn FROM (SELECT DISTINCT load FROM lines)),
 demand AS (SELECT l.rn, x.product_id, SUM(x.quantity) AS d
            FROM lines x JOIN loads l ON x.load = l.load GROUP BY l.rn, x.product_id)"""
@@ -113,9 +113,9 @@ SELECT l.load, v.accepted, CASE WHEN v.accepted THEN NULL ELSE 'not enough stock
 FROM loads l JOIN (SELECT DISTINCT k, accepted FROM state WHERE k > 0) v ON v.k = l.rn""",
                                      "order_items", "products", extra=LOADS_CTE, recursive=LOADS_STEPS))
 def m16_loads(spark, sf):
-    """The ingest path of the stock trigger: each month's order lines are one
-    load (one workbook, one transaction), applied month by month; a load is
-    refused whole when a product falls short."""
+    """The ingest path of the stock trigger: each day's shipped order lines
+    are one load (one workbook, one transaction), applied day by day; a load
+    is refused whole when a product falls short."""
     t = tables(spark, sf, "order_items", "products")
-    lines = t["order_items"].withColumn("load", F.date_format("arrival", "yyyy-MM"))
+    lines = t["order_items"].withColumn("load", F.date_format("arrival", "yyyy-MM-dd"))
     return admission.admit_loads(lines, t["products"], "load").loads
