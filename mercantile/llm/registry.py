@@ -2,5 +2,6 @@
 
 from __future__ import annotations
 
-from . import line_dedup, mixing, secret_ledger, sharding  # noqa: F401
+from . import (embedding_dedup, line_dedup, mixing, ngram_join, packing, secret_ledger,  # noqa: F401
+               sharding, token_counts, topk)
 from .common import ORACLES, QUERIES  # noqa: F401
