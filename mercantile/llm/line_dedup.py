@@ -10,6 +10,7 @@ the driver but their paths.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,7 +92,8 @@ def line_rows(docs: DataFrame, min_chars: int, id_col: str, text_col: str) -> Da
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4,
-                id_col: str = "doc_id", text_col: str = "text", fanout: int = 2) -> DataFrame:
+                id_col: str = "doc_id", text_col: str = "text", fanout: int = 2,
+                carry: Sequence[str] = ()) -> DataFrame:
     """Drop every line of at least ``min_chars`` code points (white space
     stripped, A-Z lower-cased) found in ``min_docs`` or more documents, except
     in the largest id holding it.
@@ -100,9 +102,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     and empty text are one empty line and stay empty; NULL ids form one
     document below all others; rows sharing an id are one document when lines
     are counted, and repeated rows are treated alike; lines repeated inside the
-    holder stay.  Other columns are ignored."""
+    holder stay.  The columns named in ``carry`` come back as the fields of a
+    struct, so no name clashes; others are ignored."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    carried = [F.struct(*carry).alias("carried")] if carry else []
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *carried)
     bounds = docs.agg(F.min(id_or_lowest("doc_id")), F.max(id_or_lowest("doc_id")),
                       F.min("doc_id")).first()
     low, high = (bounds[2] if bounds[2] is not None else 0), bounds[1] or 0
@@ -124,7 +128,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
         F.filter(parts, lambda v, i: ~F.array_contains("drops", i)), "\n"))
     return marked.select("doc_id", F.size(parts).cast("long").alias("n_lines"),
                          F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
-                         kept.alias("kept_text"))
+                         kept.alias("kept_text"), *["carried"] * bool(carry))
 
 
 OP4_SQL = r"""

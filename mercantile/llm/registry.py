@@ -3,5 +3,5 @@
 from __future__ import annotations
 
 from . import (embedding_dedup, line_dedup, mixing, ngram_join, packing, secret_ledger,  # noqa: F401
-               sharding, token_counts, topk)
+               sharding, token_counts, topk, toxicity)
 from .common import ORACLES, QUERIES  # noqa: F401

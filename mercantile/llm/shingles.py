@@ -32,11 +32,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-_LETTER = mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93))
-_LETTER[65:91] = _LETTER[97:123]
+LETTER = mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93))
+LETTER[65:91] = LETTER[97:123]
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i < n, kept for the worker's life."""
     if not _powers or len(_powers["p"]) < n:
         n = max(n, CHUNK + 4096)
@@ -47,43 +47,48 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["p"], _powers["i"]
 
 
-def _chunk_words(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the words of a piece that no word crosses."""
-    solid = ~_SPACE[data]
+def _chunk_words(data: np.ndarray, first: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Starts, ends and hashes of the words of a piece that no word crosses."""
+    solid = ~gap[data]
     start = solid.copy()
     start[1:] &= ~solid[:-1] | first[1:]
     stop = solid.copy()
     stop[:-1] &= ~solid[1:] | first[1:]
     s, e = np.flatnonzero(start), np.flatnonzero(stop) + 1
-    power, inverse = _power(len(data) + 1)
+    power, inverse = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, U)
-    np.cumsum(_LETTER[data] * power[:len(data)], out=sums[1:])
-    return s, mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(U))
+    np.cumsum(LETTER[data] * power[:len(data)], out=sums[1:])
+    return s, e, mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(U))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, words per document) of concatenated UTF-8 texts;
-    ``offsets`` start at 0.  Long input is cut where no word is."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, ...]:
+    """(start, end and hash of every word, words per document) of concatenated
+    UTF-8 texts; ``offsets`` start at 0, ``gap`` tells the bytes between words.
+    Long input is cut where no word is."""
     n = len(data)
     first = np.zeros(n, bool)
     inner = offsets[:-1]
     first[inner[inner < n]] = True
-    starts, hashes, at = [], [], 0
+    parts, at = [], 0
     while at < n:
         to = min(n, at + CHUNK)
         while to < n:
-            free = np.flatnonzero(_SPACE[data[to:to + CHUNK]] | first[to:to + CHUNK])
+            free = np.flatnonzero(gap[data[to:to + CHUNK]] | first[to:to + CHUNK])
             if len(free):
                 to += int(free[0])
                 break
             to = min(n, to + CHUNK)
-        s, h = _chunk_words(data[at:to], first[at:to])
-        starts.append(s + at)
-        hashes.append(h)
+        s, e, h = _chunk_words(data[at:to], first[at:to], gap)
+        parts.append((s + at, e + at, h))
         at = to
-    s = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    h = np.concatenate(hashes) if hashes else np.zeros(0, U)
-    return h, np.diff(np.searchsorted(s, offsets))
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U))
+    s, e, h = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else none
+    return s, e, h, np.diff(np.searchsorted(s, offsets))
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, words per document)."""
+    return word_spans(data, offsets)[2:]
 
 
 def sequence_hash(words: np.ndarray, width: int) -> np.ndarray:
