@@ -32,6 +32,10 @@ GRAMS = (3, 4, 5)
 #: characters, and the most windows of one that a step looks at.
 FIT_DOCS, FIT_CHARS, FIT_WINDOWS = 3000, 12_000, 24
 EPOCHS, BATCH = 6, 48
+MIN_STEPS = 500  # few documents are seen more often
+#: Words and n-grams of fewer fitted documents stay neutral, and training
+#: leaves out this share of the inputs at random.
+MIN_DOCS, DROP = 3, 0.3
 SCORE_BYTES = 4 << 20
 
 # Words are runs of ASCII letters, digits and non-ASCII bytes.
@@ -215,6 +219,18 @@ def _subset(words: Words, used: np.ndarray) -> tuple[Words, np.ndarray]:
     return Words(words.word[used], words.gram[at], begin, words.text, words.counts), size
 
 
+def _known(words: Words) -> dict[str, np.ndarray]:
+    """Which input rows occur in at least ``MIN_DOCS`` documents."""
+    doc = np.repeat(np.arange(len(words.counts)), words.counts)
+    doc, word = np.unique(np.stack([doc, words.text]), axis=1)
+    part, size = _subset(words, word)
+    out = {}
+    for k, rows, owner, n in (("word", part.word, doc, WORD_ROWS), ("gram", part.gram, np.repeat(doc, size), GRAM_ROWS)):
+        once = np.unique(owner * n + rows) % n
+        out[k] = np.bincount(once, minlength=n) >= MIN_DOCS
+    return out
+
+
 def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
     """Train on documents; a fifth of them sets the decision point."""
     rng = np.random.default_rng(seed)
@@ -227,14 +243,16 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> dict[str, np.nd
     words = read_words(data, offsets)
     first, length, doc = window_table(words.counts)
     held = rng.random(len(texts)) < 0.2
+    known = _known(words)
     dense = [k for k in m if k not in ("word", "gram")]
     one, two = {k: np.zeros_like(m[k]) for k in dense}, {k: np.zeros_like(m[k]) for k in dense}
     seen = {"word": np.full(WORD_ROWS, 1e-3, np.float32), "gram": np.full(GRAM_ROWS, 1e-3, np.float32)}
     window_of = np.searchsorted(doc, np.arange(len(texts) + 1))
     step = 0
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-MIN_STEPS * BATCH // max(1, int((~held).sum()))))
+    for epoch in range(epochs):
         order = rng.permutation(np.flatnonzero(~held))
-        rate = 0.6 ** epoch
+        rate = 0.6 ** (EPOCHS * epoch / epochs)
         for at in range(0, len(order), BATCH):
             batch = order[at:at + BATCH]
             picked = []
@@ -249,6 +267,8 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> dict[str, np.nd
             place = place.reshape(len(w), WINDOW)
             part, grams = _subset(words, used)
             x = embed(m, part)
+            alive = rng.random((len(x), 1)) >= DROP
+            x = np.where(alive, x, 0)
             logit, kept = _forward(m, x, place, length[w], keep=True)
             # Smooth maximum over a document's windows.
             begin = np.cumsum(size) - size
@@ -260,6 +280,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> dict[str, np.nd
             d_doc = (_sigmoid(whole) - labels[batch]) / len(batch)
             d_logit = (d_doc[owner] * share * (1 + 2 * (logit - whole[owner]))).astype(np.float32)
             g, dx = _backward(m, x, place, length[w], kept, d_logit)
+            dx = np.where(alive, dx, 0)
             step += 1
             for k in dense:
                 one[k] += 0.1 * (g[k] - one[k])
@@ -267,6 +288,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> dict[str, np.nd
                 m[k] -= (0.01 * rate * one[k] / (1 - 0.9 ** step)
                          / (np.sqrt(two[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
             for k, rows, grad in (("word", part.word, dx), ("gram", part.gram, np.repeat(dx, grams, axis=0))):
+                rows, grad = rows[known[k][rows]], grad[known[k][rows]]
                 distinct, back = np.unique(rows, return_inverse=True)
                 total = np.zeros((len(distinct), DIM), np.float32)
                 np.add.at(total, back, grad)

@@ -1,0 +1,381 @@
+"""Brute-force and edge-case tests of the operators on texts."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from mercantile.llm import line_dedup, mixing, ngram_join, packing, secret_ledger, sharding, shingles, token_counts
+from mercantile.llm import tokens
+
+from . import cases
+
+SPACE = " \t\n\x0b\x0c\r"
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def many(df, *cols):
+    return collections.Counter(tuple(r) for r in df.select(*cols).collect())
+
+
+# ---- op1 -------------------------------------------------------------------
+def whole_ids(text):
+    return tokens._encoders(tokens.BPE_FILE, tokens.RANK_FILE)[0].encode(text or "", add_special_tokens=False).ids
+
+
+@given(st.text(max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_ids_are_those_of_the_vocabulary_file(text):
+    assert tokens.encode(text) == whole_ids(text)
+
+
+@given(st.text(alphabet="aAé '’s\t\n\r .,12ÿſß\xa0½ll", max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_ids_of_latin_text(text):
+    assert tokens.encode(text) == whole_ids(text)
+
+
+def test_token_counts(spark):
+    out = token_counts.count_tokens(cases.frame(spark).repartition(3), block_ids=1000)
+    want = collections.Counter((i, len(whole_ids(t))) for i, t, _ in cases.rows())
+    assert many(out, "doc_id", "n_tokens") == want
+
+
+def test_token_counts_empty(spark):
+    assert token_counts.count_tokens(cases.empty(spark)).count() == 0
+
+
+def test_separator_scan_stitches_blocks(spark):
+    """Documents over many blocks, separators at block bounds, an open tail,
+    empty blocks, several groups of blocks."""
+    rng = np.random.default_rng(0)
+    blocks, want = [], []
+    for file in range(3):
+        stream = rng.integers(0, 9, 700).astype("<u2")
+        stream[rng.random(700) < 0.05] = 9
+        if file == 1:
+            stream[[0, 6, 7, -1]] = 9
+        for b in range(0, 100):
+            blocks.append((file, b, stream[b * 7:(b + 1) * 7].tobytes()))
+        blocks += [(file, 100, None), (file, 101, b"")]
+        start = nth = 0
+        for end in [*np.flatnonzero(stream == 9).tolist(), None]:
+            if end is None:
+                if start < 700:
+                    want.append((file, nth, start, 700 - start, False))
+            else:
+                want.append((file, nth, start, end - start, True))
+                start, nth = end + 1, nth + 1
+    old, token_counts.GROUP = token_counts.GROUP, 8
+    try:
+        out = token_counts.separator_scan(spark.createDataFrame(blocks, "file long, block long, ids binary"), 9)
+        got = sorted(tuple(r) for r in out.select("file", "nth", "start", "n_tokens", "closed").collect())
+    finally:
+        token_counts.GROUP = old
+    assert got == sorted(want)
+
+
+# ---- op3 -------------------------------------------------------------------
+def shingle_set(text, width):
+    w = (text or "").encode().lower().split()
+    if len(w) < width:
+        return frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1))
+
+
+def brute_join(some, width, percent):
+    """(doc_id, set size, links, component) of every row."""
+    sets = [shingle_set(t, width) for _, t, _ in some]
+    links, root = [0] * len(some), list(range(len(some)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _, _) in enumerate(some):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return collections.Counter((some[i][0], len(sets[i]), links[i], least.get(find(i))) for i in range(len(some)))
+
+
+def edited(seed, n=60):
+    """Families of edited copies of short and long texts."""
+    import random
+    rng = random.Random(seed)
+    out = []
+    for k in range(n):
+        base = cases.prose(rng.randrange(6), rng.choice([3, 5, 9, 12, 18, 20, 22, 40, 90, 200])).split()
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(base))
+            base[at:at + rng.randrange(2)] = [] if rng.random() < 0.5 else [f"new{rng.randrange(9)}"]
+        out.append((k, " ".join(base), None))
+    return out
+
+
+@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
+def test_ngram_join_against_brute_force(spark, width, percent):
+    some = edited(width, 150)
+    out = ngram_join.ngram_jaccard_join(cases.frame(spark, some), width, percent)
+    assert many(out, "doc_id", "n_shingles", "n_links", "component_id") == brute_join(some, width, percent)
+
+
+def test_ngram_join_hard_rows_joined_keys_and_small_tiles(spark):
+    old = ngram_join.TILE_SETS
+    ngram_join.TILE_SETS = 3
+    try:
+        some = cases.rows() + edited(8, 40)
+        out = ngram_join.ngram_jaccard_join(cases.frame(spark, some), 3, 90, broadcast_keys=0)
+        got = many(out, "doc_id", "n_shingles", "n_links", "component_id")
+    finally:
+        ngram_join.TILE_SETS = old
+    assert got == brute_join(some, 3, 90)
+
+
+def test_ngram_join_empty(spark):
+    assert ngram_join.ngram_jaccard_join(cases.empty(spark)).count() == 0
+
+
+def test_subsets_and_lists_lose_no_pair():
+    """Every linked pair of sets of any size shares a key."""
+    rng = np.random.default_rng(5)
+    for percent in (80, 90):
+        for n in [*range(1, 40), 60, 100, 240]:
+            a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            for t in {max(1, -(-percent * n // 100)), n, n * 100 // percent}:
+                o = ngram_join.overlap_needed(n, t, percent)
+                if o > min(n, t):
+                    continue
+                b = np.concatenate([rng.permutation(a)[:o], rng.integers(0, 1 << 63, t - o).astype(np.uint64)])
+                pair = [np.sort(a), np.sort(b)]
+                keys, sets = ngram_join._keys(np.concatenate(pair), np.array([n, t]), percent)
+                assert set(keys[sets == 0].tolist()) & set(keys[sets == 1].tolist()), (n, t, percent)
+
+
+@given(st.lists(st.text(alphabet="aAbé \t\n\x0b\xa0\x85", max_size=30), max_size=6), st.integers(1, 4))
+@settings(max_examples=150, deadline=None)
+def test_shingle_sets_match_python(some, width):
+    import pyarrow as pa
+    sizes = []
+    prints = []
+    for _, _, data, offsets in shingles.text_slices(pa.array(some, pa.string()), 16):
+        h, n = shingles.shingle_sets(*shingles.word_hashes(data, offsets), width)
+        sizes += n.tolist()
+        prints += [x.tobytes() for x in np.split(h, np.cumsum(n)[:-1])] if len(n) else []
+    sets = [shingle_set(t, width) for t in some]
+    assert sizes == [len(s) for s in sets]
+    for i in range(len(some)):
+        for j in range(i):
+            assert (prints[i] == prints[j]) == (sets[i] == sets[j])
+
+
+# ---- op4 -------------------------------------------------------------------
+def brute_lines(some, least=20, docs=3):
+    key = lambda x: x.strip(SPACE).translate(UPPER)
+    held = collections.defaultdict(set)
+    order = lambda d: -(1 << 63) if d is None else d
+    for d, t, _ in some:
+        for x in (t or "").split("\n"):
+            if len(key(x)) >= least:
+                held[key(x)].add(order(d))
+    out = collections.Counter()
+    for d, t, _ in some:
+        x = (t or "").split("\n")
+        kept = [v for v in x if len(held.get(key(v), ())) < docs or max(held[key(v)]) == order(d)]
+        out[d, len(x), len(x) - len(kept), "\n".join(kept)] += 1
+    return out
+
+
+@pytest.mark.parametrize("batches,fanout", [(1, 2), (5, 2), (4, 3)])
+def test_line_dedup(spark, batches, fanout):
+    out = line_dedup.dedup_lines(cases.frame(spark), batches=batches, fanout=fanout)
+    assert many(out, "doc_id", "n_lines", "n_dropped", "kept_text") == brute_lines(cases.rows())
+
+
+def test_line_dedup_empty(spark):
+    assert line_dedup.dedup_lines(cases.empty(spark)).count() == 0
+
+
+def test_line_runs_tell_new_lines_and_compact(spark, tmp_path):
+    runs = line_dedup.LineRuns(spark, f"file://{tmp_path}/runs", fanout=2)
+    batch = lambda *keys: spark.createDataFrame([(k, k, d) for k, d in keys], "h1 long, h2 long, holder long")
+    fresh = [many(runs.add(batch(*b)), "h1", "n_docs") for b in
+             [[(1, 9), (1, 8), (2, 9)], [(2, 7), (3, 7)], [(1, 6), (3, 6)], [], [(4, 5)]]]
+    assert [set(f) for f in fresh] == [{(1, 2), (2, 1)}, {(3, 1)}, set(), set(), {(4, 1)}]
+    assert many(runs.merged(), "h1", "n_docs", "holder") == collections.Counter(
+        [(1, 3, 9), (2, 2, 9), (3, 2, 7), (4, 1, 5)])
+    assert sum(map(len, runs.levels)) < 5
+
+
+# ---- op5 -------------------------------------------------------------------
+def brute_spans(text):
+    text = text or ""
+    found = []
+    for n, (kind, pattern, group, least) in enumerate((
+            ("assign", r"((?:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 8),
+            ("access", r"AKIA[A-Z0-9]+", 0, 16), ("hex", r"[0-9a-f]+", 0, 32))):
+        for m in re.finditer(pattern, text, re.I | re.A if kind == "assign" else 0):
+            if len(m.group(group)) >= least:
+                found.append((m.start(), n, kind, m.end()))
+    return tuple((k, s, e) for s, _, k, e in sorted(found))
+
+
+def found_rows(df):
+    return collections.Counter((r["doc_id"], tuple((f["kind"], f["start"], f["end"]) for f in r["found"]))
+                               for r in df.collect())
+
+
+@pytest.mark.parametrize("pushes", [1, 3])
+def test_secret_history(spark, pushes):
+    out = secret_ledger.scan_history(cases.frame(spark), pushes=pushes)
+    assert found_rows(out) == collections.Counter((i, brute_spans(t)) for i, t, _ in cases.rows())
+
+
+def test_secret_history_empty(spark):
+    assert secret_ledger.scan_history(cases.empty(spark)).count() == 0
+
+
+def test_ledger_scans_only_unseen_pairs(spark, tmp_path):
+    ledger = secret_ledger.BlobLedger(spark, f"file://{tmp_path}/ledger")
+    one, two = secret_ledger.RULES[:2]
+    blobs = lambda *b: spark.createDataFrame([(x, "token=abcdefgh") for x in b], "blob string, text string")
+    ledger.push(blobs("a", "a", "b"), [one])
+    ledger.push(blobs("b", "c"), [one, two])
+    ledger.push(blobs("a", "b", "c"), [one, two])
+    assert many(ledger.rows(), "blob", "rule") == collections.Counter(
+        (b, r) for b in "abc" for r in ("assign@1", "access@1"))
+
+
+# ---- op6 -------------------------------------------------------------------
+def test_sharding(spark):
+    out = sharding.shard_by_slots(cases.frame(spark), 3, slots=64).collect()
+    want = collections.Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in cases.rows())
+    assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == want
+    for s in range(3):
+        assert sorted(r["slot"] for r in out if r["shard"] == s) == list(range(sum(r["shard"] == s for r in out)))
+    assert sharding.shard_by_slots(cases.empty(spark), 3).count() == 0
+
+
+def test_sharding_balances_bytes_and_edits_the_map(spark):
+    some = [(i, "x" * (i % 97), None) for i in range(3000)]
+    out = sharding.shard_by_slots(cases.frame(spark, some), 8)
+    load = [r[0] for r in out.groupBy("shard").agg({"size": "sum"}).select("sum(size)").collect()]
+    assert len(load) == 8 and max(load) - min(load) <= 0.01 * sum(load) / 8
+    first = {s: s % 4 for s in range(100)}
+    weight = {s: 1 + s % 7 for s in range(100)}
+    edit = sharding.edit_map(first, weight, 4)
+    assert sum(edit[s] != first[s] for s in first) < 20
+    grown = sharding.edit_map(edit, weight, 5)
+    assert all(grown[s] in (edit[s], 4) for s in grown if grown[s] == 4 or grown[s] == edit[s])
+    assert min(collections.Counter(grown.values()).values()) > 0
+
+
+# ---- op7 -------------------------------------------------------------------
+def test_packing(spark):
+    out = packing.pack_documents(cases.frame(spark).repartition(4), capacity=64, per_task=40).collect()
+    bins = collections.defaultdict(list)
+    got = collections.defaultdict(list)
+    for r in out:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+        got[r["doc_id"]].append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for pieces in bins.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 64
+    want = collections.defaultdict(list)
+    for i, t, _ in cases.rows():
+        ids = np.array(whole_ids(t) + [0], "<u4")
+        for k, (s, n) in enumerate(packing.cut(len(ids), 64)):
+            want[i].append((k, s, n, zlib.crc32(ids[s:s + n].tobytes())))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    total = sum(r["length"] for r in out)
+    assert len(bins) <= 1.02 * total / 64 + 3
+    assert packing.pack_documents(cases.empty(spark)).count() == 0
+
+
+@given(st.lists(st.integers(1, 50), max_size=80))
+def test_best_fit_fills_every_bin_within_capacity(sizes):
+    bins = packing.best_fit(np.array(sizes, np.int64), 50)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+    fills = [sum(sizes[i] for i in b) for b in bins]
+    assert all(f <= 50 for f in fills) and sum(f <= 25 for f in fills) <= 1
+
+
+# ---- op8 -------------------------------------------------------------------
+def brute_targets(sizes, weights=(5, 2, 1), share=1.5, cap=2.0):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, fixed = share * sum(sizes.values()), {}
+    while True:
+        rest = [s for s in names if s not in fixed]
+        room = total - sum(fixed.values())
+        asked = {s: room * w[s] / sum(w[x] for x in rest) for s in rest}
+        over = [s for s in rest if asked[s] > cap * sizes[s] + 1e-9]
+        if not over:
+            return fixed | asked
+        fixed |= {s: cap * sizes[s] for s in over}
+
+
+def test_mixing(spark):
+    some = cases.rows() + [(100 + i, cases.prose(i, 5 + i % 40), f"s{i % 5}") for i in range(900)]
+    out = mixing.mix_sources(cases.frame(spark, some)).collect()
+    assert collections.Counter((r["doc_id"], r["size"]) for r in out) == collections.Counter(
+        (i, len((t or "").encode().split())) for i, t, _ in some)
+    sizes = collections.Counter()
+    for _, t, s in some:
+        sizes[s] += len((t or "").encode().split())
+    target = brute_targets(sizes)
+    taken = collections.Counter()
+    for r in out:
+        assert r["copies"] in (0, 1, 2) and r["target"] == pytest.approx(target[r["source"]])
+        assert r["source_size"] == sizes[r["source"]]
+        taken[r["source"]] += r["copies"] * r["size"]
+    for s in ("s0", "s1", "s2", "s3", "s4"):
+        assert taken[s] == pytest.approx(target[s], rel=0.02)
+    again = mixing.mix_sources(cases.frame(spark, some).repartition(5)).collect()
+    key = lambda r: (r["doc_id"] is None, r["doc_id"], r["size"], r["copies"])
+    assert sorted(map(key, out)) == sorted(map(key, again))
+
+
+def test_mixing_empty_and_wordless(spark):
+    assert mixing.mix_sources(cases.empty(spark)).count() == 0
+    out = mixing.mix_sources(cases.frame(spark, [(1, None, None), (2, "", "a"), (3, " ", "a")])).collect()
+    assert len(out) == 3 and {r["copies"] * r["size"] for r in out} == {0}
+
+
+# ---- queries ---------------------------------------------------------------
+@pytest.mark.parametrize("name", ["op4_line_dedup"])
+def test_twins(spark, name):
+    import duckdb
+
+    from mercantile.llm import registry
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = con.sql(registry.ORACLES[name])
+    got = many(registry.QUERIES[name](spark, sf), *want.columns)
+    assert got == collections.Counter(want.fetchall())
+
+
+def test_secret_query_digests(spark):
+    sf = "/root/testdata/sf0.001"
+    out = secret_ledger.op5_secrets(spark, sf).collect()
+    texts = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    assert len(out) == len(texts)
+    for r in out:
+        spans = ",".join(f"{k}:{s}:{e}" for k, s, e in brute_spans(texts[r["doc_id"]]))
+        assert r["spans"] == spans and r["base_sha256"] == hashlib.sha256(spans.encode()).hexdigest()
