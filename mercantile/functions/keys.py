@@ -53,23 +53,36 @@ def dense_keys(df: DataFrame, order_cols: Sequence[str], start: Column | int = 0
             .drop(PID, "_mono", "_off"))
 
 
-def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                  value: str, out: str, partitions: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``value`` per group in ``order_cols`` order.
+def place(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+          partitions: int | None = None) -> DataFrame:
+    """Range-partition by group and order and remember every row's piece
+    (``_pid``) and position (``_mono``, ascending in that order).  Any number
+    of :func:`placed_totals` may follow on rows of the result."""
+    return _ranged(df, [*group_cols, *order_cols], partitions)
+
+
+def placed_totals(placed: DataFrame, group_cols: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """Inclusive running sums per group over rows laid out by :func:`place`;
+    ``values`` maps each new column to what it sums.
 
-    Pieces are (partition, group); a hot group is spread over many range
+    Pieces are (partition, group): a hot group is spread over many range
     partitions, each summing its piece locally, and the offsets per piece come
     from a window over the pieces only (at most one row per partition and
     group)."""
-    keys = [*group_cols, *order_cols]
-    tagged = _ranged(df, keys, partitions)
-    w_local = (Window.partitionBy(PID, *group_cols).orderBy(*order_cols, "_mono")
+    w_local = (Window.partitionBy(PID, *group_cols).orderBy("_mono")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = tagged.withColumn("_local", F.sum(value).over(w_local))
-    pieces = tagged.groupBy(PID, *group_cols).agg(F.sum(value).alias("_piece"))
     w_prev = Window.partitionBy(*group_cols).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = pieces.select(PID, *group_cols,
-                            F.coalesce(F.sum("_piece").over(w_prev), F.lit(0)).alias("_off"))
+    local = placed.withColumns({f"_in_{o}": F.sum(v).over(w_local) for o, v in values.items()})
+    pieces = placed.groupBy(PID, *group_cols).agg(*[F.sum(v).alias(f"_sum_{o}") for o, v in values.items()])
+    offsets = pieces.select(PID, *group_cols, *[
+        F.coalesce(F.sum(f"_sum_{o}").over(w_prev), F.lit(0)).alias(f"_off_{o}") for o in values])
     return (local.join(offsets, [PID, *group_cols], "inner")
-            .withColumn(out, F.col("_off") + F.col("_local"))
-            .drop(PID, "_mono", "_off", "_local"))
+            .withColumns({o: F.col(f"_off_{o}") + F.col(f"_in_{o}") for o in values})
+            .drop(*[f"_{x}_{o}" for o in values for x in ("in", "off")]))
+
+
+def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                  value: str, out: str, partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` per group in ``order_cols`` order."""
+    return (placed_totals(place(df, group_cols, order_cols, partitions), group_cols, {out: F.col(value)})
+            .drop(PID, "_mono"))

@@ -11,23 +11,19 @@ unknown product is refused.
   Fully native: one partial aggregation plus a one-row scalar flag.
 * ``greedy``: each line is its own transaction.  A refused line does not use
   stock, so later smaller lines may still pass; a running sum over all lines
-  would be wrong.  Exact and distributed:
-
-  1. products whose total demand fits their stock accept every line (fast
-     path, native);
-  2. for the others, each round computes running demand per product with
-     :func:`mercantile.functions.keys.running_total` (range-partitioned, so a
-     hot product is spread over many tasks).  Lines whose running demand fits
-     the remaining stock are accepted; the first line that does not fit is
-     refused, and the stock left at that point, ``s``, bounds every later
-     state (stock never rises), so later lines with quantity > s are refused
-     at once and only lines with quantity <= s stay candidates.  Each round
-     accepts at least one line per open product and lowers ``s``;
-  3. once at most ``fold_below`` candidate lines remain (or after
-     ``max_rounds``), they are finished exactly by a streaming per-product
-     fold (sorted partitions, O(batch) memory), so one task never folds more
-     than ``fold_below`` lines unless the round limit is hit.  Candidates
-     shrank 6-10x per round on the test data.
+  would be wrong.  Exact, native and distributed:
+
+  1. products whose total demand fits their stock accept every line;
+  2. the others accept the prefix that fits; the first line that does not is
+     refused and leaves the stock ``s``, which never rises again, so later
+     lines above ``s`` are refused at once;
+  3. what remains goes in levels.  Let ``b`` be the largest power of two not
+     above ``s``.  While at least ``b`` is left, every line below ``b`` fits,
+     and only one line of ``b`` or more can be taken before less than ``b`` is
+     left.  So a running sum of the lines below ``b`` and one minimum find
+     where the level ends, for all products at once, and the next level has at
+     most half of ``b``: at most log2(stock) + 1 rounds, whatever the number
+     of lines.  Running sums spread a hot product over many tasks.
 """
 
 from __future__ import annotations
@@ -35,13 +31,10 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.keys import running_total
+from ..functions.keys import place, placed_totals
 from ..session import ensure_checkpoint_dir
 
 ARRIVAL_ORDER = ("arrival", "order_id", "line_no", "product_id", "quantity", "price")
@@ -55,17 +48,16 @@ class Admission(NamedTuple):
     shortages: DataFrame
 
 
-def _screen(items: DataFrame, products: DataFrame, key: str, qty: str):
-    """Split off lines that never reach the stock check, with a reason."""
-    stock = products.select(F.col(key).alias("_pk"), F.col("stock").alias("_stock"), F.lit(True).alias("_known"))
+def _screen(items: DataFrame, products: DataFrame, key: str, qty: str) -> DataFrame:
+    """Every line with its product's stock and, for lines that never reach the
+    stock check, the reason."""
+    stock = products.select(F.col(key).alias("_pk"), F.col("stock").cast("long").alias("_stock"),
+                            F.lit(True).alias("_known"))
     j = items.join(stock, items[key] == stock["_pk"], "left").drop("_pk")
     reason = (F.when(F.col(qty).isNull(), F.lit("quantity is null"))
               .when(F.col(qty) <= 0, F.lit("quantity must be positive"))
               .when(F.col("_known").isNull(), F.lit("unknown product")))
-    j = j.withColumn("_reason", reason)
-    bad = j.where(F.col("_reason").isNotNull()).select(*items.columns, F.col("_reason").alias("reason"))
-    good = j.where(F.col("_reason").isNull()).drop("_reason", "_known")
-    return good, bad
+    return j.withColumn("_reason", reason).drop("_known")
 
 
 def _new_stock(products: DataFrame, accepted: DataFrame, key: str, qty: str) -> DataFrame:
@@ -76,10 +68,18 @@ def _new_stock(products: DataFrame, accepted: DataFrame, key: str, qty: str) ->
 
 
 def admit(items: DataFrame, products: DataFrame, mode: str = "greedy",
-          order: tuple[str, ...] = ARRIVAL_ORDER, key: str = "product_id", qty: str = "quantity",
-          max_rounds: int = 64, fold_below: int = 1_000_000) -> Admission:
+          order: tuple[str, ...] = ARRIVAL_ORDER, key: str = "product_id",
+          qty: str = "quantity") -> Admission:
     """Admit order lines against product stock (see module doc)."""
-    good, bad = _screen(items, products, key, qty)
+    if mode not in ("atomic", "greedy"):
+        raise ValueError(f"mode must be 'atomic' or 'greedy', not {mode!r}")
+    cols = items.columns
+    screened = _screen(items, products, key, qty)
+    if mode == "greedy":  # read once for the demand and once for the lines
+        ensure_checkpoint_dir(items.sparkSession)
+        screened = screened.checkpoint(eager=True)
+    good = screened.where(F.col("_reason").isNull())
+    bad = screened.where(F.col("_reason").isNotNull()).select(*cols, F.col("_reason").alias("reason"))
     demand = good.groupBy(key).agg(F.sum(qty).cast("bigint").alias("demand"))
     shortages = (demand.join(products.select(key, "stock"), key, "inner")
                  .where(F.col("stock") < F.col("demand")).select(key, "stock", "demand"))
@@ -88,73 +88,64 @@ def admit(items: DataFrame, products: DataFrame, mode: str = "greedy",
                       bad.select(F.count(F.lit(1))).scalar().alias("bad"))
         passes = (ok.getField("short") == 0) & (ok.getField("bad") == 0)
         accepted = items.where(passes)
-        refused = (bad.unionByName(good.select(*items.columns, F.lit("batch refused").alias("reason")))
+        refused = (bad.unionByName(good.select(*cols, F.lit("batch refused").alias("reason")))
                    .where(~passes))
         new_products = products.join(demand, key, "left").withColumn(
             "stock", F.when(passes, (F.col("stock") - F.coalesce(F.col("demand"), F.lit(0))).cast("int"))
             .otherwise(F.col("stock"))).select(*products.columns)
         return Admission(accepted, refused, new_products, shortages)
-    if mode != "greedy":
-        raise ValueError(f"mode must be 'atomic' or 'greedy', not {mode!r}")
 
-    ensure_checkpoint_dir(items.sparkSession)
-    cols = items.columns
     with_demand = good.join(demand, key, "inner")
     fits = F.col("_stock").isNull() | (F.col("demand") <= F.col("_stock"))
-    fast = with_demand.where(fits).select(*cols)
-    slow = with_demand.where(~fits)
-    # Each candidate line carries its product's remaining stock ``_r``.
-    cand = slow.select(*cols, F.col("_stock").cast("long").alias("_r")).checkpoint(eager=True)
-    within = [c for c in order if c != key]
-    accepted_parts, refused_parts = [fast], [bad]
-    rounds, left = 0, cand.count()
-    while left > fold_below and rounds < max_rounds:
-        rounds += 1
-        rt = running_total(cand, [key], within, qty, "_cum").checkpoint(eager=True)
-        accepted_parts.append(rt.where(F.col("_cum") <= F.col("_r")).select(*cols))
-        over = rt.where(F.col("_cum") > F.col("_r"))
-        pos = F.struct(*[F.col(c) for c in within])
-        first = over.groupBy(key).agg(
-            F.min(pos).alias("_first"),
-            F.min_by(F.col("_r") - (F.col("_cum") - F.col(qty)), pos).alias("_s"))
-        tagged = over.join(first, key, "inner").withColumn("_pos", pos)
-        is_first = F.col("_pos") == F.col("_first")
-        after = F.col("_pos") > F.col("_first")
-        refused_parts.append(tagged.where(is_first | (after & (F.col(qty) > F.col("_s"))))
-                             .select(*cols, F.lit(SHORT).alias("reason")))
-        cand = (tagged.where(after & (F.col(qty) <= F.col("_s")))
-                .select(*cols, F.col("_s").alias("_r")).checkpoint(eager=True))
-        left = cand.count()
-    if left:
-        folded = _fold(cand, key, qty, within).checkpoint(eager=True)
-        accepted_parts.append(folded.where(F.col("_ok")).select(*cols))
-        refused_parts.append(folded.where(~F.col("_ok")).select(*cols, F.lit(SHORT).alias("reason")))
-    accepted = reduce(DataFrame.unionByName, accepted_parts)
-    refused = reduce(DataFrame.unionByName, refused_parts)
+    verdicts = [with_demand.where(fits).select(*cols, F.lit(True).alias("accepted"))]
+    short = with_demand.where(~fits).select(*cols, F.col("_stock").alias("_r"))
+    open_ = place(short, [key], [c for c in order if c != key])
+    step = _prefix
+    while True:
+        round_ = _settle(open_, key, qty, *step(key, qty)).checkpoint(eager=True)
+        verdicts.append(round_.where(F.col("accepted").isNotNull()).select(*cols, "accepted"))
+        open_ = round_.where(F.col("accepted").isNull()).drop("accepted")
+        step = _level
+        if open_.isEmpty():
+            break
+    decided = reduce(DataFrame.unionByName, verdicts)
+    accepted = decided.where(F.col("accepted")).select(*cols)
+    refused = bad.unionByName(decided.where(~F.col("accepted")).select(*cols, F.lit(SHORT).alias("reason")))
     return Admission(accepted, refused, _new_stock(products, accepted, key, qty), shortages)
 
 
-def _fold(cand: DataFrame, key: str, qty: str, within: list[str]) -> DataFrame:
-    """Sequential fold per product over sorted partitions, streaming batch by
-    batch (the state is one number carried across batches)."""
-    x = cand.repartition(key).sortWithinPartitions(key, *within)
-    schema = T.StructType(list(x.schema.fields) + [T.StructField("_ok", T.BooleanType())])
-
-    def run(batches):
-        current, left = None, 0
-        for pdf in batches:
-            prods = pdf[key].to_numpy()
-            qs = pdf[qty].to_numpy()
-            start = pdf["_r"].to_numpy()
-            ok = np.zeros(len(pdf), dtype=bool)
-            for i in range(len(pdf)):
-                if prods[i] != current:
-                    current, left = prods[i], start[i]
-                if qs[i] <= left:
-                    ok[i] = True
-                    left -= qs[i]
-            yield pdf.assign(_ok=pd.Series(ok, index=pdf.index))
-    return x.mapInPandas(run, schema).drop("_r")
+def _prefix(key: str, qty: str) -> tuple[Column, Column, Column, Column, Column]:
+    """The prefix that fits ends at the first line that does not."""
+    before = F.col("_r") - (F.col("_sum") - F.col(qty))
+    return F.col(qty), F.lit(True), F.col("_sum") > F.col("_r"), before, F.lit(False)
+
+
+def _level(key: str, qty: str) -> tuple[Column, Column, Column, Column, Column]:
+    """The level of lines below ``b``: it ends with the line that leaves less
+    than ``b``, be it a small one or the first large one that fits."""
+    b = F.expr("shiftleft(1L, length(bin(_r)) - 1)")
+    small = F.col(qty) < b
+    left = F.col("_r") - F.col("_sum")
+    ends = F.when(small, left < b).otherwise(F.col(qty) <= left)
+    after = F.when(small, left).otherwise(left - F.col(qty))
+    return F.when(small, F.col(qty)).otherwise(0), small, ends, after, F.lit(True)
+
+
+def _settle(open_: DataFrame, key: str, qty: str, value: Column, fits: Column, ends: Column,
+            after: Column, end_fits: Column) -> DataFrame:
+    """One round: lines before a product's end are accepted where ``fits``,
+    the end itself as ``end_fits`` says; later lines above the stock ``after``
+    it are refused, the others stay open (NULL) with that stock."""
+    summed = placed_totals(open_, [key], {"_sum": value})
+    end = (summed.where(ends).groupBy(key)
+           .agg(F.min("_mono").alias("_end"), F.min_by(after, "_mono").alias("_left")))
+    late = F.col("_mono") > F.col("_end")
+    verdict = (F.when(F.col("_end").isNull() | (F.col("_mono") < F.col("_end")), fits)
+               .when(F.col("_mono") == F.col("_end"), end_fits)
+               .when(F.col(qty) > F.col("_left"), F.lit(False)))
+    return (summed.join(end, key, "left").withColumn("accepted", verdict)
+            .withColumn("_r", F.when(late, F.col("_left")).otherwise(F.col("_r")))
+            .drop("_sum", "_end", "_left"))
 
 
 class LoadAdmission(NamedTuple):
@@ -165,102 +156,54 @@ class LoadAdmission(NamedTuple):
 
 
 def admit_loads(items: DataFrame, products: DataFrame, load: str, load_order: tuple[str, ...] | None = None,
-                key: str = "product_id", qty: str = "quantity", max_rounds: int = 64,
-                fold_below: int = 1_000_000) -> LoadAdmission:
+                key: str = "product_id", qty: str = "quantity") -> LoadAdmission:
     """M16 on the ingest path: every load (one workbook or file) is one
     transaction, applied in ``load_order`` (default: the load id).  A load is
     accepted only if none of its lines is bad and, for every product, its
     total quantity fits the stock left by the loads accepted before it.
 
     Loads couple products, so the rounds work on (load, product, demand)
-    rows: the running demand per product over loads in order
-    (:func:`running_total`, range-partitioned) finds the first load that
-    overflows any product; every load before it is accepted, it is refused,
-    and later loads with a product demand above the stock now left can never
-    fit and are refused too.  When at most ``fold_below`` demand rows remain
-    (or after ``max_rounds``), a sequential fold over the remaining loads in
-    order finishes exactly (one task, state = the products of those rows)."""
+    rows.  Products that can serve all loads decide nothing and go first.  A
+    round decides every load that is certain, from two running sums per
+    product in load order: accepted if for all its products even the accepted
+    *and* undecided loads before it leave room, refused if some product falls
+    short after the accepted ones alone.  The first undecided load is always
+    certain, so the rounds end; loads without a common short product are
+    decided side by side."""
     ensure_checkpoint_dir(items.sparkSession)
-    spark = items.sparkSession
     order_cols = list(load_order or (load,))
     # One position per load (its smallest order key, then the load id).
     position = items.groupBy(load).agg(
         F.min(F.struct(*[F.col(c) for c in order_cols], F.col(load))).alias("_lo"))
-    good, bad = _screen(items, products, key, qty)
-    bad_loads = bad.groupBy(load).agg(F.min("reason").alias("reason"))
-    demand = (good.join(bad_loads.select(load), load, "left_anti")
-              .groupBy(load, key).agg(F.sum(qty).cast("bigint").alias("_d"))
-              .join(position, load, "inner"))
-    stock = products.select(key, F.col("stock").cast("long").alias("_r"))
-    cand = demand.join(stock, key, "inner").checkpoint(eager=True)
-    ok_parts: list[DataFrame] = []
-    no_parts = [bad_loads.select(load, F.lit(False).alias("accepted"), "reason")]
-    rounds, left = 0, cand.count()
-    while left > fold_below and rounds < max_rounds:
-        rounds += 1
-        rt = running_total(cand, [key], ["_lo"], "_d", "_cum").checkpoint(eager=True)
-        over = rt.where(F.col("_r").isNotNull() & (F.col("_cum") > F.col("_r")))
-        if over.isEmpty():
-            ok_parts.append(rt.select(load).distinct())
-            left = 0
-            break
-        first = over.agg(F.min("_lo")).scalar()
-        before = rt.where(F.col("_lo") < first)
-        ok_parts.append(before.select(load).distinct())
-        no_parts.append(rt.where(F.col("_lo") == first).select(load).distinct()
-                        .select(load, F.lit(False).alias("accepted"), F.lit(SHORT).alias("reason")))
-        used = before.groupBy(key).agg(F.sum("_d").alias("_used"))
-        rest = (rt.where(F.col("_lo") > first).drop("_cum").join(used, key, "left")
-                .withColumn("_r", F.col("_r") - F.coalesce(F.col("_used"), F.lit(0))).drop("_used"))
-        # Stock never rises: a later load needing more than what is left now is refused.
-        doomed = rest.where(F.col("_r").isNotNull() & (F.col("_d") > F.col("_r"))).select(load).distinct()
-        no_parts.append(doomed.select(load, F.lit(False).alias("accepted"), F.lit(SHORT).alias("reason")))
-        cand = rest.join(doomed, load, "left_anti").checkpoint(eager=True)
-        left = cand.count()
-    if left:
-        folded = _fold_loads(cand, load, key).checkpoint(eager=True)
-        ok_parts.append(folded.where(F.col("accepted")).select(load))
-        no_parts.append(folded.where(~F.col("accepted")).select(load, "accepted", F.lit(SHORT).alias("reason")))
-    ok = (reduce(DataFrame.unionByName, ok_parts) if ok_parts
-          else spark.createDataFrame([], T.StructType([items.schema[load]])))
-    verdict = (ok.select(load, F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("reason"))
-               .unionByName(reduce(DataFrame.unionByName, no_parts)))
-    accepted = items.join(ok, load, "left_semi")
-    refused = (items.join(verdict.where(~F.col("accepted")).select(load, "reason"), load, "inner")
+    screened = _screen(items, products, key, qty)
+    bad_loads = (screened.where(F.col("_reason").isNotNull())
+                 .groupBy(load).agg(F.min("_reason").alias("reason"))).checkpoint(eager=True)
+    demand = (screened.where(F.col("_reason").isNull()).join(bad_loads.select(load), load, "left_anti")
+              .groupBy(load, key).agg(F.sum(qty).cast("bigint").alias("_d"), F.first("_stock").alias("_r"))
+              .checkpoint(eager=True))
+    tight = (demand.groupBy(key).agg(F.sum("_d").alias("_all"), F.first("_r").alias("_r"))
+             .where(F.col("_all") > F.col("_r")).select(key))
+    rows = demand.join(tight, key, "left_semi").join(position, load, "inner").withColumn("_in", F.lit(False))
+    free = (demand.select(load).distinct()
+            .join(demand.join(tight, key, "left_semi").select(load).distinct(), load, "left_anti"))
+    parts = [bad_loads.select(load, F.lit(False).alias("accepted"), "reason"),
+             free.select(load, F.lit(True).alias("accepted"), F.lit(None).cast("string").alias("reason"))]
+    rows = place(rows, [key], ["_lo"])
+    while not rows.where(~F.col("_in")).isEmpty():
+        summed = placed_totals(rows, [key], {
+            "_sure": F.when(F.col("_in"), F.col("_d")).otherwise(0),
+            "_maybe": F.when(F.col("_in"), 0).otherwise(F.col("_d"))})
+        certain = (summed.where(~F.col("_in")).groupBy(load).agg(
+            F.min(F.col("_sure") + F.col("_maybe") <= F.col("_r")).alias("_yes"),
+            F.max(F.col("_sure") + F.col("_d") > F.col("_r")).alias("_no"))
+            .where(F.col("_yes") | F.col("_no")).select(load, F.col("_yes").alias("_ok")).checkpoint(eager=True))
+        parts.append(certain.select(load, F.col("_ok").alias("accepted"),
+                                    F.when(~F.col("_ok"), F.lit(SHORT)).alias("reason")))
+        rows = (rows.join(certain, load, "left").where(F.coalesce("_ok", F.lit(True)))
+                .withColumn("_in", F.col("_in") | F.coalesce("_ok", F.lit(False))).drop("_ok")
+                .checkpoint(eager=True))
+    loads = reduce(DataFrame.unionByName, parts)
+    accepted = items.join(loads.where(F.col("accepted")), load, "left_semi")
+    refused = (items.join(loads.where(~F.col("accepted")).select(load, "reason"), load, "inner")
                .select(*items.columns, "reason"))
-    return LoadAdmission(verdict, accepted, refused, _new_stock(products, accepted, key, qty))
-
-
-def _fold_loads(cand: DataFrame, load: str, key: str) -> DataFrame:
-    """Sequential pass over the remaining loads in order (one task; the
-    caller bounds the rows).  State: remaining stock of the products seen."""
-    x = cand.repartition(1).sortWithinPartitions("_lo", key)
-    schema = T.StructType([x.schema[load], T.StructField("accepted", T.BooleanType())])
-
-    def run(batches):
-        left: dict = {}
-        current, rows = None, []
-        out_ids, out_ok = [], []
-
-        def settle(rows):
-            fits = all(r is None or d <= left.get(p, r) for p, d, r in rows)
-            if fits:
-                for p, d, r in rows:
-                    if r is not None:
-                        left[p] = left.get(p, r) - d
-            return fits
-
-        for pdf in batches:
-            for lid, p, d, r in zip(pdf[load], pdf[key], pdf["_d"], pdf["_r"]):
-                r = None if pd.isna(r) else int(r)
-                if current is not None and lid != current:
-                    out_ids.append(current)
-                    out_ok.append(settle(rows))
-                    rows = []
-                current = lid
-                rows.append((p, int(d), r))
-        if current is not None:
-            out_ids.append(current)
-            out_ok.append(settle(rows))
-        yield pd.DataFrame({load: out_ids, "accepted": out_ok})
-    return x.mapInPandas(run, schema)
+    return LoadAdmission(loads, accepted, refused, _new_stock(products, accepted, key, qty))

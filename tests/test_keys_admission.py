@@ -60,16 +60,53 @@ def _items(spark, n=4000, seed=7):
     return lines, stock, items, products
 
 
-def test_greedy_rounds_and_fold_match_bruteforce(spark):
+def test_greedy_rounds_match_bruteforce(spark):
     lines, stock, items, products = _items(spark)
     want, left = _brute(lines, stock)
-    for kwargs in ({"fold_below": 0}, {"fold_below": 0, "max_rounds": 1}, {}):
-        res = admission.admit(items, products, mode="greedy", **kwargs)
-        got = {(r.order_id, r.line_no): True for r in res.accepted.collect()}
-        got.update({(r.order_id, r.line_no): False for r in res.refused.collect()})
-        assert got == want, kwargs
-        assert dict(rows(res.products)) == left
-        assert all(v is None or v >= 0 for v in dict(rows(res.products)).values())
+    res = admission.admit(items, products, mode="greedy")
+    got = {(r.order_id, r.line_no): True for r in res.accepted.collect()}
+    got.update({(r.order_id, r.line_no): False for r in res.refused.collect()})
+    assert got == want
+    assert dict(rows(res.products)) == left
+    assert all(v is None or v >= 0 for v in dict(rows(res.products)).values())
+
+
+def test_greedy_needs_few_rounds_for_a_hot_product(spark, monkeypatch):
+    """Half of the lines on one product, in the order that would settle two
+    lines a round (1, 100, 1, 99, ...): rounds stay below log2(stock) + 2."""
+    lines, stock = [], {1: 5000, 2: 700}
+    for i in range(1500):
+        q = 1 if i % 2 == 0 else 4800 - 3 * i if i < 1000 else 1 + i % 300
+        lines.append((i, 1, 1, dt.date(2000, 1, 1), q))
+        lines.append((i, 2, 2 + i % 9, dt.date(2000, 1, 1), 1 + i % 40))
+    stock |= {p: 50 * p for p in range(3, 11)}
+    items = spark.createDataFrame(lines, "order_id bigint, line_no int, product_id bigint, arrival date, quantity int")
+    items = items.withColumn("price", F.lit(1).cast("decimal(12,2)"))
+    products = spark.createDataFrame(list(stock.items()), "product_id bigint, stock int")
+    rounds, settle = [], admission._settle
+    monkeypatch.setattr(admission, "_settle", lambda *a: (rounds.append(1), settle(*a))[1])
+    res = admission.admit(items, products)
+    want, left = _brute(lines, stock)
+    assert {(r.order_id, r.line_no) for r in res.accepted.collect()} == {k for k, v in want.items() if v}
+    assert dict(rows(res.products)) == left
+    assert len(rounds) <= (5000).bit_length() + 1
+
+
+def test_levels_match_a_fold_on_random_cases(spark):
+    """Many small products at once: every product is one random case."""
+    rnd = random.Random(11)
+    lines, stock = [], {}
+    for p in range(3000):
+        top = rnd.choice([2, 5, 17, 64, 200])
+        stock[p] = rnd.randint(0, 3 * top)
+        lines += [(p, n, p, dt.date(2000, 1, 1), rnd.randint(1, top)) for n in range(rnd.randint(1, 14))]
+    items = spark.createDataFrame(lines, "order_id bigint, line_no int, product_id bigint, arrival date, quantity int")
+    items = items.withColumn("price", F.lit(1).cast("decimal(12,2)"))
+    products = spark.createDataFrame(list(stock.items()), "product_id bigint, stock int")
+    want, left = _brute(lines, stock)
+    res = admission.admit(items, products)
+    assert {(r.order_id, r.line_no) for r in res.accepted.collect()} == {k for k, v in want.items() if v}
+    assert dict(rows(res.products)) == left
 
 
 def test_atomic_all_or_nothing(spark):
@@ -121,9 +158,8 @@ def test_admit_loads_matches_bruteforce(spark):
                                   "load bigint, line bigint, product_id bigint, quantity int")
     products = spark.createDataFrame(list(stock.items()), "product_id bigint, stock int")
     want, left = _brute_loads(lines, stock)
-    for kwargs in ({"fold_below": 0}, {"fold_below": 0, "max_rounds": 2}, {}):
-        res = admission.admit_loads(items, products, "load", **kwargs)
-        got = {r.load: r.accepted for r in res.loads.collect()}
-        assert got == want, kwargs
-        assert dict(rows(res.products)) == left
-        assert res.accepted.count() + res.refused.count() == len(lines)
+    res = admission.admit_loads(items, products, "load")
+    got = {r.load: r.accepted for r in res.loads.collect()}
+    assert got == want
+    assert dict(rows(res.products)) == left
+    assert res.accepted.count() + res.refused.count() == len(lines)

@@ -46,7 +46,7 @@ def test_greedy_properties(spark, lines, stock):
     items = spark.createDataFrame(data, "order_id bigint, line_no int, product_id bigint, arrival date, quantity int")
     items = items.withColumn("price", F.lit(1).cast("decimal(12,2)"))
     products = spark.createDataFrame([(i + 1, s) for i, s in enumerate(stock)], "product_id bigint, stock int")
-    res = admission.admit(items, products, fold_below=0)
+    res = admission.admit(items, products)
     left = dict(enumerate(stock, start=1))
     want = {}
     for oid, _, p, day, q in sorted(data, key=lambda x: (x[3], x[0])):

@@ -85,7 +85,7 @@ def test_foreach_batch_admission_with_hot_product(spark):
     base = scratch_path(spark, "r1b-test")
     run_slices(spark, slices, f"{base}/in",
                lambda s: s.writeStream.foreachBatch(
-                   r1.admission_sink(products, f"{base}/stock", f"{base}/out", fold_below=0)),
+                   r1.admission_sink(products, f"{base}/stock", f"{base}/out")),
                f"{base}/ck")
     got = {(r.order_id, r.line_no): r.accepted for r in spark.read.parquet(f"{base}/out").collect()}
     batch = admission.admit(valid, products, mode="greedy")
