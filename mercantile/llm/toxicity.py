@@ -14,6 +14,7 @@ Fitting is bounded (``FIT_DOCS`` documents a class, each of at most
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -220,15 +221,14 @@ def _subset(words: Words, used: np.ndarray) -> tuple[Words, np.ndarray]:
 
 
 def _known(words: Words) -> dict[str, np.ndarray]:
-    """Which input rows occur in at least ``MIN_DOCS`` documents."""
+    """Which input rows occur in at least ``MIN_DOCS`` documents (n-grams: in
+    as many pairs of document and word)."""
+    n = max(1, len(words.word))
     doc = np.repeat(np.arange(len(words.counts)), words.counts)
-    doc, word = np.unique(np.stack([doc, words.text]), axis=1)
-    part, size = _subset(words, word)
-    out = {}
-    for k, rows, owner, n in (("word", part.word, doc, WORD_ROWS), ("gram", part.gram, np.repeat(doc, size), GRAM_ROWS)):
-        once = np.unique(owner * n + rows) % n
-        out[k] = np.bincount(once, minlength=n) >= MIN_DOCS
-    return out
+    docs = np.bincount(np.unique(doc * n + words.text) % n, minlength=n)[:len(words.word)]
+    size = np.diff(np.append(words.bounds, len(words.gram)))
+    return {"word": np.bincount(words.word, docs, WORD_ROWS) >= MIN_DOCS,
+            "gram": np.bincount(words.gram, np.repeat(docs, size), GRAM_ROWS) >= MIN_DOCS}
 
 
 def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> dict[str, np.ndarray]:
@@ -346,9 +346,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = docs.select(F.col(id_col).alias("doc_id"), clean_text(text_col).alias("text")).where(
         F.length("text") <= fit_chars)
     picked = [marks.where(F.col("y") == y).join(texts, "doc_id").select("turn", "doc_id", "text", "y")
-              .orderBy("turn", "doc_id", "text").limit(fit_docs).collect() for y in (0, 1)]
-    rows = [r for part in picked for r in part]
-    return fit([r["text"] for r in rows], np.array([r["y"] for r in rows], np.float32), seed)
+              .orderBy("turn", "doc_id", "text").limit(fit_docs) for y in (0, 1)]
+
+    def task(batches):
+        rows = pa.Table.from_batches(list(batches)).sort_by([("y", "ascending"), ("turn", "ascending"),
+                                                             ("doc_id", "ascending"), ("text", "ascending")])
+        model = fit(rows.column("text").to_pylist(), rows.column("y").to_numpy().astype(np.float32), seed)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # One task by design: the sample is bounded, the model has a fixed size.
+    fitted = picked[0].unionByName(picked[1]).repartition(1).mapInArrow(task, "model binary").collect()
+    return pickle.loads(fitted[0]["model"]) if fitted else fit([], np.zeros(0, np.float32), seed)
 
 
 def score_documents(docs: DataFrame, model: dict[str, np.ndarray], id_col: str = "doc_id",

@@ -193,11 +193,14 @@ def test_network_learns_words_and_stems(model):
 
 def test_any_window_of_a_long_text_counts(model):
     clean = cases.prose(99, 30_000)
-    assert logits(model, [clean])[0] < toxicity.POINT
+    before = logits(model, [clean])[0]
     for at in (0, 17_001, 29_999):
         w = clean.split()
-        w.insert(at, "idiot")
-        assert logits(model, [" ".join(w)])[0] >= toxicity.POINT
+        w[at:at] = ["idiot"] * 4
+        assert logits(model, [" ".join(w)])[0] > max(before, toxicity.POINT)
+    words = clean.split()
+    tops = [logits(model, [" ".join(words[i:i + toxicity.WINDOW])])[0] for i in range(0, 600, toxicity.STRIDE)]
+    assert logits(model, [" ".join(words[:600])])[0] == pytest.approx(max(tops[:-1]), abs=1e-5)
 
 
 def test_gradients():
