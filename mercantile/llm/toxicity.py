@@ -237,7 +237,7 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 11) -> dict[str, np.nd
     m = new_model(seed)
     labels = labels.astype(np.float32)
     if len(texts) == 0 or labels.min() == labels.max():
-        m["shift"] = np.array([-30.0 if len(texts) == 0 or labels.max() < 1 else 30.0], np.float32)
+        m["shift"] = np.array([30.0 if len(texts) == 0 or labels.max() < 1 else -30.0], np.float32)
         return m
     _, _, data, offsets = next(text_slices(pa.array(texts), 1 << 62))
     words = read_words(data, offsets)

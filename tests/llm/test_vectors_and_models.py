@@ -277,7 +277,8 @@ def test_pipeline_stages(spark, tmp_path):
     read = lambda name: spark.read.parquet(f"{folder}/{name}").collect()
     ids = lambda name: collections.Counter(r["doc_id"] for r in read(name))
     assert ids("line_dedup") == ids("toxicity")
-    assert set(ids("near_duplicates")) >= {0, 1, 2, 3} and 8 not in ids("near_duplicates")
+    kept = set(ids("near_duplicates"))  # 6 and 7 lost their line to 8; 9 and 10 are near copies of it
+    assert kept >= {0, 1, 2, 3, 6, 7, 8} and not kept & {9, 10}
     assert set(ids("packing")) == set(ids("mixing")) and set(ids("mixing")) <= set(ids("near_duplicates"))
     assert max(ids("mixing").values()) >= 2
 
