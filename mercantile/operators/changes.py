@@ -104,6 +104,19 @@ def update_by_key(df: DataFrame, patch: DataFrame, key: str, table: str | None =
             bad = bad | failing
     rejected = counted.where(bad).drop("_n")
     good = counted.where(~bad).drop("_n")
+    if table is not None:
+        clashes = []
+        for u in RULES[table].unique:
+            if u in cols:
+                mine = good.where(F.col(u).isNotNull()).select(key, F.col(u).alias("_v"))
+                held = df.where(F.col(u).isNotNull()).select(F.col(key).alias("_k"), F.col(u).alias("_v"))
+                clashes.append(mine.join(held, "_v").where(F.col("_k") != F.col(key)).select(key))
+                twice = mine.groupBy("_v").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+                clashes.append(mine.join(twice, "_v", "left_semi").select(key))
+        if clashes:
+            clash = reduce(DataFrame.unionByName, clashes).distinct()
+            rejected = rejected.unionByName(good.join(clash, key, "left_semi"))
+            good = good.join(clash, key, "left_anti")
     p = good.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_p_{c}") for c in cols])
     j = df.join(p, key, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))

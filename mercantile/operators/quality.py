@@ -113,12 +113,13 @@ class Validated(NamedTuple):
 
 
 def validate(df: DataFrame, table: str, parents: dict[str, DataFrame] | None = None,
-             existing: DataFrame | None = None) -> Validated:
+             existing: DataFrame | None = None, unique: bool = True) -> Validated:
     """Split rows into good and quarantined (with a ``reason`` text) in one pass.
 
     Row-local rules are one projection; each foreign key adds a left join with
     the distinct parent keys; duplicate keys (within ``df`` and, if given,
-    against ``existing`` rows of the table) add an aggregation joined back."""
+    against ``existing`` rows of the table) add an aggregation joined back,
+    unless ``unique`` is off."""
     parents = parents or {}
     reasons = [F.when(bad, F.lit(f"{rule}({col})")) for rule, col, bad in row_checks(table, df.columns)]
     x = df
@@ -130,7 +131,7 @@ def validate(df: DataFrame, table: str, parents: dict[str, DataFrame] | None = N
                                   F.lit(f"foreign_key({fk.column})")))
     r = RULES[table]
     uniques = ([list(r.primary_key)] if r.primary_key else []) + [[c] for c in r.unique]
-    for j, cols in enumerate(uniques):
+    for j, cols in enumerate(uniques if unique else []):
         if not all(c in df.columns for c in cols):
             continue
         counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(f"_u{j}"))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 
 from .workbook import write_workbooks
 
+SHEET_NAME_LIMIT = 31  # of the workbook format
+
 # Report names, file names and sheet names of the export menu.
 REPORTS = {
     "monthly_revenue": ("monthly_revenue_per_store", "Store Revenue"),
@@ -15,12 +17,16 @@ REPORTS = {
 }
 
 
+# Header row; quotes are doubled, as spreadsheet readers expect.
+CSV_FORMAT = {"header": "true", "quote": '"', "escape": '"'}
+
+
 def export_csv(df: DataFrame, folder: str, order_by: Sequence[str] | None = None) -> str:
     """Header row, NULL as an empty field, rows in ``order_by`` order
     across the part files (range-partitioned sort, written in parallel;
     no single-file funnel)."""
     out = df.orderBy(*order_by) if order_by else df
-    out.write.mode("overwrite").option("header", True).csv(folder)
+    out.write.mode("overwrite").options(**CSV_FORMAT).csv(folder)
     return folder
 
 
@@ -31,22 +37,23 @@ def export(df: DataFrame, folder: str, fmt: str, order_by: Sequence[str] | None
     kind = fmt.strip().upper()
     if kind not in ("CSV", "XLSX"):
         raise ValueError(f"invalid file format {fmt!r}: choose CSV or XLSX")
-    if df.isEmpty():
-        return None
-    if kind == "CSV":
-        if partition_by:
-            ordered = df.orderBy(*order_by) if order_by else df
-            ordered.write.mode("overwrite").option("header", True).partitionBy(*partition_by).csv(folder)
+    held = not df.is_cached  # computed once: for the emptiness check and the files
+    if held:
+        df = df.persist()
+    try:
+        if df.isEmpty():
+            return None
+        keys = list(partition_by or [])
+        # Range-sorted: a hot key spans tasks, each with files of its own.
+        out = df.orderBy(*keys, *(order_by or [])) if keys or order_by else df
+        if kind == "CSV":
+            w = out.write.mode("overwrite").options(**CSV_FORMAT)
+            (w.partitionBy(*keys) if keys else w).csv(folder)
             return folder
-        return export_csv(df, folder, order_by)
-    out = df
-    if partition_by:
-        out = out.repartition(*partition_by)
-        if order_by:
-            out = out.sortWithinPartitions(*partition_by, *order_by)
-    elif order_by:
-        out = out.orderBy(*order_by)
-    return write_workbooks(out, folder, sheet)
+        return write_workbooks(out, folder, sheet, per_key=keys)
+    finally:
+        if held:
+            df.unpersist()
 
 
 def export_all(reports: dict[str, DataFrame], base: str,
@@ -55,7 +62,9 @@ def export_all(reports: dict[str, DataFrame], base: str,
     (persisted while its files are written)."""
     written = {}
     for key, df in reports.items():
-        file_stem, sheet = REPORTS.get(key, (key, key[:31]))
+        file_stem, sheet = REPORTS.get(key, (key, key))
+        if len(sheet) > SHEET_NAME_LIMIT:
+            raise ValueError(f"a sheet name has at most {SHEET_NAME_LIMIT} characters: {sheet!r}")
         df = df.persist()
         try:
             for fmt in formats:

@@ -1,13 +1,17 @@
 """File ingest with the reference's all-or-nothing rule per file.
 
-One file is one transaction: a row that cannot be parsed or breaks a rule of
-the target table sends the whole file to quarantine.  Rules run set-wise
-(:func:`mercantile.operators.quality.validate`); the bad-file list is a
-distinct set of paths, so nothing is collected to the driver.
+One file is one transaction, and files are taken in path order: a row that
+cannot be parsed, breaks a rule of the target table or repeats a key of an
+earlier accepted file sends the whole file to quarantine.  Columns are mapped
+by the file's header; absent DEFAULT columns are filled.  Rules run set-wise
+(:func:`mercantile.operators.quality.validate`); no row reaches the driver.
 """
 
 from __future__ import annotations
 
+import csv
+import datetime as dt
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,28 +19,55 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.quality import validate
-from ..schemas import SCHEMAS
-from .workbook import cast_text, read_workbooks
+from ..schemas import RULES, SCHEMAS
+from ..session import ensure_checkpoint_dir
+from .export import CSV_FORMAT
+from .workbook import read_workbooks, typed
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    """S3: CSV files with a header row, typed by ``schema`` (no inference).
+def _layouts(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
+    """(header line, files) of the CSV files under ``path``.  The first line of
+    each file is found by a scan; what reaches the driver is file names, which
+    the reader lists there anyway."""
+    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
+             .select(F.col("_metadata.file_path").alias("file"), "value",
+                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    return [(r[0], sorted(r[1])) for r in first.groupBy("header").agg(F.collect_list("file")).collect()]
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S3: CSV files with a header row, columns mapped by name, typed by
+    ``schema``; doubled quotes and quoted line breaks as in RFC 4180.
 
     Fields are read as text and cast with ``try_cast``, so a bad value names
-    its column instead of nulling the row.  Extra columns: ``_file``,
-    ``_row`` (None) and ``_problem`` (malformed line or bad value)."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema]
-                        + [T.StructField("_corrupt", T.StringType())])
-    raw = (spark.read.schema(text).option("header", header)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
-           .csv(path))
-    casts = {f.name: cast_text(f.name, f.dataType) for f in schema}
-    failed = [F.when(F.col(f.name).isNotNull() & casts[f.name].isNull(), F.lit(f"bad value in {f.name}"))
-              for f in schema]
-    problem = F.coalesce(F.when(F.col("_corrupt").isNotNull(), F.lit("malformed line")), *failed)
-    return raw.select(*[casts[f.name].alias(f.name) for f in schema],
-                      F.col("_metadata.file_path").alias("_file"),
-                      F.lit(None).cast("long").alias("_row"), problem.alias("_problem"))
+    its column instead of nulling the row.  Extra columns: ``_file``, ``_row``
+    (None), ``_absent`` (columns the file does not have) and ``_problem``
+    (malformed line, bad value, or a header with unknown or repeated names,
+    which makes the file one problem row)."""
+    names = schema.fieldNames()
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names]
+                        + [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType()),
+                           T.StructField("_problem", T.StringType()), T.StructField("_absent", T.StringType())])
+    frames = []
+    for header, files in _layouts(spark, path):
+        found = [h.strip() for h in next(csv.reader([header.lstrip("\ufeff")]), [])]
+        unknown = sorted({h for h in found if h not in names or found.count(h) > 1})
+        if unknown:
+            frames.append(spark.createDataFrame(
+                [(*[None] * len(names), f, None, f"unknown columns {unknown}", "") for f in files], text))
+            continue
+        raw = (spark.read.schema(T.StructType([T.StructField(h, T.StringType()) for h in [*found, "_corrupt"]]))
+               .options(**CSV_FORMAT).option("multiLine", "true").option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", "_corrupt").csv(files))
+        absent = [n for n in names if n not in found]
+        frames.append(raw.select(
+            *[F.col(n) if n in found else F.lit(None).cast("string").alias(n) for n in names],
+            F.col("_metadata.file_path").alias("_file"), F.lit(None).cast("long").alias("_row"),
+            F.when(F.col("_corrupt").isNotNull(), F.lit("malformed line")).alias("_problem"),
+            F.lit(",".join(absent)).alias("_absent")))
+    raw = reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], text)
+    return typed(raw, schema)
 
 
 class Ingested(NamedTuple):
@@ -47,10 +78,12 @@ class Ingested(NamedTuple):
 
 def ingest(spark: SparkSession, path: str, table: str, fmt: str = "csv",
            parents: dict[str, DataFrame] | None = None, existing: DataFrame | None = None,
-           keep_source: bool = False) -> Ingested:
+           keep_source: bool = False, as_of: dt.date | None = None) -> Ingested:
     """Read a folder of CSV files or workbooks into ``table``'s schema,
     check its rules, and keep only files without a single bad row
-    (``keep_source`` keeps the ``_file`` column on the accepted rows)."""
+    (``keep_source`` keeps the ``_file`` column on the accepted rows).
+    ``as_of`` is the value of DEFAULT columns that a file does not have."""
+    ensure_checkpoint_dir(spark)
     schema = SCHEMAS[table]
     fmt = fmt.lower()
     if fmt == "csv":
@@ -59,21 +92,81 @@ def ingest(spark: SparkSession, path: str, table: str, fmt: str = "csv",
         raw = read_workbooks(spark, path, schema)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
+    today = F.lit(as_of) if as_of is not None else F.current_date()
+    for c in RULES[table].defaults:
+        if c in schema.fieldNames():
+            lacks = F.array_contains(F.split("_absent", ","), c) & F.col("_problem").isNull()
+            raw = raw.withColumn(c, F.when(lacks, today.cast(schema[c].dataType)).otherwise(F.col(c)))
+    # Rules, keys and files all look at the parsed rows: read the files once.
+    raw = raw.drop("_absent").checkpoint(eager=True)
     parsed = raw.where(F.col("_problem").isNull())
-    checked = validate(parsed.drop("_problem"), table, parents, existing)
+    checked = validate(parsed.drop("_problem"), table, parents, unique=False)
+    names = schema.fieldNames()
     bad_rows = (raw.where(F.col("_problem").isNotNull())
-                .select(*schema.fieldNames(), "_file", "_row", F.col("_problem").alias("reason"))
-                .unionByName(checked.quarantine.select(*schema.fieldNames(), "_file", "_row", "reason")))
+                .select(*names, "_file", "_row", F.col("_problem").alias("reason"))
+                .unionByName(checked.quarantine.select(*names, "_file", "_row", "reason")))
     bad_files = bad_rows.groupBy("_file").agg(F.count(F.lit(1)).alias("bad_rows"),
-                                              F.min("reason").alias("first_reason"))
+                                              F.min("reason").alias("first_reason")).checkpoint(eager=True)
+    clean = checked.good.join(bad_files.select("_file"), "_file", "left_anti")
+    repeats = _repeated_keys(clean, table, existing)
+    bad_files = bad_files.unionByName(repeats)
     accepted = checked.good.join(bad_files.select("_file"), "_file", "left_anti")
-    held = checked.good.join(bad_files.select("_file"), "_file", "left_semi").withColumn(
-        "reason", F.lit("file has bad rows"))
+    held = checked.good.join(bad_files.select("_file", F.col("first_reason").alias("_why")), "_file")
+    held = held.withColumn("reason", F.when(F.col("_why").startswith("duplicate"), F.col("_why"))
+                           .otherwise(F.lit("file has bad rows")))
     quarantine = bad_rows.unionByName(held.select(*bad_rows.columns))
-    keep = [*schema.fieldNames(), "_file"] if keep_source else schema.fieldNames()
+    keep = [*names, "_file"] if keep_source else names
     return Ingested(accepted.select(*keep), quarantine, bad_files)
 
 
+def _repeated_keys(rows: DataFrame, table: str, existing: DataFrame | None) -> DataFrame:
+    """Files refused because a key (or UNIQUE value) is in the table already,
+    twice in the file, or in an earlier accepted file: _file, bad_rows,
+    first_reason.
+
+    Only values that several files hold are looked at file by file: a round
+    refuses the files that share one with an accepted file and accepts those
+    that are the first undecided file for all their values, so it decides the
+    first undecided file at least."""
+    r = RULES[table]
+    uniques = [c for c in [list(r.primary_key), *[[u] for u in r.unique]]
+               if c and all(x in rows.columns for x in c)]
+    out = rows.sparkSession.createDataFrame([], "_file string, bad_rows long, first_reason string")
+    if not uniques:
+        return out
+    values = lambda df, *more: reduce(DataFrame.unionByName, [
+        df.where(reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in c]))
+        .select(*more, F.lit(",".join(c)).alias("_rule"), F.to_json(F.struct(*c)).alias("_value")) for c in uniques])
+    held = values(rows, "_file").groupBy("_file", "_rule", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    held = held.withColumn("_old", F.lit(False))
+    if existing is not None:
+        old = values(existing).distinct().withColumn("_there", F.lit(True))
+        held = (held.join(old, ["_rule", "_value"], "left")
+                .withColumn("_old", F.col("_there").isNotNull()).drop("_there"))
+    held = held.checkpoint(eager=True)
+    reason = F.concat(F.lit("duplicate("), F.col("_rule"), F.lit(")")).alias("reason")
+    mine = F.when(F.col("_old"), F.col("_n")).otherwise(F.col("_n") - 1).alias("n")
+    refused = [held.where((F.col("_n") > 1) | F.col("_old")).select("_file", mine, reason)
+               .groupBy("_file").agg(F.sum("n").alias("bad_rows"), F.min("reason").alias("first_reason"))]
+    open_ = held.join(refused[0], "_file", "left_anti")
+    shared = open_.groupBy("_rule", "_value").agg(F.count(F.lit(1)).alias("_files")).where("_files > 1")
+    open_ = (open_.join(shared, ["_rule", "_value"], "left_semi").select("_file", "_rule", "_value")
+             .withColumn("_in", F.lit(False)).checkpoint(eager=True))
+    while not open_.where(~F.col("_in")).isEmpty():
+        state = open_.groupBy("_rule", "_value").agg(
+            F.max("_in").alias("_taken"), F.min(F.when(~F.col("_in"), F.col("_file"))).alias("_first"))
+        seen = (open_.where(~F.col("_in")).join(state, ["_rule", "_value"])
+                .groupBy("_file").agg(F.sum(F.col("_taken").cast("long")).alias("bad_rows"),
+                                      F.min(F.when(F.col("_taken"), reason)).alias("first_reason"),
+                                      F.min(F.col("_first") == F.col("_file")).alias("_next")).checkpoint(eager=True))
+        lost = seen.where("bad_rows > 0").select("_file", "bad_rows", "first_reason")
+        won = seen.where("bad_rows = 0 AND _next").select("_file", F.lit(True).alias("_won"))
+        refused.append(lost)
+        open_ = (open_.join(lost, "_file", "left_anti").join(won, "_file", "left")
+                 .withColumn("_in", F.col("_in") | F.col("_won").isNotNull()).drop("_won").checkpoint(eager=True))
+    return reduce(DataFrame.unionByName, refused, out)
+
+
 def load_order_lines(spark: SparkSession, path: str, products: DataFrame, fmt: str = "xlsx",
                      parents: dict[str, DataFrame] | None = None):
     """The ingest-with-trigger path (E2): every file of order lines is one

@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
+from ..session import path_exists, shuffle_partitions
+
+LOG_SCHEMA = "name string, version int, written_at timestamp_ntz"
 
 
 class Appended(NamedTuple):
     table: DataFrame
     added: DataFrame
-    conflicts: DataFrame | None = None
+    conflicts: DataFrame
 
 
 def append_new(existing: DataFrame, batch: DataFrame, key: Sequence[str] | str,
@@ -28,28 +31,25 @@ def append_new(existing: DataFrame, batch: DataFrame, key: Sequence[str] | str,
     repeated in a third of the batch is reduced map-side, not in one task.
 
     Only the named key is tolerated: a clash on another ``unique`` column
-    (with the table or inside the rows to add) is an error that refuses the
-    whole statement; ``conflicts`` lists the clashing values."""
+    (with the table or inside the rows to add) and a NULL in the key are errors
+    that refuse the whole statement; ``conflicts`` lists the values."""
     key = [key] if isinstance(key, str) else list(key)
     cols = batch.columns
-    first = (batch.groupBy(*key)
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    first = (batch.where(~no_key).groupBy(*key)
              .agg(F.min_by(F.struct(*cols), F.struct(*[F.col(c) for c in order])).alias("_row"))
              .select("_row.*"))
     added = first.join(existing.select(*key), key, "left_anti").select(*existing.columns)
-    if not unique:
-        return Appended(existing.unionByName(added), added)
-    spark = existing.sparkSession
-    clashes = []
+    conflicts = (batch.where(no_key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 0)
+                 .select(F.lit(",".join(key)).alias("column_name"), F.lit(None).cast("string").alias("value"), "rows"))
     for c in unique:
         both = (added.select(F.col(c).alias("_v"), F.lit(1).alias("_new"))
                 .unionByName(existing.select(F.col(c).alias("_v"), F.lit(0).alias("_new"))))
-        clashes.append(both.where(F.col("_v").isNotNull()).groupBy("_v")
-                       .agg(F.count(F.lit(1)).alias("rows"), F.sum("_new").alias("_new"))
-                       .where((F.col("rows") > 1) & (F.col("_new") > 0))
-                       .select(F.lit(c).alias("column_name"), F.col("_v").cast("string").alias("value"), "rows"))
-    conflicts = clashes[0]
-    for extra in clashes[1:]:
-        conflicts = conflicts.unionByName(extra)
+        conflicts = conflicts.unionByName(
+            both.where(F.col("_v").isNotNull()).groupBy("_v")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("_new").alias("_new"))
+            .where((F.col("rows") > 1) & (F.col("_new") > 0))
+            .select(F.lit(c).alias("column_name"), F.col("_v").cast("string").alias("value"), "rows"))
     ok = conflicts.select(F.count(F.lit(1)) == 0).scalar()
     kept = added.where(ok)
     return Appended(existing.unionByName(kept), kept, conflicts)
@@ -62,12 +62,14 @@ class Checked(NamedTuple):
 
 def append(existing: DataFrame, batch: DataFrame, key: Sequence[str] | str) -> Checked:
     """Plain INSERT; a duplicate key (against the table or inside the
-    batch) is an error that refuses the whole batch.  ``duplicates`` lists
-    the offending keys; the decision is a one-row scalar flag."""
+    batch) or a NULL in the key is an error that refuses the whole batch.
+    ``duplicates`` lists the offending keys; the decision is a one-row scalar
+    flag."""
     key = [key] if isinstance(key, str) else list(key)
     counts = (batch.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
               .join(existing.select(*key).distinct().withColumn("_old", F.lit(1)), key, "left"))
-    dups = counts.where((F.col("_n") > 1) | F.col("_old").isNotNull()).select(
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    dups = counts.where((F.col("_n") > 1) | F.col("_old").isNotNull() | no_key).select(
         *key, (F.col("_n") + F.coalesce(F.col("_old"), F.lit(0))).alias("rows"))
     ok = dups.select(F.count(F.lit(1)) == 0).scalar()
     return Checked(existing.unionByName(batch.where(ok).select(*existing.columns)), dups)
@@ -99,20 +101,21 @@ class Snapshots:
         return f"{self.root}/_versions"
 
     def versions(self, name: str) -> list[int]:
-        try:
-            log = self.spark.read.parquet(self._log())
-        except Exception:  # noqa: BLE001  (no log yet)
+        """Versions in order; none only where no log was ever written.  A log
+        that cannot be read is an error, never an empty history."""
+        if not path_exists(self.spark, self._log()):
             return []
+        log = self.spark.read.schema(LOG_SCHEMA).parquet(self._log())
         return sorted(r.version for r in log.where(F.col("name") == name).select("version").collect())
 
     def path(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version}"
 
     def write(self, name: str, df: DataFrame) -> int:
-        v = (max(self.versions(name)) + 1) if self.versions(name) else 1
-        df.write.mode("overwrite").parquet(self.path(name, v))
-        entry = self.spark.createDataFrame(
-            [(name, v, dt.datetime.now())], "name string, version int, written_at timestamp_ntz")
+        """A version is written once: an existing folder is an error."""
+        v = max(self.versions(name), default=0) + 1
+        df.write.mode("errorifexists").parquet(self.path(name, v))
+        entry = self.spark.createDataFrame([(name, v, dt.datetime.now())], LOG_SCHEMA)
         entry.write.mode("append").parquet(self._log())
         return v
 

@@ -7,8 +7,8 @@ reads and writes the one-sheet SpreadsheetML subset the jobs need:
   one file at a time on the executors into text columns named by the header
   row, and Spark casts them to the target schema;
 * export: a Python data source writer; every task streams its partition into
-  its own workbook, rolling to a new file at the sheet row limit.  The
-  target folder must be a path the executors can open (a shared mount).
+  its own workbook, rolling to a new file at the sheet row limit, through
+  Arrow's file systems; files appear in the target folder at the commit.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ import datetime as dt
 import io
 import itertools
 import os
+import re
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
@@ -73,6 +74,23 @@ def column_index(ref: str) -> int:
     return n - 1
 
 
+class Number(str):
+    """Text of a numeric cell."""
+
+
+_ESCAPED = re.compile("_x([0-9A-Fa-f]{4})_")
+_ILLEGAL = re.compile("[\x00-\x08\x0b\x0c\x0d\x0e-\x1f\ufffe\uffff]|_(?=x[0-9A-Fa-f]{4}_)")
+
+
+def encode_text(text: str) -> str:
+    """Characters that XML cannot hold, as the format's ``_xHHHH_``."""
+    return _ILLEGAL.sub(lambda m: f"_x{ord(m[0]):04X}_", text)
+
+
+def decode_text(text: str) -> str:
+    return _ESCAPED.sub(lambda m: chr(int(m[1], 16)), text)
+
+
 def _cell(ref: str, value) -> str:
     if value is None:
         return ""
@@ -82,7 +100,7 @@ def _cell(ref: str, value) -> str:
         return f'<c r="{ref}"><v>{value}</v></c>'
     if isinstance(value, (dt.date, dt.datetime)):
         value = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat()
-    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(str(value))}</t></is></c>'
+    return f'<c r="{ref}" t="inlineStr"><is><t xml:space="preserve">{escape(encode_text(str(value)))}</t></is></c>'
 
 
 def write_workbook(fileobj, sheet: str, header: list[str], rows: Iterable[tuple]) -> int:
@@ -121,7 +139,7 @@ def read_workbook(data: bytes) -> tuple[list[str], list[list[str | None]]]:
     shared: list[str] = []
     if "xl/sharedStrings.xml" in z.namelist():
         for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{{{MAIN_NS}}}si"):
-            shared.append("".join(t.text or "" for t in si.iter(f"{{{MAIN_NS}}}t")))
+            shared.append(decode_text("".join(t.text or "" for t in si.iter(f"{{{MAIN_NS}}}t"))))
     rows: list[list[str | None]] = []
     with z.open(path) as f:
         for _, el in ET.iterparse(f):
@@ -132,12 +150,14 @@ def read_workbook(data: bytes) -> tuple[list[str], list[list[str | None]]]:
                 col = column_index(c.get("r")) if c.get("r") else i
                 kind = c.get("t")
                 if kind == "inlineStr":
-                    val = "".join(t.text or "" for t in c.iter(f"{{{MAIN_NS}}}t"))
+                    val = decode_text("".join(t.text or "" for t in c.iter(f"{{{MAIN_NS}}}t")))
                 else:
                     v = c.find(f"{{{MAIN_NS}}}v")
                     val = None if v is None else v.text
                     if kind == "s" and val is not None:
                         val = shared[int(val)]
+                    elif kind in (None, "n") and val is not None:
+                        val = Number(val)
                     elif kind == "b" and val is not None:
                         val = "true" if val == "1" else "false"
                 row[col] = val
@@ -150,27 +170,38 @@ def read_workbook(data: bytes) -> tuple[list[str], list[list[str | None]]]:
     return header, rows[1:]
 
 
+def serial_date(text: str) -> str:
+    """A numeric cell of a date column as ISO date; out of range it stays as it
+    is and fails to parse later."""
+    days = float(text)
+    return (EXCEL_EPOCH + dt.timedelta(days=int(days))).isoformat() if 1 <= days < 2_958_466 else str(text)
+
+
 def _parse_files(target: T.StructType):
     names = target.fieldNames()
+    dates = {f.name for f in target if isinstance(f.dataType, T.DateType)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 out = {n: [] for n in names}
-                rownums, problem = [], None
+                rownums, problem, absent = [], None, []
                 try:
                     header, rows = read_workbook(bytes(content))
                     unknown = [h for h in header if h and h not in names]
                     if unknown:
                         problem = f"unknown columns {unknown}"
                     pos = {h: i for i, h in enumerate(header)}
+                    absent = [n for n in names if n not in pos]
                     for k, row in enumerate(rows, start=2):
                         if not any(v not in (None, "") for v in row):
                             continue
                         for n in names:
                             i = pos.get(n)
                             v = row[i] if i is not None and i < len(row) else None
-                            out[n].append(None if v == "" else v)
+                            if n in dates and isinstance(v, Number):
+                                v = serial_date(v)
+                            out[n].append(None if v is None or v == "" else str(v))
                         rownums.append(k)
                 except Exception as e:  # noqa: BLE001  (a broken file is quarantined)
                     problem = f"unreadable workbook: {type(e).__name__}"
@@ -180,39 +211,41 @@ def _parse_files(target: T.StructType):
                 frame["_file"] = path
                 frame["_row"] = pd.array(rownums, dtype="Int64")
                 frame["_problem"] = problem
+                frame["_absent"] = ",".join(absent)
                 yield frame
     return run
 
 
 def cast_text(c: str, dtype: T.DataType):
-    """Text cell -> typed value, NULL when it does not parse (dates also from
-    a spreadsheet serial number)."""
-    col = F.col(c)
+    """Text -> typed value, NULL when it does not parse.  Dates are ISO."""
     if isinstance(dtype, T.DateType):
-        serial = F.expr(f"try_cast({c} AS double)")
-        return F.coalesce(F.expr(f"try_cast({c} AS date)"),
-                          F.date_add(F.lit(EXCEL_EPOCH), serial.cast("int")))
+        return F.when(F.col(c).rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), F.expr(f"try_cast({c} AS date)"))
     return F.expr(f"try_cast({c} AS {dtype.simpleString()})")
 
 
+def typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cast to ``schema``; a value that does not parse is named
+    in ``_problem``.  Keeps ``_file``, ``_row``, ``_absent``."""
+    casts = {f.name: cast_text(f.name, f.dataType) for f in schema}
+    failed = [F.when(F.col(f.name).isNotNull() & casts[f.name].isNull(), F.lit(f"bad value in {f.name}"))
+              for f in schema]
+    return raw.select(*[casts[f.name].alias(f.name) for f in schema], "_file", "_row", "_absent",
+                      F.coalesce(F.col("_problem"), *failed).alias("_problem"))
+
+
 def read_workbooks(spark: SparkSession, path: str, schema: T.StructType,
                    glob: str = "*.xlsx") -> DataFrame:
     """Every workbook under ``path`` as rows of ``schema`` plus
-    ``_file``, ``_row`` and ``_problem`` (cast failures and unreadable files
-    are named there; see :func:`mercantile.sources.ingest.ingest` for the
-    all-or-nothing rule per file)."""
+    ``_file``, ``_row``, ``_absent`` (columns the file does not have) and
+    ``_problem`` (cast failures and unreadable files are named there; see
+    :func:`mercantile.sources.ingest.ingest` for the all-or-nothing rule per
+    file)."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema]
                         + [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType()),
-                           T.StructField("_problem", T.StringType())])
+                           T.StructField("_problem", T.StringType()), T.StructField("_absent", T.StringType())])
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    raw = files.mapInPandas(_parse_files(schema), text)
-    casts = {f.name: cast_text(f.name, f.dataType) for f in schema}
-    failed = [F.when(F.col(f.name).isNotNull() & casts[f.name].isNull(), F.lit(f"bad value in {f.name}"))
-              for f in schema]
-    problem = F.coalesce(F.col("_problem"), *failed)
-    return raw.select(*[casts[f.name].alias(f.name) for f in schema], "_file", "_row",
-                      problem.alias("_problem"))
+    return typed(files.mapInPandas(_parse_files(schema), text), schema)
 
 
 class WorkbookSource(DataSource):
@@ -223,56 +256,105 @@ class WorkbookSource(DataSource):
         return "workbook"
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
-        return WorkbookWriter(self.options, schema)
+        return WorkbookWriter(self.options, schema, overwrite)
+
+
+def file_system(folder: str):
+    """(file system, path) of a folder; any scheme that Arrow's file systems
+    reach from the workers, plain paths are local or mounted ones."""
+    from pyarrow import fs
+    if "://" not in folder and not folder.startswith("file:"):
+        return fs.LocalFileSystem(), os.path.abspath(folder)
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), local_path(folder)
+    return fs.FileSystem.from_uri(folder)
 
 
 def local_path(folder: str) -> str:
-    """The writer opens files with Python, so the folder must be a mounted
-    path; ``file:`` URIs are accepted, other schemes are refused."""
+    """Path of a ``file:`` URI."""
     if folder.startswith("file:"):
         folder = folder[5:]
         while folder.startswith("//"):
             folder = folder[1:]
-    elif "://" in folder:
-        raise ValueError(f"workbook export needs a mounted shared path, got {folder!r}")
     return folder
 
 
 class WorkbookWriter(DataSourceWriter):
-    def __init__(self, options, schema: T.StructType):
-        self.folder = local_path(options.get("path"))
+    """Tasks write into a staging folder of their write; the commit moves the
+    files in (overwriting: after the workbooks that were there are gone), an
+    abort drops the staging folder.  With ``per_key`` columns a workbook holds
+    one key only; rows come sorted by key."""
+
+    def __init__(self, options, schema: T.StructType, overwrite: bool):
+        self.folder = options.get("path")
+        self.overwrite = overwrite
         self.sheet = options.get("sheet", "Sheet1")
         self.header = schema.fieldNames()
         self.limit = int(options.get("max_rows", SHEET_ROW_LIMIT - 1))
         self.write_id = options.get("write_id") or uuid.uuid4().hex[:12]
+        self.keys = [self.header.index(k) for k in options.get("per_key", "").split(",") if k]
+
+    def _staging(self, path: str) -> str:
+        return f"{path}/_staging-{self.write_id}"
 
     def write(self, iterator) -> WriterCommitMessage:
         """Rows stream from the task's iterator into the open sheet; after
-        ``max_rows`` rows a new workbook starts.  Nothing is buffered."""
+        ``max_rows`` rows, or with a new key, a new workbook starts.  Nothing
+        is buffered."""
         from pyspark import TaskContext
-        os.makedirs(self.folder, exist_ok=True)
+        fs, path = file_system(self.folder)
+        staging = self._staging(path)
+        fs.create_dir(staging, recursive=True)
         ctx = TaskContext.get()
         # Deterministic per write call and partition: a retried or
         # speculative attempt replaces the same files instead of adding more.
         tag = f"{self.write_id}-{ctx.partitionId() if ctx else 0:05d}"
-        files, part = [], 0
-        rows = iter(iterator)
-        while (first := next(rows, None)) is not None:
-            chunk = itertools.chain([tuple(first)],
-                                    (tuple(r) for r in itertools.islice(rows, self.limit - 1)))
-            name = os.path.join(self.folder, f"part-{tag}-{part:04d}.xlsx")
-            with open(name + ".tmp", "wb") as f:
-                write_workbook(f, self.sheet, self.header, chunk)
-            os.replace(name + ".tmp", name)
-            files.append(name)
-            part += 1
+        files = []
+        for _, rows in itertools.groupby(iterator, lambda r: tuple(r[k] for k in self.keys)):
+            while (first := next(rows, None)) is not None:
+                chunk = itertools.chain([tuple(first)],
+                                        (tuple(r) for r in itertools.islice(rows, self.limit - 1)))
+                name = f"part-{tag}-{len(files):04d}.xlsx"
+                attempt = f"{staging}/.{name}-{ctx.attemptNumber() if ctx else 0}"
+                with fs.open_output_stream(attempt) as f:
+                    write_workbook(_Forward(f), self.sheet, self.header, chunk)
+                fs.move(attempt, f"{staging}/{name}")
+                files.append(name)
         return WorkbookCommit(files)
 
-    def abort(self, messages) -> None:
-        for m in messages or []:
+    def commit(self, messages) -> None:
+        from pyarrow.fs import FileSelector
+        fs, path = file_system(self.folder)
+        if self.overwrite:
+            for old in fs.get_file_info(FileSelector(path, allow_not_found=True)):
+                if old.base_name.endswith(".xlsx"):
+                    fs.delete_file(old.path)
+        for m in messages:
             for name in getattr(m, "files", []):
-                if os.path.exists(name):
-                    os.remove(name)
+                fs.move(f"{self._staging(path)}/{name}", f"{path}/{name}")
+        self._drop(fs, path)
+
+    def abort(self, messages) -> None:
+        self._drop(*file_system(self.folder))
+
+    def _drop(self, fs, path: str) -> None:
+        from pyarrow.fs import FileType
+        if fs.get_file_info(self._staging(path)).type == FileType.Directory:
+            fs.delete_dir(self._staging(path))
+
+
+class _Forward(io.RawIOBase):
+    """An output stream that zip can write to without seeking."""
+
+    def __init__(self, out):
+        self.out = out
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.out.write(bytes(data))
+        return len(data)
 
 
 class WorkbookCommit(WriterCommitMessage):
@@ -284,11 +366,13 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WorkbookSource)
 
 
-def write_workbooks(df: DataFrame, folder: str, sheet: str, max_rows: int | None = None) -> str:
-    """One workbook per task (``df`` partitioning decides the files)."""
+def write_workbooks(df: DataFrame, folder: str, sheet: str, max_rows: int | None = None,
+                    mode: str = "overwrite", per_key: Sequence[str] = ()) -> str:
+    """One workbook per task (``df`` partitioning decides the files), or
+    with ``per_key`` at least one per key, each of one key only."""
     register(df.sparkSession)
-    w = (df.write.format("workbook").mode("append").option("sheet", sheet)
-         .option("write_id", uuid.uuid4().hex[:12]))
+    w = (df.write.format("workbook").mode(mode).option("sheet", sheet)
+         .option("write_id", uuid.uuid4().hex[:12]).option("per_key", ",".join(per_key)))
     if max_rows:
         w = w.option("max_rows", str(max_rows))
     w.save(folder)
