@@ -345,8 +345,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .where(~held_out("doc_id")).withColumn("turn", F.xxhash64(F.lit("fit"), "doc_id")))
     texts = docs.select(F.col(id_col).alias("doc_id"), clean_text(text_col).alias("text")).where(
         F.length("text") <= fit_chars)
-    picked = [marks.where(F.col("y") == y).join(texts, "doc_id").select("turn", "doc_id", "text", "y")
-              .orderBy("turn", "doc_id", "text").limit(fit_docs) for y in (0, 1)]
+    # Ids are chosen first, so that only the texts of the sample move.
+    fits = texts.select("doc_id").distinct()
+    chosen = [marks.where(F.col("y") == y).join(fits, "doc_id", "left_semi").orderBy("turn", "doc_id").limit(fit_docs)
+              for y in (0, 1)]
+    ids = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * fit_docs rows
+    picked = texts.join(ids, "doc_id").groupBy("y", "turn", "doc_id").agg(F.min("text").alias("text"))
 
     def task(batches):
         rows = pa.Table.from_batches(list(batches)).sort_by([("y", "ascending"), ("turn", "ascending"),
@@ -355,7 +359,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     # One task by design: the sample is bounded, the model has a fixed size.
-    fitted = picked[0].unionByName(picked[1]).repartition(1).mapInArrow(task, "model binary").collect()
+    fitted = picked.repartition(1).mapInArrow(task, "model binary").collect()
     return pickle.loads(fitted[0]["model"]) if fitted else fit([], np.zeros(0, np.float32), seed)
 
 
