@@ -9,14 +9,20 @@ at least o(a, b) = ceil(p (a + b) / (100 + p)).
   small set cost no more than its lists.
 * Large sets go into inverted lists.  A list on a single shingle would hold
   every document of a shared passage, so the lists are keyed by blocks of the
-  shingle space: similar sets of a size class differ in at most k shingles,
-  hence agree on at least one block when the space is cut into k + 1 blocks by
-  hash (on a non-empty one with some blocks to spare).  A key is (class, block,
-  content of the block), which loses no pair and is rarely shared by chance.
-
-Sets that share a key form families; families are verified exactly, in tiles
-of bounded size, by counting overlaps; links become connected components.
-Equal sets are one class throughout, however many copies there are.
+  shingle space: similar sets of a size class differ in at most k shingles, so
+  of k + 1 + s blocks cut by hash at least s + 1 agree.  A key is (class,
+  block, content of the block).  A pair needs s + 1 common lists, less the
+  blocks that may be empty in both.
+* Lists are scanned pair by pair up to ``LONG_LIST`` entries.  Longer lists
+  (popular passages, large groups of near copies) are left out where that loses
+  nothing: a set with h long lists still shares s + 1 - h others with every
+  similar set.  Only sets with more long lists than that are connected through
+  the long lists themselves, each to the least set of the list.
+
+Sets connected by enough common lists form families; families are verified
+exactly, in tiles of bounded size, by counting overlaps; links become
+connected components.  Equal sets are one class throughout, however many
+copies there are.
 """
 
 from __future__ import annotations
@@ -38,8 +44,11 @@ LIST_COST = 4
 #: Shingles and sets of one tile: bounds a task's memory.
 TILE_SHINGLES = 400_000
 TILE_SETS = 1_000
-#: Shared keys are sent to the tasks below this many, joined beyond it (16 bytes each).
-BROADCAST_KEYS = 2_000_000
+#: Entries of a list up to which its pairs are scanned.
+LONG_LIST = 64
+#: Shared keys, and sets of families, are sent to the tasks below this many
+#: (17 bytes each), joined beyond it.
+BROADCAST_KEYS = 4_000_000
 
 
 def overlap_needed(a: int, b: int, percent: int) -> int:
@@ -119,11 +128,11 @@ def subset_keys(parts: np.ndarray, percent: int, top: int) -> np.ndarray:
     return np.concatenate(keys) if keys else np.zeros(0, U)
 
 
-def block_keys(hashes: np.ndarray, sizes: np.ndarray, percent: int, top: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, set number) of the inverted lists every set belongs to: its own
-    class and, where a similar set may be in it, the next one."""
-    keys, sets = [], []
-    ends = np.cumsum(sizes)
+def block_keys(hashes: np.ndarray, sizes: np.ndarray, percent: int, top: int) -> tuple[np.ndarray, ...]:
+    """(key, set number, class, common lists needed) of the inverted lists
+    every set belongs to: its own class and, where a similar set may be in it,
+    the next one."""
+    parts = []
     where = np.repeat(np.arange(len(sizes)), sizes)
     content = mix(hashes + U(0x5851F42D4C957F2D))
     for step in (0, 1):
@@ -156,12 +165,12 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, percent: int, top: int) ->
                               for i, (c, u) in enumerate(zip(cls, use, strict=True))])
         show = filled | lists_all[owner]
         tag = mix((cls[owner].astype(U) << U(32)) ^ nth.astype(U) ^ U(0xB10C << 48))
-        keys.append(mix(sums ^ tag)[show])
-        sets.append(owner[show])
-    if not keys:
-        return np.zeros(0, U), np.zeros(0, np.int64)
-    del ends
-    return np.concatenate(keys), np.concatenate(sets)
+        spare = np.array([shape[int(c)][1] if u else 0 for c, u in zip(cls, use, strict=True)])
+        owner = owner[show]
+        parts.append((mix(sums ^ tag)[show], owner, cls[owner], (spare + 1 - empty)[owner]))
+    if not parts:
+        return np.zeros(0, U), *[np.zeros(0, np.int64)] * 3
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def _sets(text, width):
@@ -175,16 +184,21 @@ def _sets(text, width):
 
 
 def _keys(hashes, sizes, percent):
+    """(key, set number, class, common lists needed); subset keys are class -1
+    and one of them is enough."""
     top = boundary(percent)
-    keys, sets = block_keys(hashes, sizes, percent, top)
+    keys, sets, cls, need = block_keys(hashes, sizes, percent, top)
     ends = np.cumsum(sizes)
     small = np.flatnonzero((sizes > 0) & (sizes <= top))
     if len(small):
         parts = [subset_keys(mix(hashes[ends[i] - sizes[i]:ends[i]] + U(0x5851F42D4C957F2D)), percent, top)
                  for i in small]
+        count = [len(p) for p in parts]
         keys = np.concatenate([keys, *parts])
-        sets = np.concatenate([sets, np.repeat(small, [len(p) for p in parts])])
-    return keys, sets
+        sets = np.concatenate([sets, np.repeat(small, count)])
+        cls = np.concatenate([cls, np.full(sum(count), -1)])
+        need = np.concatenate([need, np.ones(sum(count), np.int64)])
+    return keys, sets, cls, need
 
 
 def _emit_keys(width, percent):
@@ -196,44 +210,88 @@ def _emit_keys(width, percent):
                 keep = np.zeros(len(sizes), bool)
                 keep[once] = True
                 hashes, prints, sizes = hashes[np.repeat(keep, sizes)], prints[keep], sizes[keep]
-                keys, sets = _keys(hashes, sizes, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(prints[sets])],
-                                                 ["key", "print"])
+                keys, sets, cls, need = _keys(hashes, sizes, percent)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), pa.array(prints[sets]), pa.array(sizes[sets].astype(np.int64)),
+                     pa.array(cls.astype(np.int32)), pa.array(need.astype(np.int32))],
+                    ["key", "print", "n", "cls", "need"])
     return run
 
 
-def _emit_sets(width, percent, shared):
-    """Rows (doc_id, n, print, hubs, hashes); hashes only for sets that have a
-    shared key, once per slice.  ``shared`` holds the sorted shared keys and
-    the hub of each, or None: then every set is shipped."""
+LISTED = "key long, print long, n long, cls int, need int, hub long, long boolean"
+
+
+def _emit_listed(width, percent, shared):
+    """The same for keys that several sets share, with the list's hub and
+    whether it is long."""
+    emit = _emit_keys(width, percent)
+
     def run(batches):
+        known, hub, long_ = shared.value
+        for rows in emit(batches):
+            if not len(known):
+                continue
+            keys = rows.column(0).to_numpy()
+            spot = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            hit = known[spot] == keys
+            rows = rows.filter(pa.array(hit))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(hub[spot[hit]]), pa.array(long_[spot[hit]])],
+                ["key", "print", "n", "cls", "need", "hub", "long"])
+    return run
+
+
+def _emit_sets(width, shared):
+    """Rows (doc_id, n, print, hashes); hashes only for the sets whose prints
+    are in ``shared`` (None: all), once per slice."""
+    def run(batches):
+        wanted = shared.value if shared is not None else None
         for batch in batches:
             ids = batch.column(0)
-            known = shared.value if shared is not None else None
             for at, hashes, sizes, prints in _sets(batch.column(1), width):
-                n = len(sizes)
                 ends = np.cumsum(sizes)
-                hubs: list = [None] * n
-                if known is not None and len(known[0]):
-                    keys, sets = _keys(hashes, sizes, percent)
-                    keys = keys.view(np.int64)
-                    spot = np.minimum(np.searchsorted(known[0], keys), len(known[0]) - 1)
-                    hit = known[0][spot] == keys
-                    pairs = np.unique(np.stack([sets[hit], known[1][spot[hit]]]), axis=1)
-                    cut = np.searchsorted(pairs[0], np.arange(n + 1))
-                    for i in np.flatnonzero(np.diff(cut)):
-                        hubs[i] = pairs[1][cut[i]:cut[i + 1]]
-                seen, content = set(), [None] * n
-                for i in range(n):
-                    if (hubs[i] is not None or (known is None and sizes[i])) and prints[i] not in seen:
-                        seen.add(prints[i])
-                        content[i] = hashes[ends[i] - sizes[i]:ends[i]].tobytes()
-                    else:
-                        hubs[i] = None
+                take = sizes > 0
+                if wanted is not None:
+                    spot = np.minimum(np.searchsorted(wanted, prints), max(len(wanted) - 1, 0))
+                    take &= wanted[spot] == prints if len(wanted) else False
+                content: list = [None] * len(sizes)
+                _, once = np.unique(prints, return_index=True)
+                for i in once[take[once]]:
+                    content[i] = hashes[ends[i] - sizes[i]:ends[i]].tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, n), pa.array(sizes.astype(np.int64)), pa.array(prints),
-                     pa.array(hubs, pa.list_(pa.int64())), pa.array(content, pa.binary())],
-                    ["doc_id", "n", "print", "hubs", "hashes"])
+                    [ids.slice(at, len(sizes)), pa.array(sizes.astype(np.int64)), pa.array(prints),
+                     pa.array(content, pa.binary())], ["doc_id", "n", "print", "hashes"])
+    return run
+
+
+def _pairs(percent, longest):
+    """Pairs of sets in the lists of a partition, with the lists they share in
+    a class and the lists they need.  A list has at most ``longest`` entries."""
+    def run(batches):
+        rows = pa.Table.from_batches(list(batches))
+        if not len(rows):
+            return
+        key, print_, n, cls, need = (rows.column(i).to_numpy() for i in range(5))
+        order = np.lexsort((print_, key))
+        key, print_, n, cls, need = (x[order] for x in (key, print_, n, cls, need))
+        found = []
+        for d in range(1, longest):
+            i = np.flatnonzero(key[:-d] == key[d:])
+            if not len(i):
+                break
+            j = i + d
+            i, j = (x[np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])] for x in (i, j))
+            found.append((print_[i], print_[j], cls[i], np.maximum(need[i], need[j])))
+        if not found:
+            return
+        a, b, c, need = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((c, b, a))
+        a, b, c, need = a[order], b[order], c[order], need[order]
+        first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])]) if len(a) else a
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a[first]), pa.array(b[first]), pa.array(c[first].astype(np.int32)),
+             pa.array(need[first].astype(np.int32)), pa.array(np.diff(np.r_[first, len(a)]))],
+            ["u", "v", "cls", "need", "lists"])
     return run
 
 
@@ -304,32 +362,50 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     there; repeated rows are rows of their own.  Other columns are ignored."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keys = texts.select("text").mapInArrow(_emit_keys(words, percent), "key long, print long")
+    only = texts.select("text")
+    keys = only.mapInArrow(_emit_keys(words, percent), "key long, print long, n long, cls int, need int")
     # A key that two different sets share; its hub is the least of them.
-    shared = materialise(keys.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("far"))
-                         .where("hub <> far").select("key", "hub"), "shared-keys")
-    schema = "doc_id long, n long, print long, hubs array<long>, hashes binary"
+    shared = materialise(
+        keys.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("far"), F.count(F.lit(1)).alias("m"))
+        .where("hub <> far").select("key", "hub", (F.col("m") > LONG_LIST).alias("long")), "shared-keys")
     if shared.count() <= broadcast_keys:
-        pairs = shared.toArrow()
-        key, hub = (pairs.column(i).to_numpy() for i in (0, 1))
-        order = np.argsort(key)
-        rows = materialise(texts.mapInArrow(
-            _emit_sets(words, percent, spark.sparkContext.broadcast((key[order], hub[order]))), schema), "shingle-sets")
-        members = rows.where("hashes IS NOT NULL").dropDuplicates(["print"])
+        table_ = shared.toArrow().sort_by("key")
+        sent = spark.sparkContext.broadcast(tuple(table_.column(i).to_numpy() for i in range(3)))
+        listed = only.mapInArrow(_emit_listed(words, percent, sent), LISTED)
+    else:
+        listed = keys.join(shared, "key")
+    listed = materialise(listed.dropDuplicates(["key", "print"]), "listed-keys")
+    # Common lists that remain when the long ones are left out; none is certain for a hard set.
+    long_of = (listed.groupBy("print", "cls").agg(F.count(F.when(F.col("long"), 1)).alias("h"),
+                                                  F.min("need").alias("base"))
+               .select("print", "cls", (F.col("base") - F.col("h")).cast("int").alias("left")))
+    listed = listed.join(long_of, ["print", "cls"])
+    light = listed.where(~F.col("long")).select("key", "print", "n", "cls",
+                                                F.greatest("left", F.lit(1)).cast("int").alias("need"))
+    pairs = (light.repartition("key").mapInArrow(_pairs(percent, LONG_LIST),
+                                                 "u long, v long, cls int, need int, lists long")
+             .groupBy("u", "v", "cls").agg(F.sum("lists").alias("lists"), F.max("need").alias("need"))
+             .where("lists >= need").select("u", "v"))
+    hard = listed.where(F.col("long") & (F.col("left") <= 0))
+    least = hard.groupBy("key").agg(F.min("print").alias("v"))
+    edges = pairs.unionAll(hard.join(least, "key").select(F.col("print").alias("u"), "v"))
+
+    # Families: sets connected by enough common lists.
+    family = materialise(connected_components(edges, "families"), "family-of")
+    schema = "doc_id long, n long, print long, hashes binary"
+    if family.count() <= broadcast_keys:
+        wanted = np.sort(family.select("node").toArrow().column(0).to_numpy())
+        rows = texts.mapInArrow(_emit_sets(words, spark.sparkContext.broadcast(wanted)), schema)
     else:
-        hubs = (keys.join(shared, "key").groupBy("print").agg(F.collect_set("hub").alias("found")))
-        rows = materialise(texts.mapInArrow(_emit_sets(words, percent, None), schema), "shingle-sets")
-        members = (rows.where("hashes IS NOT NULL").dropDuplicates(["print"])
-                   .join(hubs, "print").withColumn("hubs", F.col("found")))
-    classes = rows.where("n > 0").groupBy("print").agg(F.count(F.lit(1)).alias("copies"))
-
-    # Families: sets connected through shared keys.
-    family = connected_components(
-        members.select(F.col("print").alias("u"), F.explode("hubs").alias("v")), "families")
-    members = materialise(
-        members.join(family, members["print"] == family["node"]).join(classes, "print")
-        .select("print", "n", "hashes", F.col("root").alias("family"), "copies"), "family-members")
-    parts = (members.groupBy("family").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("m"))
+        rows = texts.mapInArrow(_emit_sets(words, None), schema)
+    rows = materialise(rows, "shingle-sets")
+    members = rows.where("hashes IS NOT NULL").dropDuplicates(["print"])
+    classes = (rows.where("n > 0").groupBy("print")
+               .agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")))
+
+    members = (members.join(family, members["print"] == family["node"]).join(classes.select("print", "copies"), "print")
+               .select("print", "n", "hashes", F.col("root").alias("family"), "copies"))
+    parts = (family.join(classes, family["node"] == classes["print"]).groupBy(F.col("root").alias("family")).agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("m"))
              .select("family", F.greatest(F.ceil(F.col("s") / TILE_SHINGLES), F.ceil(F.col("m") / TILE_SETS))
                      .cast("int").alias("parts")))
     dealt = (members.join(parts, "family")

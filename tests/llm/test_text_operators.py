@@ -125,22 +125,23 @@ def edited(seed, n=60):
     return out
 
 
-@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80)])
-def test_ngram_join_against_brute_force(spark, width, percent):
+@pytest.mark.parametrize("width,percent,longest", [(3, 90, 64), (5, 80, 64), (5, 80, 4), (3, 90, 7)])
+def test_ngram_join_against_brute_force(spark, width, percent, longest, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LONG_LIST", longest)
     some = edited(width, 150)
     out = ngram_join.ngram_jaccard_join(cases.frame(spark, some), width, percent)
     assert many(out, "doc_id", "n_shingles", "n_links", "component_id") == brute_join(some, width, percent)
 
 
 def test_ngram_join_hard_rows_joined_keys_and_small_tiles(spark):
-    old = ngram_join.TILE_SETS
-    ngram_join.TILE_SETS = 3
+    old = ngram_join.TILE_SETS, ngram_join.LONG_LIST
+    ngram_join.TILE_SETS, ngram_join.LONG_LIST = 3, 2
     try:
         some = cases.rows() + edited(8, 40)
         out = ngram_join.ngram_jaccard_join(cases.frame(spark, some), 3, 90, broadcast_keys=0)
         got = many(out, "doc_id", "n_shingles", "n_links", "component_id")
     finally:
-        ngram_join.TILE_SETS = old
+        ngram_join.TILE_SETS, ngram_join.LONG_LIST = old
     assert got == brute_join(some, 3, 90)
 
 
@@ -160,8 +161,13 @@ def test_subsets_and_lists_lose_no_pair():
                     continue
                 b = np.concatenate([rng.permutation(a)[:o], rng.integers(0, 1 << 63, t - o).astype(np.uint64)])
                 pair = [np.sort(a), np.sort(b)]
-                keys, sets = ngram_join._keys(np.concatenate(pair), np.array([n, t]), percent)
-                assert set(keys[sets == 0].tolist()) & set(keys[sets == 1].tolist()), (n, t, percent)
+                keys, sets, cls, need = ngram_join._keys(np.concatenate(pair), np.array([n, t]), percent)
+                enough = False
+                for c in np.unique(cls):
+                    mine, other = (set(keys[(sets == i) & (cls == c)].tolist()) for i in (0, 1))
+                    both = mine & other
+                    enough |= bool(both) and len(both) >= need[cls == c].max()
+                assert enough, (n, t, percent)
 
 
 @given(st.lists(st.text(alphabet="aAbé \t\n\x0b\xa0\x85", max_size=30), max_size=6), st.integers(1, 4))
