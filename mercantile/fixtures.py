@@ -16,8 +16,9 @@ from .functions.scalar import money, month_label
 
 # The latest order date in the test data, used as "today".
 AS_OF = dt.date(2001, 8, 1)
-# Year summarised into the monthly_sales table.
-MONTHLY_SALES_YEAR = 1996
+
+# Supplier contacts become customers from this id on.
+CONTACT_IDS = 1_000_000_000
 
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -114,6 +115,32 @@ def orders(spark, sf_dir) -> DataFrame:
     )
 
 
+def order_heads(spark, sf_dir) -> DataFrame:
+    """The orders without their store, straight from one scan."""
+    return raw(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        money("o_totalprice").alias("total_amount"),
+        F.col("o_orderstatus").alias("order_status"),
+    )
+
+
+def gap_customers(spark, sf_dir) -> DataFrame:
+    """Customers and supplier contacts, who never order."""
+    contacts = suppliers(spark, sf_dir).select(
+        (F.lit(CONTACT_IDS) + F.col("supplier_id")).alias("customer_id"),
+        F.col("contact_person").alias("name"),
+        F.concat(F.lower("name"), F.lit("@supplier.example")).alias("email"), "phone", "city")
+    return customers(spark, sf_dir).unionByName(contacts)
+
+
+def gap_orders(spark, sf_dir) -> DataFrame:
+    """Order heads; orders in progress are guest orders without a customer."""
+    return order_heads(spark, sf_dir).withColumn(
+        "customer_id", F.when(F.col("order_status") != "P", F.col("customer_id")))
+
+
 def order_items(spark, sf_dir) -> DataFrame:
     li = raw(spark, sf_dir, "lineitem")
     return li.select(
@@ -155,14 +182,10 @@ def shipments(spark, sf_dir) -> DataFrame:
         "shipment_date", F.lit(AS_OF))
 
 
-def monthly_sales(spark, sf_dir, year: int = MONTHLY_SALES_YEAR) -> DataFrame:
-    from .functions.scalar import month_range
-    o = orders(spark, sf_dir)
-    start, _ = month_range(year, 1)
-    end = dt.date(year + 1, 1, 1)
+def monthly_sales(spark, sf_dir) -> DataFrame:
+    """Total sales per store and calendar month, over all years."""
     return (
-        o.where(F.col("store_id").isNotNull()
-                & (F.col("order_date") >= F.lit(start)) & (F.col("order_date") < F.lit(end)))
+        orders(spark, sf_dir).where(F.col("store_id").isNotNull())
         .groupBy("store_id", month_label("order_date").alias("month"))
         .agg(F.sum("total_amount").alias("total_sales"))
     )
@@ -177,6 +200,7 @@ BUILDERS = {
     "stores": stores, "employees": employees, "customers": customers,
     "suppliers": suppliers, "products": products, "orders": orders,
     "order_items": order_items, "payments": payments, "shipments": shipments,
+    "order_heads": order_heads, "gap_customers": gap_customers, "gap_orders": gap_orders,
     "monthly_sales": monthly_sales, "employee_audit": employee_audit,
 }
 

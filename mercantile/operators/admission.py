@@ -99,7 +99,7 @@ def admit(items: DataFrame, products: DataFrame, mode: str = "greedy",
     fits = F.col("_stock").isNull() | (F.col("demand") <= F.col("_stock"))
     verdicts = [with_demand.where(fits).select(*cols, F.lit(True).alias("accepted"))]
     short = with_demand.where(~fits).select(*cols, F.col("_stock").alias("_r"))
-    open_ = place(short, [key], [c for c in order if c != key])
+    open_ = place(short, [key], [c for c in order if c != key and c in cols])
     step = _prefix
     while True:
         round_ = _settle(open_, key, qty, *step(key, qty)).checkpoint(eager=True)

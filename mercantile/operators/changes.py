@@ -157,6 +157,7 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
     # ACTION, counts): materialise each once in the checkpoint folder.
     deleted: dict[str, DataFrame] = {root: _key_frame(keys).checkpoint(eager=True)}
     new = dict(tables)
+    hits: dict[str, list[tuple[str, DataFrame]]] = {root: [(pk, deleted[root])]}
     for t in TABLE_ORDER:
         if t not in tables:
             continue
@@ -167,6 +168,7 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
         for fk in foreign_keys_of(t):
             if fk.on_delete == "CASCADE" and fk.parent in deleted:
                 gone = deleted[fk.parent]
+                hits.setdefault(t, []).append((fk.column, gone))
                 df = df.join(gone, df[fk.column] == gone["_dk"], "left_anti")
                 if RULES[t].primary_key and any(f.parent == t for f in _all_fks()):
                     tpk = RULES[t].primary_key[0]
@@ -210,9 +212,27 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
                                            "key string, rows bigint"))
     if enforce and violations and not viol.isEmpty():
         new = dict(tables)
-        nulled = {}
-    counts = change_counts(tables, new, nulled)
-    return Deletion(new, counts, viol)
+        nulled, hits = {}, {}
+    return Deletion(new, _deletion_counts(tables, hits, nulled), viol)
+
+
+def _deletion_counts(tables: dict[str, DataFrame], hits: dict[str, list[tuple[str, DataFrame]]],
+                     nulled: dict[str, DataFrame]) -> DataFrame:
+    """The report of :func:`change_counts` for a deletion: one pass per table
+    counts its rows and those that point at a deleted key."""
+    frames = []
+    for t, df in tables.items():
+        marked, hit = df.select(*{c for c, _ in hits.get(t, [])}), F.lit(False)
+        for i, (column, gone) in enumerate(hits.get(t, [])):
+            keys = gone.select(F.col("_dk").alias(f"_k{i}"), F.lit(True).alias(f"_h{i}"))
+            marked = marked.join(keys, marked[column] == keys[f"_k{i}"], "left")
+            hit = hit | F.coalesce(F.col(f"_h{i}"), F.lit(False))
+        row = marked.agg(F.count(F.lit(1)).alias("rows_before"), F.count(F.when(hit, 1)).alias("rows_deleted"))
+        lost = (nulled[t].agg(F.count(F.lit(1))).scalar() if t in nulled else F.lit(0).cast("bigint"))
+        frames.append(row.select(F.lit(t).alias("table_name"), "rows_before",
+                                 (F.col("rows_before") - F.col("rows_deleted")).alias("rows_after"), "rows_deleted",
+                                 lost.alias("rows_nulled")))
+    return reduce(DataFrame.unionByName, frames)
 
 
 def _all_fks():

@@ -1,13 +1,14 @@
-"""Employee hierarchy (Q3, Q3b) as a breadth-first frontier loop.
+"""Employee hierarchy (Q3, Q3b) by pointer doubling.
 
-Each level is one distributed join of the node table with the previous level's
-keys, checkpointed to the shared checkpoint folder (reliable; survives lost
-executors and cuts the lineage).  The loop runs once per level, not per row,
-so it scales with depth only.  Spark's recursive CTE would also work for small
-inputs but stops at 100 levels / 1,000,000 rows by default.
+Every employee keeps an ancestor and the hops to it; a round replaces the
+ancestor by the ancestor's ancestor, so a chain of depth d resolves in
+ceil(log2 d) rounds.  Only employees that have not reached their root move;
+settled ones stay behind as written rows, checkpointed to the shared folder.
+(Spark's recursive CTE stops at 100 levels / 1,000,000 rows by default.)
 
-Nodes on a manager cycle (or below one) are never reached from a root; they
-come back in a second ``unreachable`` frame instead of being dropped silently.
+Employees on or below a manager cycle, or under a missing manager, never reach
+a root; they come back in a second ``unreachable`` frame instead of being
+dropped silently.
 """
 
 from __future__ import annotations
@@ -29,83 +30,45 @@ class Hierarchy(NamedTuple):
 
 def hierarchy(employees: DataFrame, id: str = "employee_id", parent: str = "manager_id",
               columns: tuple[str, ...] = ("name", "role"), max_depth: int | None = None,
-              ordered: bool = True, method: str = "auto", switch_after: int = 32) -> Hierarchy:
+              ordered: bool = True) -> Hierarchy:
     """Q3: (id, *columns, parent, level); roots have a NULL parent and level 0.
 
-    ``method``: ``"levels"`` walks level by level (one join of the node table
-    with the previous level's keys per level, so depth x one scan of the
-    nodes); ``"doubling"`` jumps ancestor pointers (ceil(log2 depth) rounds
-    over all rows); ``"auto"`` walks levels and switches to doubling once the
-    tree is deeper than ``switch_after`` levels, which bounds the scans at
-    ``switch_after + log2(n)``.
-    Assumes unique ids (rule V1); ``max_depth`` optionally stops early."""
-    if method == "doubling":
-        return _doubling(employees, id, parent, columns, max_depth, ordered)
+    Assumes unique ids (rule V1).  ``max_depth`` leaves deeper levels out of
+    ``levels``; ``unreachable`` does not depend on it.  The join key of a round
+    is the ancestor, so a hot manager is the skewed side of a join that AQE can
+    split; the hops are LONG."""
     ensure_checkpoint_dir(employees.sparkSession)
     nodes = employees.select(id, *columns, parent)
-    frontier = nodes.where(F.col(parent).isNull()).withColumn("level", F.lit(0)).checkpoint(eager=True)
-    parts = [frontier]
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        if method == "auto" and depth >= switch_after:
-            return _doubling(employees, id, parent, columns, max_depth, ordered)
-        # Rename the frontier key: a self join on the same lineage could
-        # otherwise inherit filters inferred from the root rows.
-        keys = frontier.select(F.col(id).alias("_parent_key"))
-        nxt = (nodes.join(keys, nodes[parent] == keys["_parent_key"], "inner")
-               .drop("_parent_key").withColumn("level", F.lit(depth + 1)))
-        frontier = nxt.checkpoint(eager=True)
-        if frontier.isEmpty():
+    start = nodes.select(F.col(id).alias("_id"), F.col(parent).alias("_anc"),
+                         F.when(F.col(parent).isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("_hops"))
+    start = start.checkpoint(eager=True)
+    settled = [start.where(F.col("_anc").isNull())]
+    moving = start.where(F.col("_anc").isNotNull())
+    # A pointer that is still on its way after log2(n) + 1 doublings is in a loop.
+    for _ in range(max(1, start.count()).bit_length() + 1):
+        if moving.isEmpty():
             break
-        parts.append(frontier)
-        depth += 1
-    levels = reduce(DataFrame.unionByName, parts)
-    unreachable = nodes.join(levels.select(id), id, "left_anti")
-    if ordered:
-        levels = levels.orderBy("level", id)
-    return Hierarchy(levels, unreachable)
-
-
-def _doubling(employees: DataFrame, id: str, parent: str, columns: tuple[str, ...],
-              max_depth: int | None, ordered: bool) -> Hierarchy:
-    """Pointer jumping: every row keeps (ancestor, hops).  Each round replaces
-    the ancestor by the ancestor's ancestor and adds its hops, so a chain of
-    depth d resolves in ceil(log2 d) rounds.  A row whose ancestor becomes
-    NULL has reached its root; rows still pointing somewhere after
-    ceil(log2 n) + 1 rounds sit on or below a cycle (or under a missing
-    manager) and are unreachable.  The join key is the ancestor, so a hot
-    manager is the skewed side of a join AQE can split."""
-    spark = employees.sparkSession
-    ensure_checkpoint_dir(spark)
-    nodes = employees.select(id, *columns, parent)
-    state = nodes.select(F.col(id).alias("_id"), F.col(parent).alias("_anc"),
-                         F.when(F.col(parent).isNull(), F.lit(0)).otherwise(F.lit(1)).alias("_hops"))
-    state = state.checkpoint(eager=True)
-    n = state.count()
-    limit = max(1, n).bit_length() + 1
-    for _ in range(limit):
-        if state.where(F.col("_anc").isNotNull()).isEmpty():
-            break
-        jump = state.select(F.col("_id").alias("_j"), F.col("_anc").alias("_janc"), F.col("_hops").alias("_jhops"))
-        nxt = state.join(jump, state["_anc"] == jump["_j"], "left")
+        known = reduce(DataFrame.unionByName, [*settled, moving])
+        jump = known.select(F.col("_id").alias("_j"), F.col("_anc").alias("_janc"), F.col("_hops").alias("_jhops"))
         moved = F.col("_j").isNotNull()
-        state = nxt.select(
-            "_id",
-            F.when(moved, F.col("_janc")).otherwise(F.col("_anc")).alias("_anc"),
+        state = moving.join(jump, moving["_anc"] == jump["_j"], "left").select(
+            "_id", F.when(moved, F.col("_janc")).otherwise(F.col("_anc")).alias("_anc"),
             F.when(moved, F.col("_hops") + F.col("_jhops")).otherwise(F.col("_hops")).alias("_hops"),
         ).checkpoint(eager=True)
-    done = state.where(F.col("_anc").isNull()).select(F.col("_id").alias(id), F.col("_hops").alias("level"))
+        settled.append(state.where(F.col("_anc").isNull()))
+        moving = state.where(F.col("_anc").isNotNull())
+    done = reduce(DataFrame.unionByName, settled).select(
+        F.col("_id").alias(id), F.col("_hops").cast("int").alias("level"))
+    unreachable = nodes.join(done.select(id), id, "left_anti")
     if max_depth is not None:
         done = done.where(F.col("level") <= max_depth)
     levels = nodes.join(done, id, "inner").select(id, *columns, parent, "level")
-    unreachable = nodes.join(state.where(F.col("_anc").isNotNull()).select(F.col("_id").alias(id)), id, "left_semi")
-    if ordered:
-        levels = levels.orderBy("level", id)
-    return Hierarchy(levels, unreachable)
+    return Hierarchy(levels.orderBy("level", id) if ordered else levels, unreachable)
 
 
 def indent_lines(levels: DataFrame, id: str = "employee_id") -> DataFrame:
     """The printed line, two spaces per level."""
+    # The labels of the line.
     line = F.concat(
         indent("level"), F.lit("Level "), F.col("level").cast("string"),
         F.lit(": Employee ID: "), F.col(id).cast("string"),

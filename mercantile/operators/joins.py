@@ -47,7 +47,9 @@ def customer_orders_join(customers: DataFrame, orders: DataFrame, how: str = "in
     if display:
         out = out.withColumns(display_columns(how))
     if ordered:
-        keys = {"inner": [F.asc("customer_id")], "left": [F.asc("customer_id")],
+        # order_id breaks ties, and lets the range sort split a hot customer.
+        keys = {"inner": [F.asc("customer_id"), F.asc("order_id")],
+                "left": [F.asc("customer_id"), F.asc("order_id")],
                 "right": [F.asc("order_id")],
                 "full": [F.asc_nulls_last("customer_id"), F.asc_nulls_last("order_id")]}[how]
         out = out.orderBy(*keys)

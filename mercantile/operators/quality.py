@@ -164,20 +164,26 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     """table_name, rule, column_name, violations: one count per declared rule
     and table (zero counts included).
 
-    All row-local rules of a table are counted in ONE aggregation pass and
-    unpivoted; each key / UNIQUE rule is one partial aggregation and each
-    foreign key one anti join against the distinct parent keys."""
+    All row-local rules and foreign keys of a table are counted in ONE pass
+    (left joins with the distinct parent keys, one aggregation, unpivoted);
+    each key / UNIQUE rule is one partial aggregation."""
     frames = []
     for t, df in tables.items():
         if t not in RULES:
             continue
         checks = row_checks(t, df.columns)
+        marked = df
+        for i, fk in enumerate(foreign_keys_of(t)):
+            if fk.parent in tables and fk.column in df.columns:
+                parent = tables[fk.parent].select(F.col(fk.parent_column).alias(f"_p{i}")).distinct()
+                parent = parent.withColumn(f"_there{i}", F.lit(True))
+                marked = marked.join(parent, marked[fk.column] == parent[f"_p{i}"], "left")
+                checks.append((f"foreign_key:{fk.parent}", fk.column,
+                               F.col(fk.column).isNotNull() & F.col(f"_there{i}").isNull()))
         if checks:
-            sums = df.agg(*[F.sum(F.when(bad, 1).otherwise(0)).alias(f"_c{i}")
-                            for i, (_, _, bad) in enumerate(checks)])
+            sums = marked.agg(*[F.count(F.when(bad, 1)).alias(f"_c{i}") for i, (_, _, bad) in enumerate(checks)])
             cells = [F.struct(F.lit(t).alias("table_name"), F.lit(rule).alias("rule"),
-                              F.lit(col).alias("column_name"),
-                              F.coalesce(F.col(f"_c{i}"), F.lit(0)).cast("bigint").alias("violations"))
+                              F.lit(col).alias("column_name"), F.col(f"_c{i}").alias("violations"))
                      for i, (rule, col, _) in enumerate(checks)]
             frames.append(sums.select(F.explode(F.array(*cells)).alias("_r")).select("_r.*"))
         r = RULES[t]
@@ -187,14 +193,6 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
             frames.append(_duplicates(df, t, cols, rule).agg(F.count(F.lit(1)).alias("violations"))
                           .select(F.lit(t).alias("table_name"), F.lit(rule).alias("rule"),
                                   F.lit(",".join(cols)).alias("column_name"), "violations"))
-        for fk in foreign_keys_of(t):
-            if fk.parent in tables and fk.column in df.columns:
-                pkeys = tables[fk.parent].select(F.col(fk.parent_column).alias("_pk")).distinct()
-                orphans = df.where(F.col(fk.column).isNotNull()).join(
-                    pkeys, df[fk.column] == pkeys["_pk"], "left_anti")
-                frames.append(orphans.agg(F.count(F.lit(1)).alias("violations")).select(
-                    F.lit(t).alias("table_name"), F.lit(f"foreign_key:{fk.parent}").alias("rule"),
-                    F.lit(fk.column).alias("column_name"), "violations"))
     return reduce(DataFrame.unionByName, frames)
 
 

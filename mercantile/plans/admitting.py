@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from ..operators import admission
 from .catalog import iso_dates, register, tables
 from .oracle import with_fixtures
 
-BATCH_FROM, BATCH_TO = dt.date(1996, 3, 1), dt.date(1996, 4, 1)
-
 
 @register("M16_atomic", with_fixtures("""
 SELECT p.product_id, p.stock, CAST(SUM(oi.quantity) AS BIGINT) AS demand
@@ -25,23 +21,31 @@ def m16_atomic(spark, sf):
     return admission.admit(t["order_items"], t["products"], mode="atomic").shortages
 
 
-@register("M16_atomic_stock", with_fixtures(f"""
-SELECT p.product_id,
-       CAST(CASE WHEN (SELECT COUNT(*) FROM short) = 0 THEN p.stock - COALESCE(d.demand, 0)
-                 ELSE p.stock END AS INTEGER) AS stock
-FROM products p LEFT JOIN demand d ON p.product_id = d.product_id""",
-                                            "order_items", "products", extra=f"""
-batch AS (SELECT * FROM order_items
-          WHERE arrival >= DATE '{BATCH_FROM}' AND arrival < DATE '{BATCH_TO}'),
-demand AS (SELECT product_id, SUM(quantity) AS demand FROM batch GROUP BY product_id),
-short AS (SELECT d.product_id FROM demand d JOIN products p ON d.product_id = p.product_id
-          WHERE p.stock < d.demand)"""))
+DEMAND_CTE = "demand AS (SELECT product_id, SUM(quantity) AS demand FROM order_items GROUP BY product_id)"
+STOCKED_UP = 100_000
+
+
+def _atomic_stock_sql(extra_stock: int) -> str:
+    return with_fixtures(f"""
+SELECT product_id, CAST(stock + {extra_stock} - CASE WHEN EXISTS (
+         SELECT 1 FROM demand d JOIN products q USING (product_id) WHERE d.demand > q.stock + {extra_stock})
+       THEN 0 ELSE COALESCE((SELECT demand FROM demand d WHERE d.product_id = p.product_id), 0) END AS INTEGER) AS stock
+FROM products p""", "order_items", "products", extra=DEMAND_CTE)
+
+
+@register("M16_atomic_stock", _atomic_stock_sql(0))
 def m16_atomic_stock(spark, sf):
-    """One month of lines as one batch: stock after the batch (unchanged if
-    any product falls short)."""
+    """All lines as one batch: one short product refuses it, no stock moves."""
+    t = tables(spark, sf, "order_items", "products")
+    return admission.admit(t["order_items"], t["products"], mode="atomic").products.select("product_id", "stock")
+
+
+@register("M16_atomic_accepted", _atomic_stock_sql(STOCKED_UP))
+def m16_atomic_accepted(spark, sf):
+    """The same batch with every product stocked up: it passes, all stock falls."""
     t = tables(spark, sf, "order_items", "products")
-    batch = t["order_items"].where((F.col("arrival") >= F.lit(BATCH_FROM)) & (F.col("arrival") < F.lit(BATCH_TO)))
-    return admission.admit(batch, t["products"], mode="atomic").products.select("product_id", "stock")
+    stocked = t["products"].withColumn("stock", (F.col("stock") + STOCKED_UP).cast("int"))
+    return admission.admit(t["order_items"], stocked, mode="atomic").products.select("product_id", "stock")
 
 
 GREEDY_CTE = """fold(product_id, rn, remaining, accepted) AS (

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import years_before
 from ..operators import changes, quality, reports
 from ..schemas import RULES, foreign_keys_of
+from . import twins
 from .catalog import AS_OF, doubles, iso_dates, register, tables
 from .oracle import with_fixtures
 
@@ -18,7 +19,7 @@ CLOSED_STORE = 24        # a store without monthly sales: the delete goes throug
 BLOCKED_STORE = 3        # a store with monthly sales: NO ACTION refuses the delete
 AUDIT_STORE = 5
 DELETED_AT = dt.datetime(2001, 8, 1, 12, 0, 0)
-SOLD_SINCE = dt.date(2001, 1, 1)
+NO_DATE_ROLE = "AUTOMOBILE"
 
 
 def _uplifted(t):
@@ -61,6 +62,20 @@ def m2(spark, sf):
     return iso_dates(out.select("employee_id", "hire_date"), "hire_date")
 
 
+@register("M2_partial", with_fixtures(f"""
+SELECT employee_id, strftime(CASE WHEN role <> '{NO_DATE_ROLE}' THEN hire_date ELSE first_day END, '%Y-%m-%d') AS hire_date
+FROM employees LEFT JOIN (SELECT customer_id, MIN(order_date) AS first_day FROM shop_orders GROUP BY 1)
+  ON customer_id = employee_id""", "employees", "shop_orders"))
+def m2_partial(spark, sf):
+    """Backfill where only some hire dates are missing: the others stay."""
+    t = tables(spark, sf, "employees", "order_heads")
+    holes = t["employees"].withColumn("hire_date", F.when(F.col("role") != NO_DATE_ROLE, F.col("hire_date")))
+    patch = t["order_heads"].groupBy(F.col("customer_id").alias("employee_id")).agg(
+        F.min("order_date").alias("hire_date"))
+    out = changes.backfill(holes, patch, "employee_id", "hire_date")
+    return iso_dates(out.select("employee_id", "hire_date"), "hire_date")
+
+
 @register("M3", with_fixtures(f"""
 SELECT employee_id,
        CAST(CASE WHEN hire_date < DATE '{AS_OF}' - INTERVAL 5 YEAR
@@ -72,6 +87,26 @@ def m3(spark, sf):
     return doubles(out.select("employee_id", "salary"), "salary")
 
 
+@register("Q18_salaries", with_fixtures(f"""
+SELECT employee_id, CAST(salary AS DOUBLE) AS old_salary,
+       CAST(round(salary * 1.05, 2) AS DOUBLE) AS new_salary
+FROM employees WHERE hire_date < {twins.years_back(5)} AND round(salary * 1.05, 2) <> salary""", "employees"))
+def q18_salaries(spark, sf):
+    e = tables(spark, sf, "employees")["employees"]
+    raised = changes.uplift(e, F.col("hire_date") < years_before(AS_OF, 5), "salary", "1.05")
+    return doubles(changes.change_report(e, raised, "employee_id", ["salary"]), "old_salary", "new_salary")
+
+
+@register("Q18_stock", with_fixtures("""
+SELECT product_id, stock AS old_stock, CAST(stock + q AS INTEGER) AS new_stock
+FROM products JOIN (SELECT product_id, SUM(quantity) AS q FROM shipments GROUP BY product_id) USING (product_id)
+WHERE q <> 0""", "products", "shipments"))
+def q18_stock(spark, sf):
+    t = tables(spark, sf, "products", "shipments")
+    after = changes.add_deltas(t["products"], t["shipments"]).table
+    return changes.change_report(t["products"], after, "product_id", ["stock"])
+
+
 @register("M4", with_fixtures("""
 SELECT p.product_id, CAST(p.stock + COALESCE(s.q, 0) AS INTEGER) AS stock
 FROM products p
@@ -88,15 +123,14 @@ SELECT p.product_id,
                  ELSE p.stock + COALESCE(d.q, 0) END AS INTEGER) AS stock
 FROM products p
 LEFT JOIN (SELECT product_id, -SUM(quantity) AS q FROM order_items
-           WHERE arrival >= DATE '{SOLD_SINCE}' GROUP BY product_id) d
+           GROUP BY product_id) d
   ON p.product_id = d.product_id""", "products", "order_items"))
 def m15(spark, sf):
-    """Per-product stock moves (sp_AddProductStock per product): take this
-    year's shipped quantities out of stock; a product that would go below
-    zero keeps its stock (CHECK stock >= 0)."""
+    """Per-product stock moves (sp_AddProductStock per product): take all
+    shipped quantities out of stock; a product that would go below zero keeps
+    its stock (CHECK stock >= 0)."""
     t = tables(spark, sf, "products", "order_items")
-    sold = (t["order_items"].where(F.col("arrival") >= F.lit(SOLD_SINCE))
-            .select("product_id", (-F.col("quantity")).alias("quantity")))
+    sold = t["order_items"].select("product_id", (-F.col("quantity")).alias("quantity"))
     return changes.add_deltas(t["products"], sold, atomic=False).table.select("product_id", "stock")
 
 
@@ -109,12 +143,6 @@ def _counts_sql(rows: list[tuple[str, str, str]], extra: str, *names: str) -> st
     return with_fixtures(body, *names, extra=extra)
 
 
-INACTIVE_CTE = f"""gone AS (
-    SELECT customer_id FROM customers
-    WHERE customer_id NOT IN (SELECT DISTINCT customer_id FROM shop_orders
-                              WHERE order_date >= DATE '{AS_OF}' - INTERVAL 2 YEAR)),
-gone_orders AS (SELECT order_id FROM shop_orders WHERE customer_id IN (SELECT customer_id FROM gone))"""
-
 CASCADE_ROWS = [
     ("customers", "customers", "customer_id NOT IN (SELECT customer_id FROM gone)"),
     ("orders", "shop_orders", "customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM gone)"),
@@ -123,7 +151,7 @@ CASCADE_ROWS = [
 ]
 
 
-@register("M5", _counts_sql(CASCADE_ROWS, INACTIVE_CTE, "customers", "shop_orders", "order_items", "payments"))
+@register("M5", _counts_sql(CASCADE_ROWS, twins.INACTIVE_CTE, "customers", "shop_orders", "order_items", "payments"))
 def m5(spark, sf):
     """Delete inactive customers; CASCADE takes their orders, the orders'
     lines and payments.  Result: before / after counts per table."""
@@ -134,7 +162,7 @@ def m5(spark, sf):
 
 @register("Q19", _counts_sql(
     [("customers", "customers", "customer_id NOT IN (SELECT customer_id FROM gone)")],
-    INACTIVE_CTE, "customers", "shop_orders"))
+    twins.INACTIVE_CTE, "customers", "shop_orders"))
 def q19(spark, sf):
     """Before / after count of customers around the deletion of the inactive ones."""
     t = tables(spark, sf, "customers", "orders")
@@ -179,6 +207,22 @@ def m8(spark, sf):
     return changes.delete_rows(t, "stores", key).counts
 
 
+@register("M8_orders", with_fixtures(f"""
+SELECT * FROM (VALUES
+  ('stores', (SELECT COUNT(*) FROM stores), (SELECT COUNT(*) - 1 FROM stores), 1::BIGINT, 0::BIGINT),
+  ('employees', (SELECT COUNT(*) FROM employees), (SELECT COUNT(*) FROM employees), 0::BIGINT,
+   (SELECT COUNT(*) FROM employees WHERE store_id = {AUDIT_STORE})),
+  ('orders', (SELECT COUNT(*) FROM shop_orders), (SELECT COUNT(*) FROM shop_orders), 0::BIGINT,
+   (SELECT COUNT(*) FROM shop_orders WHERE store_id = {AUDIT_STORE}))
+) v(table_name, rows_before, rows_after, rows_deleted, rows_nulled)""", "stores", "employees", "shop_orders"))
+def m8_orders(spark, sf):
+    """A store with staff and orders closes before any sales summary exists:
+    both keep their rows and lose the store."""
+    t = tables(spark, sf, "stores", "employees", "orders")
+    key = t["stores"].where(F.col("store_id") == AUDIT_STORE).select("store_id")
+    return changes.delete_rows(t, "stores", key).counts
+
+
 @register("M9", with_fixtures(f"""
 SELECT 'monthly_sales' AS table_name, 'store_id' AS column_name, 'stores' AS parent,
        CAST(store_id AS VARCHAR) AS key, COUNT(*) AS rows
@@ -227,13 +271,43 @@ def m13(spark, sf):
     t = tables(spark, sf, "customers")
     patch = (t["customers"].where(F.col("city") == "NATION_0")
              .select("customer_id", F.upper("email").alias("email"), F.lit("NATION_1").alias("city")))
-    return changes.update_by_key(t["customers"], patch, "customer_id").table
+    return changes.update_by_key(t["customers"], patch, "customer_id", table="customers").table
+
+
+@register("M13_clash", with_fixtures("""
+SELECT customer_id, CASE WHEN city = 'NATION_1' OR (city = 'NATION_0' AND customer_id = (SELECT MAX(customer_id) FROM customers))
+                         THEN CAST(customer_id + CASE city WHEN 'NATION_1' THEN 7000000000 ELSE 8000000001 END AS VARCHAR)
+                         ELSE phone END AS phone
+FROM customers""", "customers"))
+def m13_clash(spark, sf):
+    """NATION_0 asks for the phone numbers of the next customers, which are
+    taken (UNIQUE refuses them); NATION_1 gets free numbers."""
+    c = tables(spark, sf, "customers")["customers"]
+    number = F.when(F.col("city") == "NATION_0", F.lit(8000000001)).otherwise(F.lit(7000000000)) + F.col("customer_id")
+    patch = (c.where(F.col("city").isin("NATION_0", "NATION_1"))
+             .select("customer_id", number.cast("string").alias("phone")))
+    return changes.update_by_key(c, patch, "customer_id", table="customers").table.select("customer_id", "phone")
+
+
+@register("M14a_deleted", with_fixtures("""
+SELECT * FROM (VALUES ('customers', (SELECT COUNT(*) FROM gap_customers),
+   (SELECT COUNT(*) FROM gap_customers WHERE customer_id < 1000000000),
+   (SELECT COUNT(*) FROM suppliers), 0::BIGINT),
+  ('orders', (SELECT COUNT(*) FROM gap_orders), (SELECT COUNT(*) FROM gap_orders), 0::BIGINT, 0::BIGINT)
+) v(table_name, rows_before, rows_after, rows_deleted, rows_nulled)""", "gap_customers", "gap_orders", "suppliers"))
+def m14a_deleted(spark, sf):
+    """Ask to delete the supplier contacts, who have no order, and everybody
+    with a finished order: only the contacts go."""
+    t = tables(spark, sf, "gap_customers", "gap_orders", "suppliers")
+    ids = (t["suppliers"].select((F.lit(1_000_000_000) + F.col("supplier_id")).alias("customer_id"))
+           .unionByName(t["gap_orders"].where(F.col("order_status") == "F").select("customer_id")))
+    return changes.delete_customers({"customers": t["gap_customers"], "orders": t["gap_orders"]}, ids).counts
 
 
 @register("M14a", with_fixtures(f"""
 SELECT g.customer_id, '{changes.HAS_ORDERS}' AS reason FROM gone g
 WHERE EXISTS (SELECT 1 FROM shop_orders o WHERE o.customer_id = g.customer_id)""",
-                                "customers", "shop_orders", extra=INACTIVE_CTE))
+                                "customers", "shop_orders", extra=twins.INACTIVE_CTE))
 def m14a(spark, sf):
     """Ask to delete every inactive customer; customers with any order are refused."""
     t = tables(spark, sf, "customers", "orders", "order_items", "payments")
@@ -241,10 +315,9 @@ def m14a(spark, sf):
     return changes.delete_customers(t, ids).blocked
 
 
-M14B_CTE = INACTIVE_CTE.replace("gone_orders AS", "unused AS") + """,
-blocked AS (SELECT DISTINCT customer_id FROM shop_orders
-            WHERE order_status <> 'F' AND customer_id IN (SELECT customer_id FROM gone)),
-ok AS (SELECT customer_id FROM gone WHERE customer_id NOT IN (SELECT customer_id FROM blocked)),
+M14B_CTE = twins.INACTIVE_CTE.replace("gone_orders AS", "unused AS") + """,
+ok AS (SELECT customer_id FROM gone
+       EXCEPT SELECT customer_id FROM shop_orders WHERE order_status IN ('O', 'P')),
 gone_orders AS (SELECT order_id FROM shop_orders WHERE customer_id IN (SELECT customer_id FROM ok))"""
 
 
@@ -295,8 +368,8 @@ QUALITY_TABLES = ("stores", "employees", "customers", "suppliers", "products", "
 SQL_NAME = {"orders": "shop_orders"}
 
 
-def _rule_sql(table: str, rule: str, col: str) -> str:
-    rel = SQL_NAME.get(table, table)
+def _rule_sql(table: str, rule: str, col: str, broken: str = "") -> str:
+    rel = broken + SQL_NAME.get(table, table)
     r = RULES[table]
     if rule in ("primary_key_not_null", "not_null"):
         cond = f"{col} IS NULL"
@@ -313,7 +386,7 @@ def _rule_sql(table: str, rule: str, col: str) -> str:
     elif rule.startswith("foreign_key:"):
         parent = rule.split(":", 1)[1]
         fk = next(f for f in foreign_keys_of(table) if f.column == col and f.parent == parent)
-        prel = SQL_NAME.get(parent, parent)
+        prel = broken + SQL_NAME.get(parent, parent)
         cond = (f"{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {prel} p "
                 f"WHERE p.{fk.parent_column} = {rel}.{col})")
     else:
@@ -321,15 +394,45 @@ def _rule_sql(table: str, rule: str, col: str) -> str:
     return f"(SELECT COUNT(*) FROM {rel} WHERE {cond})"
 
 
-def _quality_sql() -> str:
+def _quality_sql(broken: str = "", extra: str = "") -> str:
     rows = []
     for t in QUALITY_TABLES:
         cols = fixtures_columns(t)
         for rule, col in quality.declared_rules(t, cols, set(QUALITY_TABLES)):
             rows.append(f"SELECT '{t}' AS table_name, '{rule}' AS rule, '{col}' AS column_name, "
-                        f"{_rule_sql(t, rule, col)} AS violations")
+                        f"{_rule_sql(t, rule, col, broken)} AS violations")
     names = [SQL_NAME.get(t, t) for t in QUALITY_TABLES]
-    return with_fixtures("\nUNION ALL\n".join(rows), *names)
+    return with_fixtures("\nUNION ALL\n".join(rows), *names, extra=extra)
+
+
+# Rows that break rules, added to the whole tables: copies of existing rows
+# with some columns spoiled.  {table: (rows that are copied, {column: value})}
+LONG = "repeat('long text ', 30)"
+SPOILED = {
+    "stores": ("store_id = 3", {"location": "NULL"}),
+    "employees": ("store_id = 5", {"name": "NULL", "salary": "-salary", "manager_id": "employee_id + 1000000000"}),
+    "customers": ("city = 'NATION_3'", {"name": "NULL", "city": LONG}),
+    "suppliers": ("city = 'NATION_3'", {"supplier_id": "NULL", "contact_person": "NULL"}),
+    "products": ("category = 'PROMO'", {"category": LONG, "price": "-price", "stock": "-stock - 1", "supplier_id": "1000000000"}),
+    "orders": ("order_status = 'P'", {"order_date": "NULL", "customer_id": "customer_id + 1000000000", "store_id": "99",
+                                      "total_amount": "-total_amount - 1"}),
+    "order_items": ("quantity = 7", {"quantity": "0", "price": "-price", "order_id": "order_id + 1000000000",
+                                     "product_id": "product_id + 1000000000"}),
+    "payments": ("payment_method = '1-URGENT'", {"payment_method": LONG, "payment_date": "NULL", "amount": "-amount",
+                                                 "order_id": "order_id + 1000000000"}),
+    "shipments": ("quantity = 10", {"quantity": "NULL", "product_id": "product_id + 1000000000"}),
+}
+SPOILED_CTE = ",\n".join(
+    f"broken_{SQL_NAME.get(t, t)} AS (SELECT * FROM {SQL_NAME.get(t, t)} UNION ALL SELECT * REPLACE ("
+    + ", ".join(f"{v} AS {c}" for c, v in cols.items()) + f") FROM {SQL_NAME.get(t, t)} WHERE {cond})"
+    for t, (cond, cols) in SPOILED.items())
+
+
+def _spoil(df, table):
+    cond, cols = SPOILED[table]
+    bad = df.where(cond).select(*[F.expr(cols[c]).cast(df.schema[c].dataType).alias(c) if c in cols else F.col(c)
+                                  for c in df.columns])
+    return df.unionByName(bad)
 
 
 def fixtures_columns(table: str) -> list[str]:
@@ -344,6 +447,22 @@ def quality_report(spark, sf):
     return quality.quality_report(t)
 
 
+@register("V_broken", _quality_sql("broken_", SPOILED_CTE))
+def quality_report_broken(spark, sf):
+    """The same report after rows that break the rules were added to every table."""
+    t = tables(spark, sf, *QUALITY_TABLES)
+    return quality.quality_report({name: _spoil(df, name) for name, df in t.items()})
+
+
+@register("V7", with_fixtures(f"""
+SELECT payment_id, payment_method, '{AS_OF}' AS payment_date FROM payments""", "payments"))
+def v7(spark, sf):
+    """Payments that came without a date column get the default date."""
+    p = tables(spark, sf, "payments")["payments"].drop("payment_date")
+    out = quality.apply_defaults(p, "payments", AS_OF)
+    return iso_dates(out.select("payment_id", "payment_method", "payment_date"), "payment_date")
+
+
 @register("M10", with_fixtures(f"""
 SELECT 'employee_audit' AS table_name,
        (SELECT COUNT(*) FROM employees WHERE store_id = {AUDIT_STORE}) AS rows_before,

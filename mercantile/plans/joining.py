@@ -6,40 +6,46 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import MONTH_LABELS
 from ..operators import hierarchy, joins, pivot, reports, setops
+from . import twins
 from .catalog import AS_OF, doubles, iso_dates, register, tables
 from .oracle import with_fixtures
 
-HIERARCHY_CTE = """eh AS (
-    SELECT employee_id, name, role, manager_id, 0 AS level
-    FROM employees WHERE manager_id IS NULL
-    UNION ALL
-    SELECT e.employee_id, e.name, e.role, e.manager_id, eh.level + 1 AS level
-    FROM employees e JOIN eh ON e.manager_id = eh.employee_id)"""
-
-
-@register("Q3", with_fixtures("SELECT * FROM eh", "employees", recursive=HIERARCHY_CTE))
+@register("Q3", with_fixtures(twins.levels_body(), "employees", recursive=twins.climb()))
 def q3(spark, sf):
     t = tables(spark, sf, "employees")
     return hierarchy.hierarchy(t["employees"]).levels
 
 
-@register("Q3b", with_fixtures("""
-SELECT employee_id, level,
-       repeat('  ', level) || 'Level ' || CAST(level AS VARCHAR) || ': Employee ID: '
-       || CAST(employee_id AS VARCHAR) || ', Name: ' || name || ', Role: ' || role
-       || ', Manager ID: ' || COALESCE(CAST(manager_id AS VARCHAR), 'None') AS line
-FROM eh""", "employees", recursive=HIERARCHY_CTE))
+@register("Q3b", with_fixtures(f"""
+SELECT employee_id, level, format('{{}}Level {{}}: Employee ID: {{}}, Name: {{}}, Role: {{}}, Manager ID: {{}}',
+       repeat('  ', level), level, employee_id, name, role, COALESCE(CAST(manager_id AS VARCHAR), 'None')) AS line
+FROM ({twins.levels_body()})""", "employees", recursive=twins.climb()))
 def q3b(spark, sf):
     t = tables(spark, sf, "employees")
     return hierarchy.indent_lines(hierarchy.hierarchy(t["employees"]).levels)
 
 
-@register("Q3_unreachable", with_fixtures("""
-SELECT employee_id, name, role, manager_id FROM employees
-WHERE employee_id NOT IN (SELECT employee_id FROM eh)""", "employees", recursive=HIERARCHY_CTE))
+# Employee 1 reports to 13, who reports to 1: their teams hang on a cycle.
+CYCLE_CTE = """looped AS (SELECT * REPLACE (CASE WHEN employee_id = 1 THEN 13 ELSE manager_id END AS manager_id)
+           FROM employees)"""
+
+
+def _looped(spark, sf):
+    e = tables(spark, sf, "employees")["employees"]
+    return hierarchy.hierarchy(e.withColumn(
+        "manager_id", F.when(F.col("employee_id") == 1, F.lit(13)).otherwise(F.col("manager_id"))))
+
+
+@register("Q3_cycle", with_fixtures(twins.levels_body("looped"), "employees", extra=CYCLE_CTE,
+                                    recursive=twins.climb("looped")))
+def q3_cycle(spark, sf):
+    return _looped(spark, sf).levels
+
+
+@register("Q3_unreachable", with_fixtures(twins.unreachable_body("looped"), "employees", extra=CYCLE_CTE,
+                                          recursive=twins.climb("looped")))
 def q3_unreachable(spark, sf):
-    t = tables(spark, sf, "employees")
-    return hierarchy.hierarchy(t["employees"]).unreachable
+    return _looped(spark, sf).unreachable
 
 
 _PIVOT_COLS = ",\n       ".join(
@@ -56,107 +62,109 @@ def q4(spark, sf):
     return doubles(pivot.pivot_months(t["monthly_sales"]), *MONTH_LABELS)
 
 
-def _join_sql(kind: str) -> str:
-    return with_fixtures(f"""
-SELECT c.customer_id, c.name AS customer_name, o.order_id,
-       strftime(o.order_date, '%Y-%m-%d') AS order_date,
-       CAST(o.total_amount AS DOUBLE) AS total_amount
-FROM customers c {kind} JOIN shop_orders o ON c.customer_id = o.customer_id""",
-                         "customers", "shop_orders")
-
-
-def _join_query(how: str):
+@register("Q4_display", with_fixtures("""
+SELECT store_id, """ + ", ".join(
+    f"""COALESCE(CAST(CAST(SUM(total_sales) FILTER (WHERE month = '{m}') AS DECIMAL(38,2)) AS VARCHAR), '0.00') AS "{m}\""""
+    for m in MONTH_LABELS) + " FROM monthly_sales GROUP BY store_id", "monthly_sales"))
+def q4_display(spark, sf):
+    """The pivot as text, missing cells shown as 0.00."""
+    t = tables(spark, sf, "monthly_sales")
+    return pivot.pivot_to_text(pivot.pivot_months(t["monthly_sales"]))
+
+
+# Outer joins over tables with gaps on both sides: supplier contacts are
+# customers without orders, guest orders have no customer.  The twin lists
+# matched pairs and adds the lonely rows of either side.
+MATCHED = """SELECT c.customer_id, c.name AS customer_name, o.order_id, o.order_date, o.total_amount
+  FROM gap_customers c, gap_orders o WHERE c.customer_id = o.customer_id"""
+LONELY = """SELECT customer_id, name, NULL, NULL, NULL FROM gap_customers
+  WHERE customer_id NOT IN (SELECT customer_id FROM gap_orders WHERE customer_id IS NOT NULL)"""
+GUESTS = """SELECT NULL, NULL, order_id, order_date, total_amount FROM gap_orders
+  WHERE customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM gap_customers)"""
+PARTS = {"inner": [MATCHED], "left": [MATCHED, LONELY], "right": [MATCHED, GUESTS],
+         "full": [MATCHED, LONELY, GUESTS]}
+CUSTOMER_TEXT = """,
+       COALESCE(CAST(customer_id AS VARCHAR), 'No Customer') AS customer_id_text,
+       COALESCE(customer_name, 'N/A') AS customer_name_text"""
+ORDER_TEXT = """,
+       COALESCE(CAST(order_id AS VARCHAR), 'No Order') AS order_id_text,
+       COALESCE(strftime(order_date, '%Y-%m-%d'), 'N/A') AS order_date_text,
+       COALESCE(CAST(CAST(total_amount AS DECIMAL(38,2)) AS VARCHAR), '0.00') AS total_amount_text"""
+
+
+def _join_sql(how: str, display: bool = False) -> str:
+    text = (CUSTOMER_TEXT * (how in ("right", "full")) + ORDER_TEXT * (how in ("left", "full"))) * display
+    return with_fixtures("""
+SELECT customer_id, customer_name, order_id, strftime(order_date, '%Y-%m-%d') AS order_date,
+       CAST(total_amount AS DOUBLE) AS total_amount""" + text + " FROM (" + " UNION ALL ".join(PARTS[how]) + ")",
+                         "gap_customers", "gap_orders")
+
+
+def _join_query(how: str, display: bool = False):
     def run(spark, sf):
-        t = tables(spark, sf, "customers", "orders")
-        out = joins.customer_orders_join(t["customers"], t["orders"], how)
+        t = tables(spark, sf, "gap_customers", "gap_orders")
+        out = joins.customer_orders_join(t["gap_customers"], t["gap_orders"], how, display=display)
         return iso_dates(doubles(out, "total_amount"), "order_date")
     run.__name__ = f"customer_orders_{how}"
     return run
 
 
-register("Q5", _join_sql("INNER"))(_join_query("inner"))
-register("Q6", _join_sql("LEFT"))(_join_query("left"))
-register("Q7", _join_sql("RIGHT"))(_join_query("right"))
-register("Q8", _join_sql("FULL"))(_join_query("full"))
+for _name, _how in (("Q5", "inner"), ("Q6", "left"), ("Q7", "right"), ("Q8", "full")):
+    register(_name, _join_sql(_how))(_join_query(_how))
+    if _how != "inner":
+        register(f"{_name}_display", _join_sql(_how, True))(_join_query(_how, True))
 
 
-@register("Q8_display", with_fixtures("""
-SELECT c.customer_id, c.name AS customer_name, o.order_id,
-       strftime(o.order_date, '%Y-%m-%d') AS order_date,
-       CAST(o.total_amount AS DOUBLE) AS total_amount,
-       COALESCE(CAST(c.customer_id AS VARCHAR), 'No Customer') AS customer_id_text,
-       COALESCE(c.name, 'N/A') AS customer_name_text,
-       COALESCE(CAST(o.order_id AS VARCHAR), 'No Order') AS order_id_text,
-       COALESCE(strftime(o.order_date, '%Y-%m-%d'), 'N/A') AS order_date_text,
-       COALESCE(CAST(CAST(o.total_amount AS DECIMAL(38,2)) AS VARCHAR), '0.00') AS total_amount_text
-FROM customers c FULL JOIN shop_orders o ON c.customer_id = o.customer_id""",
-                                      "customers", "shop_orders"))
-def q8_display(spark, sf):
-    t = tables(spark, sf, "customers", "orders")
-    out = joins.customer_orders_join(t["customers"], t["orders"], "full", display=True)
-    return iso_dates(doubles(out, "total_amount"), "order_date")
+# Brute-force twin: everybody counts the others under the same manager.
+PEERS_CTE = """peers AS (SELECT employee_id, name, manager_id,
+    (SELECT COUNT(*) FROM employees x WHERE x.manager_id = e.manager_id AND x.employee_id <> e.employee_id) AS others
+    FROM employees e)"""
 
 
-# Brute-force twin: the reference's pair self join, counted per employee.
 @register("Q9", with_fixtures("""
-SELECT e1.employee_id, e1.name AS employee_name, e1.manager_id, COUNT(*) AS peer_count
-FROM employees e1 JOIN employees e2 ON e1.manager_id = e2.manager_id
-WHERE e1.employee_id != e2.employee_id
-GROUP BY e1.employee_id, e1.name, e1.manager_id""", "employees"))
+SELECT employee_id, name AS employee_name, manager_id, others AS peer_count FROM peers WHERE others > 0""",
+                              "employees", extra=PEERS_CTE))
 def q9(spark, sf):
     t = tables(spark, sf, "employees")
     return joins.same_manager_peers(t["employees"])
 
 
 @register("Q9_pairs", with_fixtures("""
-SELECT e1.manager_id, COUNT(DISTINCT e1.employee_id) AS reports, COUNT(*) AS pairs
-FROM employees e1 JOIN employees e2 ON e1.manager_id = e2.manager_id
-WHERE e1.employee_id != e2.employee_id
-GROUP BY e1.manager_id""", "employees"))
+SELECT manager_id, COUNT(*) AS reports, CAST(SUM(others) AS BIGINT) AS pairs FROM peers
+WHERE others > 0 GROUP BY manager_id""", "employees", extra=PEERS_CTE))
 def q9_pairs(spark, sf):
     t = tables(spark, sf, "employees")
     return joins.manager_pair_counts(t["employees"])
 
 
 @register("Q10", with_fixtures("""
-SELECT name, 'Customer' AS type FROM customers
-UNION
-SELECT name, 'Employee' AS type FROM employees""", "customers", "employees"))
+SELECT name, type FROM (SELECT name, 'Customer' AS type FROM customers
+                        UNION ALL SELECT name, 'Employee' FROM employees) GROUP BY ALL""", "customers", "employees"))
 def q10(spark, sf):
     t = tables(spark, sf, "customers", "employees")
     return setops.people_list(t["customers"], t["employees"])
 
 
 @register("Q11", with_fixtures(f"""
-SELECT order_id, strftime(order_date, '%Y-%m-%d') AS order_date, 'Active' AS order_status
-FROM shop_orders
-UNION ALL
-SELECT order_id, strftime(order_date, '%Y-%m-%d') AS order_date, 'Inactive' AS order_status
-FROM shop_orders WHERE order_date < DATE '{AS_OF}' - INTERVAL 1 YEAR""", "shop_orders"))
+SELECT order_id, strftime(order_date, '%Y-%m-%d') AS order_date,
+       unnest(CASE WHEN order_date < {twins.years_back(1)} THEN ['Active', 'Inactive'] ELSE ['Active'] END)
+         AS order_status
+FROM shop_orders""", "shop_orders"))
 def q11(spark, sf):
-    t = tables(spark, sf, "orders")
-    return iso_dates(setops.order_status_list(t["orders"], AS_OF), "order_date")
-
-
-Q12_SQL = with_fixtures(f"""
-SELECT * FROM customers
-WHERE customer_id NOT IN (SELECT DISTINCT customer_id FROM shop_orders
-                          WHERE order_date >= DATE '{AS_OF}' - INTERVAL 2 YEAR)""",
-                        "customers", "shop_orders")
+    t = tables(spark, sf, "order_heads")
+    return iso_dates(setops.order_status_list(t["order_heads"], AS_OF), "order_date")
 
 
-@register("Q12", Q12_SQL)
+@register("Q12", with_fixtures("SELECT * FROM customers WHERE customer_id IN (SELECT customer_id FROM gone)",
+                               "customers", "shop_orders", extra=twins.INACTIVE_CTE))
 def q12(spark, sf):
-    t = tables(spark, sf, "customers", "orders")
-    return reports.inactive_customers(t["customers"], t["orders"], AS_OF)
+    t = tables(spark, sf, "customers", "order_heads")
+    return reports.inactive_customers(t["customers"], t["order_heads"], AS_OF)
 
 
-@register("Q12_count", with_fixtures(f"""
-SELECT COUNT(*) AS inactive_customers FROM customers
-WHERE customer_id NOT IN (SELECT DISTINCT customer_id FROM shop_orders
-                          WHERE order_date >= DATE '{AS_OF}' - INTERVAL 2 YEAR)""",
-                                     "customers", "shop_orders"))
+@register("Q12_count", with_fixtures("SELECT COUNT(*) AS inactive_customers FROM gone",
+                                     "customers", "shop_orders", extra=twins.INACTIVE_CTE))
 def q12_count(spark, sf):
-    t = tables(spark, sf, "customers", "orders")
-    return reports.inactive_customers(t["customers"], t["orders"], AS_OF).agg(
+    t = tables(spark, sf, "customers", "order_heads")
+    return reports.inactive_customers(t["customers"], t["order_heads"], AS_OF).agg(
         F.count(F.lit(1)).alias("inactive_customers"))

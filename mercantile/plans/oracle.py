@@ -47,6 +47,13 @@ FIXTURE_SQL: dict[str, str] = {
                CAST(o.o_totalprice AS DECIMAL(12,2)) AS total_amount,
                o.o_orderstatus AS order_status
         FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",
+    "gap_customers": """
+        SELECT * FROM customers
+        UNION ALL
+        SELECT 1000000000 + supplier_id, contact_person, lower(name) || '@supplier.example', phone, city
+        FROM suppliers""",
+    "gap_orders": """
+        SELECT * REPLACE (CASE WHEN order_status <> 'P' THEN customer_id END AS customer_id) FROM shop_orders""",
     "order_items": """
         SELECT l_orderkey AS order_id, l_partkey AS product_id,
                CAST(l_quantity AS INTEGER) AS quantity,
@@ -70,13 +77,13 @@ FIXTURE_SQL: dict[str, str] = {
                SUM(total_amount) AS total_sales
         FROM shop_orders
         WHERE store_id IS NOT NULL
-          AND order_date >= DATE '1996-01-01' AND order_date < DATE '1997-01-01'
         GROUP BY store_id, strftime(order_date, '%b')""",
 }
 
-DEPENDS = {"monthly_sales": ("shop_orders",)}
+DEPENDS = {"monthly_sales": ("shop_orders",), "gap_customers": ("customers", "suppliers"),
+           "gap_orders": ("shop_orders",)}
 ORDER = ("stores", "employees", "customers", "suppliers", "products", "shop_orders",
-         "order_items", "payments", "shipments", "monthly_sales")
+         "order_items", "payments", "shipments", "monthly_sales", "gap_customers", "gap_orders")
 
 
 def with_fixtures(body: str, *names: str, recursive: str = "", extra: str = "") -> str:

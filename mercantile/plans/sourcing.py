@@ -3,13 +3,17 @@ scratch folder and reads the files back with the library's readers."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import reports
 from ..session import scratch_path
 from ..sources import export, ingest, tables as table_ops, workbook
-from .catalog import doubles, iso_dates, register, tables
+from . import twins
+from .catalog import AS_OF, doubles, iso_dates, register, tables
 from .oracle import with_fixtures
 
 ORDER_COLS = ["order_id", "customer_id", "store_id", "order_date", "total_amount", "order_status"]
@@ -62,11 +66,7 @@ REVENUE_SCHEMA = T.StructType([
     T.StructField("total_revenue", T.DecimalType(22, 2))])
 
 
-@register("S6", with_fixtures("""
-SELECT c.customer_id, c.name AS customer_name,
-       CAST(COALESCE(SUM(o.total_amount), 0) AS DOUBLE) AS total_spending
-FROM customers c LEFT JOIN shop_orders o ON c.customer_id = o.customer_id
-GROUP BY c.customer_id, c.name""", "customers", "shop_orders"))
+@register("S6", twins.SPENDING)
 def s6(spark, sf):
     """Customer spending exported as CSV (format name in any case), read back."""
     t = tables(spark, sf, "customers", "orders")
@@ -77,11 +77,7 @@ def s6(spark, sf):
     return doubles(back.select(*SPENDING_SCHEMA.fieldNames()), "total_spending")
 
 
-@register("S7", with_fixtures("""
-SELECT s.store_id, s.name AS store_name,
-       CAST(COALESCE(SUM(o.total_amount), 0) AS DOUBLE) AS total_revenue
-FROM stores s LEFT JOIN shop_orders o ON s.store_id = o.store_id
-GROUP BY s.store_id, s.name""", "stores", "shop_orders"))
+@register("S7", twins.STORE_TOTALS)
 def s7(spark, sf):
     """Store revenue exported as workbooks (sheet 'Store Revenue'), read back."""
     t = tables(spark, sf, "stores", "orders")
@@ -132,3 +128,147 @@ def s5(spark, sf):
         F.col("supplier_id").alias("customer_id"), "name",
         F.concat(F.lower("name"), F.lit("@supplier.example")).alias("email"), "phone", "city")
     return table_ops.append(t["customers"], batch, "customer_id").duplicates
+
+
+# Files of payments as they come in: by column order, without the date column,
+# with a date that does not parse, and with keys of earlier files.
+LAYOUTS_SQL = with_fixtures(f"""
+SELECT payment_id, CAST(amount AS DOUBLE) AS amount, payment_method,
+       CASE WHEN payment_method = '2-HIGH' THEN '{AS_OF}' ELSE strftime(payment_date, '%Y-%m-%d') END AS payment_date
+FROM payments WHERE payment_method <> '3-MEDIUM'""", "payments")
+
+
+def _layouts(spark, sf, fmt):
+    p = tables(spark, sf, "payments")["payments"]
+    base = scratch_path(spark, f"payments-{fmt}")
+    of = lambda m: p.where(F.col("payment_method") == m)
+    parts = {
+        "a": of("1-URGENT").select(*reversed(p.columns)),
+        "b": of("2-HIGH").drop("payment_date"),
+        "c": of("3-MEDIUM").withColumn("payment_date", F.date_format("payment_date", "yyyyMMdd")),
+        "d": of("1-URGENT").withColumn("amount", F.lit("1.00").cast("decimal(12,2)")),
+        "e": p.where(~F.col("payment_method").isin("1-URGENT", "2-HIGH", "3-MEDIUM")),
+    }
+    for name, df in parts.items():
+        if fmt == "csv":
+            export.export_csv(df.repartition(2), f"{base}/{name}")
+        else:
+            workbook.write_workbooks(df.repartition(2), f"{base}/{name}", "Payments")
+    got = ingest.ingest(spark, base, "payments", fmt, as_of=AS_OF).accepted
+    return iso_dates(doubles(got.select("payment_id", "amount", "payment_method", "payment_date"), "amount"),
+                     "payment_date")
+
+
+@register("S3_layouts", LAYOUTS_SQL)
+def s3_layouts(spark, sf):
+    """CSV files with shuffled columns, a missing DEFAULT column, bad dates
+    (refused) and repeated keys in later files (refused)."""
+    return _layouts(spark, sf, "csv")
+
+
+@register("S2_layouts", LAYOUTS_SQL)
+def s2_layouts(spark, sf):
+    """The same as workbooks."""
+    return _layouts(spark, sf, "xlsx")
+
+
+@register("S3_quotes", with_fixtures("""
+SELECT customer_id, 'Joe "' || name || '" Shop, Main' AS name, city || chr(10) || 'second line' AS city
+FROM customers""", "customers"))
+def s3_quotes(spark, sf):
+    """Quotes, commas and line breaks inside fields, written and read back."""
+    c = tables(spark, sf, "customers")["customers"]
+    odd = c.withColumns({"name": F.concat(F.lit('Joe "'), "name", F.lit('" Shop, Main')),
+                         "city": F.concat("city", F.lit("\nsecond line"))})
+    folder = export.export_csv(odd, scratch_path(spark, "customers-csv"), ["customer_id"])
+    return ingest.ingest(spark, folder, "customers", "csv").accepted.select("customer_id", "name", "city")
+
+
+@register("S4_nulls", with_fixtures("""
+SELECT 'customer_id' AS column_name, CAST(NULL AS VARCHAR) AS value, COUNT(*) AS rows
+FROM suppliers WHERE city = 'NATION_3' HAVING COUNT(*) > 0""", "suppliers"))
+def s4_nulls(spark, sf):
+    """Insert-if-absent with NULL keys in the batch: they refuse the statement."""
+    t = tables(spark, sf, "customers", "suppliers")
+    batch = _contacts(t["suppliers"]).withColumn("seq", F.lit(1))
+    res = table_ops.append_new(t["customers"], batch, "customer_id", ["seq"], unique=("email", "phone"))
+    return res.conflicts
+
+
+@register("S5_nulls", with_fixtures("""
+SELECT CAST(NULL AS BIGINT) AS customer_id, COUNT(*) AS rows
+FROM suppliers WHERE city = 'NATION_3' HAVING COUNT(*) > 0""", "suppliers"))
+def s5_nulls(spark, sf):
+    """Plain INSERT with NULL keys: the batch is refused."""
+    t = tables(spark, sf, "customers", "suppliers")
+    return table_ops.append(t["customers"], _contacts(t["suppliers"]), "customer_id").duplicates
+
+
+def _contacts(suppliers):
+    """Supplier contacts as customers; those of NATION_3 lack their key."""
+    return suppliers.select(
+        F.when(F.col("city") != "NATION_3", F.lit(1_000_000_000) + F.col("supplier_id")).alias("customer_id"), "name",
+        F.concat(F.lower("name"), F.lit("@supplier.example")).alias("email"), "phone", "city")
+
+
+@register("S7_keys", with_fixtures("""
+SELECT order_status, COUNT(*) AS rows, CAST(1 AS BIGINT) AS keys_in_a_file FROM shop_orders GROUP BY order_status""",
+                                   "shop_orders"))
+def s7_keys(spark, sf):
+    """Orders exported twice to one folder as workbooks of one status each: the
+    second export replaces the first, and no file mixes keys."""
+    o = tables(spark, sf, "order_heads")["order_heads"]
+    folder = scratch_path(spark, "orders-by-status")
+    for _ in range(2):
+        export.export(o, folder, "xlsx", order_by=["order_id"], partition_by=["order_status"])
+    back = workbook.read_workbooks(spark, folder, o.schema)
+    files = back.groupBy("_file").agg(F.count_distinct("order_status").alias("k"))
+    return (back.join(files, "_file").groupBy("order_status")
+            .agg(F.count(F.lit(1)).alias("rows"), F.max("k").alias("keys_in_a_file")))
+
+
+@register("S9", f"""
+SELECT r.report, f.format, r.rows, r.total FROM (
+  SELECT 'monthly_revenue_per_store' AS report, COUNT(*) AS rows, CAST(SUM(CAST(total_revenue AS DECIMAL(22,2))) AS DOUBLE) AS total
+  FROM ({twins.STORE_TOTALS})
+  UNION ALL
+  SELECT 'customer_total_spending', COUNT(*), CAST(SUM(CAST(total_spending AS DECIMAL(22,2))) AS DOUBLE) FROM ({twins.SPENDING})) r,
+  (VALUES ('csv'), ('xlsx')) f(format)""")
+def s9(spark, sf):
+    """Both reports exported in both formats and read back."""
+    t = tables(spark, sf, "stores", "orders", "customers")
+    reps = {"monthly_revenue": reports.store_revenue(t["stores"], t["orders"], ordered=False),
+            "customer_spending": reports.customer_spending(t["customers"], t["orders"], ordered=False)}
+    schemas = {"monthly_revenue_per_store": REVENUE_SCHEMA, "customer_total_spending": SPENDING_SCHEMA}
+    out = []
+    for name, folder in export.export_all(reps, scratch_path(spark, "exports")).items():
+        report, fmt = name.rsplit(".", 1)
+        read = ingest.read_csv if fmt == "csv" else workbook.read_workbooks
+        back = read(spark, folder, schemas[report])
+        total = [c for c in schemas[report].fieldNames() if c.startswith("total")][0]
+        out.append(back.agg(F.lit(report).alias("report"), F.lit(fmt).alias("format"),
+                            F.count(F.lit(1)).alias("rows"), F.sum(total).cast("double").alias("total")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("M18", with_fixtures("SELECT shipment_id, product_id, quantity FROM shipments", "shipments"))
+def m18(spark, sf):
+    """CREATE TABLE IF NOT EXISTS: empty at first, a filled table stays as it is."""
+    rows = tables(spark, sf, "shipments")["shipments"]
+    snaps = table_ops.Snapshots(spark, scratch_path(spark, "snapshots"))
+    made = snaps.create_if_absent("shipments", rows.schema)
+    snaps.write("shipments", made.unionByName(rows))
+    return snaps.create_if_absent("shipments", rows.schema).select("shipment_id", "product_id", "quantity")
+
+
+@register("M19", with_fixtures("""
+SELECT product_id, stock * 2 AS stock FROM products""", "products"))
+def m19(spark, sf):
+    """A view over a table shows the rows after the table changed."""
+    products = tables(spark, sf, "products")["products"]
+    snaps = table_ops.Snapshots(spark, scratch_path(spark, "snapshots"))
+    snaps.write("products", products)
+    snaps.view("products", "live_products")
+    snaps.write("products", snaps.read("products").withColumn("stock", F.col("stock") * 2))
+    snaps.view("products", "live_products")
+    return spark.sql("SELECT product_id, stock FROM live_products")

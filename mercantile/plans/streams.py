@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..streaming import admission as r1, audit as r2, revenue as r3
 from ..streaming.runner import run_slices
+from . import twins
 from .admitting import GREEDY_CTE, RANKED_CTE
 from .catalog import doubles, iso_dates, register, tables
 from .oracle import with_fixtures
@@ -20,49 +21,75 @@ R2_TIMES = (dt.datetime(2001, 8, 1, 9, 0, 0), dt.datetime(2001, 8, 1, 17, 0, 0))
 
 
 def _by_year(df, col):
-    """Slices of ``df`` per calendar year of ``col``, oldest first (the list of
-    years is a tiny aggregate)."""
-    years = [r[0] for r in df.select(F.year(col).alias("y")).distinct().orderBy("y").collect()]
-    return [df.where(F.year(col) == y) for y in years]
+    """Slices of ``df`` per calendar year of ``col``, oldest first; year bounds
+    come from one small aggregate, slices are date ranges."""
+    first, last = df.agg(F.year(F.min(col)), F.year(F.max(col))).first()
+    day = lambda y: F.lit(dt.date(y, 1, 1))
+    return [df.where((F.col(col) >= day(y)) & (F.col(col) < day(y + 1))) for y in range(first, last + 1)]
 
 
-@register("R1", with_fixtures("""
+GREEDY_SQL = with_fixtures("""
 SELECT r.order_id, r.line_no, r.product_id, r.quantity,
        strftime(r.arrival, '%Y-%m-%d') AS arrival, f.accepted
 FROM ranked r JOIN fold f ON r.product_id = f.product_id AND r.rn = f.rn""",
-                              "order_items", "products", extra=RANKED_CTE, recursive=GREEDY_CTE))
-def stream_admission(spark, sf):
-    """Order lines streamed one shipping year per micro-batch through the
-    stateful admission; must equal the batch greedy result."""
-    t = tables(spark, sf, "order_items", "products")
+                           "order_items", "products", extra=RANKED_CTE, recursive=GREEDY_CTE)
+
+
+def _admitted(spark, slices, products):
     base = scratch_path(spark, "r1")
     out = f"{base}/out"
-    run_slices(spark, _by_year(t["order_items"], "arrival"), f"{base}/in",
-               lambda s: r1.admission_stream(s, t["products"]).writeStream
-               .format("parquet").option("path", out).outputMode("append"),
+    run_slices(spark, slices, f"{base}/in",
+               lambda s: s.writeStream.foreachBatch(r1.admission_sink(products, f"{base}/stock", out)),
                f"{base}/checkpoint")
     back = spark.read.parquet(out)
-    return iso_dates(back.select("order_id", "line_no", "product_id", "quantity", "arrival", "accepted"),
-                     "arrival")
+    return iso_dates(back.select("order_id", "line_no", "product_id", "quantity", "arrival", "accepted"), "arrival")
+
+
+@register("R1", GREEDY_SQL)
+def stream_admission(spark, sf):
+    """Order lines streamed one shipping year per micro-batch; must equal the
+    batch greedy result."""
+    t = tables(spark, sf, "order_items", "products")
+    return _admitted(spark, _by_year(t["order_items"], "arrival"), t["products"])
+
+
+# Products are topped up by their shipments when the lines of TOPUP_YEAR begin.
+TOPUP_YEAR = 1999
+TOPUP_CTE = f"""arrived AS (
+    SELECT oi.*, p.stock, (SELECT COALESCE(SUM(quantity), 0) FROM shipments s WHERE s.product_id = p.product_id) AS more,
+           year(oi.arrival) >= {TOPUP_YEAR} AS late,
+           ROW_NUMBER() OVER (PARTITION BY oi.product_id
+                              ORDER BY oi.arrival, oi.order_id, oi.line_no, oi.quantity, oi.price) AS rn
+    FROM order_items oi JOIN products p ON oi.product_id = p.product_id),
+ranked AS (SELECT *, late AND NOT COALESCE(LAG(late) OVER (PARTITION BY product_id ORDER BY rn), false) AS turns
+           FROM arrived)"""
+TOPUP_FOLD = """fold(product_id, rn, remaining, accepted) AS (
+    SELECT product_id, rn, stock + more * turns::INT - quantity * (quantity <= stock + more * turns::INT)::INT,
+           quantity <= stock + more * turns::INT
+    FROM ranked WHERE rn = 1
+    UNION ALL
+    SELECT r.product_id, r.rn,
+           f.remaining + r.more * r.turns::INT - r.quantity * (r.quantity <= f.remaining + r.more * r.turns::INT)::INT,
+           r.quantity <= f.remaining + r.more * r.turns::INT
+    FROM fold f JOIN ranked r ON r.product_id = f.product_id AND r.rn = f.rn + 1)"""
 
 
 @register("R1_batch", with_fixtures("""
 SELECT r.order_id, r.line_no, r.product_id, r.quantity,
        strftime(r.arrival, '%Y-%m-%d') AS arrival, f.accepted
 FROM ranked r JOIN fold f ON r.product_id = f.product_id AND r.rn = f.rn""",
-                                    "order_items", "products", extra=RANKED_CTE, recursive=GREEDY_CTE))
-def stream_admission_batches(spark, sf):
-    """R1 with the distributed batch operator per micro-batch (foreachBatch),
-    stock carried between micro-batches as a snapshot."""
-    t = tables(spark, sf, "order_items", "products")
-    base = scratch_path(spark, "r1b")
-    out, state = f"{base}/out", f"{base}/stock"
-    run_slices(spark, _by_year(t["order_items"], "arrival"), f"{base}/in",
-               lambda s: s.writeStream.foreachBatch(r1.admission_sink(t["products"], state, out)),
-               f"{base}/checkpoint")
-    back = spark.read.parquet(out)
-    return iso_dates(back.select("order_id", "line_no", "product_id", "quantity", "arrival", "accepted"),
-                     "arrival")
+                                    "order_items", "products", "shipments", extra=TOPUP_CTE, recursive=TOPUP_FOLD))
+def stream_admission_topups(spark, sf):
+    """R1 with top-up events in the stream: one year's micro-batch brings the
+    shipments of every product with its lines."""
+    t = tables(spark, sf, "order_items", "products", "shipments")
+    lines = t["order_items"].withColumn("kind", F.lit("line"))
+    topups = t["shipments"].select(
+        F.lit(None).cast("bigint").alias("order_id"), "product_id", "quantity",
+        F.lit(None).cast("decimal(12,2)").alias("price"), F.lit(None).cast("bigint").alias("line_no"),
+        F.lit(dt.date(TOPUP_YEAR, 1, 1)).alias("arrival"), F.lit("topup").alias("kind"))
+    feed = lines.unionByName(topups.select(*[F.col(c).cast(lines.schema[c].dataType) for c in lines.columns]))
+    return _admitted(spark, _by_year(feed, "arrival"), t["products"])
 
 
 @register("R2", with_fixtures(f"""
@@ -91,11 +118,7 @@ def stream_audit(spark, sf):
     return doubles(back, "salary").withColumn("deleted_at", F.date_format("deleted_at", "yyyy-MM-dd HH:mm:ss"))
 
 
-@register("R3", with_fixtures("""
-SELECT s.store_id, s.name AS store_name,
-       CAST(COALESCE(SUM(o.total_amount), 0) AS DOUBLE) AS total_revenue
-FROM stores s LEFT JOIN shop_orders o ON s.store_id = o.store_id
-GROUP BY s.store_id, s.name""", "stores", "shop_orders"))
+@register("R3", twins.STORE_TOTALS)
 def stream_revenue(spark, sf):
     """Orders streamed one year per micro-batch into a live revenue
     snapshot; the final snapshot equals Q2."""
@@ -104,15 +127,13 @@ def stream_revenue(spark, sf):
     snap = f"{base}/snapshot"
     run_slices(spark, _by_year(t["orders"], "order_date"), f"{base}/in",
                lambda s: r3.store_revenue_stream(s).writeStream
-               .foreachBatch(r3.snapshot_sink(snap)).outputMode("complete"),
+               .foreachBatch(r3.changes_sink(snap)).outputMode("update"),
                f"{base}/checkpoint")
-    return doubles(r3.with_dimension(spark.read.parquet(snap), t["stores"]), "total_revenue")
+    return doubles(r3.with_dimension(
+        r3.live_totals(spark.read.parquet(snap), "store_id"), t["stores"]), "total_revenue")
 
 
-@register("R3_products", with_fixtures("""
-SELECT p.product_id, p.name AS product_name, CAST(SUM(oi.quantity) AS BIGINT) AS total_quantity_sold
-FROM order_items oi JOIN products p ON oi.product_id = p.product_id
-GROUP BY p.product_id, p.name""", "order_items", "products"))
+@register("R3_products", twins.PRODUCT_TOTALS)
 def stream_top_products(spark, sf):
     """Order lines streamed one shipping year per micro-batch into a live
     product-sales snapshot; the final snapshot equals Q1."""
@@ -121,6 +142,6 @@ def stream_top_products(spark, sf):
     snap = f"{base}/snapshot"
     run_slices(spark, _by_year(t["order_items"], "arrival"), f"{base}/in",
                lambda s: r3.product_sales_stream(s).writeStream
-               .foreachBatch(r3.snapshot_sink(snap)).outputMode("complete"),
+               .foreachBatch(r3.changes_sink(snap)).outputMode("update"),
                f"{base}/checkpoint")
-    return r3.top_products(spark.read.parquet(snap), t["products"])
+    return r3.top_products(r3.live_totals(spark.read.parquet(snap), "product_id"), t["products"])

@@ -1,114 +1,47 @@
 """Order-line admission on a stream (the M16 greedy rule, live).
 
-Lines arrive as a stream; a stream-static *left* join attaches the opening
-stock (a line for an unknown product is refused, not lost); the remaining
-stock per product is the state of ``applyInPandasWithState``.  Inside a
-micro-batch each product's lines are taken in arrival order, so feeding the
-lines in order gives exactly the batch greedy result.  Optional top-up events
-(``kind = 'topup'``) raise the remaining stock in the same stream.
-
-State is one number per product; a micro-batch holds at most that batch's
-lines of one product in one task (bounded by ``maxFilesPerTrigger`` /
-``maxBytesPerTrigger`` of the source).
+Each micro-batch runs the exact distributed batch operator against the stock
+left by the micro-batch before, so a hot product never sits in one task and
+feeding the lines in order gives exactly the batch result.  A line for an
+unknown product is refused, not lost.  Top-up events (``kind = 'topup'``) come
+in the same stream; those of a micro-batch raise the stock before its lines.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from ..operators.admission import ARRIVAL_ORDER, SHORT
-
-STATE_SCHEMA = T.StructType([T.StructField("remaining", T.LongType())])
-
 
-def admission_stream(lines: DataFrame, products: DataFrame, key: str = "product_id",
-                     qty: str = "quantity", order: tuple[str, ...] = ARRIVAL_ORDER) -> DataFrame:
-    """Streaming DataFrame of every line with ``accepted`` and ``reason``."""
-    stock = products.select(F.col(key).alias("_pk"), F.col("stock").cast("long").alias("_opening"),
-                            F.lit(True).alias("_known"))
-    src = lines if "kind" in lines.columns else lines.withColumn("kind", F.lit("line"))
-    joined = src.join(stock, src[key] == stock["_pk"], "left").drop("_pk")
-    out_fields = [f for f in src.schema.fields] + [
-        T.StructField("accepted", T.BooleanType()), T.StructField("reason", T.StringType())]
-    out_schema = T.StructType(out_fields)
-    names = [f.name for f in src.schema.fields]
-    sort_cols = [c for c in order if c in names and c != key]
-
-    def fold(keys, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        if len(pdf) > 1:
-            pdf = pdf.sort_values(sort_cols, kind="stable", ignore_index=True)
-        if state.exists:
-            (remaining,) = state.get
-        else:
-            first = pdf["_opening"].iloc[0]
-            remaining = None if pd.isna(first) else int(first)
-        kinds = pdf["kind"].to_numpy()
-        qs = pdf[qty].to_numpy(dtype="float64", na_value=np.nan)
-        known = pdf["_known"].notna().to_numpy()
-        accepted = np.zeros(len(pdf), dtype=bool)
-        reasons = np.full(len(pdf), None, dtype=object)
-        for i in range(len(pdf)):
-            q = qs[i]
-            if kinds[i] == "topup":
-                if remaining is not None and not np.isnan(q):
-                    remaining += int(q)
-                accepted[i] = True
-            elif not known[i]:
-                reasons[i] = "unknown product"
-            elif np.isnan(q):
-                reasons[i] = "quantity is null"
-            elif q <= 0:
-                reasons[i] = "quantity must be positive"
-            elif remaining is None or q <= remaining:
-                if remaining is not None:
-                    remaining -= int(q)
-                accepted[i] = True
-            else:
-                reasons[i] = SHORT
-        state.update((remaining,))
-        out = pdf[names]
-        yield out.assign(accepted=accepted, reason=reasons)
-
-    return joined.groupBy(key).applyInPandasWithState(
-        fold, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+from ..operators.admission import admit
+from ..operators.changes import add_deltas
+from ..session import path_exists
 
 
 def admission_sink(products: DataFrame, state_path: str, out_path: str, key: str = "product_id",
                    **admit_options):
-    """``foreachBatch`` form of R1 for hot products and large batches.
-
-    Each micro-batch runs the exact distributed batch operator
-    (:func:`mercantile.operators.admission.admit`, greedy: native fast path,
-    range-partitioned rounds, bounded fold) against the stock left by the
-    previous micro-batch.  Lines and the new stock snapshot are written
-    partitioned by batch id with dynamic overwrite, so a replayed batch
-    rewrites its own output (exactly once).  The snapshot holds one row per
-    product per micro-batch; older batch folders can be dropped."""
-    from pyspark.errors import AnalysisException
-
-    from ..operators.admission import admit
+    """``foreachBatch`` function of R1.
 
+    Lines and the new stock are written partitioned by batch id with dynamic
+    overwrite, so a replayed batch rewrites its own output (exactly once).  The
+    snapshot holds one row per product per micro-batch; older batch folders
+    can be dropped."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
+        stock, last = products, None
+        if path_exists(spark, state_path):
             history = spark.read.parquet(state_path)
             last = history.where(F.col("_batch") < batch_id).agg(F.max("_batch")).first()[0]
-        except AnalysisException:
-            last = None
-        stock = products if last is None else history.where(F.col("_batch") == last).drop("_batch")
-        res = admit(batch, stock, mode="greedy", key=key, **admit_options)
-        lines = (res.accepted.withColumn("accepted", F.lit(True)).withColumn("reason", F.lit(None).cast("string"))
-                 .unionByName(res.refused.withColumn("accepted", F.lit(False))))
-        for df, path in ((lines, out_path), (res.products, state_path)):
+            if last is not None:
+                stock = history.where(F.col("_batch") == last).drop("_batch")
+        lines = batch
+        if "kind" in batch.columns:
+            lines = batch.where(~F.col("kind").eqNullSafe("topup"))
+            added = batch.where((F.col("kind") == "topup") & (F.col("quantity") > 0))
+            stock = add_deltas(stock, added.select(key, "quantity"), key=key).table
+        res = admit(lines, stock, mode="greedy", key=key, **admit_options)
+        judged = (res.accepted.withColumn("accepted", F.lit(True)).withColumn("reason", F.lit(None).cast("string"))
+                  .unionByName(res.refused.withColumn("accepted", F.lit(False))))
+        for df, path in ((judged, out_path), (res.products, state_path)):
             (df.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path))
     return run

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import dense_keys
 from ..schemas import SCHEMAS
+from ..session import path_exists
 
 AUDIT_COLUMNS = [f.name for f in SCHEMAS["employee_audit"]]
 
@@ -34,11 +35,10 @@ def audit_sink(table_path: str):
     same ids (they depend only on the table before the batch and the batch)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
+        start = 0
+        if path_exists(spark, table_path):  # a table that cannot be read is an error
             existing = spark.read.parquet(table_path).where(F.col("_batch") < batch_id)
             start = existing.select(F.max("audit_id")).scalar()
-        except Exception:  # noqa: BLE001  (first batch: no table yet)
-            start = 0
         rows = dense_keys(batch, ["deleted_at", "employee_id"], start=start, out="audit_id")
         (rows.select(*AUDIT_COLUMNS).withColumn("_batch", F.lit(batch_id))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

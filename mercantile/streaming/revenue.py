@@ -1,9 +1,9 @@
 """Live store revenue and top products (the two views, kept current).
 
-Streaming aggregates over the order and order-line streams.  File sinks only
-take append mode, so the durable target is a snapshot rewritten by
-``foreachBatch`` in complete mode; the state and the snapshot hold one row
-per store (or product), not per order.
+Streaming aggregates over the order and order-line streams.  Every micro-batch
+writes the totals that changed (update mode) as a version of its own; nothing
+is rewritten in place, so a reader always finds whole versions and a replayed
+batch only replaces its own.  The live totals are the newest row of each key.
 """
 
 from __future__ import annotations
@@ -21,13 +21,20 @@ def product_sales_stream(order_items: DataFrame) -> DataFrame:
     return order_items.groupBy("product_id").agg(F.sum("quantity").cast("bigint").alias("sold"))
 
 
-def snapshot_sink(path: str):
-    """``foreachBatch`` function replacing the snapshot with the current totals."""
+def changes_sink(path: str):
+    """``foreachBatch`` function adding a micro-batch's changed totals."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        (batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path))
     return write
 
 
+def live_totals(versions: DataFrame, key: str) -> DataFrame:
+    """The newest row of each key over all versions."""
+    cols = [c for c in versions.columns if c not in (key, "_batch")]
+    return versions.groupBy(key).agg(*[F.max_by(c, "_batch").alias(c) for c in cols])
+
+
 def with_dimension(totals: DataFrame, stores: DataFrame) -> DataFrame:
     """Q2's shape from the live totals: every store, 0 when it sold nothing."""
     return (stores.select("store_id", F.col("name").alias("store_name"))

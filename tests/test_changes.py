@@ -157,3 +157,14 @@ def test_update_by_key_rejects_rule_breaks(spark):
     patch = spark.createDataFrame([(1, None)], "customer_id bigint, name string")
     res = changes.update_by_key(c, patch, "customer_id", table="customers")
     assert rows(res.table) == rows(c) and res.rejected.count() == 1
+
+
+def test_update_refuses_taken_unique_values(spark):
+    c = spark.createDataFrame([(1, "a", "a@x", "1", "p"), (2, "b", "b@x", "2", "p"), (3, "c", "c@x", "3", "p"),
+                               (4, "d", "d@x", "4", "p")],
+                              "customer_id bigint, name string, email string, phone string, city string")
+    patch = spark.createDataFrame([(2, "a@x"), (3, "same@x"), (4, "same@x"), (1, "new@x")],
+                                  "customer_id bigint, email string")
+    res = changes.update_by_key(c, patch, "customer_id", table="customers")
+    assert rows(res.table, "customer_id", "email") == [(1, "new@x"), (2, "b@x"), (3, "c@x"), (4, "d@x")]
+    assert rows(res.rejected, "customer_id") == [(2,), (3,), (4,)]

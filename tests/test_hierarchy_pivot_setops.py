@@ -74,11 +74,19 @@ def test_doubling_equals_levels_with_cycles_and_dangling(spark):
         data.append((i, f"e{i}", "r", mgr))
     chain = [(1000 + k, f"c{k}", "r", None if k == 0 else 1000 + k - 1) for k in range(70)]  # deep chain
     emp = spark.createDataFrame(data + chain, "employee_id bigint, name string, role string, manager_id bigint")
-    lv = hierarchy.hierarchy(emp, method="levels")
-    db = hierarchy.hierarchy(emp, method="doubling")
-    auto = hierarchy.hierarchy(emp, method="auto", switch_after=8)
-    assert rows(lv.levels) == rows(db.levels) == rows(auto.levels)
-    assert rows(lv.unreachable) == rows(db.unreachable) == rows(auto.unreachable)
+    db = hierarchy.hierarchy(emp)
+    boss = {r[0]: r[3] for r in data + chain}
+    want = {}
+    for e in boss:
+        at, hops = e, 0
+        while at is not None and at in boss and hops < 100:
+            at, hops = boss[at], hops + 1
+        if at is None:
+            want[e] = hops - 1
+    assert {r.employee_id: r.level for r in db.levels.collect()} == want
+    short = hierarchy.hierarchy(emp, max_depth=2)
+    assert {r.employee_id for r in short.levels.collect()} == {e for e, v in want.items() if v <= 2}
+    assert rows(short.unreachable) == rows(db.unreachable)
     assert len(rows(db.unreachable)) == 50   # 10 on the cycle, 20 below it, 20 under missing managers
     assert max(r.level for r in db.levels.collect()) == 69
 

@@ -33,7 +33,7 @@ def test_full_join_order_and_placeholders(spark):
     customers, orders = _co(spark)
     out = joins.customer_orders_join(customers, orders, "full", display=True).collect()
     ids = [r.customer_id for r in out]
-    assert ids[-2:] == [None, None]            # NULLs last, as in PostgreSQL
+    assert ids[-2:] == [None, None]            # NULLs last
     zero = [r for r in out if r.customer_id == 0]
     assert all(r.customer_id_text == "0" for r in zero)      # key 0 is a value
     assert {r.total_amount_text for r in zero} == {"5.00", "0.00"}
@@ -96,3 +96,26 @@ def test_hot_customer_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_customer_is_split_in_the_sorted_join(spark):
+    """80% of the orders belong to one customer: the final sort spreads them."""
+    orders = spark.range(20_000).selectExpr(
+        "id AS order_id", "CASE WHEN id % 5 < 4 THEN 7 ELSE id % 100 END AS customer_id",
+        "DATE '2001-01-01' AS order_date", "CAST(1 AS DECIMAL(12,2)) AS total_amount")
+    customers = spark.range(100).selectExpr("id AS customer_id", "concat('c', id) AS name")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for how in ("inner", "left"):
+            out = joins.customer_orders_join(customers, orders, how)
+            parts = out.mapInArrow(_count_rows, "n long").collect()
+            assert max(r.n for r in parts) < 0.5 * out.count()  # one key holds 80%
+            got = [(r.customer_id, r.order_id or -1) for r in out.collect()]
+            assert got == sorted(got)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _count_rows(batches):
+    import pyarrow as pa
+    yield pa.RecordBatch.from_pydict({"n": [sum(b.num_rows for b in batches)]})

@@ -8,6 +8,7 @@ import pytest
 
 from conftest import SF_SMALL
 import __spark_entry__ as entry_mod
+from mercantile import plans
 from tools.compare import RAW, digest
 
 SQL_ONLY = ["Q1", "Q2", "Q4", "Q5", "Q6", "Q7", "Q8", "Q9", "Q10", "Q11", "Q12", "Q13", "Q14",
@@ -22,7 +23,8 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_a_callable_and_an_oracle():
     qs, sql = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(sql) == set(qs) and len(qs) >= 64
+    assert set(plans.QUERIES) == set(plans.ORACLES) and len(plans.QUERIES) >= 85
+    assert set(plans.QUERIES) <= set(qs) and set(plans.ORACLES) <= set(sql) <= set(qs)
 
 
 @pytest.mark.parametrize("name", SQL_ONLY)
@@ -50,7 +52,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(plans.ORACLES))
 def test_query_matches_oracle(spark, duck, name):
     sdf = entry_mod.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in sdf.collect()]
@@ -62,6 +64,35 @@ def test_query_matches_oracle(spark, duck, name):
     assert digest(sdf.columns, srows)[0] == digest(dcols, drows)[0]
 
 
+# What each ordered query promises: (column, descending, NULLs last).
+ORDERED = {
+    "Q1": [("total_quantity_sold", True), ("product_id", False)], "Q2": [("total_revenue", True), ("store_id", False)],
+    "Q3": [("level", False), ("employee_id", False)], "Q5": [("customer_id", False), ("order_id", False)],
+    "Q6": [("customer_id", False), ("order_id", False)], "Q7": [("order_id", False)],
+    "Q8": [("customer_id", False), ("order_id", False)], "Q14": [("store_name", False)],
+    "Q15": [("monthly_revenue", True), ("store_name", False)], "Q16": [("total_spending", True), ("customer_id", False)],
+    "Q17": [("store_name", False), ("year", False), ("month", False)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_rows_come_in_order(spark, name):
+    """O1-O3: order of the rows as collected; NULLs last in ascending order."""
+    def key(row):
+        out = []
+        for col, down in ORDERED[name]:
+            v = row[col]
+            out.append((v is None, (-v if down else v) if v is not None else 0))
+        return out
+    got = [key(r) for r in entry_mod.queries()[name](spark, SF_SMALL).collect()]
+    assert len(got) > 1 and got == sorted(got)
+
+
+def test_orders_without_store_need_no_join(spark):
+    plan = entry_mod.queries()["Q11"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_cli_list(capsys):
     from mercantile.__main__ import main
     assert main(["list"]) == 0

@@ -141,3 +141,87 @@ def test_load_order_lines_file_by_file(spark):
     assert verdict == {"a.xlsx": True, "b.xlsx": False, "c.xlsx": True}
     assert [os.path.basename(r._file) for r in got.bad_files.collect()] == ["d.xlsx"]
     assert rows(adm.products) == [(1, 1), (2, 2)]
+
+
+def test_damaged_version_log_is_an_error_not_an_empty_history(spark):
+    root = scratch_path(spark, "snap-damaged")
+    snap = tables.Snapshots(spark, root)
+    three = spark.createDataFrame([(1,), (2,), (3,)], "k bigint")
+    assert snap.write("t", three) == 1
+    log = workbook.local_path(root) + "/_versions"
+    for name in os.listdir(log):
+        if name.endswith(".parquet"):
+            with open(f"{log}/{name}", "wb") as f:
+                f.write(b"damaged")
+            crc = f"{log}/.{name}.crc"
+            if os.path.exists(crc):
+                os.remove(crc)
+    with pytest.raises(Exception):
+        snap.write("t", three.limit(1))
+    assert spark.read.parquet(snap.path("t", 1)).count() == 3
+
+
+def test_null_keys_are_refused(spark):
+    existing = spark.createDataFrame([(1, "a")], "k bigint, v string")
+    batch = spark.createDataFrame([(None, "x", 0), (None, "y", 1), (2, "z", 2)], "k bigint, v string, seq int")
+    res = tables.append_new(existing, batch, "k", ["seq"])
+    assert rows(res.table) == [(1, "a")] and rows(res.conflicts) == [("k", None, 2)]
+    plain = tables.append(existing, batch.drop("seq"), "k")
+    assert rows(plain.table) == [(1, "a")] and rows(plain.duplicates) == [(None, 2)]
+
+
+def test_csv_by_header_quotes_defaults_and_order_of_files(spark):
+    folder = workbook.local_path(scratch_path(spark, "csv-layouts"))
+    os.makedirs(folder)
+    files = {
+        "a.csv": "payment_method,amount,order_id,payment_id\n\"cash, \"\"big\"\"\",1.50,1,1\n\"two\nlines\",2.00,1,2\n",
+        "b.csv": "payment_id,order_id,amount,payment_method,payment_date\n2,1,9.00,x,2001-01-01\n3,1,9.00,x,2001-01-01\n",
+        "c.csv": "payment_id,order_id,amount,payment_method,payment_date\n3,1,3.00,x,2001-01-02\n",
+        "d.csv": "payment_id,order_id,amount,payment_method,payment_date\n4,1,3.00,x,20240101\n",
+        "e.csv": "payment_id,order_id,amount,payment_method,payment_date\n5,1,3.00,x,99999999999\n6,1,3.00,x,7\n",
+        "f.csv": "payment_id,order_id,amount,payment_method,place\n7,1,3.00,x,here\n",
+        "g.csv": "payment_id,order_id,amount,payment_method\n8,1,3.00,x\n8,1,3.00,y\n",
+    }
+    for name, text in files.items():
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(text)
+    res = ingest.ingest(spark, folder, "payments", "csv", as_of=dt.date(2001, 8, 1))
+    got = rows(res.accepted, "payment_id", "payment_method", "payment_date")
+    assert got == [(1, 'cash, "big"', dt.date(2001, 8, 1)), (2, "two\nlines", dt.date(2001, 8, 1)),
+                   (3, "x", dt.date(2001, 1, 2))]
+    why = {os.path.basename(r._file): r.first_reason for r in res.bad_files.collect()}
+    assert set(why) == {"b.csv", "d.csv", "e.csv", "f.csv", "g.csv"}
+    assert "duplicate" in why["b.csv"] and "unknown" in why["f.csv"] and "payment_date" in why["d.csv"]
+
+
+def test_workbook_cells_dates_and_control_characters(spark):
+    buf = io.BytesIO()
+    workbook.write_workbook(buf, "s", ["payment_id", "payment_method", "payment_date"],
+                            [(1, "bell\x07 _x0041_", 37104), (2, "plain", "7"), (3, "x", 99999999999)])
+    header, data = workbook.read_workbook(buf.getvalue())
+    assert data[0][1] == "bell\x07 _x0041_"
+    folder = workbook.local_path(scratch_path(spark, "wb-dates"))
+    os.makedirs(folder)
+    with open(folder + "/a.xlsx", "wb") as f:
+        f.write(buf.getvalue())
+    back = {r.payment_id: (r.payment_date, r._problem)
+            for r in workbook.read_workbooks(spark, folder, SCHEMAS["payments"]).collect()}
+    assert back[1] == (dt.date(2001, 8, 1), None)
+    assert back[2] == (None, "bad value in payment_date") and back[3] == (None, "bad value in payment_date")
+
+
+def test_workbook_export_replaces_and_keeps_keys_apart(spark):
+    df = spark.range(400).selectExpr("id % 40 AS k", "id AS v")
+    folder = scratch_path(spark, "wb-keys")
+    for _ in range(2):
+        export.export(df, folder, "xlsx", order_by=["v"], partition_by=["k"])
+    back = workbook.read_workbooks(spark, folder, df.schema)
+    assert rows(back, "k", "v") == rows(df)
+    per_file = back.groupBy("_file").agg(F.count_distinct("k").alias("n")).collect()
+    assert len(per_file) >= 40 and {r.n for r in per_file} == {1}
+    assert not [n for n in os.listdir(workbook.local_path(folder)) if not n.endswith(".xlsx")]
+
+
+def test_sheet_names_are_not_cut(spark):
+    with pytest.raises(ValueError):
+        export.export_all({"x" * 32: spark.range(1).toDF("a")}, scratch_path(spark, "names"))

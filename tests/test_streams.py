@@ -19,8 +19,8 @@ def test_stream_admission_equals_greedy_and_topups(spark):
     slices = [items.where(f"order_id >= {a} AND order_id < {b}") for a, b in ((0, 20), (20, 45), (45, 60))]
     base = scratch_path(spark, "r1-test")
     run_slices(spark, slices, f"{base}/in",
-               lambda s: r1.admission_stream(s, products).writeStream.format("parquet")
-               .option("path", f"{base}/out").outputMode("append"), f"{base}/ck")
+               lambda s: s.writeStream.foreachBatch(
+                   r1.admission_sink(products, f"{base}/stock", f"{base}/out")), f"{base}/ck")
     got = {r.order_id: r.accepted for r in spark.read.parquet(f"{base}/out").collect()}
     batch = admission.admit(items, products, mode="greedy")
     want = {r.order_id: True for r in batch.accepted.collect()}
@@ -49,9 +49,9 @@ def test_live_revenue_equals_batch(spark):
     stores = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "store_id int, name string")
     base = scratch_path(spark, "r3-test")
     run_slices(spark, [orders.where("order_id <= 2"), orders.where("order_id > 2")], f"{base}/in",
-               lambda s: r3.store_revenue_stream(s).writeStream.foreachBatch(r3.snapshot_sink(f"{base}/snap"))
-               .outputMode("complete"), f"{base}/ck")
-    out = r3.with_dimension(spark.read.parquet(f"{base}/snap"), stores)
+               lambda s: r3.store_revenue_stream(s).writeStream.foreachBatch(r3.changes_sink(f"{base}/snap"))
+               .outputMode("update"), f"{base}/ck")
+    out = r3.with_dimension(r3.live_totals(spark.read.parquet(f"{base}/snap"), "store_id"), stores)
     assert rows(out) == [(1, "a", Decimal("5.00")), (2, "b", Decimal("1.00")), (3, "c", Decimal("0.00"))]
 
 
@@ -66,12 +66,13 @@ def test_stream_topups_raise_remaining_stock(spark):
     products = spark.createDataFrame([(1, 10)], "product_id bigint, stock int")
     base = scratch_path(spark, "r1-topup")
     run_slices(spark, [first, second], f"{base}/in",
-               lambda s: r1.admission_stream(s, products).writeStream.format("parquet")
-               .option("path", f"{base}/out").outputMode("append"), f"{base}/ck")
+               lambda s: s.writeStream.foreachBatch(
+                   r1.admission_sink(products, f"{base}/stock", f"{base}/out")), f"{base}/ck")
     got = {r.order_id: (r.accepted, r.reason) for r in spark.read.parquet(f"{base}/out").collect()}
     assert got == {1: (True, None), 2: (False, "not enough stock"), 3: (False, "unknown product"),
-                   4: (True, None), 5: (True, None), 6: (False, "quantity is null"),
-                   7: (False, "quantity must be positive")}
+                   5: (True, None), 6: (False, "quantity is null"), 7: (False, "quantity must be positive")}
+    last = spark.read.parquet(f"{base}/stock").where("_batch = 1").collect()
+    assert [(r.product_id, r.stock) for r in last] == [(1, 10 - 8 + 6 - 5)]
 
 
 def test_foreach_batch_admission_with_hot_product(spark):
