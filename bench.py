@@ -21,7 +21,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["Q1", "Q2", "Q3", "Q4", "Q8", "Q9", "Q12", "Q14", "Q15", "Q16", "Q17",
-            "M5", "M16_atomic", "M16_greedy"]
+            "M5", "M16_atomic", "M16_greedy", "V", "M16_loads", "R1", "S2", "S7"]
 
 
 def main() -> None:

@@ -104,18 +104,18 @@ def test_hot_customer_is_split_in_the_sorted_join(spark):
         "id AS order_id", "CASE WHEN id % 5 < 4 THEN 7 ELSE id % 100 END AS customer_id",
         "DATE '2001-01-01' AS order_date", "CAST(1 AS DECIMAL(12,2)) AS total_amount")
     customers = spark.range(100).selectExpr("id AS customer_id", "concat('c', id) AS name")
+    def count_rows(batches):
+        import pyarrow as pa
+        yield pa.RecordBatch.from_pydict({"n": [sum(b.num_rows for b in batches)]})
+
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         for how in ("inner", "left"):
             out = joins.customer_orders_join(customers, orders, how)
-            parts = out.mapInArrow(_count_rows, "n long").collect()
+            parts = out.mapInArrow(count_rows, "n long").collect()
             assert max(r.n for r in parts) < 0.5 * out.count()  # one key holds 80%
             got = [(r.customer_id, r.order_id or -1) for r in out.collect()]
             assert got == sorted(got)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
-
-def _count_rows(batches):
-    import pyarrow as pa
-    yield pa.RecordBatch.from_pydict({"n": [sum(b.num_rows for b in batches)]})

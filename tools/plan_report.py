@@ -19,6 +19,8 @@ PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInP
 
 
 def summarise(plan: str) -> dict:
+    # The final adaptive plan only; the initial one is printed below it.
+    plan = plan.split("+- == Initial Plan ==")[0]
     joins = {}
     for j in JOINS:
         for m in re.finditer(rf"{j}(?: \[[^\]]*\], \[[^\]]*\],)? ?(\w+)?", plan):
