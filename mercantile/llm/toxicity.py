@@ -28,7 +28,7 @@ from .shingles import LETTER, U, mix, powers, text_slices, word_spans
 WINDOW, STRIDE = 48, 24
 DIM, HIDDEN = 16, 8
 WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << 17
-GRAMS = (3, 4, 5)
+GRAMS = (3, 4, 5)  # ascending, and no longer than ^x$ allows for the first
 #: Labelled documents of either class that are fitted at most, their most
 #: characters, and the most windows of one that a step looks at.
 FIT_DOCS, FIT_CHARS, FIT_WINDOWS = 3000, 12_000, 24
@@ -37,7 +37,7 @@ MIN_STEPS = 500  # few documents are seen more often
 #: Words and n-grams of fewer fitted documents stay neutral, and training
 #: leaves out this share of the inputs at random.
 MIN_DOCS, DROP = 3, 0.3
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 2 << 20
 
 # Words are runs of ASCII letters, digits and non-ASCII bytes.
 _GAP = np.ones(256, bool)
@@ -60,33 +60,29 @@ class Words:
 def read_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     s, e, h, counts = word_spans(data, offsets, _GAP)
     distinct, at, text = np.unique(h, return_index=True, return_inverse=True)
-    s, e = s[at], e[at]
+    text, s, e = text.astype(np.int32), s[at], e[at]
     # ^word$ of every distinct word, one after the other.
-    size = e - s + 2
+    size = (e - s + 2).astype(np.int32)
     end = np.cumsum(size)
     begin = end - size
-    flat = np.zeros(int(size.sum()), np.uint8)
-    inner = np.arange(len(flat)) - np.repeat(begin, size)
-    middle = (inner > 0) & (inner < np.repeat(size, size) - 1)
+    total = int(end[-1]) if len(end) else 0
+    left = np.repeat(end, size).astype(np.int32) - np.arange(total, dtype=np.int32)  # bytes to the word's end
+    flat = data[np.minimum(np.repeat(e + 1, size) - left, max(len(data) - 1, 0))] if total else np.zeros(0, np.uint8)
     flat[begin] = 94
-    if len(flat):
-        flat[end - 1] = 36
-    flat[middle] = data[(np.repeat(s, size) + inner - 1)[middle]]
-    power, inverse = powers(len(flat) + 1)
-    sums = np.zeros(len(flat) + 1, U)
-    np.cumsum(LETTER[flat] * power[:len(flat)], out=sums[1:])
-    left = np.repeat(end, size) - np.arange(len(flat))  # bytes to the word's end
-    rows, owner = [], []
-    of = np.repeat(np.arange(len(distinct)), size)
-    for n in GRAMS:
+    flat[end - 1] = 36
+    power, inverse = powers(total + 1)
+    sums = np.zeros(total + 1, U)
+    np.cumsum(LETTER[flat] * power[:total], out=sums[1:])
+    # A place starts one n-gram of each length that ends in the word.
+    starts = sum((left >= n).astype(np.int8) for n in GRAMS)
+    after = np.cumsum(starts, dtype=np.int64)
+    gram = np.zeros(int(after[-1]) if total else 0, np.int32)
+    for k, n in enumerate(GRAMS):
         i = np.flatnonzero(left >= n)
         g = mix((sums[i + n] - sums[i]) * inverse[i] + U(n))
-        rows.append((g >> U(13)) % U(GRAM_ROWS))
-        owner.append(of[i])
-    gram, owner = np.concatenate(rows).astype(np.int64), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    bounds = np.searchsorted(owner[order], np.arange(len(distinct)))
-    return Words(((distinct >> U(11)) % U(WORD_ROWS)).astype(np.int64), gram[order], bounds, text, counts)
+        gram[after[i] - starts[i] + k] = (g >> U(13)) % U(GRAM_ROWS)
+    bounds = after[begin] - starts[begin]
+    return Words(((distinct >> U(11)) % U(WORD_ROWS)).astype(np.int32), gram, bounds, text, counts)
 
 
 def window_table(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,10 +106,14 @@ def new_model(seed: int) -> dict[str, np.ndarray]:
             "att": f(2 * HIDDEN), "out": f(2 * HIDDEN), "bias": np.full(1, -1.0, np.float32)}
 
 
-def embed(m, words: Words) -> np.ndarray:
-    if not len(words.word):
-        return np.zeros((0, DIM), np.float32)
-    return m["word"][words.word] + np.add.reduceat(m["gram"][words.gram], words.bounds, axis=0)
+def embed(m, words: Words, step: int = 8192) -> np.ndarray:
+    """Inputs by word number, some words at a time."""
+    out = m["word"][words.word]
+    ends = np.append(words.bounds[1:], len(words.gram))
+    for at in range(0, len(out), step):
+        lo, hi = words.bounds[at], ends[min(at + step, len(out)) - 1]
+        out[at:at + step] += np.add.reduceat(m["gram"][words.gram[lo:hi]], words.bounds[at:at + step] - lo, axis=0)
+    return out
 
 
 def _sigmoid(x):
@@ -198,7 +198,7 @@ def _places(words: Words, first, length) -> np.ndarray:
     return words.text[at] if len(words.text) else np.zeros_like(at)
 
 
-def document_logits(m, words: Words, step: int = 8192) -> np.ndarray:
+def document_logits(m, words: Words, step: int = 2048) -> np.ndarray:
     """Largest window logit of every document, over all its windows."""
     x = embed(m, words)
     if not len(x):
@@ -225,7 +225,7 @@ def _known(words: Words) -> dict[str, np.ndarray]:
     as many pairs of document and word)."""
     n = max(1, len(words.word))
     doc = np.repeat(np.arange(len(words.counts)), words.counts)
-    docs = np.bincount(np.unique(doc * n + words.text) % n, minlength=n)[:len(words.word)]
+    docs = np.bincount(np.unique(doc * n + words.text) % n, minlength=n)[:len(words.word)]  # LONG keys
     size = np.diff(np.append(words.bounds, len(words.gram)))
     return {"word": np.bincount(words.word, docs, WORD_ROWS) >= MIN_DOCS,
             "gram": np.bincount(words.gram, np.repeat(docs, size), GRAM_ROWS) >= MIN_DOCS}
