@@ -153,6 +153,16 @@ def order_items(spark, sf_dir) -> DataFrame:
     )
 
 
+ARRIVAL = ["arrival", "order_id", "line_no", "product_id", "quantity", "price"]
+
+
+def keyed_items(spark, sf_dir) -> DataFrame:
+    """Order lines with a primary key, numbered in order of arrival."""
+    from .functions.keys import dense_keys
+    items = dense_keys(order_items(spark, sf_dir), ARRIVAL, out="order_item_id")
+    return items.select("order_item_id", *[c for c in items.columns if c != "order_item_id"])
+
+
 def payments(spark, sf_dir) -> DataFrame:
     o = raw(spark, sf_dir, "orders")
     return o.select(
@@ -201,6 +211,7 @@ BUILDERS = {
     "suppliers": suppliers, "products": products, "orders": orders,
     "order_items": order_items, "payments": payments, "shipments": shipments,
     "order_heads": order_heads, "gap_customers": gap_customers, "gap_orders": gap_orders,
+    "keyed_items": keyed_items,
     "monthly_sales": monthly_sales, "employee_audit": employee_audit,
 }
 

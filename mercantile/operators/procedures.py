@@ -72,10 +72,10 @@ def register_sql(spark: SparkSession, tables: dict[str, DataFrame], prefix: str
     spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION {prefix}sales_report(p_year INT, p_month INT)
         RETURNS TABLE (store_name STRING, monthly_revenue DECIMAL(38,2))
-        RETURN SELECT s.name, SUM(oi.price * oi.quantity)
-               FROM {prefix}stores s
-               JOIN {prefix}orders o ON s.store_id = o.store_id
-               JOIN {prefix}order_items oi ON o.order_id = oi.order_id
-               WHERE o.order_date >= make_date(p_year, p_month, 1)
-                 AND o.order_date < add_months(make_date(p_year, p_month, 1), 1)
-               GROUP BY s.name""")
+        RETURN WITH chosen AS (
+                 SELECT order_id, store_id FROM {prefix}orders
+                 WHERE store_id IS NOT NULL AND order_date >= make_date(p_year, p_month, 1)
+                   AND order_date < add_months(make_date(p_year, p_month, 1), 1)),
+               sold AS (SELECT store_id, SUM(quantity * price) AS total
+                        FROM chosen JOIN {prefix}order_items USING (order_id) GROUP BY store_id)
+               SELECT name, SUM(total) FROM sold JOIN {prefix}stores USING (store_id) GROUP BY name""")

@@ -21,8 +21,8 @@ from ..schemas import RULES, SCHEMAS, foreign_keys_of
 VIOLATION_SCHEMA = "table_name string, rule string, column_name string, key string, detail string"
 
 
-def _key_text(table: str) -> Column:
-    pk = RULES[table].primary_key
+def _key_text(table: str, columns: list[str] | None = None) -> Column:
+    pk = [c for c in RULES[table].primary_key if columns is None or c in columns]
     if not pk:
         return F.lit(None).cast("string")
     return F.concat_ws(",", *[F.col(c).cast("string") for c in pk])
@@ -71,13 +71,13 @@ def violations(df: DataFrame, table: str, parents: dict[str, DataFrame] | None =
     parents = parents or {}
     spark = df.sparkSession
     frames = []
-    key = _key_text(table)
+    key = _key_text(table, df.columns)
     for rule, col, bad in row_checks(table, df.columns):
         frames.append(df.where(bad).select(
             F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), F.lit(col).alias("column_name"),
             key.alias("key"), F.col(col).cast("string").alias("detail")))
     r = RULES[table]
-    if r.primary_key:
+    if r.primary_key and set(r.primary_key) <= set(df.columns):
         frames.append(_duplicates(df, table, list(r.primary_key), "primary_key_unique"))
     for c in r.unique:
         if c in df.columns:
@@ -187,7 +187,8 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
                      for i, (rule, col, _) in enumerate(checks)]
             frames.append(sums.select(F.explode(F.array(*cells)).alias("_r")).select("_r.*"))
         r = RULES[t]
-        keyed = ([("primary_key_unique", list(r.primary_key))] if r.primary_key else []) + \
+        has_key = r.primary_key and set(r.primary_key) <= set(df.columns)
+        keyed = ([("primary_key_unique", list(r.primary_key))] if has_key else []) + \
                 [("unique", [c]) for c in r.unique if c in df.columns]
         for rule, cols in keyed:
             frames.append(_duplicates(df, t, cols, rule).agg(F.count(F.lit(1)).alias("violations"))
@@ -199,7 +200,7 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
 def declared_rules(table: str, columns: list[str], parents: set[str]) -> list[tuple[str, str]]:
     r = RULES[table]
     out = row_rules(table, columns)
-    if r.primary_key:
+    if r.primary_key and set(r.primary_key) <= set(columns):
         out.append(("primary_key_unique", ",".join(r.primary_key)))
     out += [("unique", c) for c in r.unique if c in columns]
     out += [(f"foreign_key:{fk.parent}", fk.column) for fk in foreign_keys_of(table)

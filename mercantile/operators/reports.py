@@ -91,8 +91,10 @@ def sales_report_list_price(stores: DataFrame, orders: DataFrame, order_items: D
     month_orders = orders.where(in_month("order_date", year, m) & F.col("store_id").isNotNull()) \
         .select("order_id", "store_id")
     lines = month_orders.join(order_items.select("order_id", "product_id", "quantity"), "order_id", "left")
-    priced = lines.join(products.select("product_id", F.col("price").alias("_list")), "product_id", "left")
-    per_store = priced.groupBy("store_id").agg(F.sum(F.col("quantity") * F.col("_list")).alias("_value"))
+    # Quantities per (store, product) first: the products meet that, not every line.
+    sold = lines.groupBy("store_id", "product_id").agg(F.sum("quantity").cast("decimal(19,0)").alias("_sold"))
+    priced = sold.join(products.select("product_id", F.col("price").alias("_list")), "product_id", "left")
+    per_store = priced.groupBy("store_id").agg(F.sum(F.col("_sold") * F.col("_list")).alias("_value"))
     return (per_store.join(stores.select("store_id", F.col("name").alias("store_name")),
                            "store_id", "inner")
             .groupBy("store_name")

@@ -60,6 +60,9 @@ FIXTURE_SQL: dict[str, str] = {
                CAST(l_extendedprice AS DECIMAL(12,2)) AS price,
                l_linenumber AS line_no, CAST(l_shipdate AS DATE) AS arrival
         FROM lineitem""",
+    "keyed_items": """
+        SELECT ROW_NUMBER() OVER (ORDER BY arrival, order_id, line_no, product_id, quantity, price) AS order_item_id, *
+        FROM order_items""",
     "payments": """
         SELECT o_orderkey AS payment_id, o_orderkey AS order_id,
                CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
@@ -81,9 +84,10 @@ FIXTURE_SQL: dict[str, str] = {
 }
 
 DEPENDS = {"monthly_sales": ("shop_orders",), "gap_customers": ("customers", "suppliers"),
-           "gap_orders": ("shop_orders",)}
+           "gap_orders": ("shop_orders",), "keyed_items": ("order_items",)}
 ORDER = ("stores", "employees", "customers", "suppliers", "products", "shop_orders",
-         "order_items", "payments", "shipments", "monthly_sales", "gap_customers", "gap_orders")
+         "order_items", "payments", "shipments", "monthly_sales", "gap_customers", "gap_orders",
+         "keyed_items")
 
 
 def with_fixtures(body: str, *names: str, recursive: str = "", extra: str = "") -> str:

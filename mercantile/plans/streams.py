@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..streaming import admission as r1, audit as r2, revenue as r3
-from ..streaming.runner import run_slices
 from . import twins
 from .admitting import GREEDY_CTE, RANKED_CTE
 from .catalog import doubles, iso_dates, register, tables
+from .feeder import run_slices
 from .oracle import with_fixtures
 
 R2_STORE = 5

@@ -61,6 +61,7 @@ SCHEMAS: dict[str, T.StructType] = {
         T.StructField("order_status", T.StringType()),
     ]),
     "order_items": T.StructType([
+        T.StructField("order_item_id", T.LongType()),
         T.StructField("order_id", T.LongType()),
         T.StructField("product_id", T.LongType()),
         T.StructField("quantity", T.IntegerType()),
@@ -147,6 +148,7 @@ RULES: dict[str, TableRules] = {
         checks={"total_non_negative": "total_amount >= 0"},
         decimals={"total_amount": (10, 2)}, defaults={"order_date": "current_date"}),
     "order_items": TableRules(
+        primary_key=("order_item_id",),
         checks={"quantity_positive": "quantity > 0", "price_non_negative": "price >= 0"},
         decimals={"price": (10, 2)}),
     "payments": TableRules(

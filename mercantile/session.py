@@ -57,11 +57,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_scratch: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for written tables
-    (lineage cuts, export round trips, stream inputs and sinks)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/mercantile/{name}-{uuid.uuid4().hex[:12]}"
+    (lineage cuts, export round trips, stream inputs and sinks).  All of an
+    application's folders share a parent that goes when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/mercantile/{app}-{uuid.uuid4().hex[:8]}"
+        where = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _scratch[app] = root
+    return f"{_scratch[app]}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -127,14 +127,14 @@ def test_load_order_lines_file_by_file(spark):
     folder = scratch_path(spark, "lines-xlsx")
     local = workbook.local_path(folder)
     os.makedirs(local)
-    header = ["order_id", "product_id", "quantity", "price", "line_no", "arrival"]
+    header = ["order_id", "product_id", "quantity", "price", "line_no", "arrival", "order_item_id"]
     files = {"a.xlsx": [(1, 1, 5, "1.00", 1, "2001-01-01"), (1, 2, 1, "1.00", 2, "2001-01-01")],
              "b.xlsx": [(2, 1, 6, "1.00", 1, "2001-01-02")],                  # product 1 would go below 0
              "c.xlsx": [(3, 1, 4, "1.00", 1, "2001-01-03"), (3, 2, 2, "1.00", 2, "2001-01-03")],
              "d.xlsx": [(4, 2, -1, "1.00", 1, "2001-01-04")]}                 # CHECK quantity > 0
     for name, data in files.items():
         with open(f"{local}/{name}", "wb") as f:
-            workbook.write_workbook(f, "Lines", header, data)
+            workbook.write_workbook(f, "Lines", header, [(*row, f"{row[0]}{k}") for k, row in enumerate(data)])
     products = spark.createDataFrame([(1, 10), (2, 5)], "product_id bigint, stock int")
     got, adm = ingest.load_order_lines(spark, folder, products)
     verdict = {os.path.basename(r._file): r.accepted for r in adm.loads.collect()}

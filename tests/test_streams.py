@@ -7,7 +7,7 @@ from conftest import rows
 from mercantile.operators import admission
 from mercantile.session import scratch_path
 from mercantile.streaming import admission as r1, audit as r2, revenue as r3
-from mercantile.streaming.runner import run_slices
+from mercantile.plans.feeder import run_slices
 
 
 def test_stream_admission_equals_greedy_and_topups(spark):
