@@ -8,30 +8,36 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 
+#: Edges that one task contracts; bounds its memory.
+EDGES = 250_000
+
+
 def _contract(batches):
-    """Forest of a partition's edges: same components, fewer rows.  Edges are
-    taken a batch at a time, so memory is bounded by the batch."""
+    """Forest of a partition's edges: same components, fewer rows."""
     import numpy as np
     import pyarrow as pa
-    for batch in batches:
-        u, v = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-        a, b = at[:len(u)], at[len(u):]
-        root = np.arange(len(nodes))
-        while len(a):
-            low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
-            open_ = low != high
-            if not open_.any():
+    held = list(batches)
+    if not held:
+        return
+    rows = pa.Table.from_batches(held)
+    u, v = (rows.column(i).to_numpy() for i in (0, 1))
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[:len(u)], at[len(u):]
+    root = np.arange(len(nodes))
+    while len(a):
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        open_ = low != high
+        if not open_.any():
+            break
+        a, b, low, high = a[open_], b[open_], low[open_], high[open_]
+        np.minimum.at(root, high, low)
+        while True:
+            up = root[root]
+            if (up == root).all():
                 break
-            a, b, low, high = a[open_], b[open_], low[open_], high[open_]
-            np.minimum.at(root, high, low)
-            while True:
-                up = root[root]
-                if (up == root).all():
-                    break
-                root = up
-        keep = root != np.arange(len(nodes))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[root[keep]])], ["u", "v"])
+            root = up
+    keep = root != np.arange(len(nodes))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[root[keep]])], ["u", "v"])
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -40,10 +46,11 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     ``edges`` has long columns u, v.  Each round is two aggregations with
     map-side combine and two joins that split hot nodes; rounds grow with the
     logarithm of the longest chain.  Every round is written to the shared
-    scratch folder."""
-    e = edges.select("u", "v").where("u <> v")
-    e = e.mapInArrow(_contract, "u long, v long")
-    e = materialise(e.distinct(), name)
+    scratch folder.  Before the first, tasks contract about ``EDGES`` edges
+    each to forests."""
+    e = materialise(edges.select("u", "v").where("u <> v").distinct(), name)
+    e = e.coalesce(max(1, -(-e.count() // EDGES))).mapInArrow(_contract, "u long, v long")
+    e = materialise(e, name)
     before = None
     while True:
         # Large star: every larger neighbour of u hangs on the least neighbour of u (or u).

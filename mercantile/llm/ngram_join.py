@@ -268,9 +268,10 @@ def _pairs(percent, longest):
     """Pairs of sets in the lists of a partition, with the lists they share in
     a class and the lists they need.  A list has at most ``longest`` entries."""
     def run(batches):
-        rows = pa.Table.from_batches(list(batches))
-        if not len(rows):
+        held = list(batches)
+        if not held:
             return
+        rows = pa.Table.from_batches(held)
         key, print_, n, cls, need = (rows.column(i).to_numpy() for i in range(5))
         order = np.lexsort((print_, key))
         key, print_, n, cls, need = (x[order] for x in (key, print_, n, cls, need))
@@ -387,8 +388,12 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
              .groupBy("u", "v", "cls").agg(F.sum("lists").alias("lists"), F.max("need").alias("need"))
              .where("lists >= need").select("u", "v"))
     hard = listed.where(F.col("long") & (F.col("left") <= 0))
-    least = hard.groupBy("key").agg(F.min("print").alias("v"))
-    edges = pairs.unionAll(hard.join(least, "key").select(F.col("print").alias("u"), "v"))
+    # A long list hangs on its member of the most long lists: the lists of a
+    # group then share that hub, and a set gets few edges.
+    weight = hard.groupBy("print").agg(F.count(F.lit(1)).alias("w"))
+    hubs = (hard.select("key", "print").join(weight, "print").groupBy("key")
+            .agg(F.max(F.struct("w", "print"))["print"].alias("v")))
+    edges = pairs.unionAll(hard.join(hubs, "key").select(F.col("print").alias("u"), "v").distinct())
 
     # Families: sets connected by enough common lists.
     family = materialise(connected_components(edges, "families"), "family-of")

@@ -82,9 +82,10 @@ def best_fit(fills: np.ndarray, capacity: int) -> list[list[int]]:
 
 def _pack(capacity):
     def run(batches):
-        rows = pa.Table.from_batches(list(batches))
-        if not len(rows):
+        held = list(batches)
+        if not sum(map(len, held)):
             return
+        rows = pa.Table.from_batches(held)
         # The order of shuffled rows may differ when a task is run again.
         rows = rows.combine_chunks().sort_by([("fill", "descending"), ("bin", "ascending")])
         fills = rows.column("fill").to_numpy()

@@ -353,8 +353,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     picked = texts.join(ids, "doc_id").groupBy("y", "turn", "doc_id").agg(F.min("text").alias("text"))
 
     def task(batches):
-        rows = pa.Table.from_batches(list(batches)).sort_by([("y", "ascending"), ("turn", "ascending"),
-                                                             ("doc_id", "ascending"), ("text", "ascending")])
+        held = list(batches)
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).sort_by([(c, "ascending") for c in ("y", "turn", "doc_id", "text")])
         model = fit(rows.column("text").to_pylist(), rows.column("y").to_numpy().astype(np.float32), seed)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
