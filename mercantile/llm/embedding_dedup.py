@@ -148,8 +148,8 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, recall: fl
              .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
              .withColumn("side", (F.col("part") > F.col("other")).cast("long")))
     found = materialise(
-        tiles.select(*key, "i", "j", "side", "cls", "copies", "sigs", "unit")
-        .groupBy(*key, "i", "j").applyInArrow(_verify(threshold), "cls long, links long, root long"), "vector-links")
+        tiles.select(F.xxhash64(*key, "i", "j").alias("tile"), "dims", "tab", "side", "cls", "copies", "sigs", "unit")
+        .groupBy("tile", "dims", "tab").applyInArrow(_verify(threshold), "cls long, links long, root long"), "vector-links")
     roots = connected_components(found.select(F.col("cls").alias("u"), F.col("root").alias("v")), "vector-components")
     counts = found.groupBy("cls").agg(F.sum("links").alias("links"))
     merged = (classes.select("cls", "copies").join(counts, "cls", "left")

@@ -420,7 +420,9 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
              .select("family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
                      (F.col("part") > F.col("other")).cast("long").alias("side"),
                      "print", "n", "hashes", "copies"))
-    links = materialise(tiles.groupBy("family", "i", "j").applyInPandas(
+    # One key for a tile: else Spark would keep the rows dealt by family, a hot one in one task.
+    tiles = tiles.withColumn("tile", F.xxhash64("family", "i", "j")).drop("family", "i", "j")
+    links = materialise(tiles.groupBy("tile").applyInPandas(
         _tile(percent), "print long, links long, root long"), "links")
     roots = connected_components(links.select(F.col("print").alias("u"), F.col("root").alias("v")), "near-copies")
     counts = links.groupBy("print").agg(F.sum("links").alias("links"))
