@@ -84,7 +84,7 @@ def _verify(threshold):
         x = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(len(cls), dims)
         sigs = np.array(rows.column("sigs").to_pylist(), np.int64)
         near = np.triu(x @ x.T >= threshold, 1)
-        if side.any() and not side.all():
+        if not rows.column("diagonal")[0].as_py():  # only across the parts, also where one is empty
             near &= side[:, None] != side[None, :]
         i, j = np.nonzero(near)
         if tab:  # counted where they first meet
@@ -146,9 +146,10 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, recall: fl
              .withColumn("part", F.pmod(F.xxhash64(F.lit("tile"), "cls"), F.col("parts")).cast("int")))
     tiles = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
-             .withColumn("side", (F.col("part") > F.col("other")).cast("long")))
+             .withColumn("side", (F.col("part") > F.col("other")).cast("long"))
+             .withColumn("diagonal", F.col("part") == F.col("other")))
     found = materialise(
-        tiles.select(F.xxhash64(*key, "i", "j").alias("tile"), "dims", "tab", "side", "cls", "copies", "sigs", "unit")
+        tiles.select(F.xxhash64(*key, "i", "j").alias("tile"), "dims", "tab", "side", "diagonal", "cls", "copies", "sigs", "unit")
         .groupBy("tile", "dims", "tab").applyInArrow(_verify(threshold), "cls long, links long, root long"), "vector-links")
     roots = connected_components(found.select(F.col("cls").alias("u"), F.col("root").alias("v")), "vector-components")
     counts = found.groupBy("cls").agg(F.sum("links").alias("links"))

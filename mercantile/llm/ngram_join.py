@@ -296,9 +296,9 @@ def _pairs(percent, longest):
     return run
 
 
-def _count_links(prints, sizes, hashes, side, copies, percent):
-    """Exact links inside a tile: (link counts, forest edges).  Sets of side 1
-    are only compared with side 0 when both are there."""
+def _count_links(prints, sizes, hashes, side, copies, diagonal, percent):
+    """Exact links inside a tile: (link counts, forest edges).  Off the diagonal
+    a pair counts only across the sides, also where a side is empty."""
     m = len(prints)
     order = np.argsort(sizes, kind="stable")
     prints, sizes, side, copies = prints[order], sizes[order], side[order], copies[order]
@@ -321,7 +321,7 @@ def _count_links(prints, sizes, hashes, side, copies, percent):
     both = sizes[:, None] + sizes[None, :]
     linked = (100 + percent) * shared.astype(np.int64) >= percent * both
     np.fill_diagonal(linked, False)
-    if side.any() and not side.all():
+    if not diagonal:
         linked &= side[:, None] != side[None, :]
     links = linked.astype(np.int64) @ copies
     root = np.arange(m)
@@ -341,10 +341,13 @@ def _count_links(prints, sizes, hashes, side, copies, percent):
 def _tile(percent):
     def run(key, frame):
         import pandas as pd
+        side, diagonal = frame["side"].to_numpy(np.int64), bool(frame["diagonal"].iloc[0])
+        if not diagonal and (side == side[0]).all():  # the other part is empty
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("print", "links", "root")})
         hashes = [np.frombuffer(h, U) for h in frame["hashes"]]
         prints, links, roots = _count_links(
             frame["print"].to_numpy(np.int64), frame["n"].to_numpy(np.int64), hashes,
-            frame["side"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64), percent)
+            side, frame["copies"].to_numpy(np.int64), diagonal, percent)
         some = links > 0
         return pd.DataFrame({"print": prints[some], "links": links[some], "root": roots[some]})
     return run
@@ -419,7 +422,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     tiles = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
                      (F.col("part") > F.col("other")).cast("long").alias("side"),
-                     "print", "n", "hashes", "copies"))
+                     (F.col("part") == F.col("other")).alias("diagonal"), "print", "n", "hashes", "copies"))
     # One key for a tile: else Spark would keep the rows dealt by family, a hot one in one task.
     tiles = tiles.withColumn("tile", F.xxhash64("family", "i", "j")).drop("family", "i", "j")
     links = materialise(tiles.groupBy("tile").applyInPandas(

@@ -145,6 +145,17 @@ def test_ngram_join_hard_rows_joined_keys_and_small_tiles(spark):
     assert got == brute_join(some, 3, 90)
 
 
+def test_ngram_join_counts_once_where_parts_are_empty(spark, monkeypatch):
+    """Families of few sets with many shingles have parts without a set."""
+    monkeypatch.setattr(ngram_join, "TILE_SHINGLES", 60)
+    some = []
+    for k in range(6):
+        words = [f"w{k}x{i}" for i in range(200)]
+        some += [(2 * k, " ".join(words), None), (2 * k + 1, " ".join([*words, "tail"]), None)]
+    out = ngram_join.ngram_jaccard_join(cases.frame(spark, some), 3, 90)
+    assert many(out, "doc_id", "n_shingles", "n_links", "component_id") == brute_join(some, 3, 90)
+
+
 def test_ngram_join_empty(spark):
     assert ngram_join.ngram_jaccard_join(cases.empty(spark)).count() == 0
 

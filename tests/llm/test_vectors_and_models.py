@@ -123,6 +123,19 @@ def test_embedding_dedup(spark, tile):
     assert embedding_dedup.embedding_near_dedup(vectors(spark, [])).count() == 0
 
 
+def test_embedding_tile_of_one_part_counts_nothing_again():
+    """Off the diagonal, a tile whose other part is empty has no pair."""
+    x = np.array([[1.0, 0.0], [1.0, 0.0]])
+    rows = lambda side, diagonal: pa.table({
+        "cls": [1, 2], "side": side, "diagonal": [diagonal] * 2, "copies": [1, 1], "sigs": [[0], [0]],
+        "unit": pa.array([r.tobytes() for r in x], pa.binary())})
+    verify = embedding_dedup._verify(0.9)
+    key = (pa.scalar(0), pa.scalar(2), pa.scalar(0))
+    links = [verify(key, rows(side, d)).column("links").to_pylist() for side, d in
+             [([0, 0], True), ([0, 0], False), ([1, 1], False), ([0, 1], False)]]
+    assert links == [[1, 1], [], [], [1, 1]]
+
+
 def test_embedding_dedup_recall(spark):
     """Many vectors, so that tables have several bits: measured recall."""
     rng = np.random.default_rng(3)
