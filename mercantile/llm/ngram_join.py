@@ -46,9 +46,6 @@ TILE_SHINGLES = 400_000
 TILE_SETS = 1_000
 #: Entries of a list up to which its pairs are scanned.
 LONG_LIST = 64
-#: Shared keys, and sets of families, are sent to the tasks below this many
-#: (17 bytes each), joined beyond it.
-BROADCAST_KEYS = 4_000_000
 
 
 def overlap_needed(a: int, b: int, percent: int) -> int:
@@ -218,49 +215,29 @@ def _emit_keys(width, percent):
     return run
 
 
-LISTED = "key long, print long, n long, cls int, need int, hub long, long boolean"
-
-
-def _emit_listed(width, percent, shared):
-    """The same for keys that several sets share, with the list's hub and
-    whether it is long."""
-    emit = _emit_keys(width, percent)
-
+def _emit_prints(width):
+    """Rows (doc_id, n, print)."""
     def run(batches):
-        known, hub, long_ = shared.value
-        for rows in emit(batches):
-            if not len(known):
-                continue
-            keys = rows.column(0).to_numpy()
-            spot = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            hit = known[spot] == keys
-            rows = rows.filter(pa.array(hit))
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array(hub[spot[hit]]), pa.array(long_[spot[hit]])],
-                ["key", "print", "n", "cls", "need", "hub", "long"])
+        for batch in batches:
+            for at, _, sizes, prints in _sets(batch.column(1), width):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(sizes)), pa.array(sizes.astype(np.int64)), pa.array(prints)],
+                    ["doc_id", "n", "print"])
     return run
 
 
-def _emit_sets(width, shared):
-    """Rows (doc_id, n, print, hashes); hashes only for the sets whose prints
-    are in ``shared`` (None: all), once per slice."""
+def _emit_sets(width):
+    """Rows (n, print, hashes), once per slice."""
     def run(batches):
-        wanted = shared.value if shared is not None else None
         for batch in batches:
-            ids = batch.column(0)
-            for at, hashes, sizes, prints in _sets(batch.column(1), width):
+            for _, hashes, sizes, prints in _sets(batch.column(0), width):
                 ends = np.cumsum(sizes)
-                take = sizes > 0
-                if wanted is not None:
-                    spot = np.minimum(np.searchsorted(wanted, prints), max(len(wanted) - 1, 0))
-                    take &= wanted[spot] == prints if len(wanted) else False
-                content: list = [None] * len(sizes)
                 _, once = np.unique(prints, return_index=True)
-                for i in once[take[once]]:
-                    content[i] = hashes[ends[i] - sizes[i]:ends[i]].tobytes()
+                once = once[sizes[once] > 0]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(at, len(sizes)), pa.array(sizes.astype(np.int64)), pa.array(prints),
-                     pa.array(content, pa.binary())], ["doc_id", "n", "print", "hashes"])
+                    [pa.array(sizes[once].astype(np.int64)), pa.array(prints[once]),
+                     pa.array([hashes[ends[i] - sizes[i]:ends[i]].tobytes() for i in once], pa.binary())],
+                    ["n", "print", "hashes"])
     return run
 
 
@@ -354,7 +331,7 @@ def _tile(percent):
 
 
 def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
-                       text_col: str = "text", broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+                       text_col: str = "text", broadcast_keys: int = 0) -> DataFrame:
     """Link documents whose sets of distinct ``words``-word shingles have a
     Jaccard similarity of at least ``percent`` / 100.
 
@@ -363,8 +340,9 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     set_print.  NULL or empty text has no set and no link and keeps its own
     id; fewer words than ``words`` are one shingle; equal sets always link;
     NULL ids count as links but never as a component's id unless no other is
-    there; repeated rows are rows of their own.  Other columns are ignored."""
-    spark = docs.sparkSession
+    there; repeated rows are rows of their own.  Other columns are ignored.
+    Keys and families are joined on Spark at every size; ``broadcast_keys`` is
+    taken for older callers and has no effect."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     only = texts.select("text")
     keys = only.mapInArrow(_emit_keys(words, percent), "key long, print long, n long, cls int, need int")
@@ -372,13 +350,9 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     shared = materialise(
         keys.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("far"), F.count(F.lit(1)).alias("m"))
         .where("hub <> far").select("key", "hub", (F.col("m") > LONG_LIST).alias("long")), "shared-keys")
-    if shared.count() <= broadcast_keys:
-        table_ = shared.toArrow().sort_by("key")
-        sent = spark.sparkContext.broadcast(tuple(table_.column(i).to_numpy() for i in range(3)))
-        listed = only.mapInArrow(_emit_listed(words, percent, sent), LISTED)
-    else:
-        listed = keys.join(shared, "key")
-    listed = materialise(listed.dropDuplicates(["key", "print"]), "listed-keys")
+    # A dealing of its own, so that the join may split a hot key.
+    listed = materialise(keys.join(shared, "key").repartition("key", "print").dropDuplicates(["key", "print"]),
+                         "listed-keys")
     # Common lists that remain when the long ones are left out; none is certain for a hard set.
     long_of = (listed.groupBy("print", "cls").agg(F.count(F.when(F.col("long"), 1)).alias("h"),
                                                   F.min("need").alias("base"))
@@ -400,16 +374,13 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
 
     # Families: sets connected by enough common lists.
     family = materialise(connected_components(edges, "families"), "family-of")
-    schema = "doc_id long, n long, print long, hashes binary"
-    if family.count() <= broadcast_keys:
-        wanted = np.sort(family.select("node").toArrow().column(0).to_numpy())
-        rows = texts.mapInArrow(_emit_sets(words, spark.sparkContext.broadcast(wanted)), schema)
-    else:
-        rows = texts.mapInArrow(_emit_sets(words, None), schema)
-    rows = materialise(rows, "shingle-sets")
-    members = rows.where("hashes IS NOT NULL").dropDuplicates(["print"])
+    rows = materialise(texts.mapInArrow(_emit_prints(words), "doc_id long, n long, print long"), "shingle-sets")
     classes = (rows.where("n > 0").groupBy("print")
-               .agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")))
+               .agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.min("doc_id").alias("holder")))
+    # Only texts of families move, one id for every set.
+    holders = family.join(classes, family["node"] == classes["print"]).select("holder").distinct()
+    held = texts.join(holders, texts["doc_id"].eqNullSafe(holders["holder"]), "left_semi").select("text")
+    members = held.mapInArrow(_emit_sets(words), "n long, print long, hashes binary").dropDuplicates(["print"])
 
     members = (members.join(family, members["print"] == family["node"]).join(classes.select("print", "copies"), "print")
                .select("print", "n", "hashes", F.col("root").alias("family"), "copies"))
@@ -429,7 +400,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
         _tile(percent), "print long, links long, root long"), "links")
     roots = connected_components(links.select(F.col("print").alias("u"), F.col("root").alias("v")), "near-copies")
     counts = links.groupBy("print").agg(F.sum("links").alias("links"))
-    merged = (classes.join(counts, "print", "left")
+    merged = (classes.select("print", "copies").join(counts, "print", "left")
               .join(roots.withColumnRenamed("node", "print"), "print", "left")
               .select("print", "copies", F.coalesce("links", F.lit(0)).alias("links"),
                       F.coalesce("root", "print").alias("component")))

@@ -156,6 +156,15 @@ def test_ngram_join_counts_once_where_parts_are_empty(spark, monkeypatch):
     assert many(out, "doc_id", "n_shingles", "n_links", "component_id") == brute_join(some, 3, 90)
 
 
+def test_ngram_join_brings_nothing_to_the_driver(spark, monkeypatch):
+    asked, frame = [], type(spark.range(0))
+    for name in ("toArrow", "toPandas"):
+        old = getattr(frame, name)
+        monkeypatch.setattr(frame, name, lambda self, *a, name=name, old=old: (asked.append(name), old(self, *a))[1])
+    ngram_join.ngram_jaccard_join(cases.frame(spark, edited(3, 20)), 3, 90)
+    assert not asked
+
+
 def test_ngram_join_empty(spark):
     assert ngram_join.ngram_jaccard_join(cases.empty(spark)).count() == 0
 

@@ -123,6 +123,13 @@ def test_embedding_dedup(spark, tile):
     assert embedding_dedup.embedding_near_dedup(vectors(spark, [])).count() == 0
 
 
+def test_embedding_dedup_joins_hot_buckets(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 5)
+    some = hard_vectors()
+    out = embedding_dedup.embedding_near_dedup(vectors(spark, some), recall=0.999999, broadcast_buckets=0).collect()
+    assert collections.Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == brute_links(some, 0.93)
+
+
 def test_embedding_tile_of_one_part_counts_nothing_again():
     """Off the diagonal, a tile whose other part is empty has no pair."""
     x = np.array([[1.0, 0.0], [1.0, 0.0]])
