@@ -127,20 +127,17 @@ def subset_keys(parts: np.ndarray, percent: int, top: int) -> np.ndarray:
 
 def block_keys(hashes: np.ndarray, sizes: np.ndarray, percent: int, top: int) -> tuple[np.ndarray, ...]:
     """(key, set number, class, common lists needed) of the inverted lists
-    every set belongs to: its own class and, where a similar set may be in it,
-    the next one."""
+    every set belongs to: its own class and every larger one that a similar set
+    may be in (above 66 percent at most the next one)."""
     parts = []
     where = np.repeat(np.arange(len(sizes)), sizes)
     content = mix(hashes + U(0x5851F42D4C957F2D))
-    for step in (0, 1):
-        cls = np.array([_classes(int(n))[0] if n else -1 for n in sizes])
-        if step:
-            reach = np.array([_bounds()[c + 1] if c >= 0 else 0 for c in cls])
-            use = (sizes > 0) & (sizes * 100 // percent >= reach)
-        else:
-            use = sizes > 0
-        use &= sizes * 100 // percent > top
-        cls = cls + step
+    least = np.array([_classes(int(n))[0] if n else -1 for n in sizes])
+    most = np.array([_classes(int(n))[0] if n else -1 for n in sizes * 100 // percent])
+    listed = (sizes > 0) & (sizes * 100 // percent > top)
+    for step in range(int((most - least).max()) + 1 if len(sizes) else 0):
+        cls = least + step
+        use = listed & (cls <= most)
         if not use.any():
             continue
         shape = {int(c): blocks_of_class(int(c), percent) for c in np.unique(cls[use])}

@@ -190,6 +190,34 @@ def test_subsets_and_lists_lose_no_pair():
                 assert enough, (n, t, percent)
 
 
+def test_lists_reach_every_class_of_a_similar_set():
+    """At low percentages similar sets lie several classes apart."""
+    rng = np.random.default_rng(6)
+    for percent in (20, 35, 50, 65, 66):
+        for n in (1, 2, 5, 9, 19, 28, 41, 100):
+            a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            for t in (n * 100 // percent, n * 130 // percent // 2):
+                if t < n:
+                    continue
+                b = np.concatenate([a, rng.integers(0, 1 << 63, t - n).astype(np.uint64)])
+                keys, sets, cls, need = ngram_join._keys(np.concatenate([np.sort(a), np.sort(b)]), np.array([n, t]), percent)
+                enough = False
+                for c in np.unique(cls):
+                    mine, other = (set(keys[(sets == i) & (cls == c)].tolist()) for i in (0, 1))
+                    enough |= bool(mine & other) and len(mine & other) >= need[cls == c].max()
+                assert enough, (percent, n, t)
+
+
+def test_ngram_join_at_a_low_percentage(spark):
+    some = []
+    for k in range(12):
+        words = [f"w{k}x{i}" for i in range(130)]
+        some += [(3 * k, " ".join(words[:20 + k]), None), (3 * k + 1, " ".join(words[:39 + 2 * k]), None),
+                 (3 * k + 2, " ".join(words[:76 + 4 * k]), None)]
+    out = ngram_join.ngram_jaccard_join(cases.frame(spark, some), 1, 50)
+    assert many(out, "doc_id", "n_shingles", "n_links", "component_id") == brute_join(some, 1, 50)
+
+
 @given(st.lists(st.text(alphabet="aAbé \t\n\x0b\xa0\x85", max_size=30), max_size=6), st.integers(1, 4))
 @settings(max_examples=150, deadline=None)
 def test_shingle_sets_match_python(some, width):
