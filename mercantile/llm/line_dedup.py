@@ -113,8 +113,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     width = max(1, -(-(high - low + 1) // batches))
     lines = line_rows(docs, min_chars, "doc_id", "text")
     # Newest ids first: the run that first holds a line then holds its largest id.
-    number = F.greatest(F.lit(0), F.floor((F.lit(high) - F.greatest("holder", F.lit(low))) / F.lit(width)))
-    lines = materialise(lines.withColumn("batch", number.cast("int")), "lines")
+    # Compared as whole numbers: ids may span all 64 bits.
+    number = F.lit(batches - 1)
+    for b in reversed(range(batches - 1)):
+        number = F.when(F.col("holder") >= F.lit(max(high - (b + 1) * width + 1, low)).cast("long"), b).otherwise(number)
+    lines = materialise(lines.withColumn("batch", number), "lines")
     store = LineRuns(spark, scratch_path(spark, "line-runs"), fanout)
     for b in range(batches):
         store.add(lines.where(F.col("batch") == b))

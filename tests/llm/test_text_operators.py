@@ -258,6 +258,15 @@ def test_line_dedup(spark, batches, fanout):
     assert many(out, "doc_id", "n_lines", "n_dropped", "kept_text") == brute_lines(cases.rows())
 
 
+@pytest.mark.parametrize("low,high", [(0, (1 << 60) + 12344), (-(1 << 63) + 1, (1 << 63) - 1)])
+def test_line_dedup_of_far_ids(spark, low, high):
+    """Every document is in a batch, also where ids span more than a double holds."""
+    line = "This line is held by exactly three documents."
+    some = [(low, line, None), (low + (high - low) // 2, line, None), (high, line, None), (high - 1, "other", None)]
+    out = line_dedup.dedup_lines(cases.frame(spark, some))
+    assert many(out, "doc_id", "n_lines", "n_dropped", "kept_text") == brute_lines(some)
+
+
 def test_line_dedup_empty(spark):
     assert line_dedup.dedup_lines(cases.empty(spark)).count() == 0
 
