@@ -3,7 +3,8 @@
 A store keeps runs of (line hash, documents, holder), each sorted by hash.  A
 new batch is aggregated to one row per line, merge-anti-joined against the
 runs to tell lines never seen before, and added as a run of its own on level
-0; a level with ``fanout`` runs is merged into one run of the next level, so a
+0.  A line takes its holder from the batch in which it is new, later batches
+only add documents to it, so batches come newest id first.  A level with ``fanout`` runs is merged into one run of the next level, so a
 line is rewritten once per level.  Runs are written tables, nothing is kept on
 the driver but their paths.
 """
@@ -53,7 +54,8 @@ class LineRuns:
 
     def add(self, lines: DataFrame) -> DataFrame:
         """Add a batch (h1, h2, holder: one row per line of a document).
-        Returns the lines of the batch that no run held before; a document
+        Returns the lines of the batch that no run held before, which get their
+        largest holder here; lines that a run holds keep theirs.  A document
         must not be split over batches."""
         once = lines.select(*KEY, "holder").distinct()
         batch = materialise(once.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_docs"),
@@ -61,7 +63,8 @@ class LineRuns:
         fresh = batch.join(self._read([r for level in self.levels for r in level]).select(*KEY),
                            KEY, "left_anti")
         fresh = materialise(fresh, "line-fresh")
-        again = batch.join(fresh.select(*KEY), KEY, "left_anti")
+        again = (batch.join(fresh.select(*KEY), KEY, "left_anti")
+                 .withColumn("holder", F.lit(None).cast("long")))  # the runs have it
         self._write(fresh.unionByName(again).repartition(*KEY), 0)
         self.compact()
         return fresh

@@ -282,6 +282,14 @@ def test_line_runs_tell_new_lines_and_compact(spark, tmp_path):
     assert sum(map(len, runs.levels)) < 5
 
 
+def test_line_runs_take_the_holder_where_a_line_is_new(spark, tmp_path):
+    runs = line_dedup.LineRuns(spark, f"file://{tmp_path}/runs", fanout=2)
+    batch = lambda *keys: spark.createDataFrame([(k, k, d) for k, d in keys], "h1 long, h2 long, holder long")
+    for b in ([(1, 4), (1, 5)], [(1, 9), (2, 7)], [(2, 8), (1, 1)]):
+        runs.add(batch(*b))
+    assert many(runs.merged(), "h1", "n_docs", "holder") == collections.Counter([(1, 4, 5), (2, 2, 7)])
+
+
 # ---- op5 -------------------------------------------------------------------
 def brute_spans(text):
     text = text or ""
