@@ -144,7 +144,7 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 0, id_co
             f"bins-{level}")
         full = F.col("fill") >= capacity - NEARLY
         after, open_ = packed.agg(F.count(F.lit(1)), F.count(F.when(~full, 1))).first()
-        if parts == 1 or (level and count - after < count // 200 + 1):
+        if parts == 1 or (level and after >= count):
             done = done.unionByName(packed)
             break
         done = done.unionByName(packed.where(full))

@@ -378,6 +378,24 @@ def test_packing(spark):
     assert packing.pack_documents(cases.empty(spark)).count() == 0
 
 
+def test_packing_goes_on_while_a_round_saves_bins(spark, monkeypatch):
+    """Few bins among many fit each other, so that rounds save little."""
+    counts, old = [], packing.materialise
+
+    def counted(df, name):
+        out = old(df, name)
+        if name.startswith("bins-"):
+            counts.append((out.where("fill < 62").count(), out.count()))
+        return out
+    monkeypatch.setattr(packing, "materialise", counted)
+    size = lambda n: "one" + " one" * (n - 2)
+    assert len(whole_ids(size(50))) == 49 and len(whole_ids(size(32))) == 31
+    some = [(i, size(32 if i % 14 == 0 else 50), None) for i in range(840)]
+    packing.pack_documents(cases.frame(spark, some).repartition(4), capacity=64, per_task=40)
+    saved = [a - b for (a, _), (_, b) in zip(counts, counts[1:])]
+    assert all(x > 0 for x in saved[:-1]) and saved[-1] == 0 and len(saved) > 1
+
+
 @given(st.lists(st.integers(1, 50), max_size=80))
 def test_best_fit_fills_every_bin_within_capacity(sizes):
     bins = packing.best_fit(np.array(sizes, np.int64), 50)
