@@ -47,7 +47,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["p"], _powers["i"]
 
 
-def _chunk_words(data: np.ndarray, first: np.ndarray, gap: np.ndarray) -> tuple[np.ndarray, ...]:
+def _chunk_words(data: np.ndarray, first: np.ndarray, gap: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, ...]:
     """Starts, ends and hashes of the words of a piece that no word crosses."""
     solid = ~gap[data]
     start = solid.copy()
@@ -57,13 +57,15 @@ def _chunk_words(data: np.ndarray, first: np.ndarray, gap: np.ndarray) -> tuple[
     s, e = np.flatnonzero(start), np.flatnonzero(stop) + 1
     power, inverse = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, U)
-    np.cumsum(LETTER[data] * power[:len(data)], out=sums[1:])
+    np.cumsum(letters[data] * power[:len(data)], out=sums[1:])
     return s, e, mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(U))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, ...]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE,
+               letters: np.ndarray = LETTER) -> tuple[np.ndarray, ...]:
     """(start, end and hash of every word, words per document) of concatenated
-    UTF-8 texts; ``offsets`` start at 0, ``gap`` tells the bytes between words.
+    UTF-8 texts; ``offsets`` start at 0, ``gap`` tells the bytes between words,
+    ``letters`` the value of a byte in the hash.
     Long input is cut where no word is."""
     n = len(data)
     first = np.zeros(n, bool)
@@ -78,7 +80,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _SPACE)
                 to += int(free[0])
                 break
             to = min(n, to + CHUNK)
-        s, e, h = _chunk_words(data[at:to], first[at:to], gap)
+        s, e, h = _chunk_words(data[at:to], first[at:to], gap, letters)
         parts.append((s + at, e + at, h))
         at = to
     none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U))
