@@ -10,6 +10,8 @@ from .common import materialise
 
 #: Edges that one task contracts; bounds its memory.
 EDGES = 250_000
+#: A node of more than one in so many edges is hot.
+HOT = 1_000
 
 
 def _contract(batches):
@@ -40,27 +42,40 @@ def _contract(batches):
     yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[root[keep]])], ["u", "v"])
 
 
+def _attach(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """(u, v, m): the least neighbour m of u beside every edge.  Nodes of more
+    than one in ``HOT`` edges, fewer than 2 * ``HOT`` of them, are broadcast;
+    the edges of the others are shuffled."""
+    most = (least.agg(F.sum("c")).first()[0] or 0) // HOT
+    hot = least.where(F.col("c") > most) if most else least.where("c < 0")
+    hot = F.broadcast(hot.select(F.col("u").alias("h"), "m"))
+    apart = edges.join(hot, edges["u"] == hot["h"]).select("u", "v", "m")
+    rest = edges.join(hot, edges["u"] == hot["h"], "left_anti")
+    return apart.unionAll(rest.join(least.select("u", "m"), "u").select("u", "v", "m"))
+
+
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Smallest reachable node of every node that has an edge: (node, root).
 
     ``edges`` has long columns u, v.  Each round is two aggregations with
-    map-side combine and two joins that split hot nodes; rounds grow with the
-    logarithm of the longest chain.  Every round is written to the shared
-    scratch folder.  Before the first, tasks contract about ``EDGES`` edges
-    each to forests."""
+    map-side combine and two joins that take hot nodes apart (:func:`_attach`);
+    rounds grow with the logarithm of the longest chain.  Every round is written
+    to the shared scratch folder.  Before the first, tasks contract about
+    ``EDGES`` edges each to forests."""
     e = materialise(edges.select("u", "v").where("u <> v").distinct(), name)
-    e = e.coalesce(max(1, -(-e.count() // EDGES))).mapInArrow(_contract, "u long, v long")
+    e = e.repartition(max(1, -(-e.count() // EDGES))).mapInArrow(_contract, "u long, v long")
     e = materialise(e, name)
     before = None
     while True:
         # Large star: every larger neighbour of u hangs on the least neighbour of u (or u).
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        big = (both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-               .where("u <> v").distinct())
+        least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
+                                                  F.count(F.lit(1)).alias("c")), name)
+        big = materialise(_attach(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
+                          .where("u <> v").distinct(), name)
         # Small star: u and its smaller neighbours hang on the least of them (edges point down now).
-        least = big.groupBy("u").agg(F.min("v").alias("m"))
-        moved = big.join(least, "u")
+        least = materialise(big.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c")), name)
+        moved = _attach(big, least)
         small = (moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         e = materialise(small, name)

@@ -37,7 +37,9 @@ from pyspark.sql import functions as F
 
 from .common import materialise, register, table
 from .components import connected_components
-from .shingles import U, mix, shingle_sets, text_slices, word_hashes
+from .shingles import U, mix, shingle_sets, word_hashes
+from .wordseq import (PACKET, PACKET_SCHEMA, PLACES_SCHEMA, bucket_keys, distinct_keys, keys_at_places, seen_packets,
+                      shared_places, unpack, write_slices)
 
 #: A list key also costs the scan of its list; one subset key counts 1.
 LIST_COST = 4
@@ -167,14 +169,13 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, percent: int, top: int) ->
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _sets(text, width):
-    """Per slice of texts: (first row, hashes, sizes, set fingerprints)."""
-    for at, _, data, offsets in text_slices(text):
-        hashes, sizes = shingle_sets(*word_hashes(data, offsets), width)
-        ends = np.cumsum(sizes)
-        sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(hashes))])
-        prints = mix(sums[ends] - sums[ends - sizes] + sizes.astype(U)).view(np.int64)
-        yield at, hashes, sizes, prints
+def _sets(row, width):
+    """(hashes, sizes, set fingerprints) of the documents of a slice."""
+    data, offsets = unpack(row)
+    hashes, sizes = shingle_sets(*word_hashes(data, offsets), width)
+    ends = np.cumsum(sizes)
+    sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(hashes))])
+    return hashes, sizes, mix(sums[ends] - sums[ends - sizes] + sizes.astype(U)).view(np.int64)
 
 
 def _keys(hashes, sizes, percent):
@@ -195,46 +196,77 @@ def _keys(hashes, sizes, percent):
     return keys, sets, cls, need
 
 
-def _emit_keys(width, percent):
+def _slice_keys(row, width, percent):
+    """The keys of a slice's different sets: (key, fingerprint, size, class,
+    common lists needed).  Copies within a slice list theirs once."""
+    hashes, sizes, prints = _sets(row, width)
+    _, once = np.unique(prints, return_index=True)
+    keep = np.zeros(len(sizes), bool)
+    keep[once] = True
+    hashes, prints, sizes = hashes[np.repeat(keep, sizes)], prints[keep], sizes[keep]
+    keys, sets, cls, need = _keys(hashes, sizes, percent)
+    return keys, prints[sets], sizes[sets], cls, need
+
+
+def _probe_keys(width, percent, buckets):
     def run(batches):
         for batch in batches:
-            for _, hashes, sizes, prints in _sets(batch.column(0), width):
-                # Copies within a slice list their keys once.
-                _, once = np.unique(prints, return_index=True)
-                keep = np.zeros(len(sizes), bool)
-                keep[once] = True
-                hashes, prints, sizes = hashes[np.repeat(keep, sizes)], prints[keep], sizes[keep]
-                keys, sets, cls, need = _keys(hashes, sizes, percent)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(prints[sets]), pa.array(sizes[sets].astype(np.int64)),
-                     pa.array(cls.astype(np.int32)), pa.array(need.astype(np.int32))],
-                    ["key", "print", "n", "cls", "need"])
+            for row in batch.to_pylist():
+                keys = bucket_keys(_slice_keys(row, width, percent)[0], buckets)
+                yield pa.RecordBatch.from_pylist(list(seen_packets(row["slice"], keys, buckets)), PACKET)
+    return run
+
+
+LISTED = pa.schema([("key", pa.int64()), ("print", pa.int64()), ("n", pa.int64()), ("cls", pa.int32()), ("need", pa.int32())])
+LISTED_SCHEMA = "key long, print long, n long, cls int, need int"
+
+
+def _emit_keys(width, percent, buckets):
+    """The keys of a slice that any other set may hold too."""
+    def run(key, texts, answers):
+        if not len(texts) or not len(answers):
+            return pa.Table.from_pylist([], LISTED)
+        found = _slice_keys(texts.to_pylist()[0], width, percent)
+        short = bucket_keys(found[0], buckets)
+        values, _, cut = distinct_keys(short, buckets)
+        shared = keys_at_places(values, cut, answers)
+        keep = shared[np.minimum(np.searchsorted(shared, short), len(shared) - 1)] == short
+        keys, prints, sizes, cls, need = (x[keep] for x in found)
+        return pa.Table.from_arrays(
+            [pa.array(keys.view(np.int64)), pa.array(prints), pa.array(sizes.astype(np.int64)),
+             pa.array(cls.astype(np.int32)), pa.array(need.astype(np.int32))], LISTED.names)
     return run
 
 
 def _emit_prints(width):
-    """Rows (doc_id, n, print)."""
+    """Rows (slice, place in it, doc_id, n, print)."""
     def run(batches):
         for batch in batches:
-            for at, _, sizes, prints in _sets(batch.column(1), width):
+            for row in batch.to_pylist():
+                _, sizes, prints = _sets(row, width)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(sizes)), pa.array(sizes.astype(np.int64)), pa.array(prints)],
-                    ["doc_id", "n", "print"])
+                    [pa.array(np.full(len(sizes), row["slice"])), pa.array(np.arange(len(sizes))),
+                     pa.array(row["ids"], pa.int64()), pa.array(sizes.astype(np.int64)), pa.array(prints)],
+                    ["slice", "nth", "doc_id", "n", "print"])
     return run
 
 
+SETS_SCHEMA = "tile long, side long, diagonal boolean, copies long, n long, print long, hashes binary"
+
+
 def _emit_sets(width):
-    """Rows (n, print, hashes), once per slice."""
-    def run(batches):
-        for batch in batches:
-            for _, hashes, sizes, prints in _sets(batch.column(0), width):
-                ends = np.cumsum(sizes)
-                _, once = np.unique(prints, return_index=True)
-                once = once[sizes[once] > 0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sizes[once].astype(np.int64)), pa.array(prints[once]),
-                     pa.array([hashes[ends[i] - sizes[i]:ends[i]].tobytes() for i in once], pa.binary())],
-                    ["n", "print", "hashes"])
+    """The sets of the documents asked for, one row per tile."""
+    def run(key, texts, asked):
+        out = {c: asked.column(c) for c in ("tile", "side", "diagonal", "copies")}
+        nth = asked.column("nth").to_numpy()
+        if len(nth):
+            hashes, sizes, prints = _sets(texts.to_pylist()[0], width)
+            ends = np.cumsum(sizes)
+            held = {i: hashes[ends[i] - sizes[i]:ends[i]].tobytes() for i in np.unique(nth)}
+        else:
+            sizes, prints, held = np.zeros(0, np.int64), np.zeros(0, np.int64), {}
+        return pa.table(out | {"n": pa.array(sizes[nth].astype(np.int64)), "print": pa.array(prints[nth]),
+                               "hashes": pa.array([held[i] for i in nth], pa.binary())})
     return run
 
 
@@ -328,7 +360,7 @@ def _tile(percent):
 
 
 def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
-                       text_col: str = "text", broadcast_keys: int = 0) -> DataFrame:
+                       text_col: str = "text") -> DataFrame:
     """Link documents whose sets of distinct ``words``-word shingles have a
     Jaccard similarity of at least ``percent`` / 100.
 
@@ -337,19 +369,23 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     set_print.  NULL or empty text has no set and no link and keeps its own
     id; fewer words than ``words`` are one shingle; equal sets always link;
     NULL ids count as links but never as a component's id unless no other is
-    there; repeated rows are rows of their own.  Other columns are ignored.
-    Keys and families are joined on Spark at every size; ``broadcast_keys`` is
-    taken for older callers and has no effect."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    only = texts.select("text")
-    keys = only.mapInArrow(_emit_keys(words, percent), "key long, print long, n long, cls int, need int")
+    there; repeated rows are rows of their own; a text of any length is one
+    set, held whole by a task.  Other columns are ignored."""
+    slices, buckets = write_slices(docs, id_col, text_col, "join-slices")
+    by_slice = slices.groupBy("slice")
+    # Most keys belong to one set only and never leave their slice; the others
+    # are found by short packets (a false meeting costs a row, no more).
+    answers = (slices.mapInArrow(_probe_keys(words, percent, buckets), PACKET_SCHEMA)
+               .groupBy("bucket").applyInArrow(shared_places, PLACES_SCHEMA))
+    # Dealt by key and set, so that no key is hot.
+    emitted = materialise(by_slice.cogroup(answers.groupBy("slice"))
+                          .applyInArrow(_emit_keys(words, percent, buckets), LISTED_SCHEMA)
+                          .dropDuplicates(["key", "print"]), "emitted-keys")
     # A key that two different sets share; its hub is the least of them.
     shared = materialise(
-        keys.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("far"), F.count(F.lit(1)).alias("m"))
+        emitted.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("far"), F.count(F.lit(1)).alias("m"))
         .where("hub <> far").select("key", "hub", (F.col("m") > LONG_LIST).alias("long")), "shared-keys")
-    # A dealing of its own, so that the join may split a hot key.
-    listed = materialise(keys.join(shared, "key").repartition("key", "print").dropDuplicates(["key", "print"]),
-                         "listed-keys")
+    listed = materialise(emitted.join(shared, "key"), "listed-keys")
     # Common lists that remain when the long ones are left out; none is certain for a hard set.
     long_of = (listed.groupBy("print", "cls").agg(F.count(F.when(F.col("long"), 1)).alias("h"),
                                                   F.min("need").alias("base"))
@@ -371,28 +407,31 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
 
     # Families: sets connected by enough common lists.
     family = materialise(connected_components(edges, "families"), "family-of")
-    rows = materialise(texts.mapInArrow(_emit_prints(words), "doc_id long, n long, print long"), "shingle-sets")
-    classes = (rows.where("n > 0").groupBy("print")
-               .agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.min("doc_id").alias("holder")))
-    # Only texts of families move, one id for every set.
-    holders = family.join(classes, family["node"] == classes["print"]).select("holder").distinct()
-    held = texts.join(holders, texts["doc_id"].eqNullSafe(holders["holder"]), "left_semi").select("text")
-    members = held.mapInArrow(_emit_sets(words), "n long, print long, hashes binary").dropDuplicates(["print"])
-
-    members = (members.join(family, members["print"] == family["node"]).join(classes.select("print", "copies"), "print")
-               .select("print", "n", "hashes", F.col("root").alias("family"), "copies"))
-    parts = (family.join(classes, family["node"] == classes["print"]).groupBy(F.col("root").alias("family")).agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("m"))
-             .select("family", F.greatest(F.ceil(F.col("s") / TILE_SHINGLES), F.ceil(F.col("m") / TILE_SETS))
-                     .cast("int").alias("parts")))
-    dealt = (members.join(parts, "family")
+    rows = materialise(slices.mapInArrow(_emit_prints(words), "slice long, nth long, doc_id long, n long, print long"),
+                       "shingle-sets")
+    classes = materialise(
+        rows.where("n > 0").groupBy("print")
+        .agg(F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.min(F.struct("slice", "nth")).alias("at")),
+        "set-classes")
+    # Sets of families are dealt to parts; parts and families are written, so
+    # that the join may split a hot family.
+    placed = materialise(family.join(classes, family["node"] == classes["print"])
+                         .select(F.col("root").alias("family"), "print", "n", "copies", "at"), "family-sets")
+    parts = materialise(
+        placed.groupBy("family").agg(F.sum("n").alias("s"), F.count(F.lit(1)).alias("m"))
+        .select("family", F.greatest(F.ceil(F.col("s") / TILE_SHINGLES), F.ceil(F.col("m") / TILE_SETS))
+                .cast("int").alias("parts")), "family-parts")
+    dealt = (placed.join(parts, "family")
              .withColumn("part", F.pmod(F.xxhash64(F.lit("tile"), "print"), F.col("parts")).cast("int")))
-    # A part meets every part of its family once: tile (i, j) with i <= j.
-    tiles = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("family", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
+    # A part meets every part of its family once: tile (i, j) with i <= j.  One
+    # key for a tile: else Spark would keep the rows dealt by family.
+    asked = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("at.slice", "at.nth", "copies",
+                     F.xxhash64("family", F.least("part", "other"), F.greatest("part", "other")).alias("tile"),
                      (F.col("part") > F.col("other")).cast("long").alias("side"),
-                     (F.col("part") == F.col("other")).alias("diagonal"), "print", "n", "hashes", "copies"))
-    # One key for a tile: else Spark would keep the rows dealt by family, a hot one in one task.
-    tiles = tiles.withColumn("tile", F.xxhash64("family", "i", "j")).drop("family", "i", "j")
+                     (F.col("part") == F.col("other")).alias("diagonal")))
+    # The shingles travel once, from one document of every set to its tiles.
+    tiles = by_slice.cogroup(asked.groupBy("slice")).applyInArrow(_emit_sets(words), SETS_SCHEMA)
     links = materialise(tiles.groupBy("tile").applyInPandas(
         _tile(percent), "print long, links long, root long"), "links")
     roots = connected_components(links.select(F.col("print").alias("u"), F.col("root").alias("v")), "near-copies")

@@ -126,19 +126,28 @@ def seen_packets(slice_id: int, keys: np.ndarray, buckets: int, blocks: np.ndarr
                  refs: np.ndarray | None = None) -> Iterator[dict]:
     """Per bucket a packet of a slice: ``seen`` its distinct keys, ``many``
     flags those it holds more than once, ``asked`` the places in ``seen`` of the
-    keys in ``blocks`` and ``refs`` what the slice calls them."""
-    values, count = np.unique(keys, return_counts=True)
-    cut = np.searchsorted(values, np.arange(buckets + 1, dtype=U) << U(32))
-    order = np.argsort(blocks, kind="stable")
-    place, refs = np.searchsorted(values, blocks[order]), refs[order]
-    asked = np.searchsorted(place, cut)
+    keys in ``blocks`` and ``refs`` what the slice calls them.  Without
+    ``blocks`` the slice asks for all its keys, by their places."""
+    values, count, cut = distinct_keys(keys, buckets)
+    if blocks is not None:
+        order = np.argsort(blocks, kind="stable")
+        place, refs = np.searchsorted(values, blocks[order]), refs[order]
+        asked = np.searchsorted(place, cut)
     for b in range(buckets):
         lo, hi = cut[b], cut[b + 1]
         if lo < hi:
-            i, j = asked[b], asked[b + 1]
-            yield {"bucket": b, "slice": slice_id, "seen": pack_sorted(values[lo:hi] & U(0xFFFFFFFF)),
-                   "many": np.packbits(count[lo:hi] > 1).tobytes(),
-                   "asked": pack_sorted(place[i:j] - lo), "refs": refs[i:j].astype(np.uint32).tobytes()}
+            row = {"bucket": b, "slice": slice_id, "seen": pack_sorted(values[lo:hi] & U(0xFFFFFFFF)),
+                   "many": np.packbits(count[lo:hi] > 1).tobytes()}
+            if blocks is not None:
+                i, j = asked[b], asked[b + 1]
+                row |= {"asked": pack_sorted(place[i:j] - lo), "refs": refs[i:j].astype(np.uint32).tobytes()}
+            yield row
+
+
+def distinct_keys(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct bucket keys, how often, where each bucket starts)."""
+    values, count = np.unique(keys, return_counts=True)
+    return values, count, np.searchsorted(values, np.arange(buckets + 1, dtype=U) << U(32))
 
 
 PACKET_SCHEMA = "bucket int, slice long, seen binary, many binary, asked binary, refs binary"
@@ -147,21 +156,52 @@ PACKET = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), ("seen", pa.b
 REFS_SCHEMA = "slice long, refs binary"
 
 
-def shared_refs(key, rows):
-    """What the slices asked of a bucket: refs whose key occurs twice or more."""
+PLACES_SCHEMA = "slice long, bucket int, places binary"
+
+
+def _packets(rows):
+    """(keys of each packet, those that two packets hold or one holds twice)."""
     seen = [unpack_sorted(x) for x in rows.column("seen").to_pylist()]
     many = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(s)).astype(bool)
             for x, s in zip(rows.column("many").to_pylist(), seen, strict=True)]
     every = np.sort(np.concatenate(seen))
     hot = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]],
                                     *[s[m] for s, m in zip(seen, many, strict=True)]]))
+    return seen, hot
+
+
+def _is_in(values, hot):
+    if not len(hot):
+        return np.zeros(len(values), bool)
+    return hot[np.minimum(np.searchsorted(hot, values), len(hot) - 1)] == values
+
+
+def shared_refs(key, rows):
+    """What the slices asked of a bucket: refs whose key occurs twice or more."""
+    seen, hot = _packets(rows)
     out, slices = [], []
     for s, asked, refs, no in zip(seen, rows.column("asked").to_pylist(), rows.column("refs").to_pylist(),
                                   rows.column("slice").to_pylist(), strict=True):
-        values = s[unpack_sorted(asked)]
-        at = np.minimum(np.searchsorted(hot, values), max(len(hot) - 1, 0))
-        found = np.frombuffer(refs, np.uint32)[hot[at] == values] if len(hot) else np.zeros(0, np.uint32)
+        found = np.frombuffer(refs, np.uint32)[_is_in(s[unpack_sorted(asked)], hot)]
         if len(found):
             slices.append(no)
             out.append(found.tobytes())
     return pa.table({"slice": pa.array(slices, pa.int64()), "refs": pa.array(out, pa.binary())})
+
+
+def shared_places(key, rows):
+    """Places, in every slice's distinct keys of a bucket, of those that occur twice or more."""
+    seen, hot = _packets(rows)
+    found = [np.flatnonzero(_is_in(s, hot)) for s in seen]
+    some = [i for i, f in enumerate(found) if len(f)]
+    slices, bucket = rows.column("slice").to_pylist(), rows.column("bucket").to_pylist()
+    return pa.table({"slice": pa.array([slices[i] for i in some], pa.int64()),
+                     "bucket": pa.array([bucket[i] for i in some], pa.int32()),
+                     "places": pa.array([pack_sorted(found[i]) for i in some], pa.binary())})
+
+
+def keys_at_places(values: np.ndarray, cut: np.ndarray, answers) -> np.ndarray:
+    """The distinct keys of a slice that :func:`shared_places` names, ascending."""
+    at = [cut[b] + unpack_sorted(p) for b, p in zip(answers.column("bucket").to_pylist(),
+                                                    answers.column("places").to_pylist(), strict=True)]
+    return values[np.sort(np.concatenate(at))] if at else values[:0]
