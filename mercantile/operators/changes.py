@@ -17,6 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.claims import first_come
 from ..functions.keys import dense_keys
 from ..functions.scalar import scale
 from ..schemas import RULES, SCHEMAS, TABLE_ORDER, foreign_keys_of
@@ -91,12 +92,13 @@ class Upsert(NamedTuple):
 
 def update_by_key(df: DataFrame, patch: DataFrame, key: str, table: str | None = None) -> Upsert:
     """Full overwrite of the patch's columns for matching keys; unknown
-    keys change nothing; a NULL in the patch is a value.  Patch rows whose
+    keys change nothing and hinder nobody; a NULL in the patch is a value.  Patch rows whose
     key occurs more than once are rejected (which one would win is unknown),
     and with ``table`` so are rows whose new values break that table's
     row rules (NOT NULL, CHECK, lengths)."""
     from .quality import row_checks
     cols = [c for c in patch.columns if c != key]
+    patch = patch.join(df.select(key), key, "left_semi")
     counted = patch.join(patch.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "inner")
     bad = F.col("_n") > 1
     if table is not None:
@@ -123,8 +125,7 @@ def update_by_key(df: DataFrame, patch: DataFrame, key: str, table: str | None =
     out = j.select(*[
         F.when(hit, F.col(f"_p_{c}").cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
         if c in cols else F.col(c) for c in df.columns])
-    applied = good.join(df.select(key), key, "left_semi")
-    return Upsert(out, applied, rejected)
+    return Upsert(out, good, rejected)
 
 
 # ---------------------------------------------------------------- deletes
@@ -323,10 +324,12 @@ class Added(NamedTuple):
 
 
 def add_customers(customers: DataFrame, batch: DataFrame, order_by: list[str]) -> Added:
-    """Bulk ``sp_AddCustomer``.  New keys continue after the current
-    maximum in ``order_by`` order (dense, no global window); NOT NULL,
-    length and UNIQUE(email), UNIQUE(phone) hold against the table and
-    within the batch (the first row in ``order_by`` order wins)."""
+    """Bulk ``sp_AddCustomer``, as if called once per row in ``order_by``
+    order: NOT NULL, length and UNIQUE(email), UNIQUE(phone) hold against the
+    table and against the rows accepted before; a refused row takes nothing, so
+    a later one may have its email or phone.  New keys continue after the
+    current maximum (dense, no global window)."""
+    ensure_checkpoint_dir(customers.sparkSession)
     rules = RULES["customers"]
     cols = ["name", "email", "phone", "city"]
     reasons = []
@@ -334,20 +337,26 @@ def add_customers(customers: DataFrame, batch: DataFrame, order_by: list[str]) -
         reasons.append(F.when(F.col(c).isNull(), F.lit(f"{c} is null")))
     for c, n in rules.max_length.items():
         reasons.append(F.when(F.length(c) > n, F.lit(f"{c} longer than {n}")))
-    b = batch.withColumn("_seq", F.struct(*order_by))
+    b = dense_keys(batch, list(dict.fromkeys([*order_by, *cols])), out="_nth")
     for u in rules.unique:
-        first = b.where(F.col(u).isNotNull()).groupBy(u).agg(F.min("_seq").alias(f"_first_{u}"))
-        taken = customers.where(F.col(u).isNotNull()).select(F.col(u).alias(f"_taken_{u}")).distinct()
-        b = (b.join(first, u, "left")
-             .join(taken, b[u] == taken[f"_taken_{u}"], "left"))
+        # The batch prunes the table before anything of it is shuffled.
+        taken = (customers.join(b.select(u).distinct(), u, "left_semi")
+                 .select(F.col(u).alias(f"_taken_{u}")).distinct())
+        b = b.join(taken, b[u] == taken[f"_taken_{u}"], "left")
         reasons.append(F.when(F.col(f"_taken_{u}").isNotNull(), F.lit(f"{u} already used")))
-        reasons.append(F.when(F.col(f"_first_{u}") != F.col("_seq"), F.lit(f"{u} repeated in batch")))
-    b = b.withColumn("_why", F.filter(F.array(*reasons), lambda x: x.isNotNull()))
+    b = (b.withColumn("_why", F.filter(F.array(*reasons), lambda x: x.isNotNull()))
+         .select(*batch.columns, "_nth", "_why").checkpoint(eager=True))
+    sound = b.where(F.size("_why") == 0)
+    claims = reduce(DataFrame.unionByName, [
+        sound.where(F.col(u).isNotNull()).select("_nth", F.lit(u).alias("_rule"), F.col(u).cast("string").alias("_value"))
+        for u in rules.unique])
+    b = b.join(first_come(claims, "_nth"), "_nth", "left").withColumn("_why", F.concat("_why", F.coalesce(
+        F.transform("_rules", lambda u: F.concat(u, F.lit(" repeated in batch"))), F.array().cast("array<string>"))))
     extra = [c for c in batch.columns if c not in cols]
     rejected = b.where(F.size("_why") > 0).select(*batch.columns, F.array_join("_why", "; ").alias("reason"))
-    good = b.where(F.size("_why") == 0).select(*cols, *extra)
+    good = b.where(F.size("_why") == 0).select("_nth", *cols, *extra)
     start = customers.select(F.max("customer_id")).scalar()
-    added = dense_keys(good, order_by, start=start, out="customer_id").select("customer_id", *cols)
+    added = dense_keys(good, ["_nth"], start=start, out="customer_id").select("customer_id", *cols)
     return Added(customers.unionByName(added.select(*customers.columns)), added, rejected)
 
 

@@ -261,6 +261,39 @@ def m12_rejected(spark, sf):
         F.count(F.lit(1)).alias("rejected"))
 
 
+@register("M12_chains", with_fixtures("""
+SELECT (SELECT MAX(customer_id) FROM customers) + ROW_NUMBER() OVER (ORDER BY supplier_id, k) AS customer_id,
+       name || CASE k WHEN 1 THEN ' one' ELSE ' three' END AS name, phone || CASE k WHEN 1 THEN '-a' ELSE '-c' END AS phone
+FROM suppliers CROSS JOIN (VALUES (1), (3)) AS kinds(k)""", "customers", "suppliers"))
+def m12_chains(spark, sf):
+    """Four sign-ups per supplier: the first lacks its name, so the second may
+    have the email; the third wants the phone of the second and is refused, so
+    the fourth may have the email of the third."""
+    t = tables(spark, sf, "customers", "suppliers")
+    mail = lambda k: F.concat(F.lower("name"), F.lit(f"@{k}.example"))
+    row = lambda k, name, m, p: F.struct(
+        F.lit(k).alias("k"), name.alias("name"), mail(m).alias("email"), F.concat("phone", F.lit(p)).alias("phone"))
+    kinds = F.array(row(0, F.lit(None).cast("string"), "first", "-x"), row(1, F.concat("name", F.lit(" one")), "first", "-a"),
+                    row(2, F.concat("name", F.lit(" two")), "second", "-a"), row(3, F.concat("name", F.lit(" three")), "second", "-c"))
+    batch = t["suppliers"].select("supplier_id", "city", F.explode(kinds).alias("r")).select(
+        "r.name", "r.email", "r.phone", "city", "supplier_id", "r.k")
+    return changes.add_customers(t["customers"], batch, ["supplier_id", "k"]).added.select("customer_id", "name", "phone")
+
+
+@register("M13_unknown", with_fixtures("""
+SELECT customer_id, CASE WHEN city = 'NATION_1' THEN CAST(customer_id + 7000000000 AS VARCHAR) ELSE phone END AS phone
+FROM customers""", "customers"))
+def m13_unknown(spark, sf):
+    """New numbers for NATION_1; the same numbers asked for unknown customers
+    change nothing and hinder nobody."""
+    c = tables(spark, sf, "customers")["customers"]
+    patch = c.where(F.col("city") == "NATION_1").select(
+        "customer_id", (F.lit(7000000000) + F.col("customer_id")).cast("string").alias("phone"))
+    unknown = patch.select((F.col("customer_id") + F.lit(10**12)).alias("customer_id"), "phone")
+    return (changes.update_by_key(c, patch.unionByName(unknown), "customer_id", table="customers").table
+            .select("customer_id", "phone"))
+
+
 @register("M13", with_fixtures("""
 SELECT customer_id, name,
        CASE WHEN city = 'NATION_0' THEN upper(email) ELSE email END AS email, phone,

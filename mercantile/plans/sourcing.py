@@ -270,5 +270,19 @@ def m19(spark, sf):
     snaps.write("products", products)
     snaps.view("products", "live_products")
     snaps.write("products", snaps.read("products").withColumn("stock", F.col("stock") * 2))
-    snaps.view("products", "live_products")
     return spark.sql("SELECT product_id, stock FROM live_products")
+
+
+@register("M19_report", f"""
+SELECT store_id, store_name, 2 * CAST(total_revenue AS DOUBLE) AS total_revenue FROM ({twins.STORE_TOTALS})""")
+def m19_report(spark, sf):
+    """The revenue view over two tables follows a write of one of them: every
+    order is booked a second time."""
+    t = tables(spark, sf, "stores", "orders")
+    snaps = table_ops.Snapshots(spark, scratch_path(spark, "snapshots"))
+    for name in t:
+        snaps.write(name, t[name])
+    snaps.define_view("live_store_revenue", ["stores", "orders"],
+                      lambda stores, orders: reports.store_revenue(stores, orders, ordered=False))
+    snaps.write("orders", snaps.read("orders").unionByName(t["orders"]))
+    return spark.sql("SELECT store_id, store_name, CAST(total_revenue AS DOUBLE) AS total_revenue FROM live_store_revenue")

@@ -18,56 +18,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.claims import first_come
 from ..operators.quality import validate
 from ..schemas import RULES, SCHEMAS
 from ..session import ensure_checkpoint_dir
+from .csv_blocks import csv_records
 from .export import CSV_FORMAT
 from .workbook import read_workbooks, typed
 
 
-def _layouts(spark: SparkSession, path: str) -> list[tuple[str, list[str]]]:
-    """(header line, files) of the CSV files under ``path``.  The first line of
-    each file is found by a scan; what reaches the driver is file names, which
-    the reader lists there anyway."""
-    lines = (spark.read.option("recursiveFileLookup", "true").text(path)
-             .select(F.col("_metadata.file_path").alias("file"), "value",
-                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at")))
-    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    return [(r[0], sorted(r[1])) for r in first.groupBy("header").agg(F.collect_list("file")).collect()]
+def _mapped(names: list[str], found: list[str]):
+    """A parsed record's fields by name, with what is wrong and what is absent."""
+    absent = ",".join(n for n in names if n not in found)
+    return lambda r: F.struct(
+        *[(r[n] if n in found else F.lit(None).cast("string")).alias(n) for n in names],
+        F.when(r["_corrupt"].isNotNull() | ~F.col("whole"), F.lit("malformed line")).alias("_problem"),
+        F.lit(absent).alias("_absent"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """S3: CSV files with a header row, columns mapped by name, typed by
-    ``schema``; doubled quotes and quoted line breaks as in RFC 4180.
+    ``schema``; doubled quotes and quoted line breaks as in RFC 4180.  A large
+    file is read by many tasks (:mod:`mercantile.sources.csv_blocks`).
 
     Fields are read as text and cast with ``try_cast``, so a bad value names
     its column instead of nulling the row.  Extra columns: ``_file``, ``_row``
     (None), ``_absent`` (columns the file does not have) and ``_problem``
     (malformed line, bad value, or a header with unknown or repeated names,
     which makes the file one problem row)."""
+    ensure_checkpoint_dir(spark)
     names = schema.fieldNames()
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names]
-                        + [T.StructField("_file", T.StringType()), T.StructField("_row", T.LongType()),
-                           T.StructField("_problem", T.StringType()), T.StructField("_absent", T.StringType())])
-    frames = []
-    for header, files in _layouts(spark, path):
-        found = [h.strip() for h in next(csv.reader([header.lstrip("\ufeff")]), [])]
+    records = csv_records(spark, path)
+    headers = [r[0] for r in records.select("layout").distinct().collect()]  # different headers, not files
+    fields = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "_problem", "_absent"]])
+    parsed, wrong = F.lit(None).cast(fields), F.lit(None).cast("string")
+    for header in headers:
+        here = F.col("layout") == header
+        found = [h.strip() for h in next(csv.reader([header]), [])]
         unknown = sorted({h for h in found if h not in names or found.count(h) > 1})
         if unknown:
-            frames.append(spark.createDataFrame(
-                [(*[None] * len(names), f, None, f"unknown columns {unknown}", "") for f in files], text))
+            wrong = F.when(here, F.lit(f"unknown columns {unknown}")).otherwise(wrong)
             continue
-        raw = (spark.read.schema(T.StructType([T.StructField(h, T.StringType()) for h in [*found, "_corrupt"]]))
-               .options(**CSV_FORMAT).option("multiLine", "true").option("mode", "PERMISSIVE")
-               .option("columnNameOfCorruptRecord", "_corrupt").csv(files))
-        absent = [n for n in names if n not in found]
-        frames.append(raw.select(
-            *[F.col(n) if n in found else F.lit(None).cast("string").alias(n) for n in names],
-            F.col("_metadata.file_path").alias("_file"), F.lit(None).cast("long").alias("_row"),
-            F.when(F.col("_corrupt").isNotNull(), F.lit("malformed line")).alias("_problem"),
-            F.lit(",".join(absent)).alias("_absent")))
-    raw = reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], text)
-    return typed(raw, schema)
+        layout = T.StructType([T.StructField(h, T.StringType()) for h in [*found, "_corrupt"]])
+        row = F.from_csv("record", layout.toDDL(), CSV_FORMAT | {"header": "false", "mode": "PERMISSIVE",
+                                                                 "columnNameOfCorruptRecord": "_corrupt"})
+        row = F.transform(F.array(row), _mapped(names, found))[0]  # transform binds the parsed record once
+        parsed = F.when(here, row.cast(fields)).otherwise(parsed)
+    rows = records.withColumn("_wrong", wrong)
+    good = (rows.where(F.col("_wrong").isNull() & ~F.col("head")).withColumn("r", parsed)
+            .select(*[F.col(f"r.{n}") for n in names], F.col("file").alias("_file"), F.lit(None).cast("long").alias("_row"),
+                    F.col("r._problem").alias("_problem"), F.col("r._absent").alias("_absent")))
+    bad = (rows.where(F.col("_wrong").isNotNull()).groupBy("file").agg(F.first("_wrong").alias("_problem"))
+           .select(*[F.lit(None).cast("string").alias(n) for n in names], F.col("file").alias("_file"),
+                   F.lit(None).cast("long").alias("_row"), "_problem", F.lit("").alias("_absent")))
+    return typed(good.unionByName(bad), schema)
 
 
 class Ingested(NamedTuple):
@@ -124,10 +128,7 @@ def _repeated_keys(rows: DataFrame, table: str, existing: DataFrame | None) -> D
     twice in the file, or in an earlier accepted file: _file, bad_rows,
     first_reason.
 
-    Only values that several files hold are looked at file by file: a round
-    refuses the files that share one with an accepted file and accepts those
-    that are the first undecided file for all their values, so it decides the
-    first undecided file at least."""
+    Files come one by one in path order (:func:`first_come`)."""
     r = RULES[table]
     uniques = [c for c in [list(r.primary_key), *[[u] for u in r.unique]]
                if c and all(x in rows.columns for x in c)]
@@ -149,22 +150,10 @@ def _repeated_keys(rows: DataFrame, table: str, existing: DataFrame | None) -> D
     refused = [held.where((F.col("_n") > 1) | F.col("_old")).select("_file", mine, reason)
                .groupBy("_file").agg(F.sum("n").alias("bad_rows"), F.min("reason").alias("first_reason"))]
     open_ = held.join(refused[0], "_file", "left_anti")
-    shared = open_.groupBy("_rule", "_value").agg(F.count(F.lit(1)).alias("_files")).where("_files > 1")
-    open_ = (open_.join(shared, ["_rule", "_value"], "left_semi").select("_file", "_rule", "_value")
-             .withColumn("_in", F.lit(False)).checkpoint(eager=True))
-    while not open_.where(~F.col("_in")).isEmpty():
-        state = open_.groupBy("_rule", "_value").agg(
-            F.max("_in").alias("_taken"), F.min(F.when(~F.col("_in"), F.col("_file"))).alias("_first"))
-        seen = (open_.where(~F.col("_in")).join(state, ["_rule", "_value"])
-                .groupBy("_file").agg(F.sum(F.col("_taken").cast("long")).alias("bad_rows"),
-                                      F.min(F.when(F.col("_taken"), reason)).alias("first_reason"),
-                                      F.min(F.col("_first") == F.col("_file")).alias("_next")).checkpoint(eager=True))
-        lost = seen.where("bad_rows > 0").select("_file", "bad_rows", "first_reason")
-        won = seen.where("bad_rows = 0 AND _next").select("_file", F.lit(True).alias("_won"))
-        refused.append(lost)
-        open_ = (open_.join(lost, "_file", "left_anti").join(won, "_file", "left")
-                 .withColumn("_in", F.col("_in") | F.col("_won").isNotNull()).drop("_won").checkpoint(eager=True))
-    return reduce(DataFrame.unionByName, refused, out)
+    lost = first_come(open_, "_file").select(
+        "_file", F.size("_rules").cast("long").alias("bad_rows"),
+        F.concat(F.lit("duplicate("), F.get("_rules", F.lit(0)), F.lit(")")).alias("first_reason"))
+    return reduce(DataFrame.unionByName, [*refused, lost], out)
 
 
 def load_order_lines(spark: SparkSession, path: str, products: DataFrame, fmt: str = "xlsx",

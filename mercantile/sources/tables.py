@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..session import path_exists, shuffle_partitions
 
-LOG_SCHEMA = "name string, version int, written_at timestamp_ntz"
+LOG_SCHEMA = "name string, version int, written_at timestamp_ntz, folder string"
 
 
 class Appended(NamedTuple):
@@ -87,11 +88,17 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str], partitions: i
     return path
 
 
+#: Views by snapshot root: name -> (tables they read, how they are built).
+_views: dict[str, dict[str, tuple[list[str], Callable[..., DataFrame]]]] = {}
+
+
 class Snapshots:
-    """Versioned tables in a shared folder: ``<root>/<name>/v=<n>``.
+    """Versioned tables in a shared folder.
 
-    A change writes a new version; readers take the latest.  The version log
-    is a tiny Parquet table (one row per version) next to the data."""
+    A change writes a new version into a folder of its own and then names that
+    folder in the version log (a tiny Parquet table, one row per version), so a
+    write that dies in between leaves the table as it was and later writes go
+    on.  Readers take the latest version that the log names; views follow."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -100,30 +107,38 @@ class Snapshots:
     def _log(self) -> str:
         return f"{self.root}/_versions"
 
-    def versions(self, name: str) -> list[int]:
-        """Versions in order; none only where no log was ever written.  A log
+    def _folders(self, name: str) -> dict[int, str]:
+        """Version -> folder; none only where no log was ever written.  A log
         that cannot be read is an error, never an empty history."""
         if not path_exists(self.spark, self._log()):
-            return []
+            return {}
         log = self.spark.read.schema(LOG_SCHEMA).parquet(self._log())
-        return sorted(r.version for r in log.where(F.col("name") == name).select("version").collect())
+        rows = log.where(F.col("name") == name).select("version", "folder").collect()
+        return {r.version: f"{self.root}/{name}/{r.folder or f'v={r.version}'}" for r in sorted(rows)}
+
+    def versions(self, name: str) -> list[int]:
+        return list(self._folders(name))
 
     def path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v={version}"
+        return self._folders(name)[version]
 
     def write(self, name: str, df: DataFrame) -> int:
-        """A version is written once: an existing folder is an error."""
+        """Add a version and refresh the views that read this table."""
         v = max(self.versions(name), default=0) + 1
-        df.write.mode("errorifexists").parquet(self.path(name, v))
-        entry = self.spark.createDataFrame([(name, v, dt.datetime.now())], LOG_SCHEMA)
+        folder = f"v={v}-{uuid.uuid4().hex[:12]}"
+        df.write.mode("errorifexists").parquet(f"{self.root}/{name}/{folder}")
+        entry = self.spark.createDataFrame([(name, v, dt.datetime.now(), folder)], LOG_SCHEMA)
         entry.write.mode("append").parquet(self._log())
+        for view, (tables, build) in _views.get(self.root, {}).items():
+            if name in tables:
+                build(*[self.read(t) for t in tables]).createOrReplaceTempView(view)
         return v
 
     def read(self, name: str, version: int | None = None) -> DataFrame:
-        vs = self.versions(name)
-        if not vs:
+        folders = self._folders(name)
+        if not folders:
             raise KeyError(name)
-        return self.spark.read.parquet(self.path(name, version or vs[-1]))
+        return self.spark.read.parquet(folders[version or max(folders)])
 
     def create_if_absent(self, name: str, schema: T.StructType) -> DataFrame:
         """``CREATE TABLE IF NOT EXISTS`` — an existing table stays as is."""
@@ -132,7 +147,14 @@ class Snapshots:
         return self.read(name)
 
     def view(self, name: str, view: str | None = None) -> DataFrame:
-        """``CREATE OR REPLACE VIEW`` over the latest version."""
-        df = self.read(name)
-        df.createOrReplaceTempView(view or name)
+        """``CREATE OR REPLACE VIEW`` of a table; it shows each version
+        that is written from now on."""
+        return self.define_view(view or name, [name], lambda df: df)
+
+    def define_view(self, view: str, tables: Sequence[str], build: Callable[..., DataFrame]) -> DataFrame:
+        """A view ``build(*tables)``, such as a report over several
+        tables, that follows every write of one of them."""
+        _views.setdefault(self.root, {})[view] = (list(tables), build)
+        df = build(*[self.read(t) for t in tables])
+        df.createOrReplaceTempView(view)
         return df

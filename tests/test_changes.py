@@ -168,3 +168,47 @@ def test_update_refuses_taken_unique_values(spark):
     res = changes.update_by_key(c, patch, "customer_id", table="customers")
     assert rows(res.table, "customer_id", "email") == [(1, "new@x"), (2, "b@x"), (3, "c@x"), (4, "d@x")]
     assert rows(res.rejected, "customer_id") == [(2,), (3,), (4,)]
+
+
+def _one_by_one(customers, batch):
+    """The procedure called once per row."""
+    emails, phones = {c[2] for c in customers}, {c[3] for c in customers}
+    key, added, refused = max(c[0] for c in customers), [], []
+    for name, email, phone, city, seq in sorted(batch, key=lambda r: r[4]):
+        bad = None in (name, email, phone, city) or email in emails or phone in phones
+        if bad or len(phone) > 20:
+            refused.append(seq)
+            continue
+        key += 1
+        emails.add(email)
+        phones.add(phone)
+        added.append((key, name, email, phone, city))
+    return added, sorted(refused)
+
+
+def test_bulk_sign_up_is_one_call_per_row(spark):
+    import random
+    rng = random.Random(3)
+    customers = [(i, f"n{i}", f"e{i}", f"p{i}", "c") for i in range(1, 6)]
+    c = spark.createDataFrame(customers, "customer_id int, name string, email string, phone string, city string")
+    for trial in range(3):
+        batch = [(rng.choice(["x", "x", None]), rng.choice([f"e{rng.randrange(14)}"] * 9 + [None]),
+                  rng.choice([f"p{rng.randrange(14)}"] * 6 + [None, "9" * 21]), rng.choice(["c"] * 9 + [None]), seq)
+                 for seq in rng.sample(range(100), 40)]
+        if trial == 0:  # a chain: every other row of it gets in
+            batch = [("x", f"m{i // 2}", f"q{(i + 1) // 2}", "c", i) for i in range(9)] + [(None, "m0", "z", "c", -1)]
+        b = spark.createDataFrame(batch, "name string, email string, phone string, city string, seq int")
+        res = changes.add_customers(c, b, ["seq"])
+        added, refused = _one_by_one(customers, batch)
+        assert sorted(tuple(r) for r in res.added.collect()) == added
+        assert sorted(r.seq for r in res.rejected.collect()) == refused
+        assert res.table.count() == len(customers) + len(added)
+
+
+def test_update_of_unknown_ids_changes_nothing(spark):
+    c = spark.createDataFrame([(1, "a", "a@x", "1", "c"), (2, "b", "b@x", "2", "c")],
+                              "customer_id int, name string, email string, phone string, city string")
+    patch = spark.createDataFrame([(1, "new@x"), (99, "new@x"), (99, "other@x")], "customer_id int, email string")
+    res = changes.update_by_key(c, patch, "customer_id", table="customers")
+    assert sorted((r.customer_id, r.email) for r in res.table.collect()) == [(1, "new@x"), (2, "b@x")]
+    assert [r.customer_id for r in res.applied.collect()] == [1] and res.rejected.count() == 0

@@ -225,3 +225,76 @@ def test_workbook_export_replaces_and_keeps_keys_apart(spark):
 def test_sheet_names_are_not_cut(spark):
     with pytest.raises(ValueError):
         export.export_all({"x" * 32: spark.range(1).toDF("a")}, scratch_path(spark, "names"))
+
+
+def _csv_rows(n, seed):
+    import random
+    rng = random.Random(seed)
+    words = ["plain", "two words", 'say "hi"', "a,b", "line\nbreak", 'end"', '"', "\n", "x" * 300, "é\U0001F600", 'q"\n"r', ","]
+    return [[str(i), rng.choice(words), rng.choice(words) + rng.choice(words), str(i * 7)] for i in range(n)]
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_one_csv_file_is_read_by_many_tasks(spark, ending):
+    """Quoted line breaks, commas and quotes across block bounds."""
+    import csv as csv_module
+
+    from pyspark.sql import types as T
+
+    from mercantile.sources import csv_blocks
+    folder = workbook.local_path(scratch_path(spark, "csv-blocks"))
+    os.makedirs(folder)
+    rows = _csv_rows(3000, len(ending))
+    rows[1500][1] = "very\nlong " * 2000  # spans several blocks
+    with open(folder + "/big.csv", "w", newline="") as f:
+        out = csv_module.writer(f, lineterminator=ending)
+        out.writerow(["id", "a", "b", "c"])
+        out.writerows(rows)
+    with open(folder + "/small.csv", "w", newline="") as f:
+        f.write("﻿c,id,a" + ending + '5,1,"x' + ending + 'y"' + ending + ending + 'id,2,3' + ending)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "a", "b", "c")])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert csv_blocks.block_states(spark, folder).where("file LIKE '%big.csv'").count() > 20
+        assert csv_blocks._lines(spark, folder).rdd.getNumPartitions() > 20
+        got = ingest.read_csv(spark, folder, schema)
+        big = {tuple(r[:4]) for r in got.where("_file LIKE '%big.csv'").collect()}
+        assert got.where("_problem IS NOT NULL").count() == 0
+        small = sorted(tuple(r[:4]) for r in got.where("_file LIKE '%small.csv'").collect())
+        over = csv_blocks.csv_records(spark, folder, longest=2000)
+        assert [r.record[:5] for r in over.where("NOT whole").collect()] == ["1500,"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert big == {tuple(x if x else None for x in r) for r in rows}
+    assert small == [("1", "x\ny", None, "5"), ("2", "3", None, "id")]
+
+
+def test_quotes_at_line_ends():
+    from mercantile.sources.csv_blocks import quoted_after
+    cases = [("a,b", False, False), ('"a', False, True), ('a"', True, False), ('""', False, False), ('""', True, True),
+             ('a,"b""', False, True), ('5" pipe,"x', False, True), ('5" pipe', False, False), ('x","y', True, True),
+             ('",', True, False), ('"a"b,"c', False, True)]
+    for line, before, after in cases:
+        assert quoted_after(line, before) is after, (line, before)
+
+
+def test_a_write_that_died_is_no_obstacle(spark):
+    root = scratch_path(spark, "crashed")
+    snap = tables.Snapshots(spark, root)
+    snap.write("t", spark.range(3))
+    spark.range(9).write.parquet(f"{root}/t/v=2")  # data without its log entry
+    again = tables.Snapshots(spark, root)
+    assert again.read("t").count() == 3
+    assert again.write("t", spark.range(5)) == 2 and snap.read("t").count() == 5
+
+
+def test_views_follow_writes(spark):
+    snap = tables.Snapshots(spark, scratch_path(spark, "views"))
+    snap.write("t", spark.range(3))
+    snap.write("u", spark.range(2))
+    snap.view("t", "follow_t")
+    snap.define_view("follow_both", ["t", "u"], lambda t, u: t.join(u, "id"))
+    tables.Snapshots(spark, snap.root).write("t", spark.range(1, 9))
+    assert spark.sql("SELECT max(id) FROM follow_t").first()[0] == 8
+    assert [r.id for r in spark.sql("SELECT id FROM follow_both").collect()] == [1]
