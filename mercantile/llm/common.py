@@ -53,3 +53,14 @@ def ascii_lower(col) -> Column:
 def id_or_lowest(col: str) -> Column:
     """NULL ids order below every other id."""
     return F.coalesce(F.col(col), F.lit(LONG_MIN).cast(LongType()))
+
+
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path`` whose write was committed, sorted."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    where = hadoop(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(where):
+        return []
+    names = [s.getPath().getName() for s in files.listStatus(where) if s.isDirectory()]
+    return sorted(n for n in names if files.exists(hadoop(f"{path}/{n}/_SUCCESS")))

@@ -42,23 +42,24 @@ def _contract(batches):
     yield pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[root[keep]])], ["u", "v"])
 
 
-def _attach(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """(u, v, m): the least neighbour m of u beside every edge.  Nodes of more
-    than one in ``HOT`` edges, fewer than 2 * ``HOT`` of them, are broadcast;
-    the edges of the others are shuffled."""
-    most = (least.agg(F.sum("c")).first()[0] or 0) // HOT
-    hot = least.where(F.col("c") > most) if most else least.where("c < 0")
-    hot = F.broadcast(hot.select(F.col("u").alias("h"), "m"))
-    apart = edges.join(hot, edges["u"] == hot["h"]).select("u", "v", "m")
-    rest = edges.join(hot, edges["u"] == hot["h"], "left_anti")
-    return apart.unionAll(rest.join(least.select("u", "m"), "u").select("u", "v", "m"))
+def attach(rows: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Inner join of rows with a written table of one row per key, whose column
+    ``c`` counts the rows of the key.  Keys of more than one in ``HOT`` rows,
+    fewer than ``HOT`` of them, are broadcast; the rows of the others are
+    shuffled, so no key fills a task."""
+    values = [c for c in small.columns if c not in (key, "c")]
+    most = (small.agg(F.sum("c")).first()[0] or 0) // HOT
+    hot = F.broadcast(small.where((F.col("c") > most) & F.lit(most > 0)).select(F.col(key).alias("_hot"), *values))
+    apart = rows.join(hot, rows[key] == hot["_hot"]).select(*rows.columns, *values)
+    rest = rows.join(hot.select("_hot"), rows[key] == F.col("_hot"), "left_anti")
+    return apart.unionAll(rest.join(small.drop("c"), key).select(*rows.columns, *values))
 
 
 def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Smallest reachable node of every node that has an edge: (node, root).
 
     ``edges`` has long columns u, v.  Each round is two aggregations with
-    map-side combine and two joins that take hot nodes apart (:func:`_attach`);
+    map-side combine and two joins that take hot nodes apart (:func:`attach`);
     rounds grow with the logarithm of the longest chain.  Every round is written
     to the shared scratch folder.  Before the first, tasks contract about
     ``EDGES`` edges each to forests."""
@@ -71,11 +72,11 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
                                                   F.count(F.lit(1)).alias("c")), name)
-        big = materialise(_attach(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        big = materialise(attach(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                           .where("u <> v").distinct(), name)
         # Small star: u and its smaller neighbours hang on the least of them (edges point down now).
         least = materialise(big.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c")), name)
-        moved = _attach(big, least)
+        moved = attach(big, least, "u")
         small = (moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         e = materialise(small, name)

@@ -19,14 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, register, table
-from .components import connected_components
+from .components import attach, connected_components
 
 #: Vectors of a bucket that are compared at once.
 TILE = 1024
 #: Expected vectors in a bucket of the largest label; sets the bits by size.
 BUCKET = 96
-#: Hot buckets are broadcast below this many (40 bytes each), joined beyond it.
-BROADCAST_BUCKETS = 200_000
 
 
 def plan_tables(largest: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -112,8 +110,7 @@ def _verify(threshold):
 
 
 def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, recall: float = 0.999, seed: int = 7,
-                         id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-                         broadcast_buckets: int = BROADCAST_BUCKETS) -> DataFrame:
+                         id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Link vectors of equal label whose cosine is at least ``threshold``.
 
     Returns one row per input row: vec_id, n_links, component_id, kept.
@@ -141,7 +138,6 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, recall: fl
     hot = (hashed.groupBy(*key).agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > TILE)
            .select(*key, F.ceil(F.col("m") / TILE).cast("int").alias("parts")))
     hot = materialise(hot, "hot-buckets")
-    hot = F.broadcast(hot) if hot.count() <= broadcast_buckets else hot
     dealt = (hashed.join(hot, key, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
              .withColumn("part", F.pmod(F.xxhash64(F.lit("tile"), "cls"), F.col("parts")).cast("int")))
     tiles = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -153,15 +149,18 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, recall: fl
         .groupBy("tile", "dims", "tab").applyInArrow(_verify(threshold), "cls long, links long, root long"), "vector-links")
     roots = connected_components(found.select(F.col("cls").alias("u"), F.col("root").alias("v")), "vector-components")
     counts = found.groupBy("cls").agg(F.sum("links").alias("links"))
-    merged = (classes.select("cls", "copies").join(counts, "cls", "left")
-              .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-              .select("cls", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                      F.coalesce("root", "cls").alias("component")))
-    known = materialise(rows.select("vec_id", "cls").join(merged, "cls", "left"), "vectors-joined")
-    least = (known.where("component IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("component_id")))
-    out = (known.join(least, "component", "left")
-           .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                   F.coalesce("component_id", "vec_id").alias("component_id")))
+    merged = materialise(
+        classes.select("cls", "copies").join(counts, "cls", "left")
+        .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+        .select("cls", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                F.coalesce("root", "cls").alias("component"), F.col("copies").alias("c")), "vector-results")
+    known = materialise(attach(rows.where("ok").select("vec_id", "cls"), merged, "cls"), "vectors-joined")
+    least = materialise(known.groupBy("component").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("c")),
+                        "least-vectors")
+    none = rows.where(~F.col("ok")).select("vec_id", F.lit(0).alias("n_links"), F.lit(None).cast("long").alias("least"))
+    out = (attach(known, least, "component").select("vec_id", "n_links", "least").unionAll(none)
+           .select("vec_id", F.col("n_links").cast("long").alias("n_links"),
+                   F.coalesce("least", "vec_id").alias("component_id")))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 

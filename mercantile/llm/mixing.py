@@ -1,11 +1,11 @@
 """Mixing sources to target weights by entropy balancing [native].
 
-Token mass is reweighted with the smallest relative entropy that meets one
-token constraint per source.  The dual is convex; its Newton iterations run on
-one row per source (a document belongs to one source, so the Hessian is
-diagonal and sources are solved side by side), and the primal solution tilts a
-document's rate exponentially: rate = exp(lambda of its source).  Rates are
-rounded into whole copies so that each source's words stay near its target.
+Every document gets a rate; of all rates that meet one token constraint per
+source, those of least relative entropy are taken.  The dual is convex in one
+multiplier per source; its Newton steps are distributed sums over the documents.
+The primal solution tilts a document's rate exponentially with its tokens, up
+to a cap.  Rates are rounded into whole copies so that each source's words stay
+near its target.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from .common import clean_text, materialise, register, table
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents rounded together; bounds the array one task folds at a time.
 FOLD = 500
+#: Equal rows that one task deals out at a time.
+CHUNK = 10_000
 
 
 def word_count(text_col: str) -> Column:
@@ -46,64 +48,114 @@ def water_fill(sources: DataFrame, weights: Sequence[float], share: float, cap:
     order = ["turn", "nth"]
     summed = running_total(ranked, ["one"], order, "cap", "caps_to")
     summed = materialise(running_total(summed, ["one"], order, "weight", "weights_to"), "mix-levels")
-    total = summed.agg((F.sum("source_size") * F.lit(float(share))).alias("total"),
-                       F.sum("weight").alias("all_w"))
+    total = summed.agg(F.struct((F.sum("source_size") * F.lit(float(share))).alias("total"),
+                                F.sum("weight").alias("all_w"))).scalar()
     # Source k is capped when filling it, after the ones before it, needs no
     # more than what is left: caps_before + turn_k * weights_from_k <= total.
-    levels = summed.crossJoin(F.broadcast(total))  # one row
+    levels = summed.withColumn("_t", total)
     is_capped = ((F.col("caps_to") - F.col("cap"))
-                 + F.col("turn") * (F.col("all_w") - F.col("weights_to") + F.col("weight"))) <= F.col("total")
+                 + F.col("turn") * (F.col("_t.all_w") - F.col("weights_to") + F.col("weight"))) <= F.col("_t.total")
     levels = levels.withColumn("capped", is_capped)
-    rest = levels.agg(
-        F.max("total").alias("t"),
+    rest = levels.agg(F.struct(
+        F.max("_t.total").alias("t"),
         F.coalesce(F.sum(F.when(F.col("capped"), F.col("cap"))), F.lit(0.0)).alias("spent"),
-        F.sum(F.when(~F.col("capped"), F.col("weight"))).alias("open_w"))
-    level = F.greatest((F.col("t") - F.col("spent")) / F.col("open_w"), F.lit(0.0))
-    return (levels.crossJoin(F.broadcast(rest))  # one row
-            .withColumn("target", F.when(F.col("capped"), F.col("cap"))
-                        .otherwise(F.least(F.col("weight") * level, F.col("cap"))))
+        F.sum(F.when(~F.col("capped"), F.col("weight"))).alias("open_w"))).scalar()
+    levels = levels.withColumn("_r", rest)
+    level = F.greatest((F.col("_r.t") - F.col("_r.spent")) / F.col("_r.open_w"), F.lit(0.0))
+    return (levels.withColumn("target", F.when(F.col("capped"), F.col("cap"))
+                              .otherwise(F.least(F.col("weight") * level, F.col("cap"))))
             .select("source", "source_size", F.coalesce("target", F.lit(0.0)).alias("target")))
 
 
-def dual_rates(sources: DataFrame, iterations: int = 60) -> DataFrame:
-    """Newton on the dual  size * exp(l) - target * l  of every source:
-    gradient size * exp(l) - target, Hessian size * exp(l).  Convex, so the
-    steps converge from 0; sources without words or target get rate 0."""
-    ratio = F.col("target") / F.col("source_size")
-    step = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), F.lit(0.0),
-                       lambda lam, _: lam - F.lit(1.0) + ratio * F.exp(-lam))
-    return sources.withColumn(
-        "rate", F.when((F.col("source_size") > 0) & (F.col("target") > 0), F.exp(step)).otherwise(0.0))
+def tilted_rate(lam: Column, size: Column, scale: Column, cap: float) -> Column:
+    return F.least(F.lit(float(cap)), F.exp(F.least(lam * size / scale, F.lit(50.0))))
+
+
+def dual_multipliers(rows: DataFrame, targets: DataFrame, cap: float, tolerance: float = 1e-9,
+                     most: int = 60) -> DataFrame:
+    """Multipliers of the entropy balancing problem over documents
+
+        minimise  sum of w log w - w   with   sum of w * size = target  in every
+        source and w <= cap;  its solution is  w = min(cap, exp(lam * size / scale)).
+
+    The dual is convex in the source's ``lam``.  A Newton step is one native
+    aggregate over the documents, all sources at once: gradient sum(w * size) -
+    target and Hessian, the same sum over size / scale where the cap does not
+    bind.  Steps that leave the bracket of the root are halved; iteration stops
+    on the residual of the constraints.  Documents of equal source and size are
+    counted first.  ``scale`` is the source's size-weighted mean size.
+
+    Returns targets with ``scale``, ``lam`` and ``fixed``: the rate of sources
+    that need no solution (0 without words or target, the cap at full target)."""
+    bins = materialise(rows.where("size > 0").groupBy("source", "size").agg(F.count(F.lit(1)).alias("m")), "mix-bins")
+    scale = bins.groupBy("source").agg((F.sum(F.col("m") * F.col("size") * F.col("size"))
+                                        / F.sum(F.col("m") * F.col("size"))).alias("scale"))
+    scale = scale.withColumnRenamed("source", "_s")
+    full = F.col("target") >= F.col("source_size") * F.lit(cap * (1 - 1e-12))
+    fixed = F.when((F.col("source_size") <= 0) | (F.col("target") <= 0), 0.0).when(full, float(cap))
+    none = F.lit(None).cast("double")
+    state = materialise(
+        targets.join(scale, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumn("fixed", fixed)
+        .withColumn("lam", F.when(F.col("fixed").isNull(), F.log(F.col("target") / F.col("source_size"))))
+        .withColumns({"lo": none, "hi": none, "off": none}), "mix-multipliers")
+    for _ in range(most):
+        open_ = state.where("fixed IS NULL").select(F.col("source").alias("_s"), "lam", "scale")
+        w = tilted_rate(F.col("lam"), F.col("size"), F.col("scale"), cap)
+        mass = F.col("m") * F.col("size") * w
+        step = (bins.join(open_, F.col("source").eqNullSafe(F.col("_s")))
+                .groupBy("_s").agg(F.sum(mass).alias("got"),
+                                   F.sum(F.when(w < cap, mass * F.col("size") / F.col("scale")).otherwise(0.0)).alias("h")))
+        g = F.col("got") - F.col("target")
+        lo, hi = F.when(g < 0, F.col("lam")).otherwise(F.col("lo")), F.when(g > 0, F.col("lam")).otherwise(F.col("hi"))
+        moved = (state.join(step, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+                 .withColumn("off", F.abs(g) / F.col("target")).withColumns({"lo": lo, "hi": hi}))
+        newton = F.col("lam") - g / F.col("h")
+        safe = (F.col("h") > 0) & (F.col("lo").isNull() | (newton > F.col("lo"))) & (F.col("hi").isNull() | (newton < F.col("hi")))
+        half = (F.coalesce("lo", F.col("hi") - 2) + F.coalesce("hi", F.col("lo") + 2)) / 2
+        state = materialise(moved.withColumn("lam", F.when(F.col("off") <= tolerance, F.col("lam"))
+                                             .when(safe, newton).otherwise(half)).drop("got", "h"), "mix-multipliers")
+        worst = state.agg(F.max("off")).first()[0]
+        if worst is None or worst <= tolerance:
+            break
+    # Sums of doubles depend on the order of tasks; reruns shall agree.
+    return state.select("source", "source_size", "target", "scale", F.round("lam", 6).alias("lam"), "fixed")
 
 
 def round_copies(rows: DataFrame, max_copies: int) -> DataFrame:
     """Whole copies from rates: within a bucket of about ``FOLD`` documents of
-    one source, largest first, a document takes its extra copy when the words
-    still owed cover at least half of it.  What a bucket owes at its end is
-    less than a small document, so the sums stay near the targets.  Buckets
-    split hot sources; equal (doc_id, size) rows share a bucket."""
-    n = rows.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(FOLD)).alias("buckets"))
-    keyed = (rows.join(n, rows["source"].eqNullSafe(n["source"])).drop(n["source"])
+    one source, largest first, documents take extra copies while the words owed
+    cover at least half of one.  What a bucket owes at its end is less than a
+    small document, so the sums stay near the targets.  Buckets split hot
+    sources; equal (doc_id, source, size) rows are counted first, share their
+    extra copies, and are dealt out again in chunks of ``CHUNK`` rows."""
+    same = ["source", "doc_id", "size", "source_size", "target", "rate"]
+    counted = materialise(rows.groupBy(*same).agg(F.count(F.lit(1)).alias("m")), "mix-rows")
+    n = counted.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / F.lit(FOLD)).alias("buckets")).withColumnRenamed("source", "_s")
+    keyed = (counted.join(n, F.col("source").eqNullSafe(F.col("_s")))
              .withColumn("bucket", F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "size"), F.col("buckets"))))
     rate = F.least(F.col("rate"), F.lit(float(max_copies)))
     keyed = (keyed.withColumn("base", F.floor(rate)).withColumn("part", rate - F.floor(rate)))
     item = F.struct((-F.col("size")).alias("neg"), F.xxhash64(F.lit("tie"), "doc_id").alias("tie"),
-                    "doc_id", "size", "base", "part", "source_size", "target")
+                    "doc_id", "size", "base", "part", "m", "source_size", "target")
     groups = keyed.groupBy("source", "bucket").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    start = F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<int>").alias("extra"))
+    start = F.struct(F.lit(0.0).alias("owed"), F.array().cast("array<long>").alias("extra"))
 
     def fold(acc, x):
         size = x["size"].cast("double")
-        owed = acc["owed"] + x["part"] * size
-        take = (x["part"] > 0) & (owed >= size / 2)
-        return F.struct((owed - F.when(take, size).otherwise(0.0)).alias("owed"),
-                        F.concat(acc["extra"], F.array(take.cast("int"))).alias("extra"))
+        owed = acc["owed"] + x["part"] * size * x["m"]
+        take = F.when((x["part"] > 0) & (size > 0), F.least(x["m"], F.floor(F.greatest(owed, F.lit(0.0)) / size + 0.5))).otherwise(0)
+        return F.struct((owed - take * size).alias("owed"), F.concat(acc["extra"], F.array(take.cast("long"))).alias("extra"))
 
     extra = F.aggregate("items", start, fold, lambda acc: acc["extra"])
-    return (groups.withColumn("extra", extra)
-            .select("source", F.explode(F.arrays_zip("items", "extra")).alias("z"))
-            .select("z.items.doc_id", "source", "z.items.size", "z.items.source_size", "z.items.target",
-                    (F.col("z.items.base") + F.col("z.extra")).cast("int").alias("copies")))
+    dealt = (groups.withColumn("extra", extra).select("source", F.explode(F.arrays_zip("items", "extra")).alias("z"))
+             .select("source", "z.items.*", "z.extra"))
+    chunk = lambda df: df.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("m") - 1) / CHUNK).cast("int"))))
+    few, many = dealt.where(F.col("m") <= CHUNK), dealt.where(F.col("m") > CHUNK)
+    rows_of = chunk(few).unionAll(chunk(many).repartition("doc_id", "chunk"))
+    first = F.col("chunk").cast("long") * CHUNK
+    return (rows_of.withColumn("nth", F.explode(F.sequence(first + 1, F.least(F.col("m"), first + CHUNK))))
+            .select("doc_id", "source", "size", "source_size", "target",
+                    (F.col("base") + F.when(F.col("nth") <= F.col("extra"), 1).otherwise(0)).cast("int").alias("copies")))
 
 
 def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5,
@@ -111,16 +163,18 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: fl
                 source_col: str = "source") -> DataFrame:
     """Copies per document: doc_id, source, size, source_size, target, copies.
 
-    Size is the number of words (0 for NULL or empty text).  NULL is a source
-    of its own, last in order.  A document takes at most ``cap`` copies.
-    Repeated rows are documents of their own; an empty table gives an empty
-    result; other columns are ignored.  Ties break by hash and id, so reruns
-    agree."""
+    Size is the number of words (0 for NULL or empty text; whole texts of any
+    length are counted).  NULL is a source of its own, last in order.  A
+    document takes at most ``cap`` copies.  Repeated rows are documents of their
+    own; an empty table gives an empty result; other columns are ignored.  Ties
+    break by hash and id, so reruns agree."""
     rows = materialise(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                                    word_count(text_col).alias("size")), "mix-sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = materialise(dual_rates(water_fill(sources, weights, share, cap)), "mix-targets")
-    joined = (rows.join(targets, rows["source"].eqNullSafe(targets["source"])).drop(targets["source"]))
+    targets = materialise(water_fill(sources, weights, share, cap), "mix-targets")
+    solved = dual_multipliers(rows, targets, cap).withColumnRenamed("source", "_s")
+    joined = (rows.join(solved, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+              .withColumn("rate", F.coalesce("fixed", tilted_rate(F.col("lam"), F.col("size"), F.col("scale"), cap))))
     return round_copies(joined, int(cap))
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, register, table
-from .components import connected_components
+from .components import attach, connected_components
 from .shingles import U, mix, shingle_sets, word_hashes
 from .wordseq import (PACKET, PACKET_SCHEMA, PLACES_SCHEMA, bucket_keys, distinct_keys, keys_at_places, seen_packets,
                       shared_places, unpack, write_slices)
@@ -436,19 +436,18 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
         _tile(percent), "print long, links long, root long"), "links")
     roots = connected_components(links.select(F.col("print").alias("u"), F.col("root").alias("v")), "near-copies")
     counts = links.groupBy("print").agg(F.sum("links").alias("links"))
-    merged = (classes.select("print", "copies").join(counts, "print", "left")
-              .join(roots.withColumnRenamed("node", "print"), "print", "left")
-              .select("print", "copies", F.coalesce("links", F.lit(0)).alias("links"),
-                      F.coalesce("root", "print").alias("component")))
-    known = rows.select("doc_id", "n", "print").join(merged, "print", "left")
-    known = materialise(known, "joined")
-    least = (known.where("component IS NOT NULL").groupBy("component")
-             .agg(F.min("doc_id").alias("component_id")))
-    return (known.join(least, "component", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
-                    F.coalesce("component_id", "doc_id").alias("component_id"),
-                    F.col("print").alias("set_print")))
+    merged = materialise(
+        classes.select("print", "copies").join(counts, "print", "left")
+        .join(roots.withColumnRenamed("node", "print"), "print", "left")
+        .select("print", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
+                F.coalesce("root", "print").alias("component"), F.col("copies").alias("c")), "set-results")
+    known = materialise(attach(rows.where("n > 0").select("doc_id", "n", "print"), merged, "print"), "joined")
+    least = materialise(known.groupBy("component").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("c")), "least-ids")
+    none = rows.where("n = 0").select("doc_id", "n", F.lit(0).cast("long").alias("links"),
+                                      F.lit(None).cast("long").alias("least"), "print")
+    return (attach(known, least, "component").select("doc_id", "n", "links", "least", "print").unionAll(none)
+            .select("doc_id", F.col("n").alias("n_shingles"), F.col("links").cast("long").alias("n_links"),
+                    F.coalesce("least", "doc_id").alias("component_id"), F.col("print").alias("set_print")))
 
 
 @register("op3_ngram_join")

@@ -10,6 +10,7 @@ expressions.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import clean_text, register, table
+from .common import clean_text, finished_folders, register, table
 
 
 @dataclass(frozen=True)
@@ -69,16 +70,19 @@ def spans_of(text: Column, rule: Rule) -> Column:
 
 
 class BlobLedger:
-    """Ledger of scanned (blob, rule version) pairs under ``path``."""
+    """Ledger of scanned (blob, rule version) pairs under ``path``.
+
+    Opening a folder goes on with the pushes that it holds; one that died half
+    written is not among them."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.pushes = spark, path.rstrip("/"), 0
+        self.spark, self.path = spark, path.rstrip("/")
+        self.pushes = finished_folders(spark, self.path)
 
     def rows(self) -> DataFrame:
         if not self.pushes:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        paths = [f"{self.path}/push={i:06d}" for i in range(1, self.pushes + 1)]
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(*paths)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(*[f"{self.path}/{p}" for p in self.pushes])
 
     def push(self, texts: DataFrame, rules: Sequence[Rule] = RULES) -> None:
         """Scan the unseen pairs of ``texts`` (blob, text) and record them."""
@@ -96,9 +100,9 @@ class BlobLedger:
                  for r in rules]
         scanned = (todo.select("blob", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("f"))
                    .select("blob", "f.rule", "f.spans"))
-        scanned.write.option("compression", "zstd").mode("errorifexists").parquet(
-            f"{self.path}/push={self.pushes + 1:06d}")
-        self.pushes += 1
+        push = f"push={len(self.pushes) + 1:06d}-{uuid.uuid4().hex[:8]}"
+        scanned.write.option("compression", "zstd").mode("errorifexists").parquet(f"{self.path}/{push}")
+        self.pushes.append(push)
 
 
 def scan_history(versions: DataFrame, rules: Sequence[Rule] = RULES, pushes: int = 2,

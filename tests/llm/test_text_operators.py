@@ -446,6 +446,51 @@ def test_mixing_empty_and_wordless(spark):
     assert len(out) == 3 and {r["copies"] * r["size"] for r in out} == {0}
 
 
+def test_multipliers_solve_the_dual(spark):
+    """Against numpy: the same convex dual, solved by bisection."""
+    rng = np.random.default_rng(0)
+    rows = [(s, int(n)) for s in ("a", "b", None) for n in rng.integers(1, 400, 300)]
+    frame = spark.createDataFrame(rows, "source string, size long")
+    total = collections.Counter()
+    for s, n in rows:
+        total[s] += n
+    share = {"a": 0.4, "b": 1.7, None: 1.0}
+    targets = spark.createDataFrame([(s, total[s], share[s] * total[s]) for s in total], "source string, source_size long, target double")
+    for r in mixing.dual_multipliers(frame, targets, 2.0).collect():
+        size = np.array([n for s, n in rows if s == r.source], float)
+        scale = (size ** 2).sum() / size.sum()
+        lo, hi = -60.0, 60.0
+        for _ in range(200):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if (size * np.minimum(2, np.exp(np.minimum(mid * size / scale, 50)))).sum() < r.target else (lo, mid)
+        assert r.scale == pytest.approx(scale) and r.lam == pytest.approx(lo, abs=2e-6) and r.fixed is None
+
+
+def test_mixing_of_rows_repeated_in_thousands(spark):
+    some = [(1, cases.prose(1, 9), "a")] * 25_000 + [(None, None, "a")] * 3000 + [(i, cases.prose(i, 30), "b") for i in range(2, 400)]
+    out = mixing.mix_sources(cases.frame(spark, some, extra=False)).collect()
+    assert collections.Counter(r.doc_id for r in out)[1] == 25_000 and len(out) == len(some)
+    taken, target = collections.Counter(), {}
+    for r in out:
+        taken[r.source] += r.copies * r.size
+        target[r.source] = r.target
+    assert all(taken[s] == pytest.approx(target[s], rel=0.02) for s in target)
+
+
+def test_a_reopened_ledger_goes_on(spark, tmp_path):
+    path = f"file://{tmp_path}/ledger"
+    text = lambda *b: spark.createDataFrame([(x, "token=abcdefgh " + x) for x in b], "blob string, text string")
+    secret_ledger.BlobLedger(spark, path).push(text("a", "b"))
+    spark.createDataFrame([], secret_ledger.LEDGER_SCHEMA).write.parquet(f"{path}/push=000002-dead")
+    import os
+    os.remove(f"{tmp_path}/ledger/push=000002-dead/_SUCCESS")
+    again = secret_ledger.BlobLedger(spark, path)
+    assert again.rows().count() == 6
+    again.push(text("b", "c"))
+    third = secret_ledger.BlobLedger(spark, path).rows()
+    assert third.count() == 9 and third.where("blob = 'b'").count() == 3
+
+
 # ---- queries ---------------------------------------------------------------
 @pytest.mark.parametrize("name", ["op4_line_dedup"])
 def test_twins(spark, name):
