@@ -271,16 +271,11 @@ def _emit_sets(width):
 
 
 def _pairs(percent, longest):
-    """Pairs of sets in the lists of a partition, with the lists they share in
-    a class and the lists they need.  A list has at most ``longest`` entries."""
-    def run(batches):
-        held = list(batches)
-        if not held:
-            return
-        rows = pa.Table.from_batches(held)
+    """Pairs of sets in lists that come sorted by key, with the lists they
+    share in a class and the lists they need.  A list has at most ``longest``
+    entries; only the last one of a batch waits for the next batch."""
+    def pairs(rows):
         key, print_, n, cls, need = (rows.column(i).to_numpy() for i in range(5))
-        order = np.lexsort((print_, key))
-        key, print_, n, cls, need = (x[order] for x in (key, print_, n, cls, need))
         found = []
         for d in range(1, longest):
             i = np.flatnonzero(key[:-d] == key[d:])
@@ -288,7 +283,8 @@ def _pairs(percent, longest):
                 break
             j = i + d
             i, j = (x[np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])] for x in (i, j))
-            found.append((print_[i], print_[j], cls[i], np.maximum(need[i], need[j])))
+            low, high = np.minimum(print_[i], print_[j]), np.maximum(print_[i], print_[j])
+            found.append((low, high, cls[i], np.maximum(need[i], need[j])))
         if not found:
             return
         a, b, c, need = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -299,6 +295,18 @@ def _pairs(percent, longest):
             [pa.array(a[first]), pa.array(b[first]), pa.array(c[first].astype(np.int32)),
              pa.array(need[first].astype(np.int32)), pa.array(np.diff(np.r_[first, len(a)]))],
             ["u", "v", "cls", "need", "lists"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            key = rows.column(0).to_numpy()
+            cut = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            yield from pairs(rows.slice(0, cut))
+            held = rows.slice(cut).combine_chunks()
+        if held is not None:
+            yield from pairs(held)
     return run
 
 
@@ -393,7 +401,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     listed = listed.join(long_of, ["print", "cls"])
     light = listed.where(~F.col("long")).select("key", "print", "n", "cls",
                                                 F.greatest("left", F.lit(1)).cast("int").alias("need"))
-    pairs = (light.repartition("key").mapInArrow(_pairs(percent, LONG_LIST),
+    pairs = (light.repartition("key").sortWithinPartitions("key").mapInArrow(_pairs(percent, LONG_LIST),
                                                  "u long, v long, cls int, need int, lists long")
              .groupBy("u", "v", "cls").agg(F.sum("lists").alias("lists"), F.max("need").alias("need"))
              .where("lists >= need").select("u", "v"))

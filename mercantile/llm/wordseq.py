@@ -22,7 +22,7 @@ from .common import materialise
 from .shingles import U, mix, text_slices
 
 #: Bytes of text in a slice (one text at least) and of all text behind a bucket.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BUCKET_BYTES = 32 << 20
 #: Two byte values of word hashes that keep the case of letters.
 PLAIN = mix(np.arange(1, 257, dtype=U) * U(0x9FB21C651E98DF25))
