@@ -103,6 +103,7 @@ class Snapshots:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: dict[tuple[str, int], str] = {}  # a version never moves
 
     def _log(self) -> str:
         return f"{self.root}/_versions"
@@ -114,13 +115,15 @@ class Snapshots:
             return {}
         log = self.spark.read.schema(LOG_SCHEMA).parquet(self._log())
         rows = log.where(F.col("name") == name).select("version", "folder").collect()
-        return {r.version: f"{self.root}/{name}/{r.folder or f'v={r.version}'}" for r in sorted(rows)}
+        found = {r.version: f"{self.root}/{name}/{r.folder or f'v={r.version}'}" for r in sorted(rows)}
+        self._known.update({(name, v): folder for v, folder in found.items()})
+        return found
 
     def versions(self, name: str) -> list[int]:
         return list(self._folders(name))
 
     def path(self, name: str, version: int) -> str:
-        return self._folders(name)[version]
+        return self._known.get((name, version)) or self._folders(name)[version]
 
     def write(self, name: str, df: DataFrame) -> int:
         """Add a version and refresh the views that read this table."""
@@ -129,6 +132,7 @@ class Snapshots:
         df.write.mode("errorifexists").parquet(f"{self.root}/{name}/{folder}")
         entry = self.spark.createDataFrame([(name, v, dt.datetime.now(), folder)], LOG_SCHEMA)
         entry.write.mode("append").parquet(self._log())
+        self._known[name, v] = f"{self.root}/{name}/{folder}"
         for view, (tables, build) in _views.get(self.root, {}).items():
             if name in tables:
                 build(*[self.read(t) for t in tables]).createOrReplaceTempView(view)
