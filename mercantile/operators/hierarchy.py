@@ -8,7 +8,8 @@ settled ones stay behind as written rows, checkpointed to the shared folder.
 
 Employees on or below a manager cycle, or under a missing manager, never reach
 a root; they come back in a second ``unreachable`` frame instead of being
-dropped silently.
+dropped silently, and :func:`why_unreachable` names the cycle or the missing
+manager that each of them hangs on.
 """
 
 from __future__ import annotations
@@ -66,6 +67,52 @@ def hierarchy(employees: DataFrame, id: str = "employee_id", parent: str = "mana
     return Hierarchy(levels.orderBy("level", id) if ordered else levels, unreachable)
 
 
+# The reasons of :func:`why_unreachable`.
+ON_CYCLE, BELOW_CYCLE, NO_MANAGER = "on a cycle", "below a cycle", "below a missing manager"
+
+
+def why_unreachable(unreachable: DataFrame, id: str = "employee_id", parent: str = "manager_id") -> DataFrame:
+    """``unreachable`` rows with ``reason`` and ``cause``: the smallest id of the
+    cycle a row is on or below, or the id of the manager who is not there.
+
+    A row keeps a pointer 2^k managers up and the smallest id among the 2^k rows
+    it passed.  Once 2^k reaches the number of rows, every pointer that met no
+    missing manager is on a cycle and has gone round it, the pointers' targets
+    are exactly the cycles' members, and a member's smallest id is its cycle's.
+    Rows below a missing manager stop moving when they find it.  Ids are unique
+    and not NULL (rules V1, V2); a row that is its own manager is a cycle of one.
+    A round joins two written frames, so a hot manager is split."""
+    ensure_checkpoint_dir(unreachable.sparkSession)
+    start = unreachable.select(F.col(id).alias("_id"), F.col(parent).alias("_up"), F.col(id).alias("_low"))
+    moving = start.checkpoint(eager=True)
+    lost = []
+    for _ in range(max(1, moving.count()).bit_length() + 1):
+        if moving.isEmpty():
+            break
+        ends = F.lit(None).cast(moving.schema["_up"].dataType)
+        known = reduce(DataFrame.unionByName, [moving.withColumn("_end", ends), *lost])
+        jump = known.select(F.col("_id").alias("_j"), F.col("_up").alias("_jup"), F.col("_low").alias("_jlow"),
+                            F.col("_end").alias("_jend"))
+        met = F.col("_j").isNotNull()
+        state = moving.join(jump, moving["_up"] == jump["_j"], "left").select(
+            "_id", F.when(met, F.col("_jup")).otherwise(F.col("_up")).alias("_up"),
+            F.least("_low", "_jlow").alias("_low"),
+            F.when(met, F.col("_jend")).otherwise(F.col("_up")).alias("_end")).checkpoint(eager=True)
+        lost.append(state.where(F.col("_end").isNotNull()))
+        moving = state.where(F.col("_end").isNull()).drop("_end")
+    members = moving.select(F.col("_up").alias("_m")).distinct().checkpoint(eager=True)
+    loops = (moving.join(members, moving["_id"] == members["_m"], "left_semi")
+             .select(F.col("_id").alias("_m"), F.col("_low").alias("_loop")).checkpoint(eager=True))
+    hung = moving.join(loops, moving["_up"] == loops["_m"], "inner").select("_id", F.col("_loop").alias("_cause"))
+    on = loops.select(F.col("_m").alias("_on"))
+    hung = hung.join(on, hung["_id"] == on["_on"], "left").select(
+        "_id", F.when(F.col("_on").isNotNull(), ON_CYCLE).otherwise(BELOW_CYCLE).alias("reason"), "_cause")
+    found = reduce(DataFrame.unionByName, [hung, *[
+        gone.select("_id", F.lit(NO_MANAGER).alias("reason"), F.col("_end").alias("_cause")) for gone in lost]])
+    return (unreachable.join(found, unreachable[id] == found["_id"], "inner")
+            .select(*unreachable.columns, "reason", F.col("_cause").alias("cause")))
+
+
 def indent_lines(levels: DataFrame, id: str = "employee_id") -> DataFrame:
     """The printed line, two spaces per level."""
     # The labels of the line.

@@ -48,6 +48,20 @@ def q3_unreachable(spark, sf):
     return _looped(spark, sf).unreachable
 
 
+# As above, and everyone who reported to employee 2 reports to somebody unknown.
+BROKEN_CTE = """broken AS (SELECT * REPLACE (CASE WHEN employee_id = 1 THEN 13 WHEN manager_id = 2 THEN -2
+                                ELSE manager_id END AS manager_id) FROM employees)"""
+
+
+@register("Q3_why", with_fixtures(twins.why_unreachable_body("broken"), "employees", extra=BROKEN_CTE,
+                                  recursive=twins.climb("broken")))
+def q3_why(spark, sf):
+    e = tables(spark, sf, "employees")["employees"]
+    boss = (F.when(F.col("employee_id") == 1, F.lit(13)).when(F.col("manager_id") == 2, F.lit(-2))
+            .otherwise(F.col("manager_id")))
+    return hierarchy.why_unreachable(hierarchy.hierarchy(e.withColumn("manager_id", boss)).unreachable)
+
+
 _PIVOT_COLS = ",\n       ".join(
     f"CAST(SUM(CASE WHEN month = '{m}' THEN total_sales END) AS DOUBLE) AS \"{m}\""
     for m in MONTH_LABELS)

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..streaming import admission as r1, audit as r2, revenue as r3
+from ..streaming import admission as r1, audit as r2, compaction, revenue as r3
 from . import twins
 from .admitting import GREEDY_CTE, RANKED_CTE
 from .catalog import doubles, iso_dates, register, tables
@@ -145,3 +145,17 @@ def stream_top_products(spark, sf):
                .foreachBatch(r3.changes_sink(snap)).outputMode("update"),
                f"{base}/checkpoint")
     return r3.top_products(r3.live_totals(spark.read.parquet(snap), "product_id"), t["products"])
+
+
+@register("R3_compacted", twins.PRODUCT_TOTALS)
+def stream_compacted_products(spark, sf):
+    """R3_products with its versions kept as levelled runs; a fan of two makes
+    three levels of the seven years."""
+    t = tables(spark, sf, "order_items", "products")
+    base = scratch_path(spark, "r3c")
+    runs = f"{base}/runs"
+    run_slices(spark, _by_year(t["order_items"], "arrival"), f"{base}/in",
+               lambda s: r3.product_sales_stream(s).writeStream
+               .foreachBatch(compaction.compacting_sink(runs, ["product_id"], fan=2)).outputMode("update"),
+               f"{base}/checkpoint")
+    return r3.top_products(compaction.current_totals(spark, runs, ["product_id"]), t["products"])

@@ -110,3 +110,17 @@ def unreachable_body(employees: str = "employees") -> str:
     return f"""
 SELECT employee_id, name, role, manager_id FROM {employees}
 WHERE employee_id NOT IN (SELECT who FROM up WHERE boss IS NULL)"""
+
+
+def why_unreachable_body(employees: str) -> str:
+    """A climber who meets its own number is on a cycle; who meets such a one is below it."""
+    member = "(SELECT who FROM up WHERE boss = who)"
+    return f"""
+SELECT e.employee_id, e.name, e.role, e.manager_id,
+       CASE WHEN bool_or(u.boss = u.who) THEN 'on a cycle'
+            WHEN bool_or(u.boss IN {member}) THEN 'below a cycle'
+            ELSE 'below a missing manager' END AS reason,
+       COALESCE(MIN(u.boss) FILTER (WHERE u.boss IN {member}),
+                MAX(u.boss) FILTER (WHERE u.boss NOT IN (SELECT employee_id FROM {employees}))) AS cause
+FROM {employees} e JOIN up u ON u.who = e.employee_id
+GROUP BY ALL HAVING NOT bool_or(u.boss IS NULL)"""

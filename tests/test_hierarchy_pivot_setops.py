@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 from conftest import rows
@@ -99,3 +100,34 @@ def test_years_before_leap_day_and_default(spark):
                               F.add_months(F.current_date(), -12).alias("c")).first()
     assert r.a == dt.date(2003, 2, 28) and r.b == r.c
     assert month_number("jan") == 1 and month_number("DEC") == 12
+
+
+def _follow(bosses):
+    """Brute force of why_unreachable: walk up from every employee."""
+    out = {}
+    for who in bosses:
+        path, at = [], who
+        while at in bosses and at not in path:
+            path.append(at)
+            at = bosses[at]
+        if at is None:
+            continue
+        if at not in bosses:
+            out[who] = ("below a missing manager", at)
+        else:
+            loop = path[path.index(at):]
+            out[who] = ("on a cycle" if who in loop else "below a cycle", min(loop))
+    return out
+
+
+def test_why_unreachable_names_the_cycle_or_the_missing_manager(spark):
+    rnd = random.Random(7)
+    graphs = [{i: (None if i == 0 else rnd.randrange(0, 60)) for i in range(45)},
+              {i: (i + 1) % 37 for i in range(37)} | {100 + i: 99 + i for i in range(40)},  # a long loop, a long tail
+              {1: 1, 2: 1, 3: 2, 4: 9, 5: 4, 6: None}, {1: None}, {5: 6, 6: 5, 7: 8, 8: 7, 9: 6}]
+    for bosses in graphs:
+        emp = spark.createDataFrame([(i, f"e{i}", "r", m) for i, m in bosses.items()],
+                                    "employee_id bigint, name string, role string, manager_id bigint")
+        got = hierarchy.why_unreachable(hierarchy.hierarchy(emp).unreachable)
+        assert {r.employee_id: (r.reason, r.cause) for r in got.collect()} == _follow(bosses)
+        assert got.columns == ["employee_id", "name", "role", "manager_id", "reason", "cause"]
