@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import placeholder, two_decimals
+from ..session import written
 
 JOIN_COLUMNS = ("customer_id", "customer_name", "order_id", "order_date", "total_amount")
 
@@ -76,10 +77,10 @@ def same_manager_peers(employees: DataFrame) -> DataFrame:
     would give ~N²/9 rows).  The pair relation is fully described by team
     membership, so we return employee_id, employee_name, manager_id and
     peer_count (the number of pairs in which the employee is e1).  The team
-    sizes come from a partial aggregation, so a hot manager is cheap."""
+    sizes are written before they meet the staff, so AQE splits a hot manager."""
     staff = employees.where(F.col("manager_id").isNotNull()).select(
         "employee_id", F.col("name").alias("employee_name"), "manager_id")
-    sizes = staff.groupBy("manager_id").agg(F.count(F.lit(1)).alias("_team"))
+    sizes = written(staff.groupBy("manager_id").agg(F.count(F.lit(1)).alias("_team")))
     return (staff.join(sizes, "manager_id", "inner")
             .where(F.col("_team") > 1)
             .select("employee_id", "employee_name", "manager_id",

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import RULES, SCHEMAS, foreign_keys_of
+from ..session import written
 
 VIOLATION_SCHEMA = "table_name string, rule string, column_name string, key string, detail string"
 
@@ -84,7 +85,7 @@ def violations(df: DataFrame, table: str, parents: dict[str, DataFrame] | None =
             frames.append(_duplicates(df, table, [c], "unique"))
     for fk in foreign_keys_of(table):
         if fk.parent in parents and fk.column in df.columns:
-            pkeys = parents[fk.parent].select(F.col(fk.parent_column).alias("_pk")).distinct()
+            pkeys = written(parents[fk.parent].select(F.col(fk.parent_column).alias("_pk")).distinct())
             orphans = (df.where(F.col(fk.column).isNotNull())
                        .join(pkeys, df[fk.column] == pkeys["_pk"], "left_anti"))
             frames.append(orphans.select(
@@ -125,7 +126,7 @@ def validate(df: DataFrame, table: str, parents: dict[str, DataFrame] | None = N
     x = df
     for i, fk in enumerate(foreign_keys_of(table)):
         if fk.parent in parents and fk.column in df.columns:
-            pk = parents[fk.parent].select(F.col(fk.parent_column).alias(f"_fk{i}")).distinct()
+            pk = written(parents[fk.parent].select(F.col(fk.parent_column).alias(f"_fk{i}")).distinct())
             x = x.join(pk.withColumn(f"_fk{i}_hit", F.lit(True)), x[fk.column] == pk[f"_fk{i}"], "left")
             reasons.append(F.when(F.col(fk.column).isNotNull() & F.col(f"_fk{i}_hit").isNull(),
                                   F.lit(f"foreign_key({fk.column})")))
@@ -138,8 +139,8 @@ def validate(df: DataFrame, table: str, parents: dict[str, DataFrame] | None = N
         if existing is not None:
             counts = (counts.unionByName(existing.groupBy(*cols).agg(F.count(F.lit(1)).alias(f"_u{j}")))
                       .groupBy(*cols).agg(F.sum(f"_u{j}").alias(f"_u{j}")))
-        x = x.join(counts, cols, "left")
-        reasons.append(F.when(F.col(f"_u{j}") > 1, F.lit(f"duplicate({','.join(cols)})")))
+        x = x.join(written(counts.where(F.col(f"_u{j}") > 1)), cols, "left")
+        reasons.append(F.when(F.col(f"_u{j}").isNotNull(), F.lit(f"duplicate({','.join(cols)})")))
     x = x.withColumn("_why", F.filter(F.array(*reasons), lambda v: v.isNotNull()))
     good = x.where(F.size("_why") == 0).select(*df.columns)
     quarantine = x.where(F.size("_why") > 0).select(*df.columns, F.array_join("_why", "; ").alias("reason"))
@@ -168,6 +169,7 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
     (left joins with the distinct parent keys, one aggregation, unpivoted);
     each key / UNIQUE rule is one partial aggregation."""
     frames = []
+    known: dict[tuple[str, str], DataFrame] = {}  # a parent's keys are written once
     for t, df in tables.items():
         if t not in RULES:
             continue
@@ -175,8 +177,11 @@ def quality_report(tables: dict[str, DataFrame]) -> DataFrame:
         marked = df
         for i, fk in enumerate(foreign_keys_of(t)):
             if fk.parent in tables and fk.column in df.columns:
-                parent = tables[fk.parent].select(F.col(fk.parent_column).alias(f"_p{i}")).distinct()
-                parent = parent.withColumn(f"_there{i}", F.lit(True))
+                if (fk.parent, fk.parent_column) not in known:
+                    known[fk.parent, fk.parent_column] = written(
+                        tables[fk.parent].select(F.col(fk.parent_column).alias("_p")).distinct())
+                parent = known[fk.parent, fk.parent_column].select(
+                    F.col("_p").alias(f"_p{i}"), F.lit(True).alias(f"_there{i}"))
                 marked = marked.join(parent, marked[fk.column] == parent[f"_p{i}"], "left")
                 checks.append((f"foreign_key:{fk.parent}", fk.column,
                                F.col(fk.column).isNotNull() & F.col(f"_there{i}").isNull()))

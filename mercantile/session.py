@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -57,6 +57,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as rows in the checkpoint folder.  Join an aggregate or distinct
+    keys only after this: AQE splits a hot key of the other side only where both
+    sides of the join come straight from a shuffle."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 _scratch: dict[str, str] = {}
 
 
