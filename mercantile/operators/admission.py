@@ -34,8 +34,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import place, placed_totals
-from ..session import ensure_checkpoint_dir
+from ..functions.keys import PID, place, placed_totals
+from ..session import ensure_checkpoint_dir, written
 
 ARRIVAL_ORDER = ("arrival", "order_id", "line_no", "product_id", "quantity", "price")
 SHORT = "not enough stock"
@@ -81,6 +81,8 @@ def admit(items: DataFrame, products: DataFrame, mode: str = "greedy",
     good = screened.where(F.col("_reason").isNull())
     bad = screened.where(F.col("_reason").isNotNull()).select(*cols, F.col("_reason").alias("reason"))
     demand = good.groupBy(key).agg(F.sum(qty).cast("bigint").alias("demand"))
+    if mode == "greedy":  # joined with the lines, a hot product's included
+        demand = written(demand)
     shortages = (demand.join(products.select(key, "stock"), key, "inner")
                  .where(F.col("stock") < F.col("demand")).select(key, "stock", "demand"))
     if mode == "atomic":
@@ -135,15 +137,19 @@ def _settle(open_: DataFrame, key: str, qty: str, value: Column, fits: Column, e
             after: Column, end_fits: Column) -> DataFrame:
     """One round: lines before a product's end are accepted where ``fits``,
     the end itself as ``end_fits`` says; later lines above the stock ``after``
-    it are refused, the others stay open (NULL) with that stock."""
+    it are refused, the others stay open (NULL) with that stock.
+
+    The ends meet the lines by piece (partition, product), as the running sums
+    did: a hot product stays spread and no line is shuffled for it."""
     summed = placed_totals(open_, [key], {"_sum": value})
     end = (summed.where(ends).groupBy(key)
            .agg(F.min("_mono").alias("_end"), F.min_by(after, "_mono").alias("_left")))
+    ends_by_piece = open_.select(PID, key).distinct().join(end, key, "inner")
     late = F.col("_mono") > F.col("_end")
     verdict = (F.when(F.col("_end").isNull() | (F.col("_mono") < F.col("_end")), fits)
                .when(F.col("_mono") == F.col("_end"), end_fits)
                .when(F.col(qty) > F.col("_left"), F.lit(False)))
-    return (summed.join(end, key, "left").withColumn("accepted", verdict)
+    return (summed.join(ends_by_piece, [PID, key], "left").withColumn("accepted", verdict)
             .withColumn("_r", F.when(late, F.col("_left")).otherwise(F.col("_r")))
             .drop("_sum", "_end", "_left"))
 
