@@ -164,6 +164,23 @@ def embedding_near_dedup(vectors: DataFrame, threshold: float = 0.93, recall: fl
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-@register("op10_embedding_dedup")
+OP10_SQL = r"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, label, 
+                    list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+g AS (SELECT r, vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+      WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = len(e)
+        AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.r AS u, b.r AS v FROM g a JOIN g b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+          WHERE list_dot_product(a.e, b.e) >= 0.93 * a.norm * b.norm),
+reach AS (SELECT r AS u, r AS v FROM g UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+root AS (SELECT reach.u AS r, min(g.vec_id) AS component FROM reach JOIN g ON reach.v = g.r GROUP BY reach.u),
+n AS (SELECT u AS r, count(*) AS n_links FROM links GROUP BY u)
+SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, coalesce(root.component, v.vec_id) AS component_id,
+       v.vec_id IS NOT DISTINCT FROM coalesce(root.component, v.vec_id) AS kept
+FROM v LEFT JOIN n ON v.r = n.r LEFT JOIN root ON v.r = root.r
+"""
+
+
+@register("op10_embedding_dedup", OP10_SQL)
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_near_dedup(table(spark, sf_dir, "embeddings"))

@@ -458,7 +458,36 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
                     F.coalesce("least", "doc_id").alias("component_id"), F.col("print").alias("set_print")))
 
 
-@register("op3_ngram_join")
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+t AS (SELECT r, len(ws) AS n, unnest(range(len(ws))) AS i, unnest(ws) AS w FROM d),
+g AS (SELECT r, n, i, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM t WINDOW o AS (PARTITION BY r ORDER BY i)),
+h AS (SELECT r, list_sort(list(DISTINCT concat_ws(' ', w, w2, w3))) AS shingles FROM g WHERE i <= greatest(n - 3, 0) GROUP BY r),
+s AS (SELECT d.r, doc_id, coalesce(shingles, []) AS shingles FROM d LEFT JOIN h ON d.r = h.r),
+c AS (SELECT shingles, len(shingles) AS n, min(r) AS c FROM s WHERE len(shingles) > 0 GROUP BY shingles),
+x AS (SELECT c, n, unnest(shingles) AS shingle FROM c),
+pairs AS (SELECT a.c AS u, b.c AS v FROM x a JOIN x b ON a.shingle = b.shingle AND a.c < b.c
+            AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+          GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+links AS (SELECT u, v FROM pairs UNION ALL SELECT v, u FROM pairs),
+reach AS (SELECT c AS u, c AS v FROM c
+          UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u),
+member AS (SELECT s.r, s.doc_id, s.shingles, c.c FROM s LEFT JOIN c ON s.shingles = c.shingles),
+least_of AS (SELECT c, min(doc_id) AS least, count(*) AS copies FROM member WHERE c IS NOT NULL GROUP BY c),
+root AS (SELECT reach.u AS c, min(least_of.least) AS component FROM reach JOIN least_of ON reach.v = least_of.c
+         GROUP BY reach.u),
+near AS (SELECT links.u AS c, sum(least_of.copies) AS others FROM links JOIN least_of ON links.v = least_of.c GROUP BY links.u)
+SELECT m.doc_id, CAST(len(m.shingles) AS BIGINT) AS n_shingles, coalesce(root.component, m.doc_id) AS component_id,
+       CAST(coalesce(l.copies - 1, 0) + coalesce(near.others, 0) AS BIGINT) AS n_links
+FROM member m LEFT JOIN root ON m.c = root.c LEFT JOIN near ON m.c = near.c LEFT JOIN least_of l ON m.c = l.c
+"""
+
+
+@register("op3_ngram_join", OP3_SQL)
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_jaccard_join(table(spark, sf_dir, "documents"), words=3, percent=90)
     return out.select("doc_id", "n_shingles", "component_id", "n_links")

@@ -141,7 +141,40 @@ def scan_history(versions: DataFrame, rules: Sequence[Rule] = RULES, pushes: int
             .select("doc_id", "blob", F.coalesce("found", F.array().cast(hits.schema["found"].dataType)).alias("found")))
 
 
-@register("op5_secrets")
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+#: The assign pattern with its letters spelled out, as a SQL string.
+ASSIGN_SQL = ("(" + "|".join(_any_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+              + r""")["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""")
+# The leftmost match is also the first place of its own string in the rest.
+OP5_SQL = r"""
+WITH RECURSIVE kinds(nth, kind, pattern) AS (
+  VALUES (0, 'assign', '@assign@'), (1, 'access', 'AKIA[A-Z0-9]+'), (2, 'hex', '[0-9a-f]{32,}')),
+blobs AS (SELECT DISTINCT coalesce(text, '') AS text FROM documents),
+m AS (
+  SELECT text, nth, kind, pattern, text AS rest, CAST(0 AS BIGINT) AS base, regexp_extract(text, pattern, 0) AS hit
+  FROM blobs, kinds WHERE regexp_matches(text, pattern)
+  UNION ALL
+  SELECT text, nth, kind, pattern, rest, base, regexp_extract(rest, pattern, 0)
+  FROM (SELECT text, nth, kind, pattern, substr(rest, strpos(rest, hit) + length(hit)) AS rest,
+               base + strpos(rest, hit) - 1 + length(hit) AS base FROM m)
+  WHERE regexp_matches(rest, pattern)),
+spans AS (SELECT text, nth, kind, base + strpos(rest, hit) - 1 AS s, base + strpos(rest, hit) - 1 + length(hit) AS e
+          FROM m WHERE CASE nth WHEN 0 THEN length(regexp_extract(hit, '@assign@', 2)) >= 8
+                                WHEN 1 THEN length(hit) >= 16 ELSE length(hit) >= 32 END),
+found AS (SELECT text, count(*) FILTER (nth = 0) AS n_assign, count(*) FILTER (nth = 1) AS n_access,
+                 count(*) FILTER (nth = 2) AS n_hex,
+                 string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, nth) AS spans
+          FROM spans GROUP BY text)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN found ON coalesce(d.text, '') = found.text
+""".replace("@assign@", ASSIGN_SQL)
+
+
+@register("op5_secrets", OP5_SQL)
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scan_history(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
