@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from mercantile.operators import admission
-from mercantile.session import scratch_path
+from mercantile.session import path_exists, scratch_path
 from mercantile.streaming import admission as r1, audit as r2, revenue as r3
 from mercantile.plans.feeder import run_slices
 
@@ -43,6 +43,32 @@ def test_stream_audit_once_per_employee(spark):
     assert got == [(1, 2, t0), (2, 1, t1)]
 
 
+def test_audit_state_stays_flat_and_late_repeats_are_found_in_the_table(spark):
+    emp = spark.range(1, 61).selectExpr("id AS employee_id", "'n' AS name", "'r' AS role", "1 AS store_id",
+                                        "CAST(1 AS DECIMAL(10,2)) AS salary", "CAST(NULL AS BIGINT) AS manager_id")
+    day = lambda n: dt.datetime(2001, 1, 1) + dt.timedelta(days=n)
+    schema = "employee_id bigint, requested_at timestamp_ntz"
+    # Twelve new ids a micro-batch; each repeats those of two batches ago, asked for long before.
+    slices = [spark.createDataFrame([(12 * n + i, day(n)) for i in range(1, 13)]
+                                    + [(12 * (n - 2) + i, day(-n)) for i in range(1, 13) if n > 1], schema)
+              for n in range(5)]
+    base = scratch_path(spark, "r2-flat")
+    sizes = []
+
+    def start(stream):
+        if path_exists(spark, f"{base}/ck/state"):
+            sizes.append(spark.read.format("statestore").load(f"{base}/ck").count())
+        return (r2.audit_stream(stream, emp, "0 seconds").writeStream
+                .foreachBatch(r2.audit_sink(f"{base}/audit")))
+
+    run_slices(spark, slices, f"{base}/in", start, f"{base}/ck")
+    sizes.append(spark.read.format("statestore").load(f"{base}/ck").count())
+    assert len(sizes) == 5
+    assert max(sizes) <= 24
+    back = rows(spark.read.parquet(f"{base}/audit"), "audit_id", "employee_id", "deleted_at")
+    assert back == [(k, k, day((k - 1) // 12)) for k in range(1, 61)]
+
+
 def test_live_revenue_equals_batch(spark):
     orders = spark.createDataFrame([(1, 1, Decimal("2.00")), (2, 1, Decimal("3.00")), (3, None, Decimal("4.00")),
                                     (4, 2, Decimal("1.00"))], "order_id bigint, store_id int, total_amount decimal(12,2)")
