@@ -17,6 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import keybits
 from ..functions.claims import first_come
 from ..functions.keys import dense_keys
 from ..functions.scalar import scale
@@ -141,6 +142,12 @@ def _key_frame(keys: DataFrame) -> DataFrame:
     return keys.select(F.col(keys.columns[0]).alias("_dk")).where(F.col("_dk").isNotNull()).distinct()
 
 
+def _pointing(df: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+    """Rows whose column holds a deleted key."""
+    _, rest = keybits.split(df, [(column, keybits.key_bits(gone, "_dk"))])
+    return rest.join(gone, rest[column] == gone["_dk"], "left_semi")
+
+
 def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
                 enforce: bool = True) -> Deletion:
     """M5-M9: ``DELETE FROM root WHERE pk IN keys`` with the ON DELETE rules.
@@ -151,7 +158,8 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
     pointing at a deleted key.  Any violation refuses the statement: with
     ``enforce`` the input tables come back unchanged.  Only tables present in
     ``tables`` take part.  Key sets are distinct, so a hot parent key is one
-    row on the build side."""
+    row on the build side.  Only rows that pass a bitmap of the deleted keys
+    (``functions.keybits``) go to these joins; all others stay where they are."""
     pk = RULES[root].primary_key[0]
     ensure_checkpoint_dir(keys.sparkSession)
     # Every deleted-key set feeds several joins (children, SET NULL, NO
@@ -164,22 +172,19 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
             continue
         df = tables[t]
         parts = []
-        if t == root:
-            parts.append(deleted[root])
         for fk in foreign_keys_of(t):
             if fk.on_delete == "CASCADE" and fk.parent in deleted:
                 gone = deleted[fk.parent]
                 hits.setdefault(t, []).append((fk.column, gone))
-                df = df.join(gone, df[fk.column] == gone["_dk"], "left_anti")
-                if RULES[t].primary_key and any(f.parent == t for f in _all_fks()):
-                    tpk = RULES[t].primary_key[0]
-                    parts.append(tables[t].join(gone, tables[t][fk.column] == gone["_dk"], "left_semi")
-                                 .select(F.col(tpk).alias("_dk")))
-        if t == root:
-            df = df.join(deleted[root], df[pk] == deleted[root]["_dk"], "left_anti")
-        if parts and t != root:
+                if t != root and RULES[t].primary_key and any(f.parent == t for f in _all_fks()):
+                    parts.append(_pointing(df, fk.column, gone).select(F.col(RULES[t].primary_key[0]).alias("_dk")))
+        if parts:
             deleted[t] = reduce(DataFrame.union, parts).distinct().checkpoint(eager=True)
-        new[t] = df
+        if t in hits:
+            clear, rest = keybits.split(df, [(c, keybits.key_bits(gone, "_dk")) for c, gone in hits[t]])
+            for column, gone in hits[t]:
+                rest = rest.join(gone, rest[column] == gone["_dk"], "left_anti")
+            new[t] = clear.unionByName(rest)
     nulled: dict[str, DataFrame] = {}
     violations = []
     for t in TABLE_ORDER:
@@ -191,17 +196,17 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
             gone = deleted[fk.parent]
             if fk.on_delete == "SET NULL":
                 pre = new[t]
-                nulled[t] = (pre.join(gone, pre[fk.column] == gone["_dk"], "left_semi")
-                             if t not in nulled else nulled[t].unionByName(
-                                 pre.join(gone, pre[fk.column] == gone["_dk"], "left_semi")).distinct())
+                lost = _pointing(pre, fk.column, gone)
+                nulled[t] = lost if t not in nulled else nulled[t].unionByName(lost).distinct()
                 hit = gone.select(F.col("_dk"), F.lit(True).alias("_hit"))
-                j = pre.join(hit, pre[fk.column] == hit["_dk"], "left")
+                clear, rest = keybits.split(pre, [(fk.column, keybits.key_bits(gone, "_dk"))])
+                j = rest.join(hit, rest[fk.column] == hit["_dk"], "left")
                 flag = F.coalesce(F.col("_hit"), F.lit(False))
-                new[t] = j.select(*[
+                new[t] = clear.unionByName(j.select(*[
                     F.when(flag, F.lit(None).cast(tables[t].schema[c].dataType)).otherwise(F.col(c)).alias(c)
-                    if c == fk.column else F.col(c) for c in tables[t].columns])
+                    if c == fk.column else F.col(c) for c in tables[t].columns]))
             elif fk.on_delete == "NO ACTION":
-                v = (new[t].join(gone, new[t][fk.column] == gone["_dk"], "left_semi")
+                v = (_pointing(new[t], fk.column, gone)
                      .groupBy(F.col(fk.column).cast("string").alias("key"))
                      .agg(F.count(F.lit(1)).alias("rows"))
                      .select(F.lit(t).alias("table_name"), F.lit(fk.column).alias("column_name"),
@@ -223,12 +228,17 @@ def _deletion_counts(tables: dict[str, DataFrame], hits: dict[str, list[tuple[st
     counts its rows and those that point at a deleted key."""
     frames = []
     for t, df in tables.items():
-        marked, hit = df.select(*{c for c, _ in hits.get(t, [])}), F.lit(False)
-        for i, (column, gone) in enumerate(hits.get(t, [])):
-            keys = gone.select(F.col("_dk").alias(f"_k{i}"), F.lit(True).alias(f"_h{i}"))
-            marked = marked.join(keys, marked[column] == keys[f"_k{i}"], "left")
-            hit = hit | F.coalesce(F.col(f"_h{i}"), F.lit(False))
-        row = marked.agg(F.count(F.lit(1)).alias("rows_before"), F.count(F.when(hit, 1)).alias("rows_deleted"))
+        dead = F.lit(0).cast("bigint")
+        if t in hits:
+            columns = list(dict.fromkeys(c for c, _ in hits[t]))
+            _, marked = keybits.split(df.select(*columns), [(c, keybits.key_bits(gone, "_dk")) for c, gone in hits[t]])
+            hit = F.lit(False)
+            for i, (column, gone) in enumerate(hits[t]):
+                keys = gone.select(F.col("_dk").alias(f"_k{i}"), F.lit(True).alias(f"_h{i}"))
+                marked = marked.join(keys, marked[column] == keys[f"_k{i}"], "left")
+                hit = hit | F.coalesce(F.col(f"_h{i}"), F.lit(False))
+            dead = marked.agg(F.count(F.when(hit, 1))).scalar()
+        row = df.agg(F.count(F.lit(1)).alias("rows_before")).withColumn("rows_deleted", dead)
         lost = (nulled[t].agg(F.count(F.lit(1))).scalar() if t in nulled else F.lit(0).cast("bigint"))
         frames.append(row.select(F.lit(t).alias("table_name"), "rows_before",
                                  (F.col("rows_before") - F.col("rows_deleted")).alias("rows_after"), "rows_deleted",
