@@ -142,10 +142,21 @@ def _key_frame(keys: DataFrame) -> DataFrame:
     return keys.select(F.col(keys.columns[0]).alias("_dk")).where(F.col("_dk").isNotNull()).distinct()
 
 
-def _pointing(df: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+class _Gone(NamedTuple):
+    """Deleted keys of a table, written, and their bitmaps."""
+    keys: DataFrame
+    bits: keybits.KeyBits
+
+
+def _gone(keys: DataFrame) -> _Gone:
+    keys = keys.checkpoint(eager=True)
+    return _Gone(keys, keybits.key_bits(keys, "_dk"))
+
+
+def _pointing(df: DataFrame, column: str, gone: _Gone) -> DataFrame:
     """Rows whose column holds a deleted key."""
-    _, rest = keybits.split(df, [(column, keybits.key_bits(gone, "_dk"))])
-    return rest.join(gone, rest[column] == gone["_dk"], "left_semi")
+    _, rest = keybits.split(df, [(column, gone.bits)])
+    return rest.join(gone.keys, rest[column] == gone.keys["_dk"], "left_semi")
 
 
 def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
@@ -164,9 +175,9 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
     ensure_checkpoint_dir(keys.sparkSession)
     # Every deleted-key set feeds several joins (children, SET NULL, NO
     # ACTION, counts): materialise each once in the checkpoint folder.
-    deleted: dict[str, DataFrame] = {root: _key_frame(keys).checkpoint(eager=True)}
+    deleted: dict[str, _Gone] = {root: _gone(_key_frame(keys))}
     new = dict(tables)
-    hits: dict[str, list[tuple[str, DataFrame]]] = {root: [(pk, deleted[root])]}
+    hits: dict[str, list[tuple[str, _Gone]]] = {root: [(pk, deleted[root])]}
     for t in TABLE_ORDER:
         if t not in tables:
             continue
@@ -179,11 +190,11 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
                 if t != root and RULES[t].primary_key and any(f.parent == t for f in _all_fks()):
                     parts.append(_pointing(df, fk.column, gone).select(F.col(RULES[t].primary_key[0]).alias("_dk")))
         if parts:
-            deleted[t] = reduce(DataFrame.union, parts).distinct().checkpoint(eager=True)
+            deleted[t] = _gone(reduce(DataFrame.union, parts).distinct())
         if t in hits:
-            clear, rest = keybits.split(df, [(c, keybits.key_bits(gone, "_dk")) for c, gone in hits[t]])
+            clear, rest = keybits.split(df, [(c, gone.bits) for c, gone in hits[t]])
             for column, gone in hits[t]:
-                rest = rest.join(gone, rest[column] == gone["_dk"], "left_anti")
+                rest = rest.join(gone.keys, rest[column] == gone.keys["_dk"], "left_anti")
             new[t] = clear.unionByName(rest)
     nulled: dict[str, DataFrame] = {}
     violations = []
@@ -198,8 +209,8 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
                 pre = new[t]
                 lost = _pointing(pre, fk.column, gone)
                 nulled[t] = lost if t not in nulled else nulled[t].unionByName(lost).distinct()
-                hit = gone.select(F.col("_dk"), F.lit(True).alias("_hit"))
-                clear, rest = keybits.split(pre, [(fk.column, keybits.key_bits(gone, "_dk"))])
+                hit = gone.keys.select(F.col("_dk"), F.lit(True).alias("_hit"))
+                clear, rest = keybits.split(pre, [(fk.column, gone.bits)])
                 j = rest.join(hit, rest[fk.column] == hit["_dk"], "left")
                 flag = F.coalesce(F.col("_hit"), F.lit(False))
                 new[t] = clear.unionByName(j.select(*[
@@ -222,23 +233,25 @@ def delete_rows(tables: dict[str, DataFrame], root: str, keys: DataFrame,
     return Deletion(new, _deletion_counts(tables, hits, nulled), viol)
 
 
-def _deletion_counts(tables: dict[str, DataFrame], hits: dict[str, list[tuple[str, DataFrame]]],
+def _deletion_counts(tables: dict[str, DataFrame], hits: dict[str, list[tuple[str, _Gone]]],
                      nulled: dict[str, DataFrame]) -> DataFrame:
     """The report of :func:`change_counts` for a deletion: one pass per table
     counts its rows and those that point at a deleted key."""
     frames = []
     for t, df in tables.items():
-        dead = F.lit(0).cast("bigint")
-        if t in hits:
-            columns = list(dict.fromkeys(c for c, _ in hits[t]))
-            _, marked = keybits.split(df.select(*columns), [(c, keybits.key_bits(gone, "_dk")) for c, gone in hits[t]])
-            hit = F.lit(False)
-            for i, (column, gone) in enumerate(hits[t]):
-                keys = gone.select(F.col("_dk").alias(f"_k{i}"), F.lit(True).alias(f"_h{i}"))
-                marked = marked.join(keys, marked[column] == keys[f"_k{i}"], "left")
-                hit = hit | F.coalesce(F.col(f"_h{i}"), F.lit(False))
-            dead = marked.agg(F.count(F.when(hit, 1))).scalar()
-        row = df.agg(F.count(F.lit(1)).alias("rows_before")).withColumn("rows_deleted", dead)
+        # One pass: rows are counted by the keys that may be deleted (all others
+        # together), and only these counts meet the deleted keys.
+        flagged, by, hit = df.select(*{c for c, _ in hits.get(t, [])}), [], F.lit(False)
+        for i, (column, gone) in enumerate(hits.get(t, [])):
+            flagged = keybits.with_flag(flagged, column, gone.bits, f"_maybe{i}")
+            by.append(F.when(F.col(f"_maybe{i}"), F.col(column)).alias(f"_c{i}"))
+        marked = flagged.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        for i, (column, gone) in enumerate(hits.get(t, [])):
+            keys = gone.keys.select(F.col("_dk").alias(f"_k{i}"), F.lit(True).alias(f"_h{i}"))
+            marked = marked.join(keys, F.col(f"_c{i}") == F.col(f"_k{i}"), "left")
+            hit = hit | F.coalesce(F.col(f"_h{i}"), F.lit(False))
+        total = lambda n: F.coalesce(F.sum(n), F.lit(0)).cast("bigint")
+        row = marked.agg(total("_n").alias("rows_before"), total(F.when(hit, F.col("_n"))).alias("rows_deleted"))
         lost = (nulled[t].agg(F.count(F.lit(1))).scalar() if t in nulled else F.lit(0).cast("bigint"))
         frames.append(row.select(F.lit(t).alias("table_name"), "rows_before",
                                  (F.col("rows_before") - F.col("rows_deleted")).alias("rows_after"), "rows_deleted",
