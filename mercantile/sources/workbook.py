@@ -3,9 +3,10 @@
 No workbook library is installed here, so a small stdlib codec (zip + XML)
 reads and writes the one-sheet SpreadsheetML subset the jobs need:
 
-* ingest: ``binaryFile`` lists and loads the files, ``mapInPandas`` parses
+* ingest: ``binaryFile`` lists and loads the files, ``mapInArrow`` streams
   one file at a time on the executors into text columns named by the header
-  row, and Spark casts them to the target schema;
+  row, and Spark casts them to the target schema; a task holds the files'
+  compressed bytes and one batch of rows, never a whole sheet;
 * export: a Python data source writer; every task streams its partition into
   its own workbook, rolling to a new file at the sheet row limit, through
   Arrow's file systems; files appear in the target folder at the commit.
@@ -18,13 +19,13 @@ import io
 import itertools
 import os
 import re
+import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,24 +128,58 @@ def write_workbook(fileobj, sheet: str, header: list[str], rows: Iterable[tuple]
     return n
 
 
-def read_workbook(data: bytes) -> tuple[list[str], list[list[str | None]]]:
-    """First sheet of a workbook as (header, rows of text cells)."""
-    z = zipfile.ZipFile(io.BytesIO(data))
+class SharedStrings:
+    """A workbook's string table as Arrow arrays: its text and little more."""
+
+    CHUNK = 8192
+
+    def __init__(self, texts: Iterable[str]):
+        import pyarrow as pa
+        self.chunks = [pa.array(some, pa.string()) for some in iter(lambda: list(itertools.islice(texts, self.CHUNK)), [])]
+        self.size = sum(map(len, self.chunks))
+
+    def __getitem__(self, i: int) -> str:
+        i = i + self.size if i < 0 else i
+        if not 0 <= i < self.size:
+            raise IndexError(i)
+        return self.chunks[i // self.CHUNK][i % self.CHUNK].as_py()
+
+
+def _elements(file, tag: str) -> Iterator[ET.Element]:
+    """Each element ``tag`` of an XML file as it ends.  It leaves the tree then:
+    an emptied element that stayed would cost memory for every row."""
+    path = []
+    for event, el in ET.iterparse(file, events=("start", "end")):
+        if event == "start":
+            path.append(el)
+            continue
+        path.pop()
+        if el.tag == tag:
+            yield el
+            el.clear()
+            if path:
+                path[-1].remove(el)
+
+
+def _shared_strings(z: zipfile.ZipFile) -> Iterator[str]:
+    if "xl/sharedStrings.xml" in z.namelist():
+        with z.open("xl/sharedStrings.xml") as f:
+            for si in _elements(f, f"{{{MAIN_NS}}}si"):
+                yield decode_text("".join(t.text or "" for t in si.iter(f"{{{MAIN_NS}}}t")))
+
+
+def sheet_rows(file) -> Iterator[list[str | None]]:
+    """First sheet of a workbook (a seekable file), row by row as text cells."""
+    z = zipfile.ZipFile(file)
     wb = ET.fromstring(z.read("xl/workbook.xml"))
     first = wb.find(f"{{{MAIN_NS}}}sheets/{{{MAIN_NS}}}sheet")
     rid = first.get(f"{{{REL_NS}}}id")
     rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
     target = next(r.get("Target") for r in rels if r.get("Id") == rid)
     path = target.lstrip("/") if target.startswith("/") else "xl/" + target
-    shared: list[str] = []
-    if "xl/sharedStrings.xml" in z.namelist():
-        for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{{{MAIN_NS}}}si"):
-            shared.append(decode_text("".join(t.text or "" for t in si.iter(f"{{{MAIN_NS}}}t"))))
-    rows: list[list[str | None]] = []
+    shared = SharedStrings(_shared_strings(z))
     with z.open(path) as f:
-        for _, el in ET.iterparse(f):
-            if el.tag != f"{{{MAIN_NS}}}row":
-                continue
+        for el in _elements(f, f"{{{MAIN_NS}}}row"):
             row: dict[int, str | None] = {}
             for i, c in enumerate(el.iter(f"{{{MAIN_NS}}}c")):
                 col = column_index(c.get("r")) if c.get("r") else i
@@ -162,8 +197,12 @@ def read_workbook(data: bytes) -> tuple[list[str], list[list[str | None]]]:
                         val = "true" if val == "1" else "false"
                 row[col] = val
             width = max(row) + 1 if row else 0
-            rows.append([row.get(i) for i in range(width)])
-            el.clear()
+            yield [row.get(i) for i in range(width)]
+
+
+def read_workbook(data: bytes) -> tuple[list[str], list[list[str | None]]]:
+    """First sheet of a small workbook as (header, rows of text cells)."""
+    rows = list(sheet_rows(io.BytesIO(data)))
     if not rows:
         return [], []
     header = [h or "" for h in rows[0]]
@@ -177,42 +216,83 @@ def serial_date(text: str) -> str:
     return (EXCEL_EPOCH + dt.timedelta(days=int(days))).isoformat() if 1 <= days < 2_958_466 else str(text)
 
 
+#: Rows, and characters, of a batch that leaves the parser.
+BATCH_ROWS = 10_000
+BATCH_CHARS = 4 << 20
+#: Parsed rows of a file wait in memory up to here, beyond it in the task's temp folder.
+HELD_BYTES = 16 << 20
+
+
 def _parse_files(target: T.StructType):
+    """Every workbook of the batches as rows of text.  A file's rows are given
+    out when it has been read to its end, as a file that breaks off gives one
+    problem row and nothing else."""
     names = target.fieldNames()
     dates = {f.name for f in target if isinstance(f.dataType, T.DateType)}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                out = {n: [] for n in names}
-                rownums, problem, absent = [], None, []
-                try:
-                    header, rows = read_workbook(bytes(content))
-                    unknown = [h for h in header if h and h not in names]
-                    if unknown:
-                        problem = f"unknown columns {unknown}"
-                    pos = {h: i for i, h in enumerate(header)}
-                    absent = [n for n in names if n not in pos]
-                    for k, row in enumerate(rows, start=2):
-                        if not any(v not in (None, "") for v in row):
-                            continue
-                        for n in names:
-                            i = pos.get(n)
-                            v = row[i] if i is not None and i < len(row) else None
-                            if n in dates and isinstance(v, Number):
+    def run(batches):
+        import pyarrow as pa
+        schema = pa.schema([*[(n, pa.string()) for n in names], ("_file", pa.string()), ("_row", pa.int64()),
+                            ("_problem", pa.string()), ("_absent", pa.string())])
+        text = pa.schema([*[(n, pa.string()) for n in names], ("_row", pa.int64())])
+
+        def whole(columns, path, problem, absent):
+            n = len(columns[-1])
+            same = [pa.array([v] * n, pa.string()) for v in (path, problem, ",".join(absent))]
+            return pa.RecordBatch.from_arrays([*columns[:-1], same[0], columns[-1], *same[1:]], schema=schema)
+
+        def parse(content, held):
+            """Writes the file's rows to ``held``; its unknown and absent columns
+            and what was wrong with a value."""
+            found = sheet_rows(content)
+            header = [h or "" for h in next(found, [])]
+            unknown = [h for h in header if h and h not in names]
+            pos = {h: i for i, h in enumerate(header)}
+            absent = [n for n in names if n not in pos]
+            out, size, wrong = [[] for _ in text], 0, None
+            with pa.ipc.new_stream(held, text) as to:
+                def flush():
+                    to.write_batch(pa.RecordBatch.from_arrays(
+                        [pa.array(v, f.type) for v, f in zip(out, text, strict=True)], schema=text))
+
+                for k, row in enumerate(found, start=2):
+                    if wrong is not None or not any(v not in (None, "") for v in row):
+                        continue
+                    for n, values in zip(names, out):
+                        i = pos.get(n)
+                        v = row[i] if i is not None and i < len(row) else None
+                        if n in dates and isinstance(v, Number):
+                            try:
                                 v = serial_date(v)
-                            out[n].append(None if v is None or v == "" else str(v))
-                        rownums.append(k)
-                except Exception as e:  # noqa: BLE001  (a broken file is quarantined)
-                    problem = f"unreadable workbook: {type(e).__name__}"
-                    out = {n: [None] for n in names}
-                    rownums = [None]
-                frame = pd.DataFrame(out, columns=names)
-                frame["_file"] = path
-                frame["_row"] = pd.array(rownums, dtype="Int64")
-                frame["_problem"] = problem
-                frame["_absent"] = ",".join(absent)
-                yield frame
+                            except Exception as e:  # noqa: BLE001  (the rest is still read: it may not be XML)
+                                wrong = e
+                        values.append(None if v is None or v == "" else str(v))
+                        size += len(v or "")
+                    out[-1].append(k)
+                    if len(out[-1]) >= BATCH_ROWS or size >= BATCH_CHARS:
+                        flush()
+                        out, size = [[] for _ in text], 0
+                if out[-1]:
+                    flush()
+            return unknown, absent, wrong
+
+        for batch in batches:
+            paths, contents = batch.column("path"), batch.column("content")
+            for i in range(batch.num_rows):
+                path = paths[i].as_py()
+                with tempfile.SpooledTemporaryFile(max_size=HELD_BYTES) as held:
+                    absent = []
+                    try:
+                        unknown, absent, wrong = parse(pa.BufferReader(contents[i].as_buffer()), held)
+                        if wrong is not None:
+                            raise wrong
+                    except Exception as e:  # noqa: BLE001  (a broken file is quarantined)
+                        none = [pa.nulls(1, f.type) for f in text]
+                        yield whole(none, path, f"unreadable workbook: {type(e).__name__}", absent)
+                        continue
+                    held.seek(0)
+                    for part in pa.ipc.open_stream(held):
+                        yield whole(part.columns, path, f"unknown columns {unknown}" if unknown else None, absent)
     return run
 
 
@@ -245,7 +325,7 @@ def read_workbooks(spark: SparkSession, path: str, schema: T.StructType,
                            T.StructField("_problem", T.StringType()), T.StructField("_absent", T.StringType())])
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))
-    return typed(files.mapInPandas(_parse_files(schema), text), schema)
+    return typed(files.mapInArrow(_parse_files(schema), text), schema)
 
 
 class WorkbookSource(DataSource):

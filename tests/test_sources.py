@@ -298,3 +298,61 @@ def test_views_follow_writes(spark):
     tables.Snapshots(spark, snap.root).write("t", spark.range(1, 9))
     assert spark.sql("SELECT max(id) FROM follow_t").first()[0] == 8
     assert [r.id for r in spark.sql("SELECT id FROM follow_both").collect()] == [1]
+
+
+def test_a_workbook_is_parsed_in_small_batches():
+    """A sheet's rows are never held at once as text cells or as a frame."""
+    import tracemalloc
+
+    import pyarrow as pa
+    buf = io.BytesIO()
+    n = 30_000
+    workbook.write_workbook(buf, "s", ["payment_id", "payment_method"], ((i, f"method {i}") for i in range(n)))
+    files = pa.RecordBatch.from_pydict({"path": pa.array(["a.xlsx"]), "content": pa.array([buf.getvalue()], pa.binary())})
+    seen = 0
+    tracemalloc.start()
+    try:
+        for part in workbook._parse_files(SCHEMAS["payments"])(iter([files])):
+            assert 0 < part.num_rows <= 10_000
+            assert part.column("payment_id")[0].as_py() == str(seen)
+            seen += part.num_rows
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert seen == n
+    assert peak < 12e6
+
+
+def test_a_workbook_that_breaks_off_gives_one_problem_row(spark):
+    """Also after several batches of good rows."""
+    import zipfile
+    buf = io.BytesIO()
+    workbook.write_workbook(buf, "s", ["payment_id"], ((i,) for i in range(25_000)))
+    folder = workbook.local_path(scratch_path(spark, "wb-late"))
+    os.makedirs(folder)
+    with zipfile.ZipFile(buf) as old, zipfile.ZipFile(folder + "/late.xlsx", "w", zipfile.ZIP_DEFLATED) as new:
+        for name in old.namelist():
+            data = old.read(name)
+            new.writestr(name, data[:-40] if name.endswith("sheet1.xml") else data)
+    with open(folder + "/whole.xlsx", "wb") as f:
+        f.write(buf.getvalue())
+    back = workbook.read_workbooks(spark, folder, SCHEMAS["payments"])
+    late = back.where("_file LIKE '%late.xlsx'").collect()
+    assert [(r.payment_id, r._problem) for r in late] == [(None, "unreadable workbook: ParseError")]
+    whole = back.where("_file LIKE '%whole.xlsx'").agg(F.count("payment_id"), F.min("_row"), F.max("_row")).first()
+    assert tuple(whole) == (25_000, 2, 25_001)
+
+
+def test_shared_strings_of_a_workbook():
+    import zipfile
+    ns = f'xmlns="{workbook.MAIN_NS}"'
+    cells = "".join(f'<row r="{i + 1}"><c r="A{i + 1}" t="s"><v>{i}</v></c></row>' for i in range(9000))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        z.writestr("xl/_rels/workbook.xml.rels", workbook.WORKBOOK_RELS)
+        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="{workbook.REL_NS}"><sheets>'
+                                      '<sheet name="s" sheetId="1" r:id="rId1"/></sheets></workbook>')
+        z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {ns}><sheetData>{cells}</sheetData></worksheet>")
+        z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(
+            f"<si><r><t>w{i}</t></r><r><t> _x0041_</t></r></si>" for i in range(9000)) + "</sst>")
+    assert list(workbook.sheet_rows(io.BytesIO(buf.getvalue()))) == [[f"w{i} A"] for i in range(9000)]
