@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def first_come(claims: DataFrame, unit: str) -> DataFrame:
+def first_come(claims: DataFrame, unit: str, few_units: bool = False) -> DataFrame:
     """Units that lose a claim, as if units came one by one in order of
     ``unit``: a unit is refused when an earlier *accepted* unit holds one of its
     values, and a refused unit holds nothing.
@@ -18,7 +18,9 @@ def first_come(claims: DataFrame, unit: str) -> DataFrame:
     sorted), one row per refused unit.  Only values claimed twice are looked at.
     A round refuses the units that share a value with an accepted one and
     accepts those that come first for all their values, so it decides the first
-    undecided unit at least; unrelated units are decided side by side."""
+    undecided unit at least; unrelated units are decided side by side.
+    With ``few_units`` a round's verdicts, one row per unit, are broadcast, so a
+    unit with many values stays in many tasks."""
     value = ["_rule", "_value"]
     claims = claims.select(unit, *value).distinct().checkpoint(eager=True)
     shared = claims.groupBy(*value).agg(F.count(F.lit(1)).alias("_units")).where("_units > 1")
@@ -33,6 +35,7 @@ def first_come(claims: DataFrame, unit: str) -> DataFrame:
         seen = (open_.where(~F.col("_in")).join(state, value)
                 .groupBy(unit).agg(F.array_sort(F.collect_set(F.when(F.col("_taken"), F.col("_rule")))).alias("_lost"),
                                    F.min(F.col("_first") == F.col(unit)).alias("_next")))
+        seen = F.broadcast(seen) if few_units else seen
         lost = F.when(F.size("_lost") > 0, F.col("_lost"))
         after = (open_.drop("_rules").join(seen, unit, "left")
                  .select(unit, *value, (F.col("_in") | (F.coalesce("_next", F.lit(False)) & lost.isNull())).alias("_in"),

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions.claims import first_come
 from ..operators.quality import validate
 from ..schemas import RULES, SCHEMAS
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, written
 from .csv_blocks import csv_records
 from .export import CSV_FORMAT
 from .workbook import read_workbooks, typed
@@ -111,11 +111,13 @@ def ingest(spark: SparkSession, path: str, table: str, fmt: str = "csv",
                 .unionByName(checked.quarantine.select(*names, "_file", "_row", "reason")))
     bad_files = bad_rows.groupBy("_file").agg(F.count(F.lit(1)).alias("bad_rows"),
                                               F.min("reason").alias("first_reason")).checkpoint(eager=True)
-    clean = checked.good.join(bad_files.select("_file"), "_file", "left_anti")
+    # File names are no more than the driver's own listing of the folder.  A join
+    # by file would send all rows of a file to one task, and the steps after it too.
+    clean = checked.good.join(F.broadcast(bad_files.select("_file")), "_file", "left_anti")
     repeats = _repeated_keys(clean, table, existing)
     bad_files = bad_files.unionByName(repeats)
-    accepted = checked.good.join(bad_files.select("_file"), "_file", "left_anti")
-    held = checked.good.join(bad_files.select("_file", F.col("first_reason").alias("_why")), "_file")
+    accepted = checked.good.join(F.broadcast(bad_files.select("_file")), "_file", "left_anti")
+    held = checked.good.join(F.broadcast(bad_files.select("_file", F.col("first_reason").alias("_why"))), "_file")
     held = held.withColumn("reason", F.when(F.col("_why").startswith("duplicate"), F.col("_why"))
                            .otherwise(F.lit("file has bad rows")))
     quarantine = bad_rows.unionByName(held.select(*bad_rows.columns))
@@ -128,7 +130,8 @@ def _repeated_keys(rows: DataFrame, table: str, existing: DataFrame | None) -> D
     twice in the file, or in an earlier accepted file: _file, bad_rows,
     first_reason.
 
-    Files come one by one in path order (:func:`first_come`)."""
+    Files come one by one in path order (:func:`first_come`).  Most values are
+    held once; only those whose hash comes again are looked at file by file."""
     r = RULES[table]
     uniques = [c for c in [list(r.primary_key), *[[u] for u in r.unique]]
                if c and all(x in rows.columns for x in c)]
@@ -138,7 +141,14 @@ def _repeated_keys(rows: DataFrame, table: str, existing: DataFrame | None) -> D
     values = lambda df, *more: reduce(DataFrame.unionByName, [
         df.where(reduce(lambda a, b: a & b, [F.col(x).isNotNull() for x in c]))
         .select(*more, F.lit(",".join(c)).alias("_rule"), F.to_json(F.struct(*c)).alias("_value")) for c in uniques])
-    held = values(rows, "_file").groupBy("_file", "_rule", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    hashed = F.xxhash64("_rule", "_value").alias("_h")
+    hashes = reduce(DataFrame.unionByName, [values(df).select(hashed) for df in (rows, existing) if df is not None])
+    # Written before the join, so that the join may split a hot value.
+    again = written(hashes.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_h"))
+    if again.isEmpty():
+        return out
+    suspects = values(rows, "_file").select("*", hashed).join(again, "_h", "left_semi")
+    held = suspects.groupBy("_file", "_rule", "_value").agg(F.count(F.lit(1)).alias("_n"))
     held = held.withColumn("_old", F.lit(False))
     if existing is not None:
         old = values(existing).distinct().withColumn("_there", F.lit(True))
@@ -149,8 +159,8 @@ def _repeated_keys(rows: DataFrame, table: str, existing: DataFrame | None) -> D
     mine = F.when(F.col("_old"), F.col("_n")).otherwise(F.col("_n") - 1).alias("n")
     refused = [held.where((F.col("_n") > 1) | F.col("_old")).select("_file", mine, reason)
                .groupBy("_file").agg(F.sum("n").alias("bad_rows"), F.min("reason").alias("first_reason"))]
-    open_ = held.join(refused[0], "_file", "left_anti")
-    lost = first_come(open_, "_file").select(
+    open_ = held.join(F.broadcast(refused[0].select("_file")), "_file", "left_anti")
+    lost = first_come(open_, "_file", few_units=True).select(
         "_file", F.size("_rules").cast("long").alias("bad_rows"),
         F.concat(F.lit("duplicate("), F.get("_rules", F.lit(0)), F.lit(")")).alias("first_reason"))
     return reduce(DataFrame.unionByName, [*refused, lost], out)

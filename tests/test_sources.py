@@ -356,3 +356,25 @@ def test_shared_strings_of_a_workbook():
         z.writestr("xl/sharedStrings.xml", f"<sst {ns}>" + "".join(
             f"<si><r><t>w{i}</t></r><r><t> _x0041_</t></r></si>" for i in range(9000)) + "</sst>")
     assert list(workbook.sheet_rows(io.BytesIO(buf.getvalue()))) == [[f"w{i} A"] for i in range(9000)]
+
+
+def test_rows_of_a_large_file_stay_in_many_tasks(spark):
+    """Few files with many rows: nothing but a file's verdict is joined by file,
+    and claims by file are made only for values that come again."""
+    folder = workbook.local_path(scratch_path(spark, "few-files"))
+    os.makedirs(folder)
+    head = "order_id,customer_id,store_id,order_date,total_amount,order_status\n"
+    ids = {"a": range(0, 300), "b": range(200, 500), "c": range(400, 700), "d": [*range(700, 800), 700]}
+    for name, keys in ids.items():  # a keeps b out, so c may come in; d repeats its own key
+        with open(f"{folder}/{name}.csv", "w") as f:
+            f.write(head + "".join(f"{k},1,1,2001-01-01,1.00,F\n" for k in keys))
+    res = ingest.ingest(spark, folder, "orders", "csv")
+    for df in (res.accepted, res.quarantine):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [_file" not in plan and "BroadcastHashJoin [_file" in plan
+    assert rows(res.accepted, "order_id") == [(k,) for k in [*ids["a"], *ids["c"]]]
+    why = {os.path.basename(r._file): (r.bad_rows, r.first_reason) for r in res.bad_files.collect()}
+    assert why == {"b.csv": (1, "duplicate(order_id)"), "d.csv": (1, "duplicate(order_id)")}
+    old = spark.range(650, 651).withColumnRenamed("id", "order_id")
+    res = ingest.ingest(spark, folder, "orders", "csv", existing=old)
+    assert rows(res.accepted, "order_id") == [(k,) for k in ids["a"]]
