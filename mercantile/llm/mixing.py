@@ -12,10 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import dense_keys, running_total
+from ..functions.keys import dense_keys, place, placed_totals
 from .common import clean_text, materialise, register, table
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,9 +45,8 @@ def water_fill(sources: DataFrame, weights: Sequence[float], share: float, cap:
                      (F.pmod(F.col("nth"), F.lit(len(weights))) + 1).cast("int"))
     ranked = (ranked.withColumn("weight", w).withColumn("cap", F.col("source_size") * F.lit(float(cap)))
               .withColumn("turn", F.col("cap") / F.col("weight")).withColumn("one", F.lit(1)))
-    order = ["turn", "nth"]
-    summed = running_total(ranked, ["one"], order, "cap", "caps_to")
-    summed = materialise(running_total(summed, ["one"], order, "weight", "weights_to"), "mix-levels")
+    sums = {"caps_to": F.col("cap"), "weights_to": F.col("weight")}  # both over one layout
+    summed = materialise(placed_totals(place(ranked, ["one"], ["turn", "nth"]), ["one"], sums), "mix-levels")
     total = summed.agg(F.struct((F.sum("source_size") * F.lit(float(share))).alias("total"),
                                 F.sum("weight").alias("all_w"))).scalar()
     # Source k is capped when filling it, after the ones before it, needs no
@@ -79,7 +78,7 @@ def dual_multipliers(rows: DataFrame, targets: DataFrame, cap: float, tolerance:
         source and w <= cap;  its solution is  w = min(cap, exp(lam * size / scale)).
 
     The dual is convex in the source's ``lam``.  A Newton step is one native
-    aggregate over the documents, all sources at once: gradient sum(w * size) -
+    aggregate over the documents, all open sources at once: gradient sum(w * size) -
     target and Hessian, the same sum over size / scale where the cap does not
     bind.  Steps that leave the bracket of the root are halved; iteration stops
     on the residual of the constraints.  Documents of equal source and size are
@@ -97,26 +96,32 @@ def dual_multipliers(rows: DataFrame, targets: DataFrame, cap: float, tolerance:
     state = materialise(
         targets.join(scale, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumn("fixed", fixed)
         .withColumn("lam", F.when(F.col("fixed").isNull(), F.log(F.col("target") / F.col("source_size"))))
-        .withColumns({"lo": none, "hi": none, "off": none}), "mix-multipliers")
+        .withColumns({"lo": none, "hi": none}), "mix-multipliers")
+    # A step meets the bins once: the state of an open source is its group's key.
+    held = ["source", "source_size", "target", "scale", "fixed", "lam", "lo", "hi"]
+    decided, state = state.where("fixed IS NOT NULL").select(*held), state.where("fixed IS NULL").select(*held)
+    sized = bins.withColumnRenamed("source", "_s")
+    w = tilted_rate(F.col("lam"), F.col("size"), F.col("scale"), cap)
+    mass = F.col("m") * F.col("size") * w
+    g = F.col("got") - F.col("target")
+    newton, off = F.col("lam") - g / F.col("h"), F.abs(g) / F.col("target")
+    safe = (F.col("h") > 0) & (F.col("lo").isNull() | (newton > F.col("lo"))) & (F.col("hi").isNull() | (newton < F.col("hi")))
+    half = (F.coalesce("lo", F.col("hi") - 2) + F.coalesce("hi", F.col("lo") + 2)) / 2
     for _ in range(most):
-        open_ = state.where("fixed IS NULL").select(F.col("source").alias("_s"), "lam", "scale")
-        w = tilted_rate(F.col("lam"), F.col("size"), F.col("scale"), cap)
-        mass = F.col("m") * F.col("size") * w
-        step = (bins.join(open_, F.col("source").eqNullSafe(F.col("_s")))
-                .groupBy("_s").agg(F.sum(mass).alias("got"),
-                                   F.sum(F.when(w < cap, mass * F.col("size") / F.col("scale")).otherwise(0.0)).alias("h")))
-        g = F.col("got") - F.col("target")
-        lo, hi = F.when(g < 0, F.col("lam")).otherwise(F.col("lo")), F.when(g > 0, F.col("lam")).otherwise(F.col("hi"))
-        moved = (state.join(step, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-                 .withColumn("off", F.abs(g) / F.col("target")).withColumns({"lo": lo, "hi": hi}))
-        newton = F.col("lam") - g / F.col("h")
-        safe = (F.col("h") > 0) & (F.col("lo").isNull() | (newton > F.col("lo"))) & (F.col("hi").isNull() | (newton < F.col("hi")))
-        half = (F.coalesce("lo", F.col("hi") - 2) + F.coalesce("hi", F.col("lo") + 2)) / 2
-        state = materialise(moved.withColumn("lam", F.when(F.col("off") <= tolerance, F.col("lam"))
-                                             .when(safe, newton).otherwise(half)).drop("got", "h"), "mix-multipliers")
-        worst = state.agg(F.max("off")).first()[0]
+        step = (sized.join(state, F.col("_s").eqNullSafe(F.col("source"))).groupBy(*held)
+                .agg(F.sum(mass).alias("got"),
+                     F.sum(F.when(w < cap, mass * F.col("size") / F.col("scale")).otherwise(0.0)).alias("h")))
+        moved = (step.withColumns({"off": off, "lo": F.when(g < 0, F.col("lam")).otherwise(F.col("lo")),
+                                   "hi": F.when(g > 0, F.col("lam")).otherwise(F.col("hi"))})
+                 .withColumn("lam", F.when(F.col("off") <= tolerance, F.col("lam")).when(safe, newton).otherwise(half)))
+        # The residual comes with the write; a query of its own would double the driver's plans.
+        seen = Observation()
+        state = materialise(moved.select(*held, "off").observe(seen, F.max("off").alias("worst")),
+                            "mix-multipliers").drop("off")
+        worst = seen.get.get("worst")
         if worst is None or worst <= tolerance:
             break
+    state = state.unionByName(decided)
     # Sums of doubles depend on the order of tasks; reruns shall agree.
     return state.select("source", "source_size", "target", "scale", F.round("lam", 6).alias("lam"), "fixed")
 

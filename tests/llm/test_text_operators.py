@@ -466,6 +466,20 @@ def test_multipliers_solve_the_dual(spark):
         assert r.scale == pytest.approx(scale) and r.lam == pytest.approx(lo, abs=2e-6) and r.fixed is None
 
 
+def test_a_newton_step_has_one_join(spark, monkeypatch):
+    """Every join of a step is a broadcast that the driver holds."""
+    written = []
+    kept = mixing.materialise
+    monkeypatch.setattr(mixing, "materialise", lambda df, name: written.append((name, df)) or kept(df, name))
+    frame = spark.createDataFrame([("a", n) for n in range(1, 300)], "source string, size long")
+    targets = spark.createDataFrame([("a", 44850, 30000.0), ("b", 0, 0.0)], "source string, source_size long, target double")
+    out = {r.source: r for r in mixing.dual_multipliers(frame, targets, 2.0).collect()}
+    steps = [df for name, df in written if name == "mix-multipliers"][1:]
+    assert len(steps) >= 3 and out["b"].fixed == 0 and out["a"].lam < 0
+    for df in steps:
+        assert df._jdf.queryExecution().executedPlan().toString().count("Join") == 1
+
+
 def test_mixing_of_rows_repeated_in_thousands(spark):
     some = [(1, cases.prose(1, 9), "a")] * 25_000 + [(None, None, "a")] * 3000 + [(i, cases.prose(i, 30), "b") for i in range(2, 400)]
     out = mixing.mix_sources(cases.frame(spark, some, extra=False)).collect()
