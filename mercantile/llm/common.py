@@ -32,12 +32,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Spark then removes the shuffle files of a write when it ends, not when the
+#: driver happens to collect its garbage.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared scratch folder and read back: cuts the lineage, and
     a lost executor re-reads files instead of recomputing the branch."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of :func:`materialise` that nothing reads any more."""
+    for t in tables:
+        remove_folder(t.sparkSession, t.written_to)
 
 
 def clean_text(col) -> Column:
@@ -55,6 +73,11 @@ def id_or_lowest(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(LONG_MIN).cast(LongType()))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def finished_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders under ``path`` whose write was committed, sorted."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path

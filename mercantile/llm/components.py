@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
 
 #: Edges that one task contracts; bounds its memory.
@@ -61,11 +61,12 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     ``edges`` has long columns u, v.  Each round is two aggregations with
     map-side combine and two joins that take hot nodes apart (:func:`attach`);
     rounds grow with the logarithm of the longest chain.  Every round is written
-    to the shared scratch folder.  Before the first, tasks contract about
-    ``EDGES`` edges each to forests."""
-    e = materialise(edges.select("u", "v").where("u <> v").distinct(), name)
-    e = e.repartition(max(1, -(-e.count() // EDGES))).mapInArrow(_contract, "u long, v long")
+    to the shared scratch folder and goes after the next.  Before the first,
+    tasks contract about ``EDGES`` edges each to forests."""
+    every = materialise(edges.select("u", "v").where("u <> v").distinct(), name)
+    e = every.repartition(max(1, -(-every.count() // EDGES))).mapInArrow(_contract, "u long, v long")
     e = materialise(e, name)
+    discard(every)
     before = None
     while True:
         # Large star: every larger neighbour of u hangs on the least neighbour of u (or u).
@@ -74,12 +75,14 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
                                                   F.count(F.lit(1)).alias("c")), name)
         big = materialise(attach(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                           .where("u <> v").distinct(), name)
+        discard(e, least)
         # Small star: u and its smaller neighbours hang on the least of them (edges point down now).
         least = materialise(big.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c")), name)
         moved = attach(big, least, "u")
         small = (moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         e = materialise(small, name)
+        discard(big, least)
         # Order-free state of the edge set: unchanged means every node hangs on its root.
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:

@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import ASCII_SPACE, ascii_lower, clean_text, id_or_lowest, materialise, register, table
+from .common import (ASCII_SPACE, ascii_lower, clean_text, discard, id_or_lowest, materialise, register, remove_folder,
+                     table)
 
 KEY = ["h1", "h2"]  # 128 bits of the normalised line
 RUN_SCHEMA = "h1 long, h2 long, n_docs long, holder long"
@@ -66,6 +67,7 @@ class LineRuns:
         again = (batch.join(fresh.select(*KEY), KEY, "left_anti")
                  .withColumn("holder", F.lit(None).cast("long")))  # the runs have it
         self._write(fresh.unionByName(again).repartition(*KEY), 0)
+        discard(batch)
         self.compact()
         return fresh
 
@@ -123,9 +125,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches
     lines = materialise(lines.withColumn("batch", number), "lines")
     store = LineRuns(spark, scratch_path(spark, "line-runs"), fanout)
     for b in range(batches):
-        store.add(lines.where(F.col("batch") == b))
+        discard(store.add(lines.where(F.col("batch") == b)))
     repeated = materialise(store.merged().where(F.col("n_docs") >= min_docs).select(*KEY, F.col("holder").alias("keeper")),
                            "lines-repeated")
+    remove_folder(spark, store.path)
     drops = (lines.join(repeated, KEY).where(F.col("holder") != F.col("keeper"))
              .groupBy("row").agg(F.collect_set("at").alias("drops")))
     marked = (docs.withColumn("row", F.xxhash64("doc_id", "text")).join(drops, "row", "left"))

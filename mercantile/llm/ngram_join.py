@@ -12,7 +12,10 @@ at least o(a, b) = ceil(p (a + b) / (100 + p)).
   shingle space: similar sets of a size class differ in at most k shingles, so
   of k + 1 + s blocks cut by hash at least s + 1 agree.  A key is (class,
   block, content of the block).  A pair needs s + 1 common lists, less the
-  blocks that may be empty in both.
+  blocks that may be empty in both.  Empty blocks are in no list: the list of
+  an empty block would connect unrelated sets.  A set with more empty blocks
+  than there are to spare is cut once more, by another hash; of two sets that
+  end at different cuts the earlier end has the lists for both.
 * Lists are scanned pair by pair up to ``LONG_LIST`` entries.  Longer lists
   (popular passages, large groups of near copies) are left out where that loses
   nothing: a set with h long lists still shares s + 1 - h others with every
@@ -28,14 +31,14 @@ copies there are.
 from __future__ import annotations
 
 from functools import lru_cache
-from math import comb
+from math import comb, exp
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, register, table
+from .common import discard, materialise, register, table
 from .components import attach, connected_components
 from .shingles import U, mix, shingle_sets, word_hashes
 from .wordseq import (PACKET, PACKET_SCHEMA, PLACES_SCHEMA, bucket_keys, distinct_keys, keys_at_places, seen_packets,
@@ -48,6 +51,8 @@ TILE_SHINGLES = 400_000
 TILE_SETS = 1_000
 #: Entries of a list up to which its pairs are scanned.
 LONG_LIST = 64
+#: Cuts of the shingle space a set may go through.
+CUTS = 8
 
 
 def overlap_needed(a: int, b: int, percent: int) -> int:
@@ -74,12 +79,24 @@ def _classes(n: int) -> tuple[int, int]:
     return j, b[j + 1] - 1
 
 
-def blocks_of_class(j: int, percent: int) -> tuple[int, int]:
-    """(number of blocks, how many of them may be empty in a set)."""
+@lru_cache(maxsize=4096)
+def blocks_of_class(j: int, percent: int) -> tuple[int, int, int]:
+    """(number of blocks, how many of them may be empty in a set, number of
+    cuts).  The smallest set of a class seldom has more empty blocks than there
+    are to spare; where only its shingles are too few for that, one cut has to do."""
     most = _bounds()[j + 1] - 1
+    least = max(1, -(-_bounds()[j] * percent // 100))
     differ = 2 * most * (100 - percent) // (100 + percent)
     spare = 3 + differ // 8
-    return differ + 1 + spare, spare
+    while spare <= 3 + differ:
+        blocks = differ + 1 + spare
+        full = least / blocks
+        empty, var = blocks * exp(-full), blocks * (exp(-full) - (1 + full) * exp(-2 * full))
+        if empty + 2 * var ** 0.5 <= spare:
+            return blocks, spare, CUTS
+        spare += max(1, spare // 16)
+    spare = 3 + differ // 8
+    return differ + 1 + spare, spare, 1
 
 
 @lru_cache(maxsize=65536)
@@ -128,9 +145,10 @@ def subset_keys(parts: np.ndarray, percent: int, top: int) -> np.ndarray:
 
 
 def block_keys(hashes: np.ndarray, sizes: np.ndarray, percent: int, top: int) -> tuple[np.ndarray, ...]:
-    """(key, set number, class, common lists needed) of the inverted lists
-    every set belongs to: its own class and every larger one that a similar set
-    may be in (above 66 percent at most the next one)."""
+    """(key, set number, class and cut, common lists needed) of the inverted
+    lists every set belongs to: its own class and every larger one that a
+    similar set may be in (above 66 percent at most the next one).  A set that
+    goes on to the next cut needs no list of this one, so 0 or less."""
     parts = []
     where = np.repeat(np.arange(len(sizes)), sizes)
     content = mix(hashes + U(0x5851F42D4C957F2D))
@@ -140,30 +158,32 @@ def block_keys(hashes: np.ndarray, sizes: np.ndarray, percent: int, top: int) ->
     for step in range(int((most - least).max()) + 1 if len(sizes) else 0):
         cls = least + step
         use = listed & (cls <= most)
-        if not use.any():
-            continue
         shape = {int(c): blocks_of_class(int(c), percent) for c in np.unique(cls[use])}
-        blocks = np.array([shape[int(c)][0] if u else 0 for c, u in zip(cls, use, strict=True)])
-        base = np.cumsum(blocks) - blocks
-        mine = use[where]
-        w = where[mine]
-        slot = (content[mine] >> U(20)) % blocks[w].astype(U)
-        at = base[w] + slot.astype(np.int64)
-        sums = np.zeros(int(blocks.sum()), U)
-        np.add.at(sums, at, content[mine])
-        filled = np.zeros(len(sums), bool)
-        filled[at] = True
-        owner = np.repeat(np.arange(len(sizes)), blocks)
-        nth = np.arange(len(sums)) - base[owner]
-        empty = np.bincount(owner[~filled], minlength=len(sizes))
-        # A set with more empty blocks than there are to spare lists them too.
-        lists_all = np.array([bool(u) and empty[i] > shape[int(c)][1]
-                              for i, (c, u) in enumerate(zip(cls, use, strict=True))])
-        show = filled | lists_all[owner]
-        tag = mix((cls[owner].astype(U) << U(32)) ^ nth.astype(U) ^ U(0xB10C << 48))
-        spare = np.array([shape[int(c)][1] if u else 0 for c, u in zip(cls, use, strict=True)])
-        owner = owner[show]
-        parts.append((mix(sums ^ tag)[show], owner, cls[owner], (spare + 1 - empty)[owner]))
+        cut = 0
+        while use.any():
+            blocks, spare, cuts = (np.array([shape[int(c)][i] if u else 0 for c, u in zip(cls, use, strict=True)])
+                                   for i in range(3))
+            base = np.cumsum(blocks) - blocks
+            mine = use[where]
+            w = where[mine]
+            dealt = mix(content[mine] ^ U(cut)) if cut else content[mine]
+            slot = (dealt >> U(20)) % blocks[w].astype(U)
+            at = base[w] + slot.astype(np.int64)
+            sums = np.zeros(int(blocks.sum()), U)
+            np.add.at(sums, at, content[mine])
+            filled = np.zeros(len(sums), bool)
+            filled[at] = True
+            owner = np.repeat(np.arange(len(sizes)), blocks)
+            nth = np.arange(len(sums)) - base[owner]
+            empty = np.bincount(owner[~filled], minlength=len(sizes))
+            poor = use & (empty > spare)
+            # At its last cut a set with too many empty blocks lists them too.
+            lists_all = poor & (cut + 1 >= cuts)
+            show = filled | lists_all[owner]
+            tag = mix((cls[owner].astype(U) << U(32)) ^ nth.astype(U) ^ U((0xB10C << 48) ^ (cut << 40)))
+            need = np.where(lists_all, 1, spare + 1 - empty)
+            parts.append((mix(sums ^ tag)[show], owner[show], (cls[owner] | cut << 16)[show], need[owner][show]))
+            use, cut = poor & ~lists_all, cut + 1
     if not parts:
         return np.zeros(0, U), *[np.zeros(0, np.int64)] * 3
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
@@ -179,8 +199,8 @@ def _sets(row, width):
 
 
 def _keys(hashes, sizes, percent):
-    """(key, set number, class, common lists needed); subset keys are class -1
-    and one of them is enough."""
+    """(key, set number, class and cut, common lists needed); subset keys are
+    class -1 and one of them is enough."""
     top = boundary(percent)
     keys, sets, cls, need = block_keys(hashes, sizes, percent, top)
     ends = np.cumsum(sizes)
@@ -272,8 +292,9 @@ def _emit_sets(width):
 
 def _pairs(percent, longest):
     """Pairs of sets in lists that come sorted by key, with the lists they
-    share in a class and the lists they need.  A list has at most ``longest``
-    entries; only the last one of a batch waits for the next batch."""
+    share in a class and the lists they need; a pair that needs none has its
+    lists at another cut.  A list has at most ``longest`` entries; only the
+    last one of a batch waits for the next batch."""
     def pairs(rows):
         key, print_, n, cls, need = (rows.column(i).to_numpy() for i in range(5))
         found = []
@@ -282,7 +303,8 @@ def _pairs(percent, longest):
             if not len(i):
                 break
             j = i + d
-            i, j = (x[np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])] for x in (i, j))
+            fit = (np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])) & (np.maximum(need[i], need[j]) > 0)
+            i, j = i[fit], j[fit]
             low, high = np.minimum(print_[i], print_[j]), np.maximum(print_[i], print_[j])
             found.append((low, high, cls[i], np.maximum(need[i], need[j])))
         if not found:
@@ -393,14 +415,16 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     shared = materialise(
         emitted.groupBy("key").agg(F.min("print").alias("hub"), F.max("print").alias("far"), F.count(F.lit(1)).alias("m"))
         .where("hub <> far").select("key", "hub", (F.col("m") > LONG_LIST).alias("long")), "shared-keys")
-    listed = materialise(emitted.join(shared, "key"), "listed-keys")
+    keyed = materialise(emitted.join(shared, "key"), "listed-keys")
+    discard(emitted, shared)
     # Common lists that remain when the long ones are left out; none is certain for a hard set.
-    long_of = (listed.groupBy("print", "cls").agg(F.count(F.when(F.col("long"), 1)).alias("h"),
+    long_of = (keyed.groupBy("print", "cls").agg(F.count(F.when(F.col("long"), 1)).alias("h"),
                                                   F.min("need").alias("base"))
-               .select("print", "cls", (F.col("base") - F.col("h")).cast("int").alias("left")))
-    listed = listed.join(long_of, ["print", "cls"])
+               .select("print", "cls", "base", (F.col("base") - F.col("h")).cast("int").alias("left")))
+    listed = keyed.join(long_of, ["print", "cls"])
     light = listed.where(~F.col("long")).select("key", "print", "n", "cls",
-                                                F.greatest("left", F.lit(1)).cast("int").alias("need"))
+                                                F.when(F.col("base") > 0, F.greatest("left", F.lit(1)))
+                                                .otherwise(0).cast("int").alias("need"))
     pairs = (light.repartition("key").sortWithinPartitions("key").mapInArrow(_pairs(percent, LONG_LIST),
                                                  "u long, v long, cls int, need int, lists long")
              .groupBy("u", "v", "cls").agg(F.sum("lists").alias("lists"), F.max("need").alias("need"))
@@ -415,6 +439,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
 
     # Families: sets connected by enough common lists.
     family = materialise(connected_components(edges, "families"), "family-of")
+    discard(keyed)
     rows = materialise(slices.mapInArrow(_emit_prints(words), "slice long, nth long, doc_id long, n long, print long"),
                        "shingle-sets")
     classes = materialise(
@@ -442,6 +467,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
     tiles = by_slice.cogroup(asked.groupBy("slice")).applyInArrow(_emit_sets(words), SETS_SCHEMA)
     links = materialise(tiles.groupBy("tile").applyInPandas(
         _tile(percent), "print long, links long, root long"), "links")
+    discard(slices, family, placed, parts)
     roots = connected_components(links.select(F.col("print").alias("u"), F.col("root").alias("v")), "near-copies")
     counts = links.groupBy("print").agg(F.sum("links").alias("links"))
     merged = materialise(
@@ -449,6 +475,7 @@ def ngram_jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80, id_co
         .join(roots.withColumnRenamed("node", "print"), "print", "left")
         .select("print", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
                 F.coalesce("root", "print").alias("component"), F.col("copies").alias("c")), "set-results")
+    discard(links, classes)
     known = materialise(attach(rows.where("n > 0").select("doc_id", "n", "print"), merged, "print"), "joined")
     least = materialise(known.groupBy("component").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("c")), "least-ids")
     none = rows.where("n = 0").select("doc_id", "n", F.lit(0).cast("long").alias("links"),

@@ -190,6 +190,77 @@ def test_subsets_and_lists_lose_no_pair():
                 assert enough, (n, t, percent)
 
 
+@pytest.mark.parametrize("cuts", [1, 2, 8])
+def test_sets_cut_again_lose_no_pair(cuts, monkeypatch):
+    """With few blocks to spare many sets go on to another cut, or list their
+    empty blocks at the last one."""
+    ngram_join.boundary(80)
+
+    def tight(j, percent):
+        differ = 2 * (ngram_join._bounds()[j + 1] - 1) * (100 - percent) // (100 + percent)
+        return differ + 4 + differ // 16, 3 + differ // 16, cuts
+
+    monkeypatch.setattr(ngram_join, "blocks_of_class", tight)
+    rng, ends = np.random.default_rng(7), set()
+    for n in (23, 57, 76, 113, 169, 253, 254, 300):
+        for _ in range(12):
+            a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            t = int(rng.integers(n, n * 100 // 80 + 1))
+            o = ngram_join.overlap_needed(n, t, 80)
+            b = np.concatenate([rng.permutation(a)[:o], rng.integers(0, 1 << 63, t - o).astype(np.uint64)])
+            keys, sets, cls, need = ngram_join._keys(np.concatenate([np.sort(a), np.sort(b)]), np.array([n, t]), 80)
+            ends |= set((cls >> 16).tolist())
+            enough = False
+            for c in np.unique(cls):
+                mine, other = (set(keys[(sets == i) & (cls == c)].tolist()) for i in (0, 1))
+                least = max(need[cls == c].max(), 1)
+                enough |= {0, 1} <= set(sets[cls == c].tolist()) and len(mine & other) >= least
+            assert enough, (n, t)
+    assert max(ends) < cuts and (cuts == 1 or max(ends) > 0)
+
+
+def test_unrelated_sets_share_no_list():
+    """The smallest sets of a class have the most empty blocks; the list of an
+    empty block would hold a share of the whole corpus."""
+    rng = np.random.default_rng(8)
+    for percent in (80, 90):
+        for n in (57, 113, 169, 253):
+            hashes = np.concatenate([np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)) for _ in range(200)])
+            keys, sets, _, _ = ngram_join._keys(hashes, np.full(200, n), percent)
+            assert len(np.unique(keys)) == len(keys), (percent, n)
+
+
+def test_ngram_join_makes_no_family_of_unrelated_sets(spark, monkeypatch):
+    """Only sets that may be similar travel to tiles; no family grows with the corpus."""
+    asked, write = {}, ngram_join.materialise
+
+    def noted(df, name):
+        out = write(df, name)
+        if name == "family-sets":
+            asked[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialise", noted)
+    some = [(i, " ".join(f"w{i}x{k}" for k in range(257)), None) for i in range(150)]
+    some.append((999, some[7][1] + " tail", None))
+    out = ngram_join.ngram_jaccard_join(cases.frame(spark, some), 5, 80)
+    assert many(out, "doc_id", "n_shingles", "n_links", "component_id") == brute_join(some, 5, 80)
+    assert asked == {"family-sets": 2}
+
+
+def test_ngram_join_leaves_small_tables_only(spark):
+    """Texts, keys and rounds go once no later step reads them."""
+    import os
+    from urllib.parse import urlparse
+    from mercantile.session import scratch_path
+    root = os.path.dirname(urlparse(scratch_path(spark, "x")).path)
+    before = set(os.listdir(root))
+    out = ngram_join.ngram_jaccard_join(cases.frame(spark, edited(4, 60)), 5, 80)
+    left = {n.rsplit("-", 1)[0] for n in set(os.listdir(root)) - before}
+    assert not left & {"join-slices", "emitted-keys", "shared-keys", "listed-keys", "family-sets", "links"}
+    assert out.count() == 60
+
+
 def test_lists_reach_every_class_of_a_similar_set():
     """At low percentages similar sets lie several classes apart."""
     rng = np.random.default_rng(6)
@@ -218,6 +289,26 @@ def test_ngram_join_at_a_low_percentage(spark):
     assert many(out, "doc_id", "n_shingles", "n_links", "component_id") == brute_join(some, 1, 50)
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    import glob
+    import os
+    import time
+    from urllib.parse import urlparse
+    from mercantile.llm.common import CLEAN, discard, materialise
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [str(d) for d in blocks.localDirs()]
+    files = lambda: {f for d in folders for f in glob.glob(f"{d}/*/shuffle_*.data")}
+    before, clean = files(), spark.conf.get(CLEAN)
+    out = materialise(spark.range(10_000).repartition(5, "id").distinct(), "no-shuffle-files")
+    until = time.time() + 20
+    while files() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(CLEAN) == clean and out.count() == 10_000
+    assert os.path.isdir(urlparse(out.written_to).path)
+    discard(out)
+    assert not os.path.exists(urlparse(out.written_to).path)
+
+
 @given(st.lists(st.text(alphabet="aAbé \t\n\x0b\xa0\x85", max_size=30), max_size=6), st.integers(1, 4))
 @settings(max_examples=150, deadline=None)
 def test_shingle_sets_match_python(some, width):
